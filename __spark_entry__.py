@@ -11,12 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.plans import gold, silver, staging
+from strata.plans import gold, silver, staging, tpch
 from strata.session import RunContext, ensure_checkpoint_dir, without_audit
 from strata.sources.tables import Catalog
 
 SMOKE_DIR = "/root/testdata/sf0.001"
-CTX = RunContext()
+CTX = RunContext(data_clock=True)
 
 
 def _cat(spark: SparkSession, sf_dir: str) -> Catalog:
@@ -42,8 +42,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stg_regions": _q(staging.stg_regions),
         "stg_nations": _q(staging.stg_nations),
         "stg_customers": _q(staging.stg_customers),
+        "stg_orders": _q(staging.stg_orders),
+        "stg_lineitem": _q(staging.stg_lineitem),
+        "stg_customers_with_tests": _q(staging.stg_customers_with_tests),
+        "stg_orders_incremental": _q(staging.stg_orders_incremental),
+        "int_customers_with_orders": _q(silver.int_customers_with_orders),
         "customer_segments": _q(silver.customer_segments),
         "customer_insights": _q(gold.customer_insights),
+        "customer_clustering_ntile": _q(silver.customer_clustering_ntile),
+        "order_facts": _q(silver.order_facts),
+        "clean_nations": _q(silver.clean_nations),
+        "nation_summary": _q(gold.nation_summary),
+        "int_fx_rates_daily": _q(silver.int_fx_rates_daily),
+        "lookup_exchange_rates": _q(silver.lookup_exchange_rates),
+        "dim_customers": _q(gold.dim_customers),
+        "dim_orders": _q(gold.dim_orders),
+        "dim_current_year_orders": _q(gold.dim_current_year_orders),
+        "dim_current_year_open_orders": _q(gold.dim_current_year_open_orders),
+        "fct_order_lines": _q(gold.fct_order_lines),
+        "fct_order_lines_by_supplier_month": _q(gold.fct_order_lines_by_supplier_month),
+        "fact_order_line_pivot": _q(gold.fact_order_line_pivot),
+        "fact_order_line_full_reload": _q(gold.fact_order_line_full_reload),
+        "executive_dashboard": _q(gold.executive_dashboard),
+        "tpch_q1": _q(tpch.q1_pricing_summary),
+        "tpch_q2": _q(tpch.q2_minimum_cost_supplier),
+        "tpch_q3": _q(tpch.q3_shipping_priority),
+        "tpch_q4": _q(tpch.q4_order_priority),
     }
 
 
@@ -76,6 +100,132 @@ s AS (
 """
 
 
+_FX = """
+fx_days AS (
+  SELECT CAST(unnest(generate_series(CAST(d0 AS TIMESTAMP), CAST(d1 AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS rate_date, d0
+  FROM (SELECT min(CAST(o_orderdate AS DATE)) AS d0, max(CAST(o_orderdate AS DATE)) AS d1 FROM orders)),
+fx AS (
+  SELECT rate_date, 'USD' AS base_currency, q.quote_currency,
+         CAST(CAST(q.b AS DECIMAL(18,6)) + CAST(((CAST(datediff('day', d0, rate_date) / 7 AS BIGINT) * q.m) % 100) AS DECIMAL(18,6)) / 1000 AS DECIMAL(18,6)) AS exchange_rate
+  FROM fx_days, (VALUES ('EUR', 0.8, 37), ('GBP', 0.6, 53)) q(quote_currency, b, m)),
+fx_daily AS (
+  SELECT rate_date AS day_dt, base_currency AS from_currency, quote_currency AS to_currency,
+         exchange_rate AS conversion_rate,
+         coalesce(CAST(lead(rate_date) OVER (PARTITION BY base_currency, quote_currency ORDER BY rate_date) - INTERVAL 1 DAY AS DATE),
+                  DATE '2099-12-31') AS end_date
+  FROM fx WHERE base_currency = 'USD')"""
+
+_LINES = """
+li AS (
+  SELECT *, CAST(l_shipdate AS DATE) + CAST(((l_orderkey * 7 + l_linenumber * 3) % 21) - 10 AS INTEGER) AS l_commitdate,
+         CAST(l_shipdate AS DATE) + CAST(1 + ((l_orderkey + l_linenumber * 5) % 30) AS INTEGER) AS l_receiptdate
+  FROM lineitem)"""
+
+_ORDERS_INC = """
+oi AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+    CASE WHEN o_orderstatus = 'O' THEN 'OPEN' WHEN o_orderstatus = 'F' THEN 'FULFILLED'
+         WHEN o_orderstatus = 'P' THEN 'PARTIAL' ELSE 'UNKNOWN' END AS order_status_desc,
+    CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month,
+    CAST(year(o_orderdate) AS INTEGER) AS order_year, CAST(quarter(o_orderdate) AS INTEGER) AS order_quarter,
+    'FULL_LOAD' AS processing_type
+  FROM orders)"""
+
+_DIM_CUSTOMERS = """
+oc AS (
+  SELECT o_custkey AS customer_key, count(*) AS order_count,
+         CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS open_order_count
+  FROM orders GROUP BY o_custkey),
+dc AS (
+  SELECT c.c_custkey AS customer_key, c.c_name AS customer_name, c.c_acctbal AS account_balance,
+    c.c_mktsegment AS market_segment, c.c_nationkey AS nation_key, n.n_name AS nation_name, n.n_regionkey AS region_key,
+    coalesce(oc.order_count, 0) AS total_orders, coalesce(oc.open_order_count, 0) AS open_orders,
+    CASE WHEN coalesce(oc.order_count, 0) > 0 THEN 'Y' ELSE 'N' END AS has_orders_flag,
+    CASE WHEN coalesce(oc.open_order_count, 0) > 0 THEN 'Y' ELSE 'N' END AS has_open_orders_flag,
+    CASE WHEN c.c_acctbal >= 5000 THEN 'High Value' WHEN c.c_acctbal >= 1000 THEN 'Medium Value' ELSE 'Standard' END AS value_segment
+  FROM customer c LEFT JOIN oc ON c.c_custkey = oc.customer_key LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
+
+_DIM_ORDERS = _DIM_CUSTOMERS + """,
+dord AS (
+  SELECT o.o_orderkey AS order_key, o.o_custkey AS customer_key, o.o_orderstatus AS order_status,
+    o.o_totalprice AS total_price, o.o_orderdate AS order_date, o.o_orderpriority AS order_priority,
+    dc.customer_name, dc.nation_key, dc.value_segment,
+    CASE WHEN o.o_orderstatus = 'O' THEN 'Open' WHEN o.o_orderstatus = 'F' THEN 'Fulfilled'
+         WHEN o.o_orderstatus = 'P' THEN 'Partial' ELSE 'Unknown' END AS order_status_desc,
+    CAST(year(o.o_orderdate) AS INTEGER) AS order_year, CAST(quarter(o.o_orderdate) AS INTEGER) AS order_quarter,
+    CAST(month(o.o_orderdate) AS INTEGER) AS order_month
+  FROM orders o LEFT JOIN dc ON o.o_custkey = dc.customer_key)"""
+
+_FOL = "WITH " + _FX + "," + _LINES + "," + _DIM_ORDERS + """,
+fol AS (
+  SELECT li.l_orderkey AS order_key, li.l_linenumber AS line_number, li.l_partkey AS part_key,
+    li.l_suppkey AS supplier_key, d.customer_key, li.l_quantity AS quantity, li.l_extendedprice AS extended_price,
+    li.l_discount AS discount, li.l_tax AS tax,
+    li.l_extendedprice * (1 - li.l_discount) AS discounted_price,
+    li.l_extendedprice * (1 - li.l_discount) * (1 + li.l_tax) AS final_price,
+    coalesce(fx.conversion_rate, CAST(1.0 AS DECIMAL(18,6))) AS eur_conversion_rate,
+    li.l_extendedprice * (1 - li.l_discount) * (1 + li.l_tax) * CAST(coalesce(fx.conversion_rate, 1.0) AS DOUBLE) AS final_price_eur,
+    li.l_returnflag AS return_flag, li.l_linestatus AS line_status, li.l_shipdate AS ship_date,
+    li.l_commitdate AS commit_date, li.l_receiptdate AS receipt_date, d.order_date, d.order_status_desc
+  FROM li JOIN dord d ON li.l_orderkey = d.order_key
+  LEFT JOIN fx_daily fx ON fx.from_currency = 'USD' AND fx.to_currency = 'EUR'
+       AND CAST(d.order_date AS DATE) BETWEEN fx.day_dt AND fx.end_date)
+"""
+
+_ORDER_FACTS = "WITH " + _ORDERS_INC + """,
+of AS (
+  SELECT CAST(o_orderdate AS DATE) AS order_date, CAST(year(o_orderdate) AS INTEGER) AS order_year,
+    CAST(month(o_orderdate) AS INTEGER) AS order_month, CAST(quarter(o_orderdate) AS INTEGER) AS order_quarter,
+    CAST(dayofweek(o_orderdate) + 1 AS INTEGER) AS day_of_week,
+    o_custkey AS customer_key, o_orderstatus AS order_status, o_orderpriority AS order_priority,
+    count(*) AS order_count,
+    CAST(sum(CAST(o_totalprice AS DECIMAL(38,6))) AS DOUBLE) AS total_order_value,
+    CAST(sum(CAST(o_totalprice AS DECIMAL(38,6))) AS DOUBLE) / count(o_totalprice) AS avg_order_value,
+    min(o_totalprice) AS min_order_value, max(o_totalprice) AS max_order_value,
+    round(stddev_samp(o_totalprice), 6) AS order_value_stddev,
+    count(DISTINCT o_custkey) AS unique_customers,
+    CAST(sum(CAST(o_totalprice AS DECIMAL(38,6))) AS DOUBLE) / count(DISTINCT o_custkey) AS revenue_per_customer,
+    CAST(sum(CASE WHEN o_orderstatus = 'O' THEN CAST(o_totalprice AS DECIMAL(38,6)) ELSE 0 END) AS DOUBLE) AS revenue_o_status,
+    count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS count_o_status,
+    CAST(sum(CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(38,6)) ELSE 0 END) AS DOUBLE) AS revenue_f_status,
+    count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS count_f_status,
+    CAST(sum(CASE WHEN o_orderstatus = 'P' THEN CAST(o_totalprice AS DECIMAL(38,6)) ELSE 0 END) AS DOUBLE) AS revenue_p_status,
+    count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS count_p_status,
+    CAST(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(o_totalprice AS DECIMAL(38,6)) ELSE 0 END) AS DOUBLE) AS revenue_priority_1,
+    CAST(sum(CASE WHEN o_orderpriority = '2-HIGH' THEN CAST(o_totalprice AS DECIMAL(38,6)) ELSE 0 END) AS DOUBLE) AS revenue_priority_2,
+    CAST(sum(CASE WHEN o_orderpriority = '3-MEDIUM' THEN CAST(o_totalprice AS DECIMAL(38,6)) ELSE 0 END) AS DOUBLE) AS revenue_priority_3,
+    CAST(sum(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN CAST(o_totalprice AS DECIMAL(38,6)) ELSE 0 END) AS DOUBLE) AS revenue_priority_4,
+    CAST(sum(CASE WHEN o_orderpriority = '5-LOW' THEN CAST(o_totalprice AS DECIMAL(38,6)) ELSE 0 END) AS DOUBLE) AS revenue_priority_5
+  FROM oi WHERE processing_type IN ('RECENT', 'FULL_LOAD')
+  GROUP BY ALL)
+"""
+
+_GOV = """CASE WHEN upper(n_name) LIKE '%FEDERAL%' THEN 'FEDERAL' WHEN upper(n_name) LIKE '%REPUBLIC%' THEN 'REPUBLIC'
+  WHEN upper(n_name) LIKE '%KINGDOM%' THEN 'KINGDOM' WHEN upper(n_name) LIKE '%EMPIRE%' THEN 'EMPIRE'
+  WHEN upper(n_name) LIKE '%CONFEDERATION%' THEN 'CONFEDERATION' WHEN upper(n_name) LIKE '%UNION%' THEN 'UNION'
+  WHEN upper(n_name) LIKE '%FEDERATION%' THEN 'FEDERATION' WHEN upper(n_name) LIKE '%PRINCIPALITY%' THEN 'PRINCIPALITY'
+  WHEN upper(n_name) LIKE '%DUCHY%' THEN 'DUCHY' WHEN upper(n_name) LIKE '%SULTANATE%' THEN 'SULTANATE'
+  WHEN upper(n_name) LIKE '%EMIRATE%' THEN 'EMIRATE' ELSE 'OTHER' END"""
+
+_CAL_FX = "WITH " + _FX + """,
+today AS (SELECT max(CAST(o_orderdate AS DATE)) AS t FROM orders),
+cal AS (SELECT CAST(DATE '1992-01-01' + CAST(i AS INTEGER) AS DATE) AS day_dt FROM range(18250) r(i)),
+ex AS (
+  SELECT quote_currency AS currency, CAST(exchange_rate AS DOUBLE) AS from_usd, 1.0 / CAST(exchange_rate AS DOUBLE) AS to_usd,
+    coalesce(CAST(lag(rate_date) OVER (PARTITION BY quote_currency ORDER BY rate_date) + INTERVAL 1 DAY AS DATE), DATE '1900-01-01') AS start_date,
+    CASE WHEN lead(rate_date) OVER (PARTITION BY quote_currency ORDER BY rate_date) IS NULL
+         THEN CAST((SELECT t FROM today) + INTERVAL 100 YEAR AS DATE) ELSE rate_date END AS end_date
+  FROM fx WHERE base_currency = 'USD' AND quote_currency IN ('EUR')
+  UNION ALL
+  SELECT 'USD', 1.0, 1.0, DATE '1900-01-01', CAST((SELECT t FROM today) + INTERVAL 100 YEAR AS DATE)),
+lkp AS (
+  SELECT cal.day_dt, a.currency AS from_currency, b.currency AS to_currency,
+         a.to_usd * b.from_usd AS exchange_rate, a.from_usd * b.to_usd AS inverse_conversion_rate
+  FROM cal JOIN ex a ON cal.day_dt BETWEEN a.start_date AND a.end_date
+           JOIN ex b ON cal.day_dt BETWEEN b.start_date AND b.end_date)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "stg_regions": "SELECT r_regionkey AS region_key, r_name AS region_name FROM region",
@@ -99,4 +249,151 @@ def oracle_sql() -> dict[str, str]:
               CASE WHEN account_balance < 0 THEN 'Credit Risk' WHEN customer_segment = 'LOW_VALUE' THEN 'Retention Risk'
                    WHEN balance_vs_nation_avg < -1000 THEN 'Performance Risk' ELSE 'Low Risk' END AS risk_category
             FROM s LEFT JOIN nation n ON s.nation_key = n.n_nationkey""",
+        "stg_orders": """SELECT o_orderkey AS order_key, o_custkey AS customer_key, o_orderstatus AS order_status,
+            o_totalprice AS total_price, o_orderdate AS order_date, o_orderpriority AS order_priority FROM orders""",
+        "stg_lineitem": "WITH " + _LINES + """
+            SELECT l_orderkey AS order_key, l_linenumber AS line_number, l_partkey AS part_key, l_suppkey AS supplier_key,
+              l_quantity AS quantity, l_extendedprice AS extended_price, l_discount AS discount, l_tax AS tax,
+              l_returnflag AS return_flag, l_linestatus AS line_status, l_shipdate AS ship_date,
+              l_commitdate AS commit_date, l_receiptdate AS receipt_date FROM li""",
+        "stg_customers_with_tests": """
+            SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+              CASE WHEN c_name IS NULL OR trim(c_name) = '' THEN 'INVALID_NAME'
+                   WHEN c_acctbal < 0 THEN 'NEGATIVE_BALANCE' ELSE 'VALID' END AS data_quality_flag,
+              'TPC_H' AS integration_source, 2 AS retention_days
+            FROM customer WHERE c_custkey IS NOT NULL""",
+        "stg_orders_incremental": "WITH " + _ORDERS_INC + " SELECT * FROM oi",
+        "int_customers_with_orders": """
+            SELECT o_custkey AS customer_key, count(*) AS order_count,
+                   CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS open_order_count
+            FROM orders GROUP BY o_custkey""",
+        "customer_clustering_ntile": _SEGMENTS_SQL + """,
+            cl AS (SELECT *, ntile(5) OVER (ORDER BY balance_percentile DESC, customer_key) - 1 AS ml_cluster FROM s),
+            st AS (SELECT ml_cluster, avg(account_balance) AS center_balance, stddev_samp(account_balance) AS stddev_balance
+                   FROM cl GROUP BY ml_cluster),
+            sc AS (SELECT cl.*, abs(cl.account_balance - st.center_balance) / nullif(st.stddev_balance, 0) AS d
+                   FROM cl JOIN st USING (ml_cluster))
+            SELECT customer_key, customer_name, nation_key, account_balance, balance_percentile, balance_rank_in_nation,
+              customer_segment, market_segment, ml_cluster,
+              CASE ml_cluster WHEN 0 THEN 'Premium Elite' WHEN 1 THEN 'High Value Stable' WHEN 2 THEN 'Growth Potential'
+                   WHEN 3 THEN 'Standard Base' WHEN 4 THEN 'At Risk' END AS cluster_name,
+              round(d, 4) AS distance_to_cluster_center,
+              coalesce(d > 2.0, false) AS is_cluster_outlier,
+              round(1.0 - least(d / nullif(max(d) OVER (), 0), 1.0), 4) AS ml_confidence_score,
+              '1.0' AS ml_model_version, 'KMeans_NTILE_approx' AS clustering_algorithm, 5 AS n_clusters_used
+            FROM sc""",
+        "order_facts": _ORDER_FACTS + " SELECT * FROM of",
+        "clean_nations": f"""
+            SELECT n_nationkey AS nation_key, upper(trim(n_name)) AS nation_name, n_regionkey AS region_key,
+                   CAST(length(n_name) AS INTEGER) AS name_length, {_GOV} AS government_type FROM nation""",
+        "nation_summary": f"""
+            WITH cn AS (SELECT upper(trim(n_name)) AS nation_name, length(n_name) AS name_length, {_GOV} AS government_type
+                        FROM nation)
+            SELECT nation_name, government_type, CAST(name_length AS INTEGER) AS name_length,
+              CASE WHEN name_length <= 5 THEN 'SHORT' WHEN name_length <= 10 THEN 'MEDIUM' ELSE 'LONG' END AS name_category,
+              upper(substr(nation_name, 1, 1)) || lower(substr(nation_name, 2)) AS display_name
+            FROM cn""",
+        "int_fx_rates_daily": "WITH " + _FX + " SELECT * FROM fx_daily",
+        "lookup_exchange_rates": _CAL_FX + " SELECT * FROM lkp",
+        "dim_customers": "WITH " + _DIM_CUSTOMERS + " SELECT * FROM dc",
+        "dim_orders": "WITH " + _DIM_ORDERS + " SELECT * FROM dord",
+        "dim_current_year_orders": "WITH " + _DIM_ORDERS + """
+            SELECT * FROM dord WHERE order_date >= (SELECT CAST(max(order_date) AS DATE) - INTERVAL 1 YEAR FROM dord)""",
+        "dim_current_year_open_orders": "WITH " + _DIM_ORDERS + """
+            SELECT * FROM dord WHERE order_date >= (SELECT CAST(max(order_date) AS DATE) - INTERVAL 1 YEAR FROM dord)
+              AND order_status = 'O'""",
+        "fct_order_lines": _FOL + " SELECT * FROM fol",
+        "fct_order_lines_by_supplier_month": _FOL + """
+            SELECT supplier_key, CAST(year(order_date) AS INTEGER) AS order_year, CAST(month(order_date) AS INTEGER) AS order_month,
+              make_date(CAST(year(order_date) AS INTEGER), CAST(month(order_date) AS INTEGER), 1) AS month_start_date,
+              count(*) AS total_order_lines, count(DISTINCT order_key) AS total_orders,
+              CAST(sum(CAST(quantity AS DECIMAL(38,6))) AS DOUBLE) AS total_quantity,
+              CAST(sum(CAST(extended_price AS DECIMAL(38,6))) AS DOUBLE) AS total_extended_price,
+              CAST(sum(CAST(discounted_price AS DECIMAL(38,6))) AS DOUBLE) AS total_discounted_price,
+              CAST(sum(CAST(final_price AS DECIMAL(38,6))) AS DOUBLE) AS total_final_price,
+              CAST(sum(CAST(final_price AS DECIMAL(18,6)) * CAST(eur_conversion_rate AS DECIMAL(18,6))) AS DOUBLE) AS total_final_price_eur,
+              CAST(sum(CAST(quantity AS DECIMAL(38,6))) AS DOUBLE) / count(quantity) AS avg_quantity_per_line,
+              CAST(sum(CAST(final_price AS DECIMAL(38,6))) AS DOUBLE) / count(final_price) AS avg_final_price_per_line,
+              CAST(sum(CAST(discount AS DECIMAL(38,6))) AS DOUBLE) / count(discount) AS avg_discount_rate,
+              min(ship_date) AS earliest_ship_date, max(ship_date) AS latest_ship_date,
+              CAST(count(*) AS DOUBLE) / count(DISTINCT order_key) AS avg_lines_per_order
+            FROM fol GROUP BY ALL""",
+        "fact_order_line_pivot": """
+            SELECT l_suppkey AS supplier_key, l_partkey AS part_key,
+              sum(CASE WHEN year(l_shipdate) = 1995 THEN l_quantity END) AS shipped_1995,
+              sum(CASE WHEN year(l_shipdate) = 1996 THEN l_quantity END) AS shipped_1996,
+              sum(CASE WHEN year(l_shipdate) = 1997 THEN l_quantity END) AS shipped_1997,
+              sum(CASE WHEN year(l_shipdate) = 1998 THEN l_quantity END) AS shipped_1998,
+              sum(CASE WHEN year(l_shipdate) = 1999 THEN l_quantity END) AS shipped_1999,
+              sum(CASE WHEN year(l_shipdate) = 2000 THEN l_quantity END) AS shipped_2000,
+              sum(CASE WHEN year(l_shipdate) = 2001 THEN l_quantity END) AS shipped_2001
+            FROM lineitem GROUP BY ALL""",
+        "fact_order_line_full_reload": _CAL_FX + "," + _DIM_ORDERS + """
+            SELECT 'UNKNOWN' AS source_system_code, coalesce(d.order_key, -1) AS l_order_wid,
+              coalesce(d.customer_key, -1) AS l_cust_wid, l.*, x.exchange_rate AS eur_conversion_rate,
+              coalesce(CAST(l.l_orderkey AS VARCHAR), '') || '~' || coalesce(CAST(l.l_linenumber AS VARCHAR), '') AS integration_id
+            FROM lineitem l LEFT JOIN dord d ON l.l_orderkey = d.order_key
+            LEFT JOIN lkp x ON x.from_currency = 'USD' AND x.to_currency = 'EUR' AND x.day_dt = CAST(d.order_date AS DATE)""",
+        "executive_dashboard": _ORDER_FACTS + """,
+            dm AS (
+              SELECT order_date, order_year, order_month, order_quarter,
+                CAST(sum(CAST(total_order_value AS DECIMAL(38,6))) AS DOUBLE) AS daily_revenue,
+                sum(order_count) AS daily_orders, sum(unique_customers) AS daily_active_customers,
+                avg(CAST(avg_order_value AS DECIMAL(38,10))) AS daily_avg_order_value,
+                CAST(sum(CAST(revenue_o_status AS DECIMAL(38,6))) AS DOUBLE) AS open_revenue,
+                CAST(sum(CAST(revenue_f_status AS DECIMAL(38,6))) AS DOUBLE) AS fulfilled_revenue,
+                CAST(sum(CAST(revenue_p_status AS DECIMAL(38,6))) AS DOUBLE) AS partial_revenue
+              FROM of GROUP BY ALL),
+            w AS (SELECT *, lag(daily_revenue) OVER (ORDER BY order_date) AS prev_day_revenue,
+                    avg(daily_revenue) OVER (ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS seven_day_avg_revenue
+                  FROM dm)
+            SELECT order_date AS metric_date, daily_revenue AS total_revenue, daily_orders AS total_orders,
+              CAST(round(CAST(daily_avg_order_value AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_order_value, daily_active_customers AS active_customers,
+              CAST(round(CAST(seven_day_avg_revenue AS DECIMAL(38,10)), 6) AS DOUBLE) AS "7-Day Average Revenue",
+              CASE WHEN prev_day_revenue > 0 THEN CAST(round(CAST((daily_revenue - prev_day_revenue) / prev_day_revenue * 100 AS DECIMAL(38,10)), 2) AS DOUBLE) END AS "Daily Revenue Growth %",
+              CAST(round(CAST(daily_revenue / nullif(CAST(daily_orders AS DOUBLE), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS "Revenue per Order",
+              CAST(round(CAST(daily_revenue / nullif(CAST(daily_active_customers AS DOUBLE), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS "Revenue per Customer",
+              CAST(round(CAST(fulfilled_revenue / nullif(daily_revenue, 0) * 100 AS DECIMAL(38,10)), 1) AS DOUBLE) AS "Fulfillment Rate %",
+              CAST(round(CAST(open_revenue / nullif(daily_revenue, 0) * 100 AS DECIMAL(38,10)), 1) AS DOUBLE) AS "Open Orders %",
+              CAST(round(CAST(partial_revenue / nullif(daily_revenue, 0) * 100 AS DECIMAL(38,10)), 1) AS DOUBLE) AS "Partial Orders %",
+              CASE WHEN daily_revenue > seven_day_avg_revenue * 1.2 THEN 'Excellent'
+                   WHEN daily_revenue > seven_day_avg_revenue * 1.1 THEN 'Good'
+                   WHEN daily_revenue > seven_day_avg_revenue * 0.9 THEN 'Average' ELSE 'Below Average' END AS "Performance Rating",
+              CASE WHEN daily_revenue > prev_day_revenue THEN '↗️ Increasing'
+                   WHEN daily_revenue < prev_day_revenue THEN '↘️ Decreasing' ELSE '➡️ Stable' END AS "Trend",
+              order_year AS "Year", order_quarter AS "Quarter", order_month AS "Month"
+            FROM w WHERE order_date >= (SELECT max(CAST(o_orderdate AS DATE)) - INTERVAL 2 YEAR FROM orders)""",
+        "tpch_q1": """
+            SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty,
+              CAST(sum(CAST(l_extendedprice AS DECIMAL(38,6))) AS DOUBLE) AS sum_base_price,
+              CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(38,6))) AS DOUBLE) AS sum_disc_price,
+              CAST(sum(CAST(l_extendedprice * (1 - l_discount) * (1 + l_tax) AS DECIMAL(38,6))) AS DOUBLE) AS sum_charge,
+              CAST(sum(CAST(l_quantity AS DECIMAL(38,6))) AS DOUBLE) / count(l_quantity) AS avg_qty,
+              CAST(sum(CAST(l_extendedprice AS DECIMAL(38,6))) AS DOUBLE) / count(l_extendedprice) AS avg_price,
+              CAST(sum(CAST(l_discount AS DECIMAL(38,6))) AS DOUBLE) / count(l_discount) AS avg_disc, count(*) AS count_order
+            FROM lineitem WHERE l_shipdate <= DATE '1998-12-01' - INTERVAL 90 DAY
+            GROUP BY l_returnflag, l_linestatus ORDER BY l_returnflag, l_linestatus""",
+        "tpch_q2": """
+            WITH ps AS (SELECT l_partkey AS ps_partkey, l_suppkey AS ps_suppkey, min(l_extendedprice / l_quantity) AS ps_supplycost
+                        FROM lineitem WHERE l_quantity > 0 GROUP BY ALL),
+            offers AS (
+              SELECT s_acctbal, s_name, n_name, p_partkey, ps_supplycost
+              FROM part, supplier, ps, nation, region
+              WHERE p_partkey = ps_partkey AND s_suppkey = ps_suppkey AND p_size = 15
+                AND s_nationkey = n_nationkey AND n_regionkey = r_regionkey AND r_name = 'EUROPE')
+            SELECT * FROM offers o
+            WHERE ps_supplycost = (SELECT min(ps_supplycost) FROM offers i WHERE i.p_partkey = o.p_partkey)
+            ORDER BY s_acctbal DESC, n_name, s_name, p_partkey LIMIT 100""",
+        "tpch_q3": """
+            SELECT l_orderkey, o_orderdate,
+              CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(38,6))) AS DOUBLE) AS revenue
+            FROM customer, orders, lineitem
+            WHERE c_mktsegment = 'BUILDING' AND c_custkey = o_custkey AND l_orderkey = o_orderkey
+              AND o_orderdate < DATE '1995-03-15' AND l_shipdate > DATE '1995-03-15'
+            GROUP BY l_orderkey, o_orderdate ORDER BY revenue DESC, o_orderdate, l_orderkey LIMIT 10""",
+        "tpch_q4": "WITH " + _LINES + """
+            SELECT o_orderpriority, count(*) AS order_count FROM orders
+            WHERE o_orderdate >= DATE '1996-07-01' AND o_orderdate < DATE '1996-07-01' + INTERVAL 3 MONTH
+              AND EXISTS (SELECT 1 FROM li WHERE li.l_orderkey = orders.o_orderkey AND li.l_commitdate < li.l_receiptdate)
+            GROUP BY o_orderpriority ORDER BY o_orderpriority""",
     }

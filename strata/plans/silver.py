@@ -114,11 +114,11 @@ def order_facts(cat, ctx: RunContext = RunContext(), orders: DataFrame | None =
     price = F.col("o_totalprice")
     aggs = [F.count(F.lit(1)).alias("order_count"),
             F.sum(money(price)).cast("double").alias("total_order_value"),
-            F.avg(money(price)).cast("double").alias("avg_order_value"),
+            (F.sum(money(price)).cast("double") / F.count(price)).alias("avg_order_value"),
             F.min(price).alias("min_order_value"), F.max(price).alias("max_order_value"),
-            F.stddev_samp(price).alias("order_value_stddev"),
+            F.round(F.stddev_samp(price), 6).alias("order_value_stddev"),
             F.count_distinct("o_custkey").alias("unique_customers"),
-            (F.sum(money(price)) / F.count_distinct("o_custkey")).cast("double").alias("revenue_per_customer")]
+            (F.sum(money(price)).cast("double") / F.count_distinct("o_custkey")).alias("revenue_per_customer")]
     for s in ORDER_STATUSES:
         aggs.append(F.sum(F.when(F.col("o_orderstatus") == s, money(price)).otherwise(money(F.lit(0.0))))
                     .cast("double").alias(f"revenue_{s.lower()}_status"))
@@ -147,3 +147,84 @@ def int_fx_rates_daily(cat, ctx: RunContext = RunContext(), rates: DataFrame | N
         F.col("quote_currency").alias("to_currency"), F.col("exchange_rate").alias("conversion_rate"),
         F.coalesce(F.date_sub(nxt, 1), F.to_date(F.lit(open_end))).alias("end_date"),
         ctx.now().alias("_loaded_at"))
+
+
+def fx_backward_intervals(rates: DataFrame, today_col: str, base: str = "USD",
+                          quotes=("EUR",), floor: str = "1900-01-01") -> DataFrame:
+    """W7 backward fill of the legacy lookup: a rate covers (previous date,
+    date]; the first starts at ``floor``; the last stays open to today + 100
+    years.  Adds a USD identity row.  ``rates`` must carry ``today_col``."""
+    fx = rates.where((F.col("base_currency") == base) & F.col("quote_currency").isin(*quotes))
+    w = Window.partitionBy("quote_currency").orderBy("rate_date")
+    far = F.add_months(F.col(today_col), 1200)
+    iv = fx.select(
+        F.col("quote_currency").alias("currency"),
+        F.col("exchange_rate").cast("double").alias("from_usd"),
+        (F.lit(1.0) / F.col("exchange_rate").cast("double")).alias("to_usd"),
+        F.coalesce(F.date_add(F.lag("rate_date").over(w), 1), F.to_date(F.lit(floor))).alias("start_date"),
+        F.when(F.lead("rate_date").over(w).isNull(), far).otherwise(F.col("rate_date")).alias("end_date"))
+    ident = rates.select(today_col).limit(1).select(
+        F.lit(base).alias("currency"), F.lit(1.0).alias("from_usd"), F.lit(1.0).alias("to_usd"),
+        F.to_date(F.lit(floor)).alias("start_date"), far.alias("end_date"))
+    return iv.unionByName(ident)
+
+
+def lookup_exchange_rates(cat, ctx: RunContext = RunContext(), calendar: DataFrame | None = None,
+                          quotes=("EUR",)) -> DataFrame:
+    """Every calendar day x every (from, to) currency pair valid that day.
+    Both validity-range joins become equi joins on the day: intervals are
+    expanded to days inside the calendar span (bounded by calendar length x
+    currencies) and joined to the calendar; the cross-rate is a self equi
+    join on the day."""
+    from strata.operators.interval_join import expand_to_days, DAY
+    from strata.plans.calendar import dim_calendar_day
+    from strata.session import today_frame
+    spark = cat.spark
+    orders = cat.orders
+    today = today_frame(ctx, orders)
+    cal = calendar if calendar is not None else dim_calendar_day(spark, ctx, ghost=False)
+    cal = cal.select("day_dt")
+    span = cal.agg(F.min("day_dt").alias("__lo"), F.max("day_dt").alias("__hi"))
+    rates = staging.stg_fx_rates(cat, ctx).crossJoin(F.broadcast(today))
+    iv = fx_backward_intervals(rates, "__today", quotes=quotes).crossJoin(F.broadcast(span))
+    days = expand_to_days(iv, "start_date", "end_date", F.col("__lo"), F.col("__hi")).drop("__lo", "__hi")
+    days = days.select(F.col(DAY).alias("day_dt"), "currency", "from_usd", "to_usd")
+    first, second = days.alias("__f"), days.alias("__s")
+    pairs = first.join(second, "day_dt")
+    priced = cal.join(pairs, "day_dt")
+    return priced.select(
+        "day_dt", F.col("__f.currency").alias("from_currency"), F.col("__s.currency").alias("to_currency"),
+        (F.col("__f.to_usd") * F.col("__s.from_usd")).alias("exchange_rate"),
+        (F.col("__f.from_usd") * F.col("__s.to_usd")).alias("inverse_conversion_rate"))
+
+
+# Government-type labels of the nation classifier (M3), in
+# order; a name takes the first label whose word it contains, else OTHER.
+GOVERNMENT_TYPES = ("FEDERAL", "REPUBLIC", "KINGDOM", "EMPIRE", "CONFEDERATION", "UNION", "FEDERATION",
+                    "PRINCIPALITY", "DUCHY", "SULTANATE", "EMIRATE", "OTHER")
+
+
+def classify_label(text_col, labels=GOVERNMENT_TYPES, default: str = "OTHER"):
+    """M3 re-aimed: keyword rule over the upper-cased text (JVM-side).  A
+    model can replace it via a pandas UDF returning one of ``labels``."""
+    t = F.upper(F.coalesce(text_col, F.lit("")))
+    expr = None
+    for lab in labels:
+        if lab == default:
+            continue
+        cond = t.contains(lab)
+        expr = F.when(cond, F.lit(lab)) if expr is None else expr.when(cond, F.lit(lab))
+    return expr.otherwise(F.lit(default)) if expr is not None else F.lit(default)
+
+
+def clean_nations(cat, ctx: RunContext = RunContext(), existing: DataFrame | None = None) -> DataFrame:
+    """Trim/upper nation names, name length, government type; on later runs
+    only nations not yet present (left_anti, J11), to be merged by key."""
+    n = staging.stg_nations(cat, ctx)
+    out = n.select("nation_key", F.upper(F.trim("nation_name")).alias("nation_name"), "region_key",
+                   F.length("nation_name").alias("name_length"),
+                   classify_label(F.col("nation_name")).alias("government_type"),
+                   ctx.now().alias("processed_at"))
+    if existing is not None:
+        out = out.join(existing.select("nation_key"), "nation_key", "left_anti")
+    return out

@@ -76,6 +76,8 @@ class RunContext:
     source_system_code: str = "UNKNOWN"
     integration_source: str = "TPC_H"
     week_start: str = "sunday"  # calendar weeks: 'sunday' or 'monday'
+    data_clock: bool = False  # today = latest order date in the data (for fixtures)
+    unknown_key: int = -1  # key given to facts whose dimension row is missing
     extras: dict = field(default_factory=dict)
 
     def today(self) -> Column:
@@ -87,6 +89,19 @@ class RunContext:
         return F.localtimestamp()
 
 
+def today_frame(ctx: "RunContext", orders=None):
+    """One-row frame with column ``__today``: the run date.  With
+    ``data_clock`` it is the latest order date, computed in-plan (a global
+    max: partial aggregation, one row) and meant for ``crossJoin``."""
+    if ctx.as_of is None and ctx.data_clock:
+        if orders is None:
+            raise ValueError("data_clock needs the orders frame")
+        return orders.agg(F.max(F.to_date("o_orderdate")).alias("__today"))
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    return spark.range(1).select(ctx.today().alias("__today"))
+
+
 AUDIT_COLUMNS = (
     "_loaded_at", "_updated_at", "processed_at", "last_updated", "extracted_at",
     "dbt_inserted_ts", "dbt_updated_ts", "dbt_insert_ts", "dbt_last_update_ts",
