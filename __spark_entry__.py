@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.plans import gold, silver, staging, tpch
+from strata.plans import gold, history, silver, staging, tpch
 from strata.session import RunContext, ensure_checkpoint_dir, without_audit
 from strata.sources.tables import Catalog
 
@@ -37,6 +37,41 @@ def _q(fn) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _drop(*cols):
+    def wrap(fn):
+        def run(cat, ctx):
+            return fn(cat, ctx).drop(*cols)
+        run.__name__ = fn.__name__
+        return run
+    return wrap
+
+
+def _sales_fact(cat, ctx):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from strata.plans.calendar import dim_calendar_day
+    dim, _ = _dim_from_load2(cat)
+    products = cat.part.select(F.col("p_partkey").alias("product_business_key"), F.col("p_partkey").alias("product_key"))
+    cal = dim_calendar_day(cat.spark, ctx, ghost=False)
+    return history.load_fact_sales(None, history.staging_sales_order(cat), cal, dim, dt.date(1900, 1, 1),
+                                   product_dim=products, load_ts=F.lit(history.LOAD_TS[0]).cast("timestamp_ntz"))
+
+
+def _dim_from_load2(cat):
+    from pyspark.sql import functions as F
+    from strata.operators.scd import hybrid_dimension_load
+    return hybrid_dimension_load(None, history.staging_customer(cat, 2), "customer_business_key",
+                                 ["customer_name", "customer_segment", "region", "country"], ["account_balance"],
+                                 F.lit(history.LOAD_TS[0]).cast("timestamp_ntz"))
+
+
+def _orphans(cat, ctx):
+    from pyspark.sql import functions as F
+    dim, _ = _dim_from_load2(cat)
+    return history.fact_load_orphans(history.staging_sales_order(cat), dim,
+                                     load_ts=F.lit(history.LOAD_TS[0]).cast("timestamp_ntz"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "stg_regions": _q(staging.stg_regions),
@@ -64,6 +99,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_order_line_pivot": _q(gold.fact_order_line_pivot),
         "fact_order_line_full_reload": _q(gold.fact_order_line_full_reload),
         "executive_dashboard": _q(gold.executive_dashboard),
+        "dim_customers_hashed": _q(_drop("cdc_hash_key")(history.dim_customers_hashed)),
+        "dim_customers_macro_example": _q(_drop("cdc_hash_key")(history.dim_customers_macro_example)),
+        "dim_orders_macro_example": _q(_drop("cdc_hash_key")(history.dim_orders_macro_example)),
+        "customer_cdc_stream": _q(history.customer_cdc_stream),
+        "customer_change_feed": _q(history.customer_change_feed),
+        "dim_customer_changes": _q(history.dim_customer_changes),
+        "customers_snapshot_scd2": _q(history.customers_snapshot),
+        "customer_dim_load": _q(lambda cat, ctx: history.customer_dim_load(cat, ctx)[0]),
+        "customer_dim_load_counts": _q(lambda cat, ctx: history.customer_dim_load(cat, ctx)[1]),
+        "sales_fact_load": _q(_sales_fact),
+        "fact_load_orphans": _q(_orphans),
         "tpch_q1": _q(tpch.q1_pricing_summary),
         "tpch_q2": _q(tpch.q2_minimum_cost_supplier),
         "tpch_q3": _q(tpch.q3_shipping_priority),
@@ -226,6 +272,94 @@ lkp AS (
 """
 
 
+_SCD_SRC = """
+oc AS (SELECT o_custkey AS customer_key, count(*) AS order_count,
+              CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS open_order_count
+       FROM orders GROUP BY o_custkey),
+src AS (
+  SELECT c.c_custkey AS customer_key, c.c_name AS customer_name, c.c_nationkey AS nation_key,
+    c.c_acctbal AS account_balance, c.c_mktsegment AS market_segment,
+    CASE WHEN oc.order_count > 0 THEN 'Y' ELSE 'N' END AS has_orders_flag,
+    CASE WHEN oc.open_order_count > 0 THEN 'Y' ELSE 'N' END AS has_open_orders_flag,
+    oc.order_count, oc.open_order_count, coalesce(CAST(c.c_custkey AS VARCHAR), '') AS integration_id,
+    row_number() OVER (ORDER BY c.c_custkey) AS customer_surrogate_key
+  FROM customer c LEFT JOIN oc ON c.c_custkey = oc.customer_key)"""
+
+_LOADS = """
+l1 AS (SELECT c_custkey AS customer_key, c_name AS customer_name, c_acctbal AS account_balance,
+              c_mktsegment AS market_segment, c_nationkey AS nation_key FROM customer),
+l2 AS (
+  SELECT customer_key, customer_name,
+    CASE WHEN customer_key % 10 = 1 THEN account_balance + 100 ELSE account_balance END AS account_balance,
+    CASE WHEN customer_key % 10 = 2 THEN (CASE WHEN market_segment = 'HOUSEHOLD' THEN 'BUILDING' ELSE 'HOUSEHOLD' END)
+         ELSE market_segment END AS market_segment, nation_key
+  FROM l1 WHERE customer_key % 10 <> 3
+  UNION ALL
+  SELECT customer_key + (SELECT max(customer_key) FROM l1) + 1, customer_name || '-new', account_balance, market_segment, nation_key
+  FROM l1 WHERE customer_key % 10 = 4),
+chg AS (
+  SELECT l1.customer_key FROM l1 JOIN l2 USING (customer_key)
+  WHERE l1.customer_name IS DISTINCT FROM l2.customer_name OR l1.account_balance IS DISTINCT FROM l2.account_balance
+     OR l1.market_segment IS DISTINCT FROM l2.market_segment OR l1.nation_key IS DISTINCT FROM l2.nation_key),
+feed AS (
+  SELECT *, 'INSERT' AS cdc_change_type FROM l2 WHERE customer_key NOT IN (SELECT customer_key FROM l1)
+  UNION ALL SELECT *, 'DELETE' FROM l1 WHERE customer_key NOT IN (SELECT customer_key FROM l2)
+  UNION ALL SELECT *, 'UPDATE_BEFORE' FROM l1 WHERE customer_key IN (SELECT customer_key FROM chg)
+  UNION ALL SELECT *, 'UPDATE_AFTER' FROM l2 WHERE customer_key IN (SELECT customer_key FROM chg))"""
+
+_STG_CUST = """
+geo AS (SELECT n_nationkey, n_name AS country, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey),
+s1 AS (SELECT l1.customer_key AS customer_business_key, customer_name, market_segment AS customer_segment, region, country, account_balance
+       FROM l1 LEFT JOIN geo ON l1.nation_key = geo.n_nationkey),
+s2 AS (SELECT l2.customer_key AS customer_business_key, customer_name, market_segment AS customer_segment, region, country, account_balance
+       FROM l2 LEFT JOIN geo ON l2.nation_key = geo.n_nationkey)"""
+
+_T1, _T2 = "TIMESTAMP '2024-01-01 00:00:00'", "TIMESTAMP '2024-01-02 00:00:00'"
+
+_DIM_LOAD = "WITH " + _LOADS + "," + _STG_CUST + f""",
+d1 AS (SELECT row_number() OVER (ORDER BY customer_business_key) AS customer_key, *,
+              DATE '2024-01-01' AS effective_start_date, DATE '9999-12-31' AS effective_end_date, true AS is_current,
+              {_T1} AS created_date, 'ETL' AS created_by, CAST(NULL AS TIMESTAMP) AS updated_date, CAST(NULL AS VARCHAR) AS updated_by
+       FROM s1),
+j AS (
+  SELECT coalesce(d1.customer_business_key, s2.customer_business_key) AS bk, d1.customer_key AS dk,
+    CASE WHEN d1.customer_business_key IS NOT NULL AND s2.customer_business_key IS NOT NULL AND (
+              d1.customer_name IS DISTINCT FROM s2.customer_name OR d1.customer_segment IS DISTINCT FROM s2.customer_segment
+              OR d1.region IS DISTINCT FROM s2.region OR d1.country IS DISTINCT FROM s2.country) THEN 't2'
+         WHEN d1.customer_business_key IS NOT NULL AND s2.customer_business_key IS NOT NULL
+              AND d1.account_balance IS DISTINCT FROM s2.account_balance THEN 't1'
+         WHEN d1.customer_business_key IS NOT NULL AND s2.customer_business_key IS NOT NULL THEN 'same'
+         WHEN s2.customer_business_key IS NOT NULL THEN 'new' ELSE 'absent' END AS st
+  FROM d1 FULL OUTER JOIN s2 ON d1.customer_business_key = s2.customer_business_key),
+dim AS (
+  SELECT d1.* FROM d1 JOIN j ON d1.customer_key = j.dk WHERE st IN ('same', 'absent')
+  UNION ALL
+  SELECT customer_key, customer_business_key, customer_name, customer_segment, region, country, account_balance,
+    effective_start_date, DATE '2024-01-01', false, created_date, created_by, {_T2}, 'ETL'
+  FROM d1 JOIN j ON d1.customer_key = j.dk WHERE st = 't2'
+  UNION ALL
+  SELECT d1.customer_key, d1.customer_business_key, d1.customer_name, d1.customer_segment, d1.region, d1.country, s2.account_balance,
+    d1.effective_start_date, d1.effective_end_date, d1.is_current, d1.created_date, d1.created_by, {_T2}, 'ETL'
+  FROM d1 JOIN j ON d1.customer_key = j.dk JOIN s2 ON s2.customer_business_key = j.bk WHERE st = 't1'
+  UNION ALL
+  SELECT (SELECT max(customer_key) FROM d1) + row_number() OVER (ORDER BY s2.customer_business_key), s2.*,
+    DATE '2024-01-02', DATE '9999-12-31', true, {_T2}, 'ETL', CAST(NULL AS TIMESTAMP), CAST(NULL AS VARCHAR)
+  FROM s2 JOIN j ON s2.customer_business_key = j.bk WHERE st IN ('t2', 'new'))
+"""
+
+_SALES = "WITH " + _LOADS + "," + _STG_CUST + f""",
+dim AS (SELECT row_number() OVER (ORDER BY customer_business_key) AS customer_key, customer_business_key FROM s2),
+cal AS (SELECT CAST(DATE '1992-01-01' + CAST(i AS INTEGER) AS DATE) AS d,
+               CAST(strftime(CAST(DATE '1992-01-01' + CAST(i AS INTEGER) AS DATE), '%Y%m%d') AS BIGINT) AS dk FROM range(18250) r(i)),
+so AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS source_order_id, l_orderkey AS order_number,
+    l_linenumber AS order_line_number, CAST(o_orderdate AS DATE) AS order_date, CAST(l_shipdate AS DATE) AS ship_date,
+    o_custkey AS customer_id, l_partkey AS product_id, l_quantity AS quantity,
+    l_extendedprice / nullif(l_quantity, 0) AS unit_price, l_extendedprice / nullif(l_quantity, 0) * 0.7 AS unit_cost,
+    l_extendedprice * l_discount AS discount_amount, 1 AS batch_id
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "stg_regions": "SELECT r_regionkey AS region_key, r_name AS region_name FROM region",
@@ -363,6 +497,51 @@ def oracle_sql() -> dict[str, str]:
                    WHEN daily_revenue < prev_day_revenue THEN '↘️ Decreasing' ELSE '➡️ Stable' END AS "Trend",
               order_year AS "Year", order_quarter AS "Quarter", order_month AS "Month"
             FROM w WHERE order_date >= (SELECT max(CAST(o_orderdate AS DATE)) - INTERVAL 2 YEAR FROM orders)""",
+        "dim_customers_hashed": "WITH " + _SCD_SRC + " SELECT * FROM src",
+        "dim_customers_macro_example": "WITH " + _SCD_SRC + """ SELECT * FROM src UNION ALL
+            SELECT 0, 'Unknown', NULL, NULL, NULL, 'N', 'N', NULL, NULL, NULL, 0""",
+        "dim_orders_macro_example": "WITH " + _DIM_CUSTOMERS + """
+            SELECT o.*, coalesce(dc.customer_key, -1) AS o_cust_wid, coalesce(CAST(o.o_orderkey AS VARCHAR), '') AS integration_id,
+                   row_number() OVER (ORDER BY o.o_orderkey) AS o_order_wid
+            FROM orders o LEFT JOIN dc ON dc.customer_key = o.o_custkey
+            UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, 0, NULL, 0""",
+        "customer_cdc_stream": """SELECT c_custkey AS customer_key, c_name AS customer_name, c_acctbal AS account_balance,
+            'INSERT' AS cdc_change_type, CAST(c_custkey AS VARCHAR) AS cdc_version FROM customer""",
+        "customer_change_feed": "WITH " + _LOADS + " SELECT *, '2' AS cdc_version FROM feed",
+        "dim_customer_changes": "WITH " + _LOADS + """
+            SELECT row_number() OVER (ORDER BY customer_key) AS log_id, *, '2' AS cdc_version,
+                   CASE WHEN cdc_change_type = 'DELETE' THEN 'Y' ELSE 'N' END AS delete_flag
+            FROM feed WHERE cdc_change_type <> 'UPDATE_BEFORE'""",
+        "customers_snapshot_scd2": "WITH " + _LOADS + f"""
+            SELECT l1.*, {_T1} AS dbt_valid_from, {_T1} AS dbt_updated_at, CAST(NULL AS TIMESTAMP) AS dbt_valid_to,
+              CAST(customer_key AS VARCHAR) || '|2024-01-01 00:00:00' AS dbt_scd_id, true AS dbt_current_flag
+            FROM l1 WHERE customer_key IN (SELECT customer_key FROM l2) AND customer_key NOT IN (SELECT customer_key FROM chg)
+            UNION ALL
+            SELECT l1.*, {_T1}, {_T1}, {_T2}, CAST(customer_key AS VARCHAR) || '|2024-01-01 00:00:00', false
+            FROM l1 WHERE customer_key IN (SELECT customer_key FROM chg) OR customer_key NOT IN (SELECT customer_key FROM l2)
+            UNION ALL
+            SELECT l2.*, {_T2}, {_T2}, CAST(NULL AS TIMESTAMP), CAST(customer_key AS VARCHAR) || '|2024-01-02 00:00:00', true
+            FROM l2 WHERE customer_key IN (SELECT customer_key FROM chg) OR customer_key NOT IN (SELECT customer_key FROM l1)""",
+        "customer_dim_load": _DIM_LOAD + " SELECT * FROM dim",
+        "customer_dim_load_counts": _DIM_LOAD + """
+            SELECT CAST(sum(CASE WHEN st = 't2' THEN 1 ELSE 0 END) AS BIGINT) AS rows_expired,
+                   CAST(sum(CASE WHEN st = 't2' THEN 1 ELSE 0 END) AS BIGINT) AS rows_inserted_new_version,
+                   CAST(sum(CASE WHEN st = 'new' THEN 1 ELSE 0 END) AS BIGINT) AS rows_inserted_new_key,
+                   CAST(sum(CASE WHEN st = 't1' THEN 1 ELSE 0 END) AS BIGINT) AS rows_type1_updated FROM j""",
+        "sales_fact_load": _SALES + f"""
+            SELECT coalesce(co.dk, -1) AS order_date_key, coalesce(cs.dk, -1) AS ship_date_key,
+              coalesce(dim.customer_key, -1) AS customer_key, coalesce(part.p_partkey, -1) AS product_key,
+              order_number, order_line_number, quantity, unit_price, unit_cost, discount_amount,
+              quantity * unit_price - coalesce(discount_amount, 0.0) AS sales_amount, quantity * unit_cost AS cost_amount,
+              (quantity * unit_price - coalesce(discount_amount, 0.0)) - quantity * unit_cost AS gross_profit,
+              source_order_id AS source_system_key, order_date, {_T1} AS load_date, batch_id
+            FROM so LEFT JOIN cal co ON so.order_date = co.d LEFT JOIN cal cs ON so.ship_date = cs.d
+            LEFT JOIN dim ON so.customer_id = dim.customer_business_key LEFT JOIN part ON so.product_id = part.p_partkey
+            WHERE order_date >= DATE '1900-01-01'""",
+        "fact_load_orphans": _SALES + f"""
+            SELECT DISTINCT 'FactSales' AS table_name, source_order_id AS source_key, 'Customer' AS orphan_type,
+              CAST(customer_id AS VARCHAR) AS orphan_value, {_T1} AS load_date
+            FROM so WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_business_key FROM dim)""",
         "tpch_q1": """
             SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty,
               CAST(sum(CAST(l_extendedprice AS DECIMAL(38,6))) AS DOUBLE) AS sum_base_price,
