@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.plans import gold, history, silver, staging, tpch
+from strata.plans import gold, history, runlog, silver, staging, tpch
 from strata.session import RunContext, ensure_checkpoint_dir, without_audit
 from strata.sources.tables import Catalog
 
@@ -114,6 +114,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tpch_q2": _q(tpch.q2_minimum_cost_supplier),
         "tpch_q3": _q(tpch.q3_shipping_priority),
         "tpch_q4": _q(tpch.q4_order_priority),
+        "query_history": _q(runlog.query_history),
+        "capacity_assignment": _q(runlog.capacity_assignment),
+        "training_history": _q(runlog.training_history),
+        "scan_forecast": _q(runlog.scan_forecast),
     }
 
 
@@ -360,6 +364,101 @@ so AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
+_RUNLOG = """
+rl AS (
+  SELECT event_id AS query_id, ts AS start_time,
+    CAST(floor(value * 1000) AS BIGINT) AS total_elapsed_time, CAST(floor(value * 100) AS BIGINT) AS compilation_time,
+    CAST(floor(value * 900) AS BIGINT) AS execution_time,
+    CASE WHEN user_id % 4 = 0 THEN 'x-small' WHEN user_id % 4 = 1 THEN 'Small' WHEN user_id % 4 = 2 THEN 'MEDIUM'
+         ELSE 'large' END AS warehouse_size,
+    CAST(floor(value * 1000000) AS BIGINT) AS bytes_scanned, CAST(floor(value) AS BIGINT) AS partitions_scanned,
+    '{"app": "' || CASE WHEN event_type = 'error' THEN 'other' ELSE 'dbt' END
+      || '", "target_name": "db.analytics.model_' || CAST(user_id % 25 AS VARCHAR)
+      || '", "module_name": "' || event_type
+      || '", "module_details": {"is_incremental": "'
+      || CASE WHEN event_type IN ('click', 'view') THEN 'true' WHEN event_type = 'signup' THEN 'false' ELSE 'maybe' END
+      || '"}, "run_id": "run_' || strftime(ts, '%Y%m%d') || '", "props": ' || props || '}' AS query_tag,
+    '[{"objectName": "db.analytics.model_' || CAST(user_id % 25 AS VARCHAR) || '", "objectDomain": "table"}]'
+      AS objects_modified
+  FROM events),
+ws AS (
+  SELECT * FROM (VALUES ('X-SMALL', 1, 8), ('SMALL', 2, 16), ('MEDIUM', 4, 32), ('LARGE', 8, 64),
+    ('X-LARGE', 16, 128), ('2X-LARGE', 32, 256), ('3X-LARGE', 64, 512), ('4X-LARGE', 128, 1024),
+    ('5X-LARGE', 256, 2048), ('6X-LARGE', 512, 4096)) v(warehouse_size, warehouse_nodes, warehouse_vcpu)),
+qhist AS (
+  SELECT qh.query_id, qh.start_time, qh.total_elapsed_time / 1000 AS total_elapsed_sec,
+    upper(json_extract_string(qh.query_tag, '$.target_name')) AS target_name,
+    TRY_CAST(json_extract_string(qh.query_tag, '$.module_details.is_incremental') AS BOOLEAN) AS is_incremental,
+    json_extract_string(qh.query_tag, '$.app') AS app, json_extract_string(qh.query_tag, '$.module_name') AS module_name,
+    json_extract_string(qh.query_tag, '$.run_id') AS run_id,
+    qh.compilation_time / 1000 AS compilation_sec, qh.execution_time / 1000 AS execution_sec,
+    coalesce(qh.execution_time / (1000 * 60 * 60) * ws.warehouse_nodes, 0) AS relative_performance_cost,
+    ws.warehouse_size, ws.warehouse_nodes, ws.warehouse_vcpu, qh.warehouse_size AS query_warehouse_size,
+    qh.bytes_scanned, qh.partitions_scanned
+  FROM rl qh LEFT JOIN ws ON ws.warehouse_size = upper(qh.warehouse_size)
+  WHERE json_extract_string(qh.query_tag, '$.app') = 'dbt')"""
+
+_TRAINING = "WITH " + _RUNLOG + """,
+lt AS (SELECT CAST(max(start_time) AS DATE) AS d FROM rl),
+q AS (
+  SELECT query_id, start_time, partitions_scanned,
+    upper(json_extract_string(query_tag, '$.target_name')) AS target_name,
+    TRY_CAST(json_extract_string(query_tag, '$.module_details.is_incremental') AS BOOLEAN) AS is_incremental
+  FROM rl, lt WHERE start_time >= CAST(lt.d - 7 AS TIMESTAMP) AND partitions_scanned > 0),
+ah AS (
+  SELECT query_id AS ah_query_id, start_time AS query_start_time, upper(w.objectName) AS ah_target_name
+  FROM (SELECT query_id, start_time,
+          unnest(from_json(objects_modified, '[{"objectName": "VARCHAR", "objectDomain": "VARCHAR"}]')) AS w
+        FROM rl, lt WHERE start_time >= CAST(lt.d - 7 AS TIMESTAMP))),
+th AS (
+  SELECT coalesce(q.target_name, ah.ah_target_name) AS target_name, coalesce(q.is_incremental, false) AS is_incremental,
+    CAST(q.start_time AS DATE) AS query_date, max(q.partitions_scanned) AS partitions_scanned
+  FROM q LEFT JOIN ah ON ah.ah_query_id = q.query_id AND ah.query_start_time = q.start_time
+  WHERE q.is_incremental IS NOT NULL OR ah.ah_target_name IS NOT NULL
+  GROUP BY ALL)"""
+
+_RUNLOG_SQL = {
+    "query_history": "WITH " + _RUNLOG + " SELECT * FROM qhist",
+    "capacity_assignment": "WITH " + _RUNLOG + """,
+        dwao AS (SELECT upper('DB.SCHEMA.TABLE') AS target_name, 'my_warehouse' AS full_refresh_warehouse,
+                        'my_warehouse' AS incremental_warehouse),
+        caps AS (SELECT * FROM (VALUES ('xsmall_wh', 10000000), ('small_wh', 100000000), ('medium_wh', 200000000),
+                  ('large_wh', 400000000), ('xlarge_wh', 800000000), ('xxlarge_wh', 100000000000))
+                  v(warehouse_name, capacity)),
+        lt AS (SELECT CAST(max(start_time) AS DATE) AS d FROM qhist),
+        q AS (SELECT target_name, is_incremental, bytes_scanned FROM qhist, lt
+              WHERE target_name IS NOT NULL AND is_incremental IS NOT NULL AND bytes_scanned > 0
+                AND start_time > CAST(lt.d - 30 AS TIMESTAMP)
+                AND NOT EXISTS (SELECT 1 FROM dwao WHERE dwao.target_name = qhist.target_name)),
+        mm AS (SELECT target_name, max(bytes_scanned) AS max_bytes_scanned,
+                 coalesce(max(CASE WHEN is_incremental THEN bytes_scanned END), max(bytes_scanned))
+                   AS max_incremental_bytes_scanned
+               FROM q GROUP BY target_name),
+        best AS (SELECT m.target_name, f.warehouse_name AS full_refresh_warehouse,
+                   i.warehouse_name AS incremental_warehouse
+                 FROM mm m JOIN caps f ON m.max_bytes_scanned < f.capacity
+                   JOIN caps i ON m.max_incremental_bytes_scanned < i.capacity
+                 QUALIFY row_number() OVER (PARTITION BY m.target_name ORDER BY f.capacity, i.capacity) = 1),
+        comb AS (SELECT * FROM dwao UNION ALL SELECT * FROM best)
+        SELECT target_name AS model_name, coalesce(full_refresh_warehouse, incremental_warehouse) AS recommended_warehouse,
+               CAST(0.85 AS DOUBLE) AS confidence_score
+        FROM comb""",
+    "training_history": _TRAINING + " SELECT * FROM th",
+    "scan_forecast": _TRAINING + """,
+        pts AS (SELECT target_name, is_incremental, query_date,
+                  CAST(date_diff('day', DATE '1970-01-01', query_date) AS DOUBLE) AS x,
+                  CAST(partitions_scanned AS DOUBLE) AS y FROM th),
+        g AS (SELECT target_name, is_incremental, max(query_date) AS last_date, count(*) AS n_points,
+                regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, avg(y) AS mean_y, max(x) AS last_x
+              FROM pts GROUP BY target_name, is_incremental)
+        SELECT target_name, is_incremental, CAST(last_date + 1 AS DATE) AS forecast_date, n_points,
+               round(slope, 6) AS slope,
+               round(CASE WHEN slope IS NOT NULL THEN intercept + slope * (last_x + 1) ELSE mean_y END, 4)
+                 AS forecast_partitions_scanned
+        FROM g""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "stg_regions": "SELECT r_regionkey AS region_key, r_name AS region_name FROM region",
@@ -575,4 +674,5 @@ def oracle_sql() -> dict[str, str]:
             WHERE o_orderdate >= DATE '1996-07-01' AND o_orderdate < DATE '1996-07-01' + INTERVAL 3 MONTH
               AND EXISTS (SELECT 1 FROM li WHERE li.l_orderkey = orders.o_orderkey AND li.l_commitdate < li.l_receiptdate)
             GROUP BY o_orderpriority ORDER BY o_orderpriority""",
+        **_RUNLOG_SQL,
     }

@@ -85,3 +85,35 @@ def override_seed(spark: SparkSession) -> DataFrame:
 def read_seed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Typed CSV seed load."""
     return spark.read.schema(schema).option("header", True).csv(path)
+
+
+# Compute sizes given to run-log rows by user_id % 4 (mixed case
+# on purpose: the reference upper-cases before its size lookup).
+RUN_LOG_SIZES = ("x-small", "Small", "MEDIUM", "large")
+
+
+def run_log(events: DataFrame) -> DataFrame:
+    """Run log (S9 stand-in) derived row by row from ``events``: one logged
+    query per event.  The tag is JSON text like the reference's query tag;
+    ``objects_modified`` is a JSON array like its access history.  A pure
+    projection: no shuffle, one output row per input row."""
+    uid, v = F.col("user_id"), F.col("value")
+    size = F.when(uid % 4 == 0, RUN_LOG_SIZES[0]).when(uid % 4 == 1, RUN_LOG_SIZES[1]) \
+        .when(uid % 4 == 2, RUN_LOG_SIZES[2]).otherwise(RUN_LOG_SIZES[3])
+    app = F.when(F.col("event_type") == "error", "other").otherwise("dbt")
+    incr = (F.when(F.col("event_type").isin("click", "view"), "true")
+            .when(F.col("event_type") == "signup", "false").otherwise("maybe"))
+    target = F.concat(F.lit("db.analytics.model_"), (uid % 25).cast("string"))
+    tag = F.concat(
+        F.lit('{"app": "'), app, F.lit('", "target_name": "'), target,
+        F.lit('", "module_name": "'), F.col("event_type"),
+        F.lit('", "module_details": {"is_incremental": "'), incr,
+        F.lit('"}, "run_id": "run_'), F.date_format("ts", "yyyyMMdd"), F.lit('", "props": '), F.col("props"),
+        F.lit("}"))
+    objects = F.concat(F.lit('[{"objectName": "'), target, F.lit('", "objectDomain": "table"}]'))
+    ms = lambda factor: F.floor(v * factor).cast("long")
+    return events.select(
+        F.col("event_id").alias("query_id"), F.col("ts").alias("start_time"),
+        ms(1000).alias("total_elapsed_time"), ms(100).alias("compilation_time"), ms(900).alias("execution_time"),
+        size.alias("warehouse_size"), ms(1_000_000).alias("bytes_scanned"), ms(1).alias("partitions_scanned"),
+        tag.alias("query_tag"), objects.alias("objects_modified"))
