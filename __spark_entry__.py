@@ -11,7 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.plans import gold, history, runlog, silver, staging, tpch
+from strata.plans import gold, history, reports, runlog, silver, staging, tpch
+from strata.plans.calendar import data_calendar
 from strata.session import RunContext, ensure_checkpoint_dir, without_audit
 from strata.sources.tables import Catalog
 
@@ -118,6 +119,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "capacity_assignment": _q(runlog.capacity_assignment),
         "training_history": _q(runlog.training_history),
         "scan_forecast": _q(runlog.scan_forecast),
+        "quality_summary": _q(reports.quality_summary),
+        "lineitem_duplicate_keys": _q(reports.lineitem_duplicate_keys),
+        "customer_balance_distribution": _q(reports.customer_balance_distribution),
+        "segment_distribution": _q(reports.segment_distribution),
+        "top_customers": _q(reports.top_customers),
+        "calendar_range": _q(reports.calendar_range),
+        "cdc_change_mix": _q(reports.cdc_change_mix),
+        "e2e_assertions": _q(reports.e2e_assertions),
+        "dim_calendar_day": _q(data_calendar),
+        "dim_customers_share": _q(gold.dim_customers_share),
     }
 
 
@@ -459,6 +470,161 @@ _RUNLOG_SQL = {
 }
 
 
+_INSIGHTS_SELECT = """
+  SELECT customer_key, customer_name, n.n_name AS country, account_balance,
+    avg_nation_balance AS country_average_balance, balance_vs_nation_avg AS balance_vs_country_average,
+    customer_segment AS customer_tier, market_segment, nation_ranking AS country_ranking,
+    statistical_class AS statistical_classification,
+    round(balance_percentile * 100, 1) AS balance_percentile_score,
+    balance_rank_in_nation AS rank_in_country,
+    CASE WHEN customer_segment = 'PREMIUM' AND nation_ranking = 'TOP_10_IN_NATION' THEN 'VIP Customer'
+         WHEN customer_segment IN ('PREMIUM', 'HIGH_VALUE') THEN 'High Value Customer'
+         WHEN statistical_class = 'ABOVE_AVERAGE' THEN 'Above Average Customer'
+         ELSE 'Standard Customer' END AS customer_classification,
+    CASE WHEN account_balance < 0 THEN 'Credit Risk' WHEN customer_segment = 'LOW_VALUE' THEN 'Retention Risk'
+         WHEN balance_vs_nation_avg < -1000 THEN 'Performance Risk' ELSE 'Low Risk' END AS risk_category
+  FROM s LEFT JOIN nation n ON s.nation_key = n.n_nationkey"""
+
+_QUALITY = """
+WITH c AS (SELECT c_custkey AS customer_key, min(c_name) AS customer_name, min(c_nationkey) AS nation_key,
+                  min(c_acctbal) AS account_balance, min(c_mktsegment) AS market_segment
+           FROM customer GROUP BY c_custkey),
+o AS (SELECT o_orderkey AS order_key, o_custkey AS customer_key, o_orderstatus AS order_status,
+             o_totalprice AS total_price FROM orders),
+li AS (SELECT l_orderkey AS order_key, l_linenumber AS line_number, l_quantity AS quantity, l_discount AS discount,
+              l_returnflag AS return_flag, l_linestatus AS line_status FROM lineitem),
+n AS (SELECT n_nationkey AS nation_key, n_name AS nation_name FROM nation),
+r AS (
+  SELECT 'customers_key_not_null' AS check_name, 'stg_customers' AS model, 'customer_key' AS column_name,
+         'error' AS severity, count(*) FILTER (WHERE customer_key IS NULL) AS failures FROM c
+  UNION ALL SELECT 'customers_key_unique', 'stg_customers', 'customer_key', 'error',
+         (SELECT count(*) FROM (SELECT customer_key FROM c GROUP BY 1 HAVING count(*) > 1))
+  UNION ALL SELECT 'customers_segment_accepted', 'stg_customers', 'market_segment', 'error',
+         count(*) FILTER (WHERE market_segment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'))
+         FROM c
+  UNION ALL SELECT 'customers_name_not_empty', 'stg_customers', 'customer_name', 'error',
+         count(*) FILTER (WHERE trim(customer_name) = '') FROM c
+  UNION ALL SELECT 'customers_balance_range', 'stg_customers', 'account_balance', 'warn',
+         count(*) FILTER (WHERE NOT (account_balance >= -999.99 AND account_balance <= 9999.99)) FROM c
+  UNION ALL SELECT 'customers_nation_fk', 'stg_customers', 'nation_key', 'error',
+         count(*) FILTER (WHERE nation_key IS NOT NULL AND nation_key NOT IN (SELECT nation_key FROM n
+                                                                             WHERE nation_key IS NOT NULL)) FROM c
+  UNION ALL SELECT 'orders_key_not_null', 'stg_orders', 'order_key', 'error',
+         count(*) FILTER (WHERE order_key IS NULL) FROM o
+  UNION ALL SELECT 'orders_key_unique', 'stg_orders', 'order_key', 'error',
+         (SELECT count(*) FROM (SELECT order_key FROM o GROUP BY 1 HAVING count(*) > 1))
+  UNION ALL SELECT 'orders_status_accepted', 'stg_orders', 'order_status', 'error',
+         count(*) FILTER (WHERE order_status NOT IN ('O', 'F', 'P')) FROM o
+  UNION ALL SELECT 'orders_price_non_negative', 'stg_orders', 'total_price', 'error',
+         count(*) FILTER (WHERE NOT (total_price >= 0)) FROM o
+  UNION ALL SELECT 'orders_customer_fk', 'stg_orders', 'customer_key', 'error',
+         count(*) FILTER (WHERE customer_key IS NOT NULL AND customer_key NOT IN (SELECT customer_key FROM c
+                                                                                 WHERE customer_key IS NOT NULL)) FROM o
+  UNION ALL SELECT 'lineitem_key_unique_combination', 'stg_lineitem', 'order_key,line_number', 'warn',
+         (SELECT count(*) FROM (SELECT order_key, line_number FROM li GROUP BY 1, 2 HAVING count(*) > 1))
+  UNION ALL SELECT 'lineitem_order_fk', 'stg_lineitem', 'order_key', 'error',
+         count(*) FILTER (WHERE order_key IS NOT NULL AND order_key NOT IN (SELECT order_key FROM o
+                                                                           WHERE order_key IS NOT NULL)) FROM li
+  UNION ALL SELECT 'lineitem_quantity_positive', 'stg_lineitem', 'quantity', 'error',
+         count(*) FILTER (WHERE quantity <= 0) FROM li
+  UNION ALL SELECT 'lineitem_discount_range', 'stg_lineitem', 'discount', 'error',
+         count(*) FILTER (WHERE NOT (discount >= 0 AND discount <= 1)) FROM li
+  UNION ALL SELECT 'lineitem_return_flag_accepted', 'stg_lineitem', 'return_flag', 'error',
+         count(*) FILTER (WHERE return_flag NOT IN ('A', 'N', 'R')) FROM li
+  UNION ALL SELECT 'lineitem_line_status_accepted', 'stg_lineitem', 'line_status', 'error',
+         count(*) FILTER (WHERE line_status NOT IN ('F', 'O')) FROM li
+  UNION ALL SELECT 'nations_primary_key', 'stg_nations', 'nation_key', 'error',
+         (SELECT count(*) FROM (SELECT nation_key FROM n GROUP BY 1 HAVING nation_key IS NULL OR count(*) > 1))
+  UNION ALL SELECT 'nations_name_not_empty', 'stg_nations', 'nation_name', 'error',
+         count(*) FILTER (WHERE trim(nation_name) = '') FROM n)
+SELECT *, CASE WHEN severity = 'error' AND failures > 0 THEN 'fail' WHEN failures > 0 THEN 'warn' ELSE 'pass' END
+          AS status
+FROM r"""
+
+_SPAN = """
+sp AS (
+  SELECT CAST(date_trunc('year', least(a, c)) AS DATE) AS d0, make_date(year(greatest(b, d)), 12, 31) AS d1
+  FROM (SELECT min(CAST(o_orderdate AS DATE)) AS a, max(CAST(o_orderdate AS DATE)) AS b FROM orders),
+       (SELECT min(CAST(l_shipdate AS DATE)) AS c, max(CAST(l_shipdate AS DATE)) AS d FROM lineitem))"""
+
+_CALENDAR = "WITH " + _SPAN + """,
+td AS (SELECT max(CAST(o_orderdate AS DATE)) AS t FROM orders),
+days AS (SELECT CAST(unnest(generate_series(CAST(d0 AS TIMESTAMP), CAST(d1 AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE)
+                AS day_dt, d0 FROM sp),
+cal AS (
+  SELECT CAST(date_diff('day', d0, day_dt) + 1 AS BIGINT) AS day_seq, day_dt,
+    CAST(strftime(day_dt, '%Y%m%d') AS INTEGER) AS day_key, strftime(day_dt, '%Y-%m-%d') AS day_text,
+    strftime(day_dt, '%d.%m.%Y') AS day_eu_text, strftime(day_dt, '%d') AS day_of_month,
+    dayname(day_dt) AS day_of_week, monthname(day_dt) AS month, strftime(day_dt, '%Y') AS year,
+    'Q' || CAST(quarter(day_dt) AS VARCHAR) AS quarter,
+    CASE quarter(day_dt) WHEN 1 THEN 'First' WHEN 2 THEN 'Second' WHEN 3 THEN 'Third' ELSE 'Fourth' END AS quarter_name,
+    dayofmonth(day_dt) AS day_of_month_num, dayofweek(day_dt) + 1 AS day_of_week_num,
+    isodow(day_dt) AS day_of_week_iso_num,
+    CAST(floor((dayofyear(day_dt) - 1 + dayofweek(CAST(date_trunc('year', day_dt) AS DATE))) / 7) + 1 AS INTEGER)
+      AS week_num,
+    week(day_dt) AS week_iso_num, month(day_dt) AS month_num, quarter(day_dt) AS quarter_num, year(day_dt) AS year_num,
+    isoyear(day_dt) AS year_of_week_iso_num,
+    CAST(date_trunc('year', day_dt) AS DATE) AS year_start_dt, make_date(year(day_dt), 12, 31) AS year_end_dt,
+    CAST(date_trunc('month', day_dt) AS DATE) AS month_start_dt, last_day(day_dt) AS month_end_dt,
+    CAST(day_dt - CAST(dayofweek(day_dt) AS INTEGER) AS DATE) AS week_start_dt,
+    CAST(day_dt - CAST(dayofweek(day_dt) AS INTEGER) + 6 AS DATE) AS week_end_dt,
+    CAST(day_dt - INTERVAL 12 MONTH AS DATE) AS year_ago_dt, CAST(day_dt - INTERVAL 1 MONTH AS DATE) AS month_ago_dt,
+    CAST(day_dt - 7 AS DATE) AS week_ago_dt,
+    date_diff('day', CAST(date_trunc('year', day_dt) AS DATE), make_date(year(day_dt), 12, 31)) + 1 AS days_in_year,
+    date_diff('day', CAST(date_trunc('month', day_dt) AS DATE), last_day(day_dt)) + 1 AS days_in_month,
+    CASE WHEN day_dt = td.t THEN 'Y' ELSE 'N' END AS current_day_flag,
+    CASE WHEN day_dt - CAST(dayofweek(day_dt) AS INTEGER) = td.t - CAST(dayofweek(td.t) AS INTEGER)
+         THEN 'Y' ELSE 'N' END AS current_week_flag,
+    CASE WHEN date_trunc('month', day_dt) = date_trunc('month', td.t) THEN 'Y' ELSE 'N' END AS current_month_flag,
+    CASE WHEN year(day_dt) = year(td.t) THEN 'Y' ELSE 'N' END AS current_year_flag
+  FROM days, td)"""
+
+_REPORT_SQL = {
+    "quality_summary": _QUALITY,
+    "lineitem_duplicate_keys": """
+        SELECT l_orderkey AS order_key, l_linenumber AS line_number, count(*) AS n_records
+        FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
+    "customer_balance_distribution": """
+        SELECT 'negative_balance_check' AS test_name, count(*) AS negative_balance_customers,
+               (SELECT count(*) FROM customer) AS total_customers,
+               round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM customer) * 100, 2) AS negative_balance_percentage
+        FROM customer WHERE c_acctbal < 0
+        HAVING round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM customer) * 100, 2) > 10""",
+    "segment_distribution": _SEGMENTS_SQL + """
+        SELECT customer_segment, count(*) AS customer_count,
+               round(CAST(count(*) AS DOUBLE) * 100.0 / CAST(sum(count(*)) OVER () AS DOUBLE), 1) AS pct
+        FROM s GROUP BY 1""",
+    "top_customers": _SEGMENTS_SQL + ", ins AS (" + _INSIGHTS_SELECT + """)
+        SELECT customer_key, customer_name, customer_tier, risk_category, country, account_balance
+        FROM ins ORDER BY account_balance DESC, customer_key LIMIT 10""",
+    "calendar_range": "WITH " + _SPAN + """
+        SELECT d0 AS start_date, d1 AS end_date, CAST(date_diff('day', d0, d1) + 1 AS BIGINT) AS total_days FROM sp""",
+    "cdc_change_mix": "WITH " + _LOADS + """
+        SELECT cdc_change_type, count(*) AS change_count FROM feed GROUP BY 1""",
+    "e2e_assertions": _SEGMENTS_SQL + ", ins AS (" + _INSIGHTS_SELECT + "), " + _FX + """,
+        a AS (
+        SELECT 'customers_staged' AS assertion, (SELECT count(*) FROM (SELECT c_custkey FROM customer GROUP BY 1)) AS actual,
+               '==' AS op, (SELECT count(DISTINCT c_custkey) FROM customer) AS expected
+        UNION ALL SELECT 'orders_staged', (SELECT count(*) FROM orders), '==', (SELECT count(*) FROM orders)
+        UNION ALL SELECT 'customer_segments_distinct', (SELECT count(DISTINCT customer_segment) FROM s), '==', 5
+        UNION ALL SELECT 'fx_usd_rows', (SELECT count(*) FROM fx WHERE base_currency = 'USD'), '>', 0
+        UNION ALL SELECT 'fx_intervals_usd', (SELECT count(*) FROM fx_daily WHERE from_currency = 'USD'), '==',
+                         (SELECT count(*) FROM fx WHERE base_currency = 'USD')
+        UNION ALL SELECT 'null_customer_classifications',
+                         (SELECT count(*) FROM ins WHERE customer_classification IS NULL), '==', 0)
+        SELECT *, CASE op WHEN '==' THEN actual = expected WHEN '>' THEN actual > expected
+                          ELSE actual >= expected END AS passed FROM a""",
+    "dim_calendar_day": _CALENDAR + """
+        SELECT * FROM cal
+        UNION ALL BY NAME
+        SELECT 0 AS day_key, CAST(0 AS BIGINT) AS day_seq, DATE '1900-01-01' AS day_dt, '1900-01-01' AS day_text,
+               'January' AS month, 'First' AS quarter_name, 1900 AS year_num""",
+    "dim_customers_share": "WITH " + _DIM_CUSTOMERS + """
+        SELECT customer_key, '**********' AS customer_name, market_segment, nation_key, nation_name, region_key,
+               value_segment, has_orders_flag FROM dc""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "stg_regions": "SELECT r_regionkey AS region_key, r_name AS region_name FROM region",
@@ -675,4 +841,5 @@ def oracle_sql() -> dict[str, str]:
               AND EXISTS (SELECT 1 FROM li WHERE li.l_orderkey = orders.o_orderkey AND li.l_commitdate < li.l_receiptdate)
             GROUP BY o_orderpriority ORDER BY o_orderpriority""",
         **_RUNLOG_SQL,
+        **_REPORT_SQL,
     }

@@ -17,11 +17,16 @@ def calendar_days(spark: SparkSession, start: dt.date = dt.date(1992, 1, 1), n_d
     """``n_days`` rows from ``start``.  ``spark.range`` generates the rows in
     parallel (no single-row explode).  ``today`` (a Column) drives the
     current-period flags; default is ``ctx.today()``."""
-    ws = ctx.week_start
-    today = today if today is not None else ctx.today()
     seq = spark.range(1, n_days + 1).withColumnRenamed("id", "day_seq")
     d = F.date_add(F.lit(start), (F.col("day_seq") - 1).cast("int"))
-    base = seq.select("day_seq", d.alias("day_dt"))
+    return calendar_columns(seq.select("day_seq", d.alias("day_dt")), ctx, today)
+
+
+def calendar_columns(base: DataFrame, ctx: RunContext = RunContext(), today=None) -> DataFrame:
+    """All calendar attributes of a frame holding ``day_seq`` and ``day_dt``
+    (a narrow projection: no shuffle)."""
+    ws = ctx.week_start
+    today = today if today is not None else ctx.today()
     dd = F.col("day_dt")
     year_start, year_end = F.trunc(dd, "year"), F.make_date(F.year(dd), F.lit(12), F.lit(31))
     month_start, month_end = F.trunc(dd, "month"), F.last_day(dd)
@@ -73,3 +78,22 @@ def dim_calendar_day(spark: SparkSession, ctx: RunContext = RunContext(), start:
     from strata.operators.keys import with_ghost_row
     cal = calendar_days(spark, start, n_days, ctx, today)
     return with_ghost_row(cal, "day_key", GHOST_DAY) if ghost else cal
+
+
+def data_calendar(cat, ctx: RunContext = RunContext(), ghost: bool = True) -> DataFrame:
+    """Calendar covering whole years of the order and ship dates, derived
+    from the data.  The span is a one-row aggregate; its days (bounded by
+    the date span, not the row count) are exploded and then carry the same
+    columns as ``calendar_days``.  ``today`` follows ``ctx`` (with
+    ``data_clock``: the latest order date)."""
+    from strata.operators.keys import with_ghost_row
+    from strata.session import today_frame
+    o = cat.orders.agg(F.min(F.to_date("o_orderdate")).alias("a"), F.max(F.to_date("o_orderdate")).alias("b"))
+    li = cat.lineitem.agg(F.min(F.to_date("l_shipdate")).alias("c"), F.max(F.to_date("l_shipdate")).alias("d"))
+    span = o.crossJoin(li).select(F.trunc(F.least("a", "c"), "year").alias("__d0"),
+                                  F.make_date(F.year(F.greatest("b", "d")), F.lit(12), F.lit(31)).alias("__d1"))
+    days = span.select("__d0", F.explode(F.sequence("__d0", "__d1")).alias("day_dt"))
+    base = days.select((F.datediff("day_dt", "__d0") + 1).cast("long").alias("day_seq"), "day_dt")
+    base = base.crossJoin(F.broadcast(today_frame(ctx, cat.orders)))
+    cal = calendar_columns(base, ctx, F.col("__today")).drop("__today")
+    return with_ghost_row(cal, "day_key", GHOST_DAY) if ghost else cal
