@@ -142,7 +142,10 @@ m AS (
     row_number() OVER (PARTITION BY nation_key ORDER BY account_balance DESC, customer_key) AS balance_rank_in_nation,
     percent_rank() OVER (ORDER BY account_balance) AS balance_percentile,
     avg(account_balance) OVER (PARTITION BY nation_key) AS avg_nation_balance,
-    stddev_samp(account_balance) OVER (PARTITION BY nation_key) AS stddev_nation_balance
+    stddev_samp(account_balance) OVER (PARTITION BY nation_key) AS stddev_nation_balance,
+    sum(CAST(round(account_balance * 100) AS BIGINT)) OVER (PARTITION BY nation_key) AS s_c,
+    count(account_balance) OVER (PARTITION BY nation_key) AS n_c,
+    CAST(round(account_balance * 100) AS BIGINT) AS b_c
   FROM c),
 s AS (
   SELECT customer_key, customer_name, nation_key, account_balance, market_segment,
@@ -155,8 +158,10 @@ s AS (
          WHEN account_balance < avg_nation_balance - stddev_nation_balance THEN 'BELOW_AVERAGE'
          ELSE 'AVERAGE' END AS statistical_class,
     balance_percentile, balance_rank_in_nation,
-    round(avg_nation_balance, 2) AS avg_nation_balance,
-    round(account_balance - avg_nation_balance, 2) AS balance_vs_nation_avg
+    (CASE WHEN s_c < 0 THEN -((abs(s_c) * 2 + n_c) // (n_c * 2)) ELSE (s_c * 2 + n_c) // (n_c * 2) END) / 100
+      AS avg_nation_balance,
+    (CASE WHEN b_c * n_c - s_c < 0 THEN -((abs(b_c * n_c - s_c) * 2 + n_c) // (n_c * 2))
+          ELSE ((b_c * n_c - s_c) * 2 + n_c) // (n_c * 2) END) / 100 AS balance_vs_nation_avg
   FROM m)
 """
 

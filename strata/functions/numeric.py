@@ -34,3 +34,15 @@ def exact_avg(c) -> Column:
 def round_half_up(c, places: int) -> Column:
     """Round through decimal(38,10): half-up on the decimal value."""
     return F.round(_c(c).cast("decimal(38,10)"), places).cast("double")
+
+
+def cents(c) -> Column:
+    """A money value with two decimals as exact integer cents."""
+    return F.round(_c(c) * 100).cast("long")
+
+
+def div_half_up(num: str, den: str) -> Column:
+    """Exact integer ``num / den`` (den > 0) rounded half away from zero,
+    in long arithmetic (``div``), so no floating-point tie can flip it."""
+    return F.expr(f"CASE WHEN {num} < 0 THEN -((abs({num}) * 2 + {den}) div ({den} * 2)) "
+                  f"ELSE ({num} * 2 + {den}) div ({den} * 2) END")

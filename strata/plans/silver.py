@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.functions.numeric import cents, div_half_up
 from strata.operators.ranking import rank_rows
 from strata.plans import staging
 from strata.session import RunContext
@@ -40,9 +41,14 @@ def customer_segments(cat, ctx: RunContext = RunContext(), valid_only: bool = Fa
     ranked = rank_rows(ranked, ["account_balance"], descending=[True], partition_by=["nation_key"],
                        tiebreak=["customer_key"], outputs=("row_number",), prefix="n_")
     ranked = ranked.withColumnRenamed("n_row_number", "balance_rank_in_nation")
+    # Money averages are exact: sums in integer cents, rounded half-up in
+    # long arithmetic (balances carry two decimals, like NUMBER(12,2)).
     stats = c.groupBy("nation_key").agg(F.avg("account_balance").alias("avg_nation_balance"),
-                                        F.stddev_samp("account_balance").alias("stddev_nation_balance"))
+                                        F.stddev_samp("account_balance").alias("stddev_nation_balance"),
+                                        F.sum(cents("account_balance")).alias("__sum_c"),
+                                        F.count("account_balance").alias("__n_c"))
     m = ranked.join(F.broadcast(stats), "nation_key", "left")
+    m = m.withColumn("__dev_c", cents("account_balance") * F.col("__n_c") - F.col("__sum_c"))
     bal, avg, sd = F.col("account_balance"), F.col("avg_nation_balance"), F.col("stddev_nation_balance")
     rank_in_nation = F.col("balance_rank_in_nation")
     return m.select(
@@ -53,8 +59,8 @@ def customer_segments(cat, ctx: RunContext = RunContext(), valid_only: bool = Fa
         F.when(bal > avg + sd, "ABOVE_AVERAGE").when(bal < avg - sd, "BELOW_AVERAGE")
          .otherwise("AVERAGE").alias("statistical_class"),
         "balance_percentile", "balance_rank_in_nation",
-        F.round(avg, 2).alias("avg_nation_balance"),
-        F.round(bal - avg, 2).alias("balance_vs_nation_avg"),
+        (div_half_up("__sum_c", "__n_c") / 100).alias("avg_nation_balance"),
+        (div_half_up("__dev_c", "__n_c") / 100).alias("balance_vs_nation_avg"),
         ctx.now().alias("processed_at"))
 
 

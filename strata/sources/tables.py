@@ -57,3 +57,22 @@ class Catalog:
         if name.startswith("_"):
             raise AttributeError(name)
         return read_table(self.spark, self.sf_dir, name)
+
+
+class FrameCatalog(Catalog):
+    """Catalog whose named tables are given frames (for example one
+    micro-batch, or a pre-filtered slice); other names fall back to scans of
+    ``sf_dir`` when one is given."""
+
+    def __init__(self, spark: SparkSession, frames: dict[str, DataFrame], sf_dir: str | None = None):
+        super().__init__(spark, sf_dir or "")
+        self._frames = dict(frames)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        if name in self._frames:
+            return self._frames[name]
+        if not self.sf_dir:
+            raise AttributeError(f"no frame named {name}")
+        return read_table(self.spark, self.sf_dir, name)
