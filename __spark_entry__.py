@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.plans import gold, history, reports, runlog, silver, staging, tpch
+from strata.plans import gold, history, ml, reports, runlog, silver, staging, tpch
 from strata.plans.calendar import data_calendar
 from strata.session import RunContext, ensure_checkpoint_dir, without_audit
 from strata.sources.tables import Catalog
@@ -129,6 +129,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "e2e_assertions": _q(reports.e2e_assertions),
         "dim_calendar_day": _q(data_calendar),
         "dim_customers_share": _q(gold.dim_customers_share),
+        # Iterative fit (no SQL form): checked for invariants in tests/test_ml.py.
+        "customer_clustering_kmeans": _q(ml.customer_clustering_kmeans),
     }
 
 

@@ -137,3 +137,22 @@ def dense_index(df: DataFrame, order_by: Sequence[str], start: Column | int = 1,
     out = rank_rows(df, order_by, descending=descending, outputs=("row_number",), prefix="__ix_")
     start_col = start if isinstance(start, Column) else F.lit(start)
     return out.withColumn(name, (F.col("__ix_row_number") - 1 + start_col).cast("long")).drop("__ix_row_number")
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, name: str = "quantile") -> DataFrame:
+    """One-row frame holding the ``q`` quantile of ``col`` with linear
+    interpolation (the pandas / numpy default).  Positions come from the
+    range-partitioned ranking, so no task ever holds all values (an exact
+    ``percentile`` aggregate would buffer the whole column in one task)."""
+    vals = df.select(F.col(col).alias("__v")).where(F.col("__v").isNotNull())
+    r = rank_rows(vals, ["__v"], outputs=("row_number", "group_count"), prefix="__q_")
+    pos = (F.col("__q_group_count") - 1) * F.lit(q)
+    lo = F.floor(pos) + 1
+    picked = r.where((F.col("__q_row_number") == lo) | (F.col("__q_row_number") == lo + 1))
+    agg = picked.agg(
+        F.min(F.when(F.col("__q_row_number") == lo, F.col("__v"))).alias("__lo_v"),
+        F.min(F.when(F.col("__q_row_number") == lo + 1, F.col("__v"))).alias("__hi_v"),
+        F.first(pos - F.floor(pos)).alias("__frac"))
+    return agg.select(F.when(F.col("__hi_v").isNull(), F.col("__lo_v"))
+                      .otherwise(F.col("__lo_v") + (F.col("__hi_v") - F.col("__lo_v")) * F.col("__frac"))
+                      .alias(name))

@@ -1,0 +1,65 @@
+"""Layered build with batch audit rows (3.1, K18, S10).
+
+Each step builds one dataset and writes it under ``out_root/<layer>/<name>``;
+every step appends one audit row (start, end, status, rows written, error
+text).  Dimensions are written before the facts that look them up, and a
+failed step stops the steps that depend on it while the audit keeps the
+error.  The order is a plain list; Spark parallelises inside each step."""
+
+from __future__ import annotations
+
+import datetime as _dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+from strata.plans import gold, silver, staging
+from strata.session import RunContext, without_audit
+
+AUDIT_SCHEMA = T.StructType([
+    T.StructField("batch_id", T.StringType()), T.StructField("step", T.StringType()),
+    T.StructField("layer", T.StringType()), T.StructField("started_at", T.TimestampNTZType()),
+    T.StructField("ended_at", T.TimestampNTZType()), T.StructField("status", T.StringType()),
+    T.StructField("rows_written", T.LongType()), T.StructField("error_message", T.StringType())])
+
+# (layer, name, builder, names of steps it needs)
+STEPS: list[tuple[str, str, Callable, tuple[str, ...]]] = [
+    ("bronze", "stg_customers", staging.stg_customers, ()),
+    ("bronze", "stg_orders", staging.stg_orders, ()),
+    ("bronze", "stg_lineitem", staging.stg_lineitem, ()),
+    ("silver", "customer_segments", silver.customer_segments, ("stg_customers",)),
+    ("silver", "order_facts", silver.order_facts, ("stg_orders",)),
+    ("gold", "dim_customers", gold.dim_customers, ("stg_customers", "stg_orders")),
+    ("gold", "dim_orders", gold.dim_orders, ("dim_customers",)),
+    ("gold", "customer_insights", gold.customer_insights, ("customer_segments",)),
+    ("gold", "fct_order_lines", gold.fct_order_lines, ("dim_orders", "stg_lineitem")),
+]
+
+
+def build(cat, ctx: RunContext, out_root: str, audit_path: str, batch_id: str,
+          steps=STEPS, write: Callable[[DataFrame, str], None] | None = None) -> DataFrame:
+    """Run the steps in order; return the audit rows of this batch."""
+    spark = cat.spark
+    write = write or (lambda df, path: df.write.mode("overwrite").parquet(path))
+    failed: set[str] = set()
+    audit = []
+    for layer, name, fn, needs in steps:
+        start = _dt.datetime.now()
+        path = f"{out_root.rstrip('/')}/{layer}/{name}"
+        if failed.intersection(needs):
+            audit.append((batch_id, name, layer, start, _dt.datetime.now(), "SKIPPED", None,
+                          f"upstream failed: {sorted(failed.intersection(needs))}"))
+            failed.add(name)
+            continue
+        try:
+            write(without_audit(fn(cat, ctx)), path)
+            n = spark.read.parquet(path).count()  # row count from the written files
+            audit.append((batch_id, name, layer, start, _dt.datetime.now(), "SUCCESS", n, None))
+        except Exception as e:
+            failed.add(name)
+            audit.append((batch_id, name, layer, start, _dt.datetime.now(), "FAILED", None,
+                          str(e).splitlines()[0][:2000]))
+    rows = spark.createDataFrame(audit, AUDIT_SCHEMA)
+    rows.write.mode("append").parquet(audit_path)
+    return spark.read.parquet(audit_path).where(f"batch_id = '{batch_id}'")

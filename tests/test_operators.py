@@ -205,3 +205,52 @@ def test_hybrid_dimension_load(spark):
     assert cur[1]["region"] == "north" and cur[2]["email"] == "new" and cur[3]["name"] == "n3"
     c = counts.first()
     assert (c["rows_expired"], c["rows_inserted_new_key"], c["rows_type1_updated"]) == (1, 1, 1)
+
+
+# ------------------------------------------------------- sources / bulk / audit
+
+def test_load_text_log_numbers_non_blank_lines(spark, tmp_dir):
+    import os
+    from strata.sources.logs import load_text_log
+    p = os.path.join(tmp_dir, "run.log")
+    with open(p, "w") as f:
+        f.write("first\n\n  \nsecond\nthird\n\nfourth\n")
+    got = load_text_log(spark, p).orderBy("row_num").select("row_num", "log_text").collect()
+    assert [(r[0], r[1]) for r in got] == [(1, "first"), (2, "second"), (3, "third"), (4, "fourth")]
+
+
+def test_combine_statements_reports_failures(spark):
+    from strata.operators.bulk import combine_statements
+    out, errors = combine_statements(spark, ["select 1 as row_num", "select 2 as row_num", "select * from nope"])
+    assert sorted(r[0] for r in out.collect()) == [1, 2]
+    assert errors.count() == 1
+
+
+def test_exact_quantile_matches_numpy(spark):
+    import numpy as np
+    from strata.operators.ranking import exact_quantile
+    vals = [float((i * 7919) % 1000) / 7 for i in range(501)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    for q in (0.0, 0.5, 0.95, 1.0):
+        got = exact_quantile(df, "v", q).first()[0]
+        assert abs(got - float(np.quantile(vals, q))) < 1e-9
+
+
+def test_pipeline_audit(spark, tmp_dir):
+    import os
+    from strata.plans.pipeline import build
+    from strata.session import RunContext
+    from strata.sources.tables import Catalog
+    from tests.conftest import SF_SMALL
+    cat = Catalog(spark, SF_SMALL)
+
+    def boom(cat, ctx):
+        raise ValueError("broken step")
+    steps = [("bronze", "stg_customers", lambda c, x: c.customer, ()),
+             ("silver", "bad", boom, ("stg_customers",)),
+             ("gold", "after_bad", lambda c, x: c.customer, ("bad",))]
+    audit = {r["step"]: r for r in build(cat, RunContext(), os.path.join(tmp_dir, "out"),
+                                         os.path.join(tmp_dir, "audit"), "b1", steps).collect()}
+    assert audit["stg_customers"]["status"] == "SUCCESS" and audit["stg_customers"]["rows_written"] == 150
+    assert audit["bad"]["status"] == "FAILED" and "broken step" in audit["bad"]["error_message"]
+    assert audit["after_bad"]["status"] == "SKIPPED"

@@ -24,7 +24,7 @@ def test_entry_runs(spark):
 
 def test_every_query_has_oracle_or_is_listed():
     no_oracle = set(QUERIES) - set(ORACLE)
-    assert no_oracle <= {"customer_clustering_kmeans", "bulk_statements"}, no_oracle
+    assert no_oracle <= {"customer_clustering_kmeans"}, no_oracle
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
