@@ -33,12 +33,18 @@ def expand_to_days(intervals: DataFrame, start: str, end: str, lo: Column | None
 
 def interval_join(facts: DataFrame, fact_day: Column, intervals: DataFrame, start: str, end: str, *,
                   fact_keys: Sequence[Column] = (), interval_keys: Sequence[str] = (),
-                  how: str = "left", broadcast_max_rows: int = 2_000_000) -> DataFrame:
+                  how: str = "left", broadcast_max_rows: int = 2_000_000,
+                  bounds: DataFrame | None = None) -> DataFrame:
     """Join ``facts`` to the interval rows whose [start, end] holds
     ``fact_day`` (inclusive both ends, like BETWEEN).  Interval columns keep
-    their names; the helper day column is dropped."""
+    their names; the helper day column is dropped.
+
+    ``bounds`` is an optional one-row frame (``__lo``, ``__hi``) that
+    contains every fact day, e.g. min/max of a date column of the source
+    table; it saves computing the span over ``facts`` itself (which would
+    run the facts plan, joins included, an extra time)."""
     f = facts.withColumn("__fday", F.to_date(fact_day))
-    span = f.agg(F.min("__fday").alias("__lo"), F.max("__fday").alias("__hi"))
+    span = bounds if bounds is not None else f.agg(F.min("__fday").alias("__lo"), F.max("__fday").alias("__hi"))
     clipped = intervals.crossJoin(F.broadcast(span))
     days = expand_to_days(clipped, start, end, F.col("__lo"), F.col("__hi")).drop("__lo", "__hi")
     n = days.count()  # size check of the side we may broadcast

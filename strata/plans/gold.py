@@ -119,7 +119,11 @@ def fct_order_lines(cat, ctx: RunContext = RunContext(), orders: DataFrame | Non
     fx = silver.int_fx_rates_daily(cat, ctx).where((F.col("from_currency") == "USD") & (F.col("to_currency") == "EUR"))
     fx = fx.select("day_dt", "end_date", "conversion_rate")
     j = li.join(od, "order_key", "inner")
-    j = interval_join(j, F.col("order_date"), fx, "day_dt", "end_date", how="left").drop("day_dt", "end_date")
+    # Day span from the orders' date column alone (a two-value aggregate,
+    # answered from one column), not from the joined facts.
+    bounds = cat.orders.agg(F.min(F.to_date("o_orderdate")).alias("__lo"), F.max(F.to_date("o_orderdate")).alias("__hi"))
+    j = interval_join(j, F.col("order_date"), fx, "day_dt", "end_date", how="left",
+                      bounds=bounds).drop("day_dt", "end_date")
     disc = F.col("extended_price") * (1 - F.col("discount"))
     final = disc * (1 + F.col("tax"))
     rate = F.coalesce(F.col("conversion_rate"), F.lit(1.0).cast("decimal(18,6)"))
@@ -130,7 +134,7 @@ def fct_order_lines(cat, ctx: RunContext = RunContext(), orders: DataFrame | Non
                     "order_status_desc", "_loaded_at", ctx.now().alias("_updated_at"))
 
 
-from strata.functions.numeric import exact_avg, money_sum as _money_sum, round_half_up
+from strata.functions.numeric import exact_avg, exact_product_sum, money_sum as _money_sum, round_half_up
 
 
 def fct_order_lines_by_supplier_month(cat, ctx: RunContext = RunContext(),
@@ -144,8 +148,7 @@ def fct_order_lines_by_supplier_month(cat, ctx: RunContext = RunContext(),
               _money_sum("quantity").alias("total_quantity"), _money_sum("extended_price").alias("total_extended_price"),
               _money_sum("discounted_price").alias("total_discounted_price"),
               _money_sum("final_price").alias("total_final_price"),
-              F.sum(F.col("final_price").cast("decimal(18,6)") * F.col("eur_conversion_rate").cast("decimal(18,6)"))
-              .cast("double").alias("total_final_price_eur"),
+              exact_product_sum("final_price", "eur_conversion_rate").cast("double").alias("total_final_price_eur"),
               exact_avg("quantity").alias("avg_quantity_per_line"),
               exact_avg("final_price").alias("avg_final_price_per_line"),
               exact_avg("discount").alias("avg_discount_rate"),
@@ -190,6 +193,7 @@ def fact_order_line_full_reload(cat, ctx: RunContext = RunContext(), orders: Dat
     fx = rates if rates is not None else silver.lookup_exchange_rates(cat, ctx)
     fx = fx.where((F.col("from_currency") == "USD") & (F.col("to_currency") == "EUR")).select(
         F.col("day_dt").alias("__od"), F.col("exchange_rate").alias("eur_conversion_rate"))
+    # fx holds one row per calendar day (bounded by the calendar, not the data).
     j = li.join(od, li.l_orderkey == od.order_key, "left").join(F.broadcast(fx), "__od", "left")
     unk = F.lit(ctx.unknown_key).cast("long")
     return j.select(F.lit(ctx.source_system_code).alias("source_system_code"),

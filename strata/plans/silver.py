@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.numeric import cents, div_half_up
+from strata.functions.numeric import cents, div_half_up, money_sum
 from strata.operators.ranking import rank_rows
 from strata.plans import staging
 from strata.session import RunContext
@@ -105,11 +105,6 @@ ORDER_STATUSES = ("O", "F", "P")
 PRIORITY_LEVELS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 
-def money(c):
-    """Money as exact decimal for sums: cast(double -> decimal(38,6))."""
-    return c.cast("decimal(38,6)")
-
-
 def order_facts(cat, ctx: RunContext = RunContext(), orders: DataFrame | None = None) -> DataFrame:
     """A2-A4: daily order facts by customer/status/priority with generated
     conditional aggregates (one pass, one hash aggregate).  Sums run in
@@ -119,19 +114,19 @@ def order_facts(cat, ctx: RunContext = RunContext(), orders: DataFrame | None =
     o = o.where(F.col("processing_type").isin("RECENT", "FULL_LOAD"))
     price = F.col("o_totalprice")
     aggs = [F.count(F.lit(1)).alias("order_count"),
-            F.sum(money(price)).cast("double").alias("total_order_value"),
-            (F.sum(money(price)).cast("double") / F.count(price)).alias("avg_order_value"),
+            money_sum(price).alias("total_order_value"),
+            (money_sum(price) / F.count(price)).alias("avg_order_value"),
             F.min(price).alias("min_order_value"), F.max(price).alias("max_order_value"),
             F.round(F.stddev_samp(price), 6).alias("order_value_stddev"),
             F.count_distinct("o_custkey").alias("unique_customers"),
-            (F.sum(money(price)).cast("double") / F.count_distinct("o_custkey")).alias("revenue_per_customer")]
+            (money_sum(price) / F.count_distinct("o_custkey")).alias("revenue_per_customer")]
     for s in ORDER_STATUSES:
-        aggs.append(F.sum(F.when(F.col("o_orderstatus") == s, money(price)).otherwise(money(F.lit(0.0))))
-                    .cast("double").alias(f"revenue_{s.lower()}_status"))
+        aggs.append(money_sum(F.when(F.col("o_orderstatus") == s, price).otherwise(F.lit(0.0)))
+                    .alias(f"revenue_{s.lower()}_status"))
         aggs.append(F.count(F.when(F.col("o_orderstatus") == s, 1)).alias(f"count_{s.lower()}_status"))
     for i, p in enumerate(PRIORITY_LEVELS, start=1):
-        aggs.append(F.sum(F.when(F.col("o_orderpriority") == p, money(price)).otherwise(money(F.lit(0.0))))
-                    .cast("double").alias(f"revenue_priority_{i}"))
+        aggs.append(money_sum(F.when(F.col("o_orderpriority") == p, price).otherwise(F.lit(0.0)))
+                    .alias(f"revenue_priority_{i}"))
     keys = [F.to_date("o_orderdate").alias("order_date"), F.year("o_orderdate").alias("order_year"),
             F.month("o_orderdate").alias("order_month"), F.quarter("o_orderdate").alias("order_quarter"),
             F.dayofweek("o_orderdate").alias("day_of_week"),

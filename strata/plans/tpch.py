@@ -14,14 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.sources.standins import lineitem_with_dates, partsupp
-from strata.functions.numeric import exact_avg
+from strata.functions.numeric import exact_avg, money_sum
 from strata.session import RunContext
 
 
-def _dec(c):
-    return c.cast("decimal(38,6)")
-
-
 def q1_pricing_summary(cat, ctx: RunContext = RunContext(), delta_days: int = 90) -> DataFrame:
     """Pricing summary: one scan of lineitem with the ship-date filter pushed
     into Parquet, one partial+final hash aggregate on 2 low-cardinality keys."""
@@ -31,9 +27,9 @@ def q1_pricing_summary(cat, ctx: RunContext = RunContext(), delta_days: int = 90
     charge = disc * (1 + F.col("l_tax"))
     return (li.groupBy("l_returnflag", "l_linestatus").agg(
         F.sum("l_quantity").alias("sum_qty"),
-        F.sum(_dec(F.col("l_extendedprice"))).cast("double").alias("sum_base_price"),
-        F.sum(_dec(disc)).cast("double").alias("sum_disc_price"),
-        F.sum(_dec(charge)).cast("double").alias("sum_charge"),
+        money_sum("l_extendedprice").alias("sum_base_price"),
+        money_sum(disc).alias("sum_disc_price"),
+        money_sum(charge).alias("sum_charge"),
         exact_avg("l_quantity").alias("avg_qty"),
         exact_avg("l_extendedprice").alias("avg_price"),
         exact_avg("l_discount").alias("avg_disc"),
@@ -70,7 +66,7 @@ def q3_shipping_priority(cat, ctx: RunContext = RunContext(), segment: str = "BU
     li = cat.lineitem.where(F.col("l_shipdate") > d).select("l_orderkey", "l_extendedprice", "l_discount")
     co = o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
     j = li.join(co, F.col("l_orderkey") == F.col("o_orderkey"))
-    rev = F.sum(_dec(F.col("l_extendedprice") * (1 - F.col("l_discount")))).cast("double")
+    rev = money_sum(F.col("l_extendedprice") * (1 - F.col("l_discount")))
     return (j.groupBy("l_orderkey", "o_orderdate").agg(rev.alias("revenue"))
             .orderBy(F.col("revenue").desc(), "o_orderdate", "l_orderkey").limit(limit))
 
