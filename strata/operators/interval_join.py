@@ -53,3 +53,15 @@ def interval_join(facts: DataFrame, fact_day: Column, intervals: DataFrame, star
     cond += [fk == F.col(ik) for fk, ik in zip(fact_keys, interval_keys)]
     out = f.join(side, cond, how)
     return out.drop("__fday", DAY)
+
+
+def as_of_join(facts: DataFrame, fact_key: str, fact_day, dim: DataFrame, dim_key: str, start: str, end: str,
+               how: str = "left") -> DataFrame:
+    """J14 point-in-time lookup: the dimension version of the same key whose
+    [start, end] holds the fact's day.  One equi join on the key (shuffle or
+    broadcast as the planner sees fit) with the range as a join condition, so
+    only the versions of the fact's own key are compared."""
+    day = F.to_date(fact_day) if not isinstance(fact_day, str) else F.to_date(F.col(fact_day))
+    f = facts.withColumn("__asof_day", day)
+    cond = (F.col(fact_key) == F.col(dim_key)) & F.col("__asof_day").between(F.col(start), F.col(end))
+    return f.join(dim, cond, how).drop("__asof_day")

@@ -254,3 +254,31 @@ def test_pipeline_audit(spark, tmp_dir):
     assert audit["stg_customers"]["status"] == "SUCCESS" and audit["stg_customers"]["rows_written"] == 150
     assert audit["bad"]["status"] == "FAILED" and "broken step" in audit["bad"]["error_message"]
     assert audit["after_bad"]["status"] == "SKIPPED"
+
+
+def test_sampling(spark):
+    from strata.operators.sampling import one_random_row, percent_sample
+    df = spark.range(20000).withColumnRenamed("id", "k")
+    n = percent_sample(df, 10, seed=7).count()
+    assert 1500 < n < 2500
+    a = one_random_row(df, seed=3).collect()
+    b = one_random_row(df.repartition(13), seed=3).collect()
+    assert len(a) == 1 and a == b
+
+
+def test_as_of_join(spark):
+    from strata.operators.interval_join import as_of_join
+    dim = spark.createDataFrame([(1, "old", dt.date(2020, 1, 1), dt.date(2020, 6, 30)),
+                                 (1, "new", dt.date(2020, 7, 1), dt.date(9999, 12, 31))],
+                                "bk int, name string, s date, e date")
+    facts = spark.createDataFrame([(1, dt.date(2020, 3, 1)), (1, dt.date(2021, 1, 1)), (2, dt.date(2020, 3, 1))],
+                                  "cust int, d date")
+    got = as_of_join(facts, "cust", "d", dim, "bk", "s", "e").select("cust", "d", "name")
+    assert rows(got, "cust", "d") == [(1, dt.date(2020, 3, 1), "old"), (1, dt.date(2021, 1, 1), "new"),
+                                      (2, dt.date(2020, 3, 1), None)]
+
+
+def test_refresh_scd_ids(spark):
+    from strata.operators.keys import refresh_scd_ids
+    h = spark.createDataFrame([(4, dt.datetime(2024, 1, 1), "hash")], "k int, dbt_valid_from timestamp_ntz, dbt_scd_id string")
+    assert refresh_scd_ids(h, ["k"]).first()["dbt_scd_id"].startswith("4|2024-01-01")
