@@ -81,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stg_orders": _q(staging.stg_orders),
         "stg_lineitem": _q(staging.stg_lineitem),
         "stg_customers_with_tests": _q(staging.stg_customers_with_tests),
+        "stg_fx_rates": _q(staging.stg_fx_rates),
         "stg_orders_incremental": _q(staging.stg_orders_incremental),
         "int_customers_with_orders": _q(silver.int_customers_with_orders),
         "customer_segments": _q(silver.customer_segments),
@@ -107,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "customer_change_feed": _q(history.customer_change_feed),
         "dim_customer_changes": _q(history.dim_customer_changes),
         "customers_snapshot_scd2": _q(history.customers_snapshot),
+        "customers_stream_snapshot": _q(history.customers_stream_snapshot),
         "customer_dim_load": _q(lambda cat, ctx: history.customer_dim_load(cat, ctx)[0]),
         "customer_dim_load_counts": _q(lambda cat, ctx: history.customer_dim_load(cat, ctx)[1]),
         "sales_fact_load": _q(_sales_fact),
@@ -586,8 +588,25 @@ cal AS (
     CASE WHEN year(day_dt) = year(td.t) THEN 'Y' ELSE 'N' END AS current_year_flag
   FROM days, td)"""
 
+_STREAM_SNAP = "WITH " + _LOADS + f""",
+v AS (
+  SELECT customer_key AS c_custkey, customer_name AS c_name, account_balance AS c_acctbal, 'INSERT' AS cdc_action,
+         {_T1} AS c_last_update_date, 'N' AS delete_flag, {_T1} AS dbt_valid_from, {_T1} AS dbt_updated_at,
+         CASE WHEN customer_key IN (SELECT customer_key FROM feed WHERE cdc_change_type <> 'UPDATE_BEFORE')
+              THEN {_T2} END AS dbt_valid_to,
+         CAST(customer_key AS VARCHAR) || '|2024-01-01 00:00:00' AS dbt_scd_id
+  FROM l1
+  UNION ALL
+  SELECT customer_key, customer_name, account_balance, cdc_change_type, {_T2},
+         CASE WHEN cdc_change_type = 'DELETE' THEN 'Y' ELSE 'N' END, {_T2}, {_T2}, CAST(NULL AS TIMESTAMP),
+         CAST(customer_key AS VARCHAR) || '|2024-01-02 00:00:00'
+  FROM feed WHERE cdc_change_type <> 'UPDATE_BEFORE')
+SELECT * FROM v"""
+
 _REPORT_SQL = {
     "quality_summary": _QUALITY,
+    "stg_fx_rates": "WITH " + _FX + " SELECT rate_date, base_currency, quote_currency, exchange_rate FROM fx",
+    "customers_stream_snapshot": _STREAM_SNAP,
     "lineitem_duplicate_keys": """
         SELECT l_orderkey AS order_key, l_linenumber AS line_number, count(*) AS n_records
         FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",

@@ -227,3 +227,33 @@ def fact_load_orphans(staging_rows: DataFrame, customer_dim: DataFrame, load_ts=
     return miss.select(F.lit("FactSales").alias("table_name"), F.col("source_order_id").alias("source_key"),
                        F.lit("Customer").alias("orphan_type"), F.col("customer_id").cast("string").alias("orphan_value"),
                        (load_ts if load_ts is not None else F.localtimestamp()).alias("load_date")).distinct()
+
+
+def stream_snapshot_source(changes: DataFrame) -> DataFrame:
+    """Snapshot source from a change set: the before-image half of updates
+    dropped, the newest change per key kept (insert side over delete on
+    equal commit time), a delete flag, and the commit time as updated_at."""
+    from strata.operators.dedup import keep_one_per_key
+    c = changes.where(F.col("cdc_change_type") != "UPDATE_BEFORE").withColumn(
+        "__prio", F.when(F.col("cdc_change_type") == "DELETE", 0).otherwise(1))
+    c = keep_one_per_key(c, ["customer_key"], order_by=["cdc_commit_ts", "__prio"], descending=True)
+    return c.select(F.col("customer_key").alias("c_custkey"), F.col("customer_name").alias("c_name"),
+                    F.col("account_balance").alias("c_acctbal"), F.col("cdc_change_type").alias("cdc_action"),
+                    F.col("cdc_commit_ts").alias("c_last_update_date"),
+                    F.when(F.col("cdc_change_type") == "DELETE", "Y").otherwise("N").alias("delete_flag"))
+
+
+def customers_stream_snapshot(cat, ctx: RunContext = RunContext(), loads: int = 2) -> DataFrame:
+    """K12 timestamp-strategy Type 2 history fed by the change stream: the
+    initial rows (all inserts at the first load time), then the change set
+    of each later load.  Keys absent from a change set stay open (hard
+    deletes arrive as DELETE change rows and open a flagged version)."""
+    first = change_feed(None, customer_load(cat, 1).select("customer_key", "customer_name", "account_balance",
+                                                             "market_segment", "nation_key"),
+                        ["customer_key"], F.lit(LOAD_TS[0]).cast("timestamp_ntz"))
+    hist = scd2_snapshot(None, stream_snapshot_source(first), ["c_custkey"], strategy="timestamp",
+                         updated_at="c_last_update_date")
+    for i in range(2, loads + 1):
+        hist = scd2_snapshot(hist, stream_snapshot_source(customer_change_feed(cat, ctx, i - 1, i)), ["c_custkey"],
+                             strategy="timestamp", updated_at="c_last_update_date")
+    return hist

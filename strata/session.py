@@ -64,7 +64,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 @dataclass(frozen=True)
 class RunContext:
-    """Parameters of one pipeline run.
+    """Parameters of one build run.
 
     ``as_of`` replaces the warehouse's current_date(); ``run_ts`` replaces
     current_timestamp()/sysdate().  Leaving them None uses the session clock.

@@ -236,9 +236,9 @@ def test_exact_quantile_matches_numpy(spark):
         assert abs(got - float(np.quantile(vals, q))) < 1e-9
 
 
-def test_pipeline_audit(spark, tmp_dir):
+def test_layered_build_audit(spark, tmp_dir):
     import os
-    from strata.plans.pipeline import build
+    from strata.plans.layered_build import build
     from strata.session import RunContext
     from strata.sources.tables import Catalog
     from tests.conftest import SF_SMALL
