@@ -25,16 +25,34 @@ _SPLIT_BITS = 20
 _SPLIT_MASK = (1 << _SPLIT_BITS) - 1
 
 
-def _split_sum(units: Column, scale: int) -> Column:
-    hi = F.sum(F.shiftright(units, _SPLIT_BITS)).cast("decimal(38,0)")
-    lo = F.sum(units.bitwiseAND(F.lit(_SPLIT_MASK))).cast("decimal(38,0)")
-    total = hi * F.lit(1 << _SPLIT_BITS).cast("decimal(38,0)") + lo
+def _split_parts(units: Column) -> tuple[Column, Column]:
+    """Long sums of the high and low parts of integer units
+    (units = hi * 2^20 + lo with 0 <= lo < 2^20)."""
+    return (F.sum(F.shiftright(units, _SPLIT_BITS)), F.sum(units.bitwiseAND(F.lit(_SPLIT_MASK))))
+
+
+def _combine_decimal(hi: Column, lo: Column, scale: int) -> Column:
+    total = hi.cast("decimal(38,0)") * F.lit(1 << _SPLIT_BITS).cast("decimal(38,0)") + lo.cast("decimal(38,0)")
     # units * 10^-scale, exactly: a decimal multiply would fall under the
     # precision-loss rule (scale cut to 6), so the exponent is applied by the
     # string -> decimal cast (BigDecimal parsing), once per group.
     return F.concat(total.cast("string"), F.lit(f"E-{scale}")).cast(f"decimal(38,{scale})")
 
 
+def _combine_double(hi: Column, lo: Column, scale: int) -> Column:
+    """The double nearest to the exact total.  While the integer total is
+    below 2^53 it is exact in a long and in a double, and one IEEE division
+    by 10^scale is correctly rounded - the same double the exact decimal
+    casts to; larger totals take the decimal path."""
+    small = (F.abs(hi) < F.lit(1 << 32)) & (lo < F.lit(1 << 52))
+    quick = (hi * F.lit(1 << _SPLIT_BITS) + lo).cast("double") / F.lit(float(10 ** scale))
+    return F.when(small, quick).otherwise(_combine_decimal(hi, lo, scale).cast("double"))
+
+
+def _units(c, scale: int) -> Column:
+    return F.rint(_c(c).cast("double") * (10 ** scale)).cast("long")  # rint: no BigDecimal per row
+
+
 def exact_sum(c, scale: int = 6) -> Column:
     """Exact sum of a value with at most ``scale`` decimals, as
     ``decimal(38, scale)`` (values with more decimals are first rounded to
@@ -42,33 +60,29 @@ def exact_sum(c, scale: int = 6) -> Column:
 
     Summing ``decimal(38, s)`` runs on BigDecimal (about 5x a double sum).
     Here each value becomes integer units of 10^-scale, split into a high and
-    a low long (units = hi * 2^20 + lo, 0 <= lo < 2^20), and the two longs
-    are summed with plain long adds (partial sums map-side).  Neither sum can
-    overflow below ~10^12 rows per group; the parts are combined in decimal
-    once per group."""
-    units = F.rint(_c(c) * (10 ** scale)).cast("long")  # rint: no BigDecimal per row
-    return _split_sum(units, scale)
-
-
-def exact_product_sum(a, b, scale_a: int = 6, scale_b: int = 6) -> Column:
-    """Exact sum of a * b where a and b carry at most ``scale_a`` /
-    ``scale_b`` decimals (e.g. price x rate), as decimal(38, scale_a +
-    scale_b).  The product of the integer units is a long (ANSI mode raises
-    instead of wrapping if it ever overflowed)."""
-    ua = F.rint(_c(a).cast("double") * (10 ** scale_a)).cast("long")
-    ub = F.rint(_c(b).cast("double") * (10 ** scale_b)).cast("long")
-    return _split_sum(ua * ub, scale_a + scale_b)
+    a low long, and the two longs are summed with plain long adds (partial
+    sums map-side).  Neither sum can overflow below ~10^12 rows per group;
+    the parts are combined once per group."""
+    return _combine_decimal(*_split_parts(_units(c, scale)), scale)
 
 
 def money_sum(c, scale: int = 6) -> Column:
     """Exact sum (see ``exact_sum``) returned as double: the double nearest
     to the exact decimal total, independent of how partial sums combine."""
-    return exact_sum(c, scale).cast("double")
+    return _combine_double(*_split_parts(_units(c, scale)), scale)
+
+
+def exact_product_sum(a, b, scale_a: int = 6, scale_b: int = 6) -> Column:
+    """Exact sum of a * b where a and b carry at most ``scale_a`` /
+    ``scale_b`` decimals (e.g. price x rate), as a double nearest to the
+    exact total.  The product of the integer units is a long (ANSI mode
+    raises instead of wrapping if it ever overflowed)."""
+    return _combine_double(*_split_parts(_units(a, scale_a) * _units(b, scale_b)), scale_a + scale_b)
 
 
 def exact_avg(c, scale: int = 6) -> Column:
     """Exact decimal sum / count, as double (null on no rows)."""
-    return exact_sum(c, scale).cast("double") / F.count(_c(c))
+    return money_sum(c, scale) / F.count(_c(c))
 
 
 def round_half_up(c, places: int) -> Column:

@@ -148,7 +148,7 @@ def fct_order_lines_by_supplier_month(cat, ctx: RunContext = RunContext(),
               _money_sum("quantity").alias("total_quantity"), _money_sum("extended_price").alias("total_extended_price"),
               _money_sum("discounted_price").alias("total_discounted_price"),
               _money_sum("final_price").alias("total_final_price"),
-              exact_product_sum("final_price", "eur_conversion_rate").cast("double").alias("total_final_price_eur"),
+              exact_product_sum("final_price", "eur_conversion_rate").alias("total_final_price_eur"),
               exact_avg("quantity").alias("avg_quantity_per_line"),
               exact_avg("final_price").alias("avg_final_price_per_line"),
               exact_avg("discount").alias("avg_discount_rate"),

@@ -109,7 +109,7 @@ def capacity_assignment(cat, ctx: RunContext = RunContext(), history: DataFrame
                      & (F.col("bytes_scanned") > 0)
                      & (F.col("start_time") > F.date_sub(F.col("__today"), lookback_days).cast("timestamp_ntz")))
               .drop("__today"))
-    recent = recent.join(F.broadcast(ov.select("target_name")), "target_name", "left_anti")
+    recent = recent.join(bounded_broadcast(ov.select("target_name")), "target_name", "left_anti")
     mx = recent.groupBy("target_name").agg(
         F.max("bytes_scanned").alias("max_bytes_scanned"),
         F.max(F.when(F.col("is_incremental"), F.col("bytes_scanned"))).alias("__max_inc"))
