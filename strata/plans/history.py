@@ -109,10 +109,16 @@ def customer_load(cat, n: int = 1) -> DataFrame:
     return load2.unionByName(c.where(d == 3))
 
 
-def customer_cdc_stream(cat, ctx: RunContext = RunContext()) -> DataFrame:
-    """Initial change stream of the customer table: every row as INSERT,
-    version = key text (the original's SHOW_INITIAL_ROWS)."""
+def customer_cdc_stream(cat, ctx: RunContext = RunContext(), incremental: bool = False,
+                        sample_percent: float = 10.0, seed: int = 42) -> DataFrame:
+    """Change stream of the customer table: every row as INSERT, version =
+    key text (the original's initial rows).  Later (``incremental``) runs
+    load a random ``sample_percent`` % row sample (S4), to be appended to
+    the stream table (S11)."""
+    from strata.operators.sampling import percent_sample
     c = customer_load(cat, 1).select("customer_key", "customer_name", "account_balance")
+    if incremental:
+        c = percent_sample(c, sample_percent, seed)
     return change_feed(None, c, ["customer_key"], ctx.now(), version=F.col("customer_key").cast("string"))
 
 

@@ -182,3 +182,18 @@ def scan_forecast(cat, ctx: RunContext = RunContext(), history: DataFrame | None
     return g.select("target_name", "is_incremental", F.date_add("last_date", 1).alias("forecast_date"),
                     "n_points", F.round("slope", 6).alias("slope"),
                     F.round(pred, 4).alias("forecast_partitions_scanned"))
+
+
+def query_history_table(cat, ctx: RunContext = RunContext(), existing: DataFrame | None = None,
+                        full_refresh: bool = False, allow_full_refresh: bool = False,
+                        log: DataFrame | None = None) -> DataFrame:
+    """Next version of the stored query history.  The history is kept
+    across full rebuilds unless ``allow_full_refresh`` (S17: a requested full
+    refresh is ignored by default); otherwise only rows newer than the stored
+    maximum are appended (K6), and the stored columns follow the new schema
+    (S16 ``sync_all_columns``)."""
+    from strata.operators.merge import evolve_schema
+    if existing is None or (full_refresh and allow_full_refresh):
+        return query_history(cat, ctx, log=log)
+    new = query_history(cat, ctx, existing=existing, log=log)
+    return evolve_schema(existing, new, "sync_all_columns").unionByName(new)

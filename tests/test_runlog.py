@@ -52,3 +52,28 @@ def test_scan_forecast_line(spark):
     got = {r["target_name"]: r for r in scan_forecast(Catalog(spark, SF_SMALL), RunContext(), history=hist).collect()}
     assert got["A"]["forecast_date"] == dt.date(2024, 1, 4) and abs(got["A"]["forecast_partitions_scanned"] - 40) < 1e-6
     assert got["B"]["forecast_partitions_scanned"] == 7.0 and got["B"]["slope"] is None
+
+
+def test_query_history_table_keeps_history(spark):
+    from strata.plans.runlog import query_history_table
+    from strata.session import RunContext
+    from strata.sources.tables import Catalog
+    cat = Catalog(spark, SF_SMALL)
+    t = lambda d: dt.datetime(2024, 1, d)
+    log1 = _log(spark, [(1, t(1), 1000, 10, 900, "small", 5, 5, _tag("db.s.a", "true"), "[]")])
+    log2 = _log(spark, [(2, t(2), 1000, 10, 900, "small", 5, 5, _tag("db.s.a", "true"), "[]")])
+    v1 = query_history_table(cat, RunContext(), log=log1).checkpoint()
+    v2 = query_history_table(cat, RunContext(), existing=v1, full_refresh=True, log=log2)
+    assert sorted(r["query_id"] for r in v2.collect()) == [1, 2]  # full refresh ignored: history kept
+    v3 = query_history_table(cat, RunContext(), existing=v1, full_refresh=True, allow_full_refresh=True, log=log2)
+    assert [r["query_id"] for r in v3.collect()] == [2]
+
+
+def test_cdc_stream_sample_on_later_runs(spark):
+    from strata.plans.history import customer_cdc_stream
+    from strata.session import RunContext
+    from strata.sources.tables import Catalog
+    cat = Catalog(spark, "/root/testdata/sf0.01")
+    full = customer_cdc_stream(cat, RunContext()).count()
+    part = customer_cdc_stream(cat, RunContext(), incremental=True).count()
+    assert full == 1500 and 90 < part < 220
