@@ -23,6 +23,26 @@ DEFAULT_CONF = {
 }
 
 
+# Starting points for a large cluster (hundreds of executors, ~100 TB of
+# Parquet).  The shuffle partition count is an upper bound that AQE coalesces
+# down to ~256 MB partitions at run time; it is also the range-partition
+# count of the ranking operator.  Skewed partitions over 5x the median and
+# 256 MB are split by AQE.  Broadcasts stay at Spark's default threshold:
+# plans hint only tables with a proven size bound.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def build_session(master: str = "local[8]", app: str = "strata",
                   shuffle_partitions: int = 8, driver_memory: str = "16g",
                   extra: dict | None = None) -> SparkSession:
