@@ -55,13 +55,13 @@ def rank_rows(df: DataFrame, order_by: Sequence[str], *, descending: Sequence[bo
               tiebreak_descending: Sequence[bool] | None = None,
               outputs: Sequence[str] = ("row_number",), ntiles: Sequence[int] = (),
               num_partitions: int | None = None, prefix: str = "",
-              small_groups: bool = True) -> DataFrame:
+              broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """Attach ranking columns to ``df`` (see module doc).
 
-    ``small_groups`` says the number of distinct ``partition_by`` values is a
-    dimension-sized constant (nations, segments, one global group); the
-    per-(partition, group) summary is then broadcast.  Otherwise it is joined
-    by shuffle and AQE may still broadcast it from runtime sizes.
+    The per-(partition, group) summary has at most partitions x groups rows.
+    It is cached and counted; under ``broadcast_max_rows`` (the usual case:
+    a global ranking, or groups such as nations or segments) it is broadcast,
+    otherwise it is joined by shuffle on (partition id, group).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -92,7 +92,8 @@ def rank_rows(df: DataFrame, order_by: Sequence[str], *, descending: Sequence[bo
         _PID, *partition_by, _FIRST,
         F.coalesce(F.sum(_CNT).over(w_prev), F.lit(0)).alias(_OFF),
         F.sum(_CNT).over(w_all).alias(prefix + "group_count"))
-    if small_groups:
+    summary = summary.cache()  # small; recomputed from the checkpoint if lost
+    if summary.count() <= broadcast_max_rows:
         summary = F.broadcast(summary)
     s = summary.alias("__s")
     r = ranged.alias("__r")

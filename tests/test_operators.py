@@ -27,6 +27,9 @@ def test_rank_rows_matches_window_functions(spark):
     a = rows(got.select("k", "row_number", "rank", "percent_rank", "ntile_5"), "k")
     b = rows(exp, "k")
     assert a == b
+    shuffled = rank_rows(df, ["v"], partition_by=["g"], tiebreak=["k"], outputs=("row_number",),
+                         num_partitions=5, broadcast_max_rows=0)  # summary joined by shuffle
+    assert rows(shuffled.select("k", "row_number"), "k") == rows(exp.select("k", "row_number"), "k")
 
 
 def test_rank_rows_descending_global(spark):
