@@ -190,6 +190,9 @@ def lookup_exchange_rates(cat, ctx: RunContext = RunContext(), calendar: DataFra
     iv = fx_backward_intervals(rates, "__today", quotes=quotes).crossJoin(F.broadcast(span))
     days = expand_to_days(iv, "start_date", "end_date", F.col("__lo"), F.col("__hi")).drop("__lo", "__hi")
     days = days.select(F.col(DAY).alias("day_dt"), "currency", "from_usd", "to_usd")
+    # The output is the cross-rate table itself: every (from, to) pair per
+    # day, so its size is days x currencies^2, fixed by configuration and the
+    # calendar, never by data volume.
     first, second = days.alias("__f"), days.alias("__s")
     pairs = first.join(second, "day_dt")
     priced = cal.join(pairs, "day_dt")

@@ -38,6 +38,7 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.parquet.aggregatePushdown": "true",  # max(key) high-water marks from footers
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
 }

@@ -35,3 +35,15 @@ def test_query_matches_oracle(spark, con, name):
     d_cols, d_set = rows_of([d[0] for d in rel.description], rel.fetchall())
     assert s_cols == d_cols
     assert s_set == d_set
+
+
+def test_report_sql_over_registered_views(spark, con):
+    from strata.session import RunContext
+    from strata.sources.tables import Catalog
+    from strata.views import register_views
+    register_views(Catalog(spark, SF_SMALL), RunContext(data_clock=True), ["customer_segments"])
+    got = spark.sql("""SELECT customer_segment, count(*) AS customer_count,
+                              round(count(*) * 100.0 / sum(count(*)) OVER (), 1) AS pct
+                       FROM customer_segments GROUP BY 1 ORDER BY 2 DESC""").collect()
+    exp = QUERIES["segment_distribution"](spark, SF_SMALL).collect()
+    assert sorted((r[0], r[1], float(r[2])) for r in got) == sorted((r[0], r[1], float(r[2])) for r in exp)
