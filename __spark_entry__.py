@@ -392,7 +392,7 @@ rl AS (
     CASE WHEN user_id % 4 = 0 THEN 'x-small' WHEN user_id % 4 = 1 THEN 'Small' WHEN user_id % 4 = 2 THEN 'MEDIUM'
          ELSE 'large' END AS warehouse_size,
     CAST(floor(value * 1000000) AS BIGINT) AS bytes_scanned, CAST(floor(value) AS BIGINT) AS partitions_scanned,
-    '{"app": "' || CASE WHEN event_type = 'error' THEN 'other' ELSE 'dbt' END
+    '{"app": "' || CASE WHEN event_type = 'error' THEN 'other' ELSE 'build' END
       || '", "target_name": "db.analytics.model_' || CAST(user_id % 25 AS VARCHAR)
       || '", "module_name": "' || event_type
       || '", "module_details": {"is_incremental": "'
@@ -416,7 +416,7 @@ qhist AS (
     ws.warehouse_size, ws.warehouse_nodes, ws.warehouse_vcpu, qh.warehouse_size AS query_warehouse_size,
     qh.bytes_scanned, qh.partitions_scanned
   FROM rl qh LEFT JOIN ws ON ws.warehouse_size = upper(qh.warehouse_size)
-  WHERE json_extract_string(qh.query_tag, '$.app') = 'dbt')"""
+  WHERE json_extract_string(qh.query_tag, '$.app') = 'build')"""
 
 _TRAINING = "WITH " + _RUNLOG + """,
 lt AS (SELECT CAST(max(start_time) AS DATE) AS d FROM rl),
@@ -591,10 +591,10 @@ cal AS (
 _STREAM_SNAP = "WITH " + _LOADS + f""",
 v AS (
   SELECT customer_key AS c_custkey, customer_name AS c_name, account_balance AS c_acctbal, 'INSERT' AS cdc_action,
-         {_T1} AS c_last_update_date, 'N' AS delete_flag, {_T1} AS dbt_valid_from, {_T1} AS dbt_updated_at,
+         {_T1} AS c_last_update_date, 'N' AS delete_flag, {_T1} AS valid_from, {_T1} AS row_updated_at,
          CASE WHEN customer_key IN (SELECT customer_key FROM feed WHERE cdc_change_type <> 'UPDATE_BEFORE')
-              THEN {_T2} END AS dbt_valid_to,
-         CAST(customer_key AS VARCHAR) || '|2024-01-01 00:00:00' AS dbt_scd_id
+              THEN {_T2} END AS valid_to,
+         CAST(customer_key AS VARCHAR) || '|2024-01-01 00:00:00' AS scd_id
   FROM l1
   UNION ALL
   SELECT customer_key, customer_name, account_balance, cdc_change_type, {_T2},
@@ -804,8 +804,8 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN cdc_change_type = 'DELETE' THEN 'Y' ELSE 'N' END AS delete_flag
             FROM feed WHERE cdc_change_type <> 'UPDATE_BEFORE'""",
         "customers_snapshot_scd2": "WITH " + _LOADS + f"""
-            SELECT l1.*, {_T1} AS dbt_valid_from, {_T1} AS dbt_updated_at, CAST(NULL AS TIMESTAMP) AS dbt_valid_to,
-              CAST(customer_key AS VARCHAR) || '|2024-01-01 00:00:00' AS dbt_scd_id, true AS dbt_current_flag
+            SELECT l1.*, {_T1} AS valid_from, {_T1} AS row_updated_at, CAST(NULL AS TIMESTAMP) AS valid_to,
+              CAST(customer_key AS VARCHAR) || '|2024-01-01 00:00:00' AS scd_id, true AS current_flag
             FROM l1 WHERE customer_key IN (SELECT customer_key FROM l2) AND customer_key NOT IN (SELECT customer_key FROM chg)
             UNION ALL
             SELECT l1.*, {_T1}, {_T1}, {_T2}, CAST(customer_key AS VARCHAR) || '|2024-01-01 00:00:00', false

@@ -77,8 +77,8 @@ def masked(col: str, role: str, clear_roles: Sequence[str] = ("OWNER",),
     return F.lit(stars)
 
 
-def refresh_scd_ids(history: DataFrame, keys: Sequence[str], valid_from: str = "dbt_valid_from",
-                    scd_id_col: str = "dbt_scd_id", sep: str = "|") -> DataFrame:
-    """K15 ``refresh_dbt_scd_id``: rewrite every row's scd id in the readable
+def refresh_scd_ids(history: DataFrame, keys: Sequence[str], valid_from: str = "valid_from",
+                    scd_id_col: str = "scd_id", sep: str = "|") -> DataFrame:
+    """K15 ``refresh_scd_id``: rewrite every row's scd id in the readable
     form (keys and valid-from joined by a pipe) - a narrow projection."""
     return history.withColumn(scd_id_col, scd_id(keys, valid_from, sep))

@@ -16,7 +16,7 @@ from strata.operators.merge import assert_unique, upsert
 def scd1_changes(source: DataFrame, existing: DataFrame | None, *, integration_key: str = "integration_id",
                  hash_key: str = "cdc_hash_key", surrogate_key: str | None = None,
                  order_by: Sequence[str] | None = None, run_ts: Column | None = None,
-                 inserted_at: str = "dbt_inserted_ts", updated_at: str = "dbt_updated_ts") -> DataFrame:
+                 inserted_at: str = "inserted_ts", updated_at: str = "updated_ts") -> DataFrame:
     """K4 ``get_scd_sql``: the change set to merge.
 
     inserts: integration ids absent from ``existing``, with new surrogate keys
@@ -53,9 +53,9 @@ def scd1_apply(source: DataFrame, existing: DataFrame | None, **kw) -> DataFrame
 def scd2_snapshot(history: DataFrame | None, source: DataFrame, keys: Sequence[str], *,
                   strategy: str = "check", check_cols: Sequence[str] | None = None,
                   updated_at: str | None = None, run_ts: Column | None = None,
-                  hard_deletes: str = "ignore", valid_from: str = "dbt_valid_from",
-                  valid_to: str = "dbt_valid_to", scd_id_col: str = "dbt_scd_id",
-                  updated_col: str = "dbt_updated_at", is_deleted: str = "dbt_is_deleted",
+                  hard_deletes: str = "ignore", valid_from: str = "valid_from",
+                  valid_to: str = "valid_to", scd_id_col: str = "scd_id",
+                  updated_col: str = "row_updated_at", is_deleted: str = "is_deleted",
                   current_flag: str | None = None, open_end: Column | None = None) -> DataFrame:
     """K11-K15 snapshot.
 

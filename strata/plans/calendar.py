@@ -64,7 +64,7 @@ def calendar_columns(base: DataFrame, ctx: RunContext = RunContext(), today=None
         F.when(wk_start == week_start(t, ws), "Y").otherwise("N").alias("current_week_flag"),
         F.when(month_start == F.trunc(t, "month"), "Y").otherwise("N").alias("current_month_flag"),
         F.when(year_start == F.trunc(t, "year"), "Y").otherwise("N").alias("current_year_flag"),
-        ctx.now().alias("dbt_insert_ts"), ctx.now().alias("dbt_last_update_ts"),
+        ctx.now().alias("insert_ts"), ctx.now().alias("last_update_ts"),
     )
 
 

@@ -178,7 +178,7 @@ def fact_order_line_pivot(cat, ctx: RunContext = RunContext(), lines: DataFrame
     p = fol.groupBy("supplier_key", "part_key").pivot("ship_year", years).agg(F.sum("quantity"))
     for y in years:
         p = p.withColumnRenamed(str(y), f"shipped_{y}")
-    return p.withColumn("dbt_last_update_ts", ctx.now())
+    return p.withColumn("last_update_ts", ctx.now())
 
 
 def fact_order_line_full_reload(cat, ctx: RunContext = RunContext(), orders: DataFrame | None = None,
@@ -201,7 +201,7 @@ def fact_order_line_full_reload(cat, ctx: RunContext = RunContext(), orders: Dat
                     F.coalesce(F.col("customer_key"), unk).alias("l_cust_wid"),
                     *[F.col(c) for c in li.columns], "eur_conversion_rate",
                     integration_key("l_orderkey", "l_linenumber").alias("integration_id"),
-                    ctx.now().alias("dbt_insert_ts"), ctx.now().alias("dbt_last_update_ts"))
+                    ctx.now().alias("insert_ts"), ctx.now().alias("last_update_ts"))
 
 
 # Dashboard trend labels (rising, falling, flat).

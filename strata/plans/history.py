@@ -141,7 +141,7 @@ def customers_snapshot(cat, ctx: RunContext = RunContext(), loads: int = 2, hard
         hist = scd2_snapshot(hist, customer_load(cat, i), ["customer_key"], strategy="check",
                              check_cols=["customer_name", "account_balance", "market_segment"],
                              run_ts=F.lit(LOAD_TS[i - 1]).cast("timestamp_ntz"), hard_deletes=hard_deletes,
-                             current_flag="dbt_current_flag")
+                             current_flag="current_flag")
     return hist
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.session import RunContext
-from strata.sources.standins import capacity_seed, override_seed, run_log
+from strata.sources.standins import BUILD_APP, capacity_seed, override_seed, run_log
 
 # Compute size -> (nodes, vCPUs), the reference's inline table.
 WAREHOUSE_SIZES = (
@@ -48,7 +48,7 @@ def _log_clock(log: DataFrame, ctx: RunContext) -> DataFrame:
 
 
 def query_history(cat, ctx: RunContext = RunContext(), existing: DataFrame | None = None,
-                  log: DataFrame | None = None) -> DataFrame:
+                  log: DataFrame | None = None, app: str = BUILD_APP) -> DataFrame:
     """Parsed run log.  The tag is parsed once into a VARIANT
     (``try_parse_json``, bad JSON -> null) and read with typed paths;
     the size lookup is a broadcast of the fixed 10-row table.  With
@@ -83,7 +83,7 @@ def query_history(cat, ctx: RunContext = RunContext(), existing: DataFrame | Non
         F.col("qh.bytes_scanned").alias("bytes_scanned"),
         F.col("qh.partitions_scanned").alias("partitions_scanned"),
     )
-    return out.where(F.col("app") == "dbt")
+    return out.where(F.col("app") == app)
 
 
 def capacity_assignment(cat, ctx: RunContext = RunContext(), history: DataFrame | None = None,

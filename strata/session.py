@@ -125,7 +125,7 @@ def today_frame(ctx: "RunContext", orders=None):
 
 AUDIT_COLUMNS = (
     "_loaded_at", "_updated_at", "processed_at", "last_updated", "extracted_at",
-    "dbt_inserted_ts", "dbt_updated_ts", "dbt_insert_ts", "dbt_last_update_ts",
+    "inserted_ts", "updated_ts", "insert_ts", "last_update_ts",
     "cdc_commit_ts", "_updated_ts",
 )
 

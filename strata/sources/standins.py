@@ -90,6 +90,9 @@ def read_seed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 # Compute sizes given to run-log rows by user_id % 4 (mixed case
 # on purpose: the reference upper-cases before its size lookup).
 RUN_LOG_SIZES = ("x-small", "Small", "MEDIUM", "large")
+# Application name the build tool puts in its query tags (the history keeps
+# only that application's queries).
+BUILD_APP = "build"
 
 
 def run_log(events: DataFrame) -> DataFrame:
@@ -100,7 +103,7 @@ def run_log(events: DataFrame) -> DataFrame:
     uid, v = F.col("user_id"), F.col("value")
     size = F.when(uid % 4 == 0, RUN_LOG_SIZES[0]).when(uid % 4 == 1, RUN_LOG_SIZES[1]) \
         .when(uid % 4 == 2, RUN_LOG_SIZES[2]).otherwise(RUN_LOG_SIZES[3])
-    app = F.when(F.col("event_type") == "error", "other").otherwise("dbt")
+    app = F.when(F.col("event_type") == "error", "other").otherwise(BUILD_APP)
     incr = (F.when(F.col("event_type").isin("click", "view"), "true")
             .when(F.col("event_type") == "signup", "false").otherwise("maybe"))
     target = F.concat(F.lit("db.analytics.model_"), (uid % 25).cast("string"))

@@ -155,12 +155,12 @@ def test_scd2_rerun_changes_nothing_and_reinstated_key_reopens(spark):
     h = scd2_snapshot(None, l1, ["customer_key"], run_ts=ts[0], **kw).checkpoint()
     h2 = scd2_snapshot(h, l2, ["customer_key"], run_ts=ts[1], **kw).checkpoint()
     again = scd2_snapshot(h2, l2, ["customer_key"], run_ts=ts[2], **kw)
-    cols = ["customer_key", "balance", "dbt_valid_from", "dbt_valid_to"]
+    cols = ["customer_key", "balance", "valid_from", "valid_to"]
     assert rows(again.select(*cols), *cols) == rows(h2.select(*cols), *cols)
     h3 = scd2_snapshot(h2, l3, ["customer_key"], run_ts=ts[3], **kw)
-    k3 = rows(h3.where("customer_key = 3").select("dbt_valid_from", "dbt_valid_to"), "dbt_valid_from")
+    k3 = rows(h3.where("customer_key = 3").select("valid_from", "valid_to"), "valid_from")
     assert len(k3) == 2 and k3[0][1] is not None and k3[1][1] is None
-    k1 = rows(h3.where("customer_key = 1").select("balance", "dbt_valid_to"), "balance")
+    k1 = rows(h3.where("customer_key = 1").select("balance", "valid_to"), "balance")
     assert k1[0][0] == 1.0 and k1[0][1] is not None and k1[1] == (1.5, None)
 
 
@@ -283,5 +283,5 @@ def test_as_of_join(spark):
 
 def test_refresh_scd_ids(spark):
     from strata.operators.keys import refresh_scd_ids
-    h = spark.createDataFrame([(4, dt.datetime(2024, 1, 1), "hash")], "k int, dbt_valid_from timestamp_ntz, dbt_scd_id string")
-    assert refresh_scd_ids(h, ["k"]).first()["dbt_scd_id"].startswith("4|2024-01-01")
+    h = spark.createDataFrame([(4, dt.datetime(2024, 1, 1), "hash")], "k int, valid_from timestamp_ntz, scd_id string")
+    assert refresh_scd_ids(h, ["k"]).first()["scd_id"].startswith("4|2024-01-01")

@@ -15,7 +15,7 @@ def _log(spark, rows):
                                        "objects_modified string")
 
 
-def _tag(target, incr, app="dbt"):
+def _tag(target, incr, app="build"):
     return f'{{"app": "{app}", "target_name": "{target}", "module_details": {{"is_incremental": "{incr}"}}}}'
 
 
