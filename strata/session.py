@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Delete reliable checkpoint files once their DataFrame is unreachable.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -41,6 +43,7 @@ CLUSTER_CONF = {
     "spark.sql.parquet.aggregatePushdown": "true",  # max(key) high-water marks from footers
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
