@@ -58,8 +58,8 @@ def rank_rows(df: DataFrame, order_by: Sequence[str], *, descending: Sequence[bo
               broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """Attach ranking columns to ``df`` (see module doc).
 
-    The per-(partition, group) summary has at most partitions x groups rows.
-    It is cached and counted; under ``broadcast_max_rows`` (the usual case:
+    The per-(partition, group) summary has at most partitions + groups rows
+    (groups are contiguous in the range order).  It is cached and counted; under ``broadcast_max_rows`` (the usual case:
     a global ranking, or groups such as nations or segments) it is broadcast,
     otherwise it is joined by shuffle on (partition id, group).
     """
