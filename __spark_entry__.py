@@ -567,20 +567,22 @@ cal AS (
     dayname(day_dt) AS day_of_week, monthname(day_dt) AS month, strftime(day_dt, '%Y') AS year,
     'Q' || CAST(quarter(day_dt) AS VARCHAR) AS quarter,
     CASE quarter(day_dt) WHEN 1 THEN 'First' WHEN 2 THEN 'Second' WHEN 3 THEN 'Third' ELSE 'Fourth' END AS quarter_name,
-    dayofmonth(day_dt) AS day_of_month_num, dayofweek(day_dt) + 1 AS day_of_week_num,
-    isodow(day_dt) AS day_of_week_iso_num,
+    CAST(dayofmonth(day_dt) AS INTEGER) AS day_of_month_num, CAST(dayofweek(day_dt) + 1 AS INTEGER) AS day_of_week_num,
+    CAST(isodow(day_dt) AS INTEGER) AS day_of_week_iso_num,
     CAST(floor((dayofyear(day_dt) - 1 + dayofweek(CAST(date_trunc('year', day_dt) AS DATE))) / 7) + 1 AS INTEGER)
       AS week_num,
-    week(day_dt) AS week_iso_num, month(day_dt) AS month_num, quarter(day_dt) AS quarter_num, year(day_dt) AS year_num,
-    isoyear(day_dt) AS year_of_week_iso_num,
+    CAST(week(day_dt) AS INTEGER) AS week_iso_num, CAST(month(day_dt) AS INTEGER) AS month_num,
+    CAST(quarter(day_dt) AS INTEGER) AS quarter_num, CAST(year(day_dt) AS INTEGER) AS year_num,
+    CAST(isoyear(day_dt) AS INTEGER) AS year_of_week_iso_num,
     CAST(date_trunc('year', day_dt) AS DATE) AS year_start_dt, make_date(year(day_dt), 12, 31) AS year_end_dt,
     CAST(date_trunc('month', day_dt) AS DATE) AS month_start_dt, last_day(day_dt) AS month_end_dt,
     CAST(day_dt - CAST(dayofweek(day_dt) AS INTEGER) AS DATE) AS week_start_dt,
     CAST(day_dt - CAST(dayofweek(day_dt) AS INTEGER) + 6 AS DATE) AS week_end_dt,
     CAST(day_dt - INTERVAL 12 MONTH AS DATE) AS year_ago_dt, CAST(day_dt - INTERVAL 1 MONTH AS DATE) AS month_ago_dt,
     CAST(day_dt - 7 AS DATE) AS week_ago_dt,
-    date_diff('day', CAST(date_trunc('year', day_dt) AS DATE), make_date(year(day_dt), 12, 31)) + 1 AS days_in_year,
-    date_diff('day', CAST(date_trunc('month', day_dt) AS DATE), last_day(day_dt)) + 1 AS days_in_month,
+    CAST(date_diff('day', CAST(date_trunc('year', day_dt) AS DATE), make_date(year(day_dt), 12, 31)) + 1 AS INTEGER)
+      AS days_in_year,
+    CAST(date_diff('day', CAST(date_trunc('month', day_dt) AS DATE), last_day(day_dt)) + 1 AS INTEGER) AS days_in_month,
     CASE WHEN day_dt = td.t THEN 'Y' ELSE 'N' END AS current_day_flag,
     CASE WHEN day_dt - CAST(dayofweek(day_dt) AS INTEGER) = td.t - CAST(dayofweek(td.t) AS INTEGER)
          THEN 'Y' ELSE 'N' END AS current_week_flag,
@@ -693,7 +695,7 @@ def oracle_sql() -> dict[str, str]:
                    CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS open_order_count
             FROM orders GROUP BY o_custkey""",
         "customer_clustering_ntile": _SEGMENTS_SQL + """,
-            cl AS (SELECT *, ntile(5) OVER (ORDER BY balance_percentile DESC, customer_key) - 1 AS ml_cluster FROM s),
+            cl AS (SELECT *, CAST(ntile(5) OVER (ORDER BY balance_percentile DESC, customer_key) - 1 AS INTEGER) AS ml_cluster FROM s),
             st AS (SELECT ml_cluster, avg(account_balance) AS center_balance, stddev_samp(account_balance) AS stddev_balance
                    FROM cl GROUP BY ml_cluster),
             sc AS (SELECT cl.*, abs(cl.account_balance - st.center_balance) / nullif(st.stddev_balance, 0) AS d
@@ -763,7 +765,7 @@ def oracle_sql() -> dict[str, str]:
             dm AS (
               SELECT order_date, order_year, order_month, order_quarter,
                 CAST(sum(CAST(total_order_value AS DECIMAL(38,6))) AS DOUBLE) AS daily_revenue,
-                sum(order_count) AS daily_orders, sum(unique_customers) AS daily_active_customers,
+                CAST(sum(order_count) AS BIGINT) AS daily_orders, CAST(sum(unique_customers) AS BIGINT) AS daily_active_customers,
                 avg(CAST(avg_order_value AS DECIMAL(38,10))) AS daily_avg_order_value,
                 CAST(sum(CAST(revenue_o_status AS DECIMAL(38,6))) AS DOUBLE) AS open_revenue,
                 CAST(sum(CAST(revenue_f_status AS DECIMAL(38,6))) AS DOUBLE) AS fulfilled_revenue,

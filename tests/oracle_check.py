@@ -41,6 +41,18 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
+def type_diffs(spark_schema, duck_description):
+    """Columns whose Spark type and DuckDB type differ."""
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+          for f in spark_schema.fields}
+    dt = {d[0]: str(d[1]) for d in duck_description}
+    return [(c, st[c], dt.get(c)) for c in st if st[c] != dt.get(c)]
+
+
 def rows_of(columns, records):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(columns), Counter(tuple(norm(r[i]) for i in order) for r in records)
@@ -80,10 +92,11 @@ def main():
         d_cols = [d[0] for d in rel.description]
         d_rows = rel.fetchall()
         d_cols, d_set = rows_of(d_cols, d_rows)
-        ok = s_cols == d_cols and len(s_rows) == len(d_rows) and s_set == d_set
+        tdiff = type_diffs(df.schema, rel.description)
+        ok = s_cols == d_cols and len(s_rows) == len(d_rows) and s_set == d_set and not tdiff
         bad += not ok
         print(f"{name:40s} spark={len(s_rows):7d} duck={len(d_rows):7d} cols={'ok' if s_cols == d_cols else 'DIFF'} "
-              f"values={'ok' if s_set == d_set else 'DIFF'} {t1-t0:.1f}s")
+              f"types={'ok' if not tdiff else tdiff} values={'ok' if s_set == d_set else 'DIFF'} {t1-t0:.1f}s")
         if s_cols != d_cols:
             print("   spark:", s_cols, "\n   duck: ", d_cols)
         elif s_set != d_set:

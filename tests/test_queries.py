@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
-from tests.oracle_check import duck, rows_of
+from tests.oracle_check import duck, rows_of, type_diffs
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
@@ -32,6 +32,7 @@ def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
     s_cols, s_set = rows_of(df.columns, [tuple(r) for r in df.collect()])
     rel = con.execute(ORACLE[name])
+    assert type_diffs(df.schema, rel.description) == []
     d_cols, d_set = rows_of([d[0] for d in rel.description], rel.fetchall())
     assert s_cols == d_cols
     assert s_set == d_set
