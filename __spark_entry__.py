@@ -102,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_order_line_full_reload": _q(gold.fact_order_line_full_reload),
         "executive_dashboard": _q(gold.executive_dashboard),
         "dim_customers_hashed": _q(_drop("cdc_hash_key")(history.dim_customers_hashed)),
+        "dim_customers_scd1_changes": _q(_drop("cdc_hash_key")(history.dim_customers_scd1_changes)),
         "dim_customers_macro_example": _q(_drop("cdc_hash_key")(history.dim_customers_macro_example)),
         "dim_orders_macro_example": _q(_drop("cdc_hash_key")(history.dim_orders_macro_example)),
         "customer_cdc_stream": _q(history.customer_cdc_stream),
@@ -605,8 +606,34 @@ v AS (
   FROM feed WHERE cdc_change_type <> 'UPDATE_BEFORE')
 SELECT * FROM v"""
 
+_SCD1_CHANGES = "WITH " + _LOADS + """,
+oc AS (SELECT o_custkey AS customer_key, count(*) AS order_count,
+              CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS open_order_count
+       FROM orders GROUP BY o_custkey),
+s1 AS (SELECT l1.customer_key, customer_name, nation_key, account_balance, market_segment,
+              CASE WHEN order_count > 0 THEN 'Y' ELSE 'N' END AS has_orders_flag,
+              CASE WHEN open_order_count > 0 THEN 'Y' ELSE 'N' END AS has_open_orders_flag,
+              order_count, open_order_count, CAST(l1.customer_key AS VARCHAR) AS integration_id
+       FROM l1 LEFT JOIN oc ON l1.customer_key = oc.customer_key),
+d1 AS (SELECT *, row_number() OVER (ORDER BY customer_key) AS customer_surrogate_key FROM s1),
+s2 AS (SELECT l2.customer_key, customer_name, nation_key, account_balance, market_segment,
+              CASE WHEN order_count > 0 THEN 'Y' ELSE 'N' END AS has_orders_flag,
+              CASE WHEN open_order_count > 0 THEN 'Y' ELSE 'N' END AS has_open_orders_flag,
+              order_count, open_order_count, CAST(l2.customer_key AS VARCHAR) AS integration_id
+       FROM l2 LEFT JOIN oc ON l2.customer_key = oc.customer_key),
+ins AS (SELECT s2.*, (SELECT max(customer_surrogate_key) FROM d1) + row_number() OVER (ORDER BY customer_key)
+                     AS customer_surrogate_key
+        FROM s2 WHERE integration_id NOT IN (SELECT integration_id FROM d1)),
+upd AS (SELECT s2.*, d1.customer_surrogate_key
+        FROM s2 JOIN d1 ON s2.integration_id = d1.integration_id
+        WHERE s2.customer_name IS DISTINCT FROM d1.customer_name OR s2.nation_key IS DISTINCT FROM d1.nation_key
+           OR s2.account_balance IS DISTINCT FROM d1.account_balance
+           OR s2.market_segment IS DISTINCT FROM d1.market_segment)
+SELECT * FROM ins UNION ALL SELECT * FROM upd"""
+
 _REPORT_SQL = {
     "quality_summary": _QUALITY,
+    "dim_customers_scd1_changes": _SCD1_CHANGES,
     "stg_fx_rates": "WITH " + _FX + " SELECT rate_date, base_currency, quote_currency, exchange_rate FROM fx",
     "customers_stream_snapshot": _STREAM_SNAP,
     "lineitem_duplicate_keys": """

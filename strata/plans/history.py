@@ -20,8 +20,8 @@ from strata.session import RunContext, today_frame
 LOAD_TS = (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3))
 
 
-def _scd_customer_source(cat, ctx: RunContext, hash_flags: bool) -> DataFrame:
-    c = staging.stg_customers(cat, ctx).drop("_loaded_at")
+def _scd_customer_source(cat, ctx: RunContext, hash_flags: bool, customers: DataFrame | None = None) -> DataFrame:
+    c = customers if customers is not None else staging.stg_customers(cat, ctx).drop("_loaded_at")
     o = silver.int_customers_with_orders(cat, ctx)
     j = c.join(o, "customer_key", "left")
     has_o = F.when(F.col("order_count") > 0, "Y").otherwise("N")
@@ -263,3 +263,16 @@ def customers_stream_snapshot(cat, ctx: RunContext = RunContext(), loads: int =
         hist = scd2_snapshot(hist, stream_snapshot_source(customer_change_feed(cat, ctx, i - 1, i)), ["c_custkey"],
                              strategy="timestamp", updated_at="c_last_update_date")
     return hist
+
+
+def dim_customers_scd1_changes(cat, ctx: RunContext = RunContext(), hash_flags: bool = False) -> DataFrame:
+    """K4 change set of the second customer load against the first version
+    of the hash-detected dimension: new integration ids with surrogate keys
+    above the stored maximum, and changed rows (hash differs) keeping their
+    surrogate key and first-insert stamp.  Unchanged rows are absent."""
+    from strata.operators.scd import scd1_changes
+    first = dim_customers_hashed(cat, ctx, hash_flags=hash_flags)
+    src2 = _scd_customer_source(cat, ctx, hash_flags, customers=customer_load(cat, 2))
+    return scd1_changes(src2, first, integration_key="integration_id", hash_key="cdc_hash_key",
+                        surrogate_key="customer_surrogate_key", order_by=["customer_key"],
+                        run_ts=F.lit(LOAD_TS[1]).cast("timestamp_ntz"))
