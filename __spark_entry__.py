@@ -110,6 +110,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_customer_changes": _q(history.dim_customer_changes),
         "customers_snapshot_scd2": _q(history.customers_snapshot),
         "customers_snapshot_three_loads": _q(lambda cat, ctx: history.customers_snapshot(cat, ctx, loads=3)),
+        "customers_snapshot_new_record": _q(lambda cat, ctx: history.customers_snapshot(cat, ctx,
+                                                                                      hard_deletes="new_record")),
         "customers_stream_snapshot": _q(history.customers_stream_snapshot),
         "customer_dim_load": _q(lambda cat, ctx: history.customer_dim_load(cat, ctx)[0]),
         "customer_dim_load_counts": _q(lambda cat, ctx: history.customer_dim_load(cat, ctx)[1]),
@@ -843,6 +845,22 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT l2.*, {_T2}, {_T2}, CAST(NULL AS TIMESTAMP), CAST(customer_key AS VARCHAR) || '|2024-01-02 00:00:00', true
             FROM l2 WHERE customer_key IN (SELECT customer_key FROM chg) OR customer_key NOT IN (SELECT customer_key FROM l1)""",
+        "customers_snapshot_new_record": "WITH " + _LOADS + f"""
+            SELECT l1.*, {_T1} AS valid_from, {_T1} AS row_updated_at, false AS is_deleted,
+              CAST(NULL AS TIMESTAMP) AS valid_to,
+              CAST(customer_key AS VARCHAR) || '|2024-01-01 00:00:00' AS scd_id, true AS current_flag
+            FROM l1 WHERE customer_key IN (SELECT customer_key FROM l2) AND customer_key NOT IN (SELECT customer_key FROM chg)
+            UNION ALL
+            SELECT l1.*, {_T1}, {_T1}, false, {_T2}, CAST(customer_key AS VARCHAR) || '|2024-01-01 00:00:00', false
+            FROM l1 WHERE customer_key IN (SELECT customer_key FROM chg) OR customer_key NOT IN (SELECT customer_key FROM l2)
+            UNION ALL
+            SELECT l2.*, {_T2}, {_T2}, false, CAST(NULL AS TIMESTAMP),
+              CAST(customer_key AS VARCHAR) || '|2024-01-02 00:00:00', true
+            FROM l2 WHERE customer_key IN (SELECT customer_key FROM chg) OR customer_key NOT IN (SELECT customer_key FROM l1)
+            UNION ALL
+            SELECT l1.*, {_T2}, {_T2}, true, CAST(NULL AS TIMESTAMP),
+              CAST(customer_key AS VARCHAR) || '|2024-01-02 00:00:00', true
+            FROM l1 WHERE customer_key NOT IN (SELECT customer_key FROM l2)""",
         "customers_snapshot_three_loads": "WITH " + _LOADS + f"""
             SELECT l1.*, {_T1} AS valid_from, {_T1} AS row_updated_at, CAST(NULL AS TIMESTAMP) AS valid_to,
               CAST(customer_key AS VARCHAR) || '|2024-01-01 00:00:00' AS scd_id, true AS current_flag
