@@ -68,3 +68,23 @@ def test_versioned_table_commits(spark, tmp_dir):
     assert t.version() == 2 and t.last_batch_id() == 1 and t.read().count() == 5
     t.vacuum(keep=1)
     assert t.read().count() == 5
+
+
+def test_upsert_stream_into_versioned_table(spark, tmp_dir):
+    from strata.streaming.sinks import VersionedTable
+    from strata.streaming.upserts import start_upsert_stream, upsert_batch
+    src, root = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "table")
+    schema = "k long, status string"
+    spark.createDataFrame([(1, "O"), (2, "O")], schema).write.mode("append").parquet(src)
+    q = start_upsert_stream(spark, src, spark.createDataFrame([], schema).schema, root, ["k"],
+                            os.path.join(tmp_dir, "ck"))
+    q.awaitTermination()
+    spark.createDataFrame([(2, "F"), (3, "O")], schema).write.mode("append").parquet(src)
+    q = start_upsert_stream(spark, src, spark.createDataFrame([], schema).schema, root, ["k"],
+                            os.path.join(tmp_dir, "ck"))
+    q.awaitTermination()
+    t = VersionedTable(spark, root)
+    assert sorted(tuple(r) for r in t.read().collect()) == [(1, "O"), (2, "F"), (3, "O")]
+    v = t.version()
+    upsert_batch(spark.createDataFrame([(1, "X")], schema), 1, table=t, keys=["k"])  # replayed batch id
+    assert t.version() == v and sorted(tuple(r) for r in t.read().collect())[0] == (1, "O")
