@@ -92,9 +92,14 @@ def rank_rows(df: DataFrame, order_by: Sequence[str], *, descending: Sequence[bo
         _PID, *partition_by, _FIRST,
         F.coalesce(F.sum(_CNT).over(w_prev), F.lit(0)).alias(_OFF),
         F.sum(_CNT).over(w_all).alias(prefix + "group_count"))
-    summary = summary.cache()  # small; recomputed from the checkpoint if lost
-    if summary.count() <= broadcast_max_rows:
-        summary = F.broadcast(summary)
+    if not partition_by:
+        # One row per partition: bounded by the partition count, no check needed.
+        if n_parts <= broadcast_max_rows:
+            summary = F.broadcast(summary)
+    else:
+        summary = summary.cache()  # small; recomputed from the checkpoint if lost
+        if summary.count() <= broadcast_max_rows:
+            summary = F.broadcast(summary)
     s = summary.alias("__s")
     r = ranged.alias("__r")
     cond = [F.col(f"__r.{_PID}") == F.col(f"__s.{_PID}")]
