@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.plans import gold, history, ml, reports, runlog, silver, staging, tpch
 from strata.plans.calendar import data_calendar
+from strata.plans.model_tests import model_test_summary
 from strata.session import RunContext, ensure_checkpoint_dir, without_audit
 from strata.sources.tables import Catalog
 
@@ -135,6 +136,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "e2e_assertions": _q(reports.e2e_assertions),
         "dim_calendar_day": _q(data_calendar),
         "dim_customers_share": _q(gold.dim_customers_share),
+        "model_test_summary": _q(model_test_summary),
         # Iterative fit (no SQL form): checked for invariants in tests/test_ml.py.
         "customer_clustering_kmeans": _q(ml.customer_clustering_kmeans),
     }
@@ -683,8 +685,35 @@ _REPORT_SQL = {
 }
 
 
+def _model_tests_sql(sqls: dict[str, str]) -> str:
+    """The declared model tests evaluated by DuckDB over its own versions of
+    the datasets (the oracle SQL above), one materialized CTE per dataset."""
+    from strata.plans.model_tests import MODEL_TESTS, check_name, row_predicate_sql
+    needed = set(MODEL_TESTS) | {arg[0] for tests in MODEL_TESTS.values() for _, k, arg in tests if k == "fk"}
+    ctes = [f"m_{n} AS MATERIALIZED ({sqls[n]})" for n in sorted(needed)]
+    parts = []
+    for model, tests in MODEL_TESTS.items():
+        for column, kind, arg in tests:
+            pred = row_predicate_sql(column, kind, arg)
+            if pred is not None:
+                cnt = f"SELECT count(*) FROM m_{model} WHERE {pred}"
+            elif kind in ("unique", "unique_combination"):
+                cols = column if kind == "unique" else ", ".join(arg)
+                cnt = f"SELECT count(*) FROM (SELECT {cols} FROM m_{model} GROUP BY {cols} HAVING count(*) > 1)"
+            else:  # fk
+                parent, pcol = arg
+                cnt = (f"SELECT count(*) FROM m_{model} WHERE {column} IS NOT NULL AND {column} NOT IN "
+                       f"(SELECT {pcol} FROM m_{parent} WHERE {pcol} IS NOT NULL)")
+            col = column if column is not None else (",".join(arg) if kind == "unique_combination" else None)
+            col_sql = f"'{col}'" if col is not None else "CAST(NULL AS VARCHAR)"
+            parts.append(f"SELECT '{check_name(model, column, kind, arg)}' AS check_name, '{model}' AS model, "
+                         f"{col_sql} AS column_name, 'error' AS severity, CAST(({cnt}) AS BIGINT) AS failures")
+    return ("WITH " + ",\n".join(ctes) + "\nSELECT *, CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status"
+            " FROM (" + "\nUNION ALL ".join(parts) + ")")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {
+    sqls = {
         "stg_regions": "SELECT r_regionkey AS region_key, r_name AS region_name FROM region",
         "stg_nations": "SELECT n_nationkey AS nation_key, n_name AS nation_name, n_regionkey AS region_key FROM nation",
         "stg_customers": """
@@ -931,3 +960,5 @@ def oracle_sql() -> dict[str, str]:
         **_RUNLOG_SQL,
         **_REPORT_SQL,
     }
+    sqls["model_test_summary"] = _model_tests_sql(sqls)
+    return sqls
