@@ -700,6 +700,9 @@ def _model_tests_sql(sqls: dict[str, str]) -> str:
             elif kind in ("unique", "unique_combination"):
                 cols = column if kind == "unique" else ", ".join(arg)
                 cnt = f"SELECT count(*) FROM (SELECT {cols} FROM m_{model} GROUP BY {cols} HAVING count(*) > 1)"
+            elif kind == "primary_key":
+                cnt = (f"SELECT count(*) FROM (SELECT {column} FROM m_{model} GROUP BY {column} "
+                       f"HAVING {column} IS NULL OR count(*) > 1)")
             else:  # fk
                 parent, pcol = arg
                 cnt = (f"SELECT count(*) FROM m_{model} WHERE {column} IS NOT NULL AND {column} NOT IN "

@@ -8,6 +8,7 @@ into one aggregate pass).  Tests on wall-clock audit columns are left out
 names differently.
 
 Notation: (column, kind, argument) with kinds ``not_null``, ``unique``,
+``primary_key`` (not null and unique),
 ``values`` (accepted values), ``expr`` (column-level expression appended to
 the column), ``range`` (inclusive min, max), ``not_empty``, ``positive``,
 ``fk`` (dataset, column); table-level tests use column None with ``expr``
@@ -34,7 +35,51 @@ FLAG_VALUES = ("Y", "N")
 VALUE_SEGMENT_VALUES = ("High Value", "Medium Value", "Standard")
 STATUS_DESC_VALUES = ("Open", "Fulfilled", "Partial", "Unknown")
 
+STAGED_STATUS_VALUES = ("OPEN", "FULFILLED", "PARTIAL", "UNKNOWN")
+DATA_QUALITY_VALUES = ("VALID", "INVALID_NAME", "NEGATIVE_BALANCE")
+CHANGE_ACTION_VALUES = ("INSERT", "UPDATE", "DELETE")
+
 MODEL_TESTS: dict[str, list[tuple]] = {
+    "stg_nations": [
+        ("nation_key", "primary_key", None), ("nation_name", "not_null", None), ("nation_name", "unique", None),
+        ("region_key", "not_null", None), ("region_key", "fk", ("stg_regions", "region_key"))],
+    "stg_regions": [("region_name", "not_null", None), ("region_name", "unique", None)],
+    "stg_customers": [
+        ("customer_key", "primary_key", None), ("customer_name", "not_null", None), ("nation_key", "not_null", None),
+        ("nation_key", "fk", ("stg_nations", "nation_key")), ("account_balance", "not_null", None),
+        ("market_segment", "not_null", None), ("market_segment", "values", MARKET_SEGMENTS)],
+    "stg_orders": [
+        ("order_key", "primary_key", None), ("customer_key", "not_null", None),
+        ("customer_key", "fk", ("stg_customers", "customer_key")), ("order_status", "not_null", None),
+        ("order_status", "values", ORDER_STATUSES), ("total_price", "not_null", None),
+        ("total_price", "expr", ">= 0"), ("order_date", "not_null", None), ("order_priority", "not_null", None)],
+    "stg_customers_with_tests": [
+        ("c_custkey", "primary_key", None), ("c_name", "not_null", None), ("data_quality_flag", "not_null", None),
+        ("data_quality_flag", "values", DATA_QUALITY_VALUES)],
+    "stg_lineitem": [
+        ("order_key", "not_null", None), ("order_key", "fk", ("stg_orders", "order_key")),
+        ("line_number", "not_null", None), ("line_number", "expr", ">= 1"), ("part_key", "not_null", None),
+        ("supplier_key", "not_null", None), ("quantity", "not_null", None), ("quantity", "expr", "> 0"),
+        ("extended_price", "not_null", None), ("extended_price", "expr", "> 0"), ("discount", "not_null", None),
+        ("discount", "range", (0, 1)), ("tax", "not_null", None), ("tax", "expr", ">= 0"),
+        ("return_flag", "not_null", None), ("return_flag", "values", RETURN_FLAGS),
+        ("line_status", "not_null", None), ("line_status", "values", LINE_STATUSES),
+        ("ship_date", "not_null", None), ("commit_date", "not_null", None), ("receipt_date", "not_null", None),
+        (None, "unique_combination", ("order_key", "line_number"))],
+    "stg_fx_rates": [
+        ("rate_date", "not_null", None), ("base_currency", "not_null", None), ("base_currency", "not_empty", None),
+        ("quote_currency", "not_null", None), ("quote_currency", "not_empty", None),
+        ("exchange_rate", "not_null", None),
+        (None, "unique_combination", ("rate_date", "base_currency", "quote_currency"))],
+    "stg_orders_incremental": [
+        ("o_orderkey", "primary_key", None), ("o_custkey", "not_null", None),
+        ("o_custkey", "fk", ("stg_customers", "customer_key")), ("o_orderstatus", "not_null", None),
+        ("o_orderstatus", "values", ORDER_STATUSES), ("o_totalprice", "not_null", None),
+        ("o_totalprice", "expr", ">= 0"), ("o_orderdate", "not_null", None), ("order_status_desc", "not_null", None),
+        ("order_status_desc", "values", STAGED_STATUS_VALUES), ("processing_type", "not_null", None)],
+    "customer_cdc_stream": [
+        ("customer_key", "primary_key", None), ("cdc_change_type", "not_null", None),
+        ("cdc_change_type", "values", CHANGE_ACTION_VALUES)],
     "clean_nations": [
         ("nation_key", "not_null", None), ("nation_key", "unique", None), ("nation_name", "not_null", None),
         ("nation_name", "unique", None), ("region_key", "not_null", None), ("name_length", "not_null", None),
@@ -159,7 +204,7 @@ MODEL_TESTS: dict[str, list[tuple]] = {
 
 
 def _builders():
-    from strata.plans import staging
+    from strata.plans import history, staging
     return {
         "clean_nations": silver.clean_nations, "int_customers_with_orders": silver.int_customers_with_orders,
         "customer_segments": silver.customer_segments, "lookup_exchange_rates": silver.lookup_exchange_rates,
@@ -173,6 +218,10 @@ def _builders():
         "fct_order_lines": gold.fct_order_lines, "executive_dashboard": gold.executive_dashboard,
         "fact_order_line_full_reload": gold.fact_order_line_full_reload,
         "fact_order_line_pivot": gold.fact_order_line_pivot, "stg_nations": staging.stg_nations,
+        "stg_regions": staging.stg_regions, "stg_customers": staging.stg_customers, "stg_orders": staging.stg_orders,
+        "stg_customers_with_tests": staging.stg_customers_with_tests, "stg_lineitem": staging.stg_lineitem,
+        "stg_fx_rates": staging.stg_fx_rates, "stg_orders_incremental": staging.stg_orders_incremental,
+        "customer_cdc_stream": history.customer_cdc_stream,
     }
 
 
@@ -241,6 +290,8 @@ def model_checks(cat, ctx: RunContext = RunContext(), models: list[str] | None =
                 checks.append(Q.row_check(name, model, df, F.expr(pred), column))
             elif kind == "unique":
                 checks.append(Q.frame_check(name, model, df, lambda d, c=column: Q.unique(d, c), column))
+            elif kind == "primary_key":
+                checks.append(Q.frame_check(name, model, df, lambda d, c=column: Q.primary_key(d, c), column))
             elif kind == "unique_combination":
                 checks.append(Q.frame_check(name, model, df, lambda d, cs=arg: Q.unique(d, *cs), ",".join(arg)))
             elif kind == "fk":
