@@ -14,8 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from strata.plans import gold, silver, staging
-from strata.session import RunContext, without_audit
+from strata.plans import calendar, gold, silver, staging
+from strata.session import RunContext
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("batch_id", T.StringType()), T.StructField("step", T.StringType()),
@@ -23,17 +23,60 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("ended_at", T.TimestampNTZType()), T.StructField("status", T.StringType()),
     T.StructField("rows_written", T.LongType()), T.StructField("error_message", T.StringType())])
 
-# (layer, name, builder, names of steps it needs)
+def _limit(ctx: RunContext):
+    return ctx.extras.get("sample_limit")
+
+
+def _no_ghost(cal: DataFrame) -> DataFrame:
+    from pyspark.sql import functions as F
+    return cal.where(F.col("day_key") != 0)
+
+
+# (layer, name, builder(cat, ctx, inputs), names of steps it needs).  A step
+# reads its upstream datasets back from their written tables (``inputs``), as
+# a layered warehouse build does, so shared work (ranked segments, the
+# dimensions, the line facts) is computed once.
 STEPS: list[tuple[str, str, Callable, tuple[str, ...]]] = [
-    ("bronze", "stg_customers", staging.stg_customers, ()),
-    ("bronze", "stg_orders", staging.stg_orders, ()),
-    ("bronze", "stg_lineitem", staging.stg_lineitem, ()),
-    ("silver", "customer_segments", silver.customer_segments, ("stg_customers",)),
-    ("silver", "order_facts", silver.order_facts, ("stg_orders",)),
-    ("gold", "dim_customers", gold.dim_customers, ("stg_customers", "stg_orders")),
-    ("gold", "dim_orders", gold.dim_orders, ("dim_customers",)),
-    ("gold", "customer_insights", gold.customer_insights, ("customer_segments",)),
-    ("gold", "fct_order_lines", gold.fct_order_lines, ("dim_orders", "stg_lineitem")),
+    ("bronze", "stg_regions", lambda c, x, i: staging.stg_regions(c, x), ()),
+    ("bronze", "stg_nations", lambda c, x, i: staging.stg_nations(c, x), ()),
+    ("bronze", "stg_customers", lambda c, x, i: staging.stg_customers(c, x, sample_limit=_limit(x)), ()),
+    ("bronze", "stg_orders", lambda c, x, i: staging.stg_orders(c, x, sample_limit=_limit(x)), ()),
+    ("bronze", "stg_lineitem", lambda c, x, i: staging.stg_lineitem(c, x), ()),
+    ("bronze", "stg_fx_rates", lambda c, x, i: staging.stg_fx_rates(c, x), ()),
+    ("bronze", "stg_customers_with_tests", lambda c, x, i: staging.stg_customers_with_tests(c, x), ()),
+    ("bronze", "stg_orders_incremental",
+     lambda c, x, i: staging.stg_orders_incremental(c, x, sample_limit=_limit(x)), ()),
+    ("silver", "int_customers_with_orders", lambda c, x, i: silver.int_customers_with_orders(c, x), ()),
+    ("silver", "customer_segments", lambda c, x, i: silver.customer_segments(c, x), ()),
+    ("silver", "customer_clustering",
+     lambda c, x, i: silver.customer_clustering_ntile(c, x, segments=i["customer_segments"]), ("customer_segments",)),
+    ("silver", "order_facts_dynamic",
+     lambda c, x, i: silver.order_facts(c, x, orders=i["stg_orders_incremental"]), ("stg_orders_incremental",)),
+    ("silver", "clean_nations", lambda c, x, i: silver.clean_nations(c, x), ()),
+    ("silver", "int_fx_rates_daily", lambda c, x, i: silver.int_fx_rates_daily(c, x, rates=i["stg_fx_rates"]),
+     ("stg_fx_rates",)),
+    ("gold", "dim_calendar_day", lambda c, x, i: calendar.data_calendar(c, x), ()),
+    ("silver", "lookup_exchange_rates",
+     lambda c, x, i: silver.lookup_exchange_rates(c, x, calendar=_no_ghost(i["dim_calendar_day"])),
+     ("dim_calendar_day",)),
+    ("gold", "nation_summary", lambda c, x, i: gold.nation_summary(c, x), ()),
+    ("gold", "dim_customers", lambda c, x, i: gold.dim_customers(c, x), ()),
+    ("gold", "dim_orders", lambda c, x, i: gold.dim_orders(c, x, customers=i["dim_customers"]), ("dim_customers",)),
+    ("gold", "dim_current_year_orders",
+     lambda c, x, i: gold.dim_current_year_orders(c, x, orders=i["dim_orders"]), ("dim_orders",)),
+    ("gold", "customer_insights",
+     lambda c, x, i: gold.customer_insights(c, x, segments=i["customer_segments"]), ("customer_segments",)),
+    ("gold", "fct_order_lines", lambda c, x, i: gold.fct_order_lines(c, x, orders=i["dim_orders"]), ("dim_orders",)),
+    ("gold", "fct_order_lines_by_supplier_month",
+     lambda c, x, i: gold.fct_order_lines_by_supplier_month(c, x, lines=i["fct_order_lines"]), ("fct_order_lines",)),
+    ("gold", "fact_order_line_pivot", lambda c, x, i: gold.fact_order_line_pivot(c, x), ()),
+    ("gold", "fact_order_line_full_reload",
+     lambda c, x, i: gold.fact_order_line_full_reload(c, x, orders=i["dim_orders"],
+                                                      rates=i["lookup_exchange_rates"]),
+     ("dim_orders", "lookup_exchange_rates")),
+    ("gold", "executive_dashboard", lambda c, x, i: gold.executive_dashboard(c, x, facts=i["order_facts_dynamic"]),
+     ("order_facts_dynamic",)),
+    ("gold", "dim_customers_share", lambda c, x, i: gold.dim_customers_share(c, x), ()),
 ]
 
 
@@ -43,6 +86,7 @@ def build(cat, ctx: RunContext, out_root: str, audit_path: str, batch_id: str,
     spark = cat.spark
     write = write or (lambda df, path: df.write.mode("overwrite").parquet(path))
     failed: set[str] = set()
+    written: dict[str, str] = {}
     audit = []
     for layer, name, fn, needs in steps:
         start = _dt.datetime.now()
@@ -53,7 +97,9 @@ def build(cat, ctx: RunContext, out_root: str, audit_path: str, batch_id: str,
             failed.add(name)
             continue
         try:
-            write(without_audit(fn(cat, ctx)), path)
+            inputs = {n: spark.read.parquet(written[n]) for n in needs}
+            write(fn(cat, ctx, inputs), path)
+            written[name] = path
             n = spark.read.parquet(path).count()  # row count from the written files
             audit.append((batch_id, name, layer, start, _dt.datetime.now(), "SUCCESS", n, None))
         except Exception as e:
@@ -63,3 +109,32 @@ def build(cat, ctx: RunContext, out_root: str, audit_path: str, batch_id: str,
     rows = spark.createDataFrame(audit, AUDIT_SCHEMA)
     rows.write.mode("append").parquet(audit_path)
     return spark.read.parquet(audit_path).where(f"batch_id = '{batch_id}'")
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Command line: ``python -m strata.plans.layered_build --data DIR --out
+    DIR [--limit N] [--as-of YYYY-MM-DD]``.  Uses the session of the
+    submitting cluster when one is configured (``spark-submit``), else a
+    local one."""
+    import argparse
+    import uuid
+    from pyspark.sql import SparkSession
+    from strata.session import build_session, ensure_checkpoint_dir
+    from strata.sources.tables import Catalog
+    ap = argparse.ArgumentParser(description="layered build with audit rows")
+    ap.add_argument("--data", required=True)
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--limit", type=int, default=None, help="sample mode: rows read from customers and orders")
+    ap.add_argument("--as-of", default=None, help="run date; default: latest order date in the data")
+    ap.add_argument("--batch-id", default=None)
+    a = ap.parse_args(argv)
+    spark = SparkSession.getActiveSession() or build_session()
+    ensure_checkpoint_dir(spark)
+    ctx = RunContext(as_of=_dt.date.fromisoformat(a.as_of) if a.as_of else None, data_clock=a.as_of is None,
+                     extras={"sample_limit": a.limit})
+    rows = build(Catalog(spark, a.data), ctx, a.out, a.out.rstrip("/") + "/_audit", a.batch_id or uuid.uuid4().hex)
+    rows.orderBy("started_at").show(len(STEPS), truncate=False)
+
+
+if __name__ == "__main__":
+    main()

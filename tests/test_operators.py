@@ -249,9 +249,9 @@ def test_layered_build_audit(spark, tmp_dir):
 
     def boom(cat, ctx):
         raise ValueError("broken step")
-    steps = [("bronze", "stg_customers", lambda c, x: c.customer, ()),
-             ("silver", "bad", boom, ("stg_customers",)),
-             ("gold", "after_bad", lambda c, x: c.customer, ("bad",))]
+    steps = [("bronze", "stg_customers", lambda c, x, i: c.customer, ()),
+             ("silver", "bad", lambda c, x, i: boom(c, x), ("stg_customers",)),
+             ("gold", "after_bad", lambda c, x, i: c.customer, ("bad",))]
     audit = {r["step"]: r for r in build(cat, RunContext(), os.path.join(tmp_dir, "out"),
                                          os.path.join(tmp_dir, "audit"), "b1", steps).collect()}
     assert audit["stg_customers"]["status"] == "SUCCESS" and audit["stg_customers"]["rows_written"] == 150
@@ -259,6 +259,19 @@ def test_layered_build_audit(spark, tmp_dir):
     assert audit["after_bad"]["status"] == "SKIPPED"
 
 
+def test_full_layered_build(spark, tmp_dir):
+    import os
+    from strata.plans.layered_build import STEPS, build
+    from strata.session import RunContext
+    from strata.sources.tables import Catalog
+    from tests.conftest import SF_SMALL
+    out = os.path.join(tmp_dir, "wh")
+    rows = build(Catalog(spark, SF_SMALL), RunContext(data_clock=True), out, os.path.join(tmp_dir, "audit"), "b2")
+    got = {r["step"]: r for r in rows.collect()}
+    assert set(got) == {s[1] for s in STEPS} and all(r["status"] == "SUCCESS" for r in got.values())
+    assert got["stg_customers"]["rows_written"] == 150 and got["fct_order_lines"]["rows_written"] == 6000
+
+
 def test_sampling(spark):
     from strata.operators.sampling import one_random_row, percent_sample
     df = spark.range(20000).withColumnRenamed("id", "k")
