@@ -221,13 +221,33 @@ def classify_label(text_col, labels=GOVERNMENT_TYPES, default: str = "OTHER"):
     return expr.otherwise(F.lit(default)) if expr is not None else F.lit(default)
 
 
-def clean_nations(cat, ctx: RunContext = RunContext(), existing: DataFrame | None = None) -> DataFrame:
+def model_classifier(predict, labels=GOVERNMENT_TYPES, default: str = "OTHER"):
+    """M3 hook for a user's model: ``predict`` maps a pandas Series of texts
+    to a Series of labels and runs inside Arrow-batched pandas UDF tasks (the
+    model is shipped to the executors once per task, never to the driver's
+    data).  Labels outside ``labels`` become ``default``."""
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+    allowed = set(labels)
+
+    def _classify(texts):
+        out = pd.Series(predict(texts.fillna("")), index=texts.index).astype(object)
+        return out.where(out.isin(allowed), default)
+
+    # Real annotation objects: this module postpones annotations to strings.
+    _classify.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    return pandas_udf(_classify, "string")
+
+
+def clean_nations(cat, ctx: RunContext = RunContext(), existing: DataFrame | None = None,
+                  classifier=None) -> DataFrame:
     """Trim/upper nation names, name length, government type; on later runs
     only nations not yet present (left_anti, J11), to be merged by key."""
     n = staging.stg_nations(cat, ctx)
     out = n.select("nation_key", F.upper(F.trim("nation_name")).alias("nation_name"), "region_key",
                    F.length("nation_name").alias("name_length"),
-                   classify_label(F.col("nation_name")).alias("government_type"),
+                   (classifier(F.col("nation_name")) if classifier is not None
+                    else classify_label(F.col("nation_name"))).alias("government_type"),
                    ctx.now().alias("processed_at"))
     if existing is not None:
         out = out.join(existing.select("nation_key"), "nation_key", "left_anti")

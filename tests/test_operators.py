@@ -343,3 +343,30 @@ def test_surrogate_hash_key_is_stable_and_null_safe(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (None, "a")], "x int, y string")
     keys = [r[0] for r in df.select(surrogate_hash_key("x", "y")).collect()]
     assert len(set(keys)) == 3 and all(len(k) == 32 for k in keys)
+
+
+def test_model_classifier_hook(spark):
+    from strata.plans.silver import clean_nations, model_classifier
+    from strata.session import RunContext
+    from strata.sources.tables import Catalog
+    from tests.conftest import SF_SMALL
+
+    def predict(texts):  # a stand-in "model": even name length -> KINGDOM, else a label outside the list
+        return texts.str.len().map(lambda n: "KINGDOM" if n % 2 == 0 else "NOT_A_LABEL")
+    got = clean_nations(Catalog(spark, SF_SMALL), RunContext(), classifier=model_classifier(predict))
+    rows = got.select("nation_name", "government_type").collect()
+    assert len(rows) == 25
+    assert all(r[1] == ("KINGDOM" if len(r[0]) % 2 == 0 else "OTHER") for r in rows)
+
+
+def test_approx_distinct_orders_close_to_exact(spark):
+    from strata.plans import gold
+    from strata.session import RunContext
+    from strata.sources.tables import Catalog
+    from tests.conftest import SF_SMALL
+    cat, ctx = Catalog(spark, SF_SMALL), RunContext(data_clock=True)
+    lines = gold.fct_order_lines(cat, ctx).checkpoint()
+    ex = gold.fct_order_lines_by_supplier_month(cat, ctx, lines=lines).agg(F.sum("total_orders")).first()[0]
+    ap = gold.fct_order_lines_by_supplier_month(cat, ctx, lines=lines, approx_distinct=True) \
+        .agg(F.sum("total_orders")).first()[0]
+    assert abs(ap - ex) <= 0.05 * ex
