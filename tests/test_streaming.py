@@ -88,3 +88,18 @@ def test_upsert_stream_into_versioned_table(spark, tmp_dir):
     v = t.version()
     upsert_batch(spark.createDataFrame([(1, "X")], schema), 1, table=t, keys=["k"])  # replayed batch id
     assert t.version() == v and sorted(tuple(r) for r in t.read().collect())[0] == (1, "O")
+
+
+def test_refresh_with_processing_time_trigger(spark, tmp_dir):
+    from strata.session import RunContext
+    from strata.streaming.refresh import order_facts_for, start_order_facts_refresh
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    landing, target = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "facts")
+    orders.write.parquet(landing)
+    ctx = RunContext(data_clock=True)
+    q = start_order_facts_refresh(spark, landing, target, os.path.join(tmp_dir, "ck"), ctx=ctx, every="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert _facts_equal(spark.read.parquet(target), order_facts_for(orders, ctx))
