@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.plans import gold, history, ml, reports, runlog, silver, staging, tpch
 from strata.plans.calendar import data_calendar
 from strata.plans.model_tests import model_test_summary
+from strata.sources.logs import text_lines
 from strata.session import RunContext, ensure_checkpoint_dir, without_audit
 from strata.sources.tables import Catalog
 
@@ -137,6 +138,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_calendar_day": _q(data_calendar),
         "dim_customers_share": _q(gold.dim_customers_share),
         "model_test_summary": _q(model_test_summary),
+        "document_log_lines": _q(lambda cat, ctx: text_lines(cat.documents, "doc_id", "text")),
         # Iterative fit (no SQL form): checked for invariants in tests/test_ml.py.
         "customer_clustering_kmeans": _q(ml.customer_clustering_kmeans),
     }
@@ -638,6 +640,12 @@ SELECT * FROM ins UNION ALL SELECT * FROM upd"""
 
 _REPORT_SQL = {
     "quality_summary": _QUALITY,
+    "document_log_lines": """
+        SELECT row_number() OVER (ORDER BY doc_id, line_no) AS row_num, doc_id, CAST(line_no AS INTEGER) AS line_no,
+               log_text
+        FROM (SELECT doc_id, generate_subscripts(parts, 1) AS line_no, unnest(parts) AS log_text
+              FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))
+        WHERE trim(log_text) <> ''""",
     "dim_customers_scd1_changes": _SCD1_CHANGES,
     "stg_fx_rates": "WITH " + _FX + " SELECT rate_date, base_currency, quote_currency, exchange_rate FROM fx",
     "customers_stream_snapshot": _STREAM_SNAP,
