@@ -139,6 +139,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_customers_share": _q(gold.dim_customers_share),
         "model_test_summary": _q(model_test_summary),
         "document_log_lines": _q(lambda cat, ctx: text_lines(cat.documents, "doc_id", "text")),
+        "segment_statements": _q(reports.segment_statements),
         # Iterative fit (no SQL form): checked for invariants in tests/test_ml.py.
         "customer_clustering_kmeans": _q(ml.customer_clustering_kmeans),
     }
@@ -640,6 +641,11 @@ SELECT * FROM ins UNION ALL SELECT * FROM upd"""
 
 _REPORT_SQL = {
     "quality_summary": _QUALITY,
+    "segment_statements": """
+        SELECT c_mktsegment AS market_segment, count(*) AS customers,
+               CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS total_balance,
+               min(c_acctbal) AS min_balance, max(c_acctbal) AS max_balance
+        FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment""",
     "document_log_lines": """
         SELECT row_number() OVER (ORDER BY doc_id, line_no) AS row_num, doc_id, CAST(line_no AS INTEGER) AS line_no,
                log_text

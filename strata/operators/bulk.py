@@ -44,3 +44,10 @@ def write_statements(spark: SparkSession, statements: Sequence[str], path: str,
     if errors_path is not None:
         errors.write.mode("append").parquet(errors_path)
     return errors.count()
+
+
+def statements_from(statement_query: DataFrame) -> list[str]:
+    """The statement list produced by a query (first column), like the
+    reference's statement source.  Statements are code - one per generated
+    item, a bounded list - so they are collected; their data never is."""
+    return [r[0] for r in statement_query.collect() if r[0]]

@@ -153,3 +153,22 @@ def e2e_assertions(cat, ctx: RunContext = RunContext()) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def segment_statements(cat, ctx: RunContext = RunContext()) -> DataFrame:
+    """M4 over the supplied tables: a query generates one aggregate
+    statement per market segment, and the statements run as one unioned
+    job (failures would be reported, not dropped)."""
+    from strata.operators.bulk import combine_statements, statements_from
+    spark = cat.spark
+    cat.customer.createOrReplaceTempView("strata_customer")
+    seg = F.regexp_replace("c_mktsegment", "'", "''")  # quoted as a SQL literal
+    gen = cat.customer.select("c_mktsegment").distinct().where(F.col("c_mktsegment").isNotNull()).select(
+        F.concat(F.lit("SELECT '"), seg, F.lit("' AS market_segment, count(*) AS customers, "
+                 "CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS total_balance, "
+                 "min(c_acctbal) AS min_balance, max(c_acctbal) AS max_balance "
+                 "FROM strata_customer WHERE c_mktsegment = '"), seg, F.lit("'")))
+    out, errors = combine_statements(spark, statements_from(gen))
+    if out is None:
+        raise ValueError("no statement could be analysed")
+    return out
