@@ -65,3 +65,48 @@ def as_of_join(facts: DataFrame, fact_key: str, fact_day, dim: DataFrame, dim_ke
     f = facts.withColumn("__asof_day", day)
     cond = (F.col(fact_key) == F.col(dim_key)) & F.col("__asof_day").between(F.col(start), F.col(end))
     return f.join(dim, cond, how).drop("__asof_day")
+
+
+def smallest_above(values: DataFrame, value_col: str, table: DataFrame, bound_col: str,
+                   payload: Sequence[str], *, strict: bool = True, prefix: str = "",
+                   num_partitions: int | None = None) -> DataFrame:
+    """For every row of ``values``: the ``payload`` of the ``table`` row with
+    the smallest ``bound_col`` above ``value_col`` (``>=`` when not
+    ``strict``); null when none.  Exact at any size of either side.
+
+    Both sides are unioned and globally ordered by (value, side) with the
+    range-partitioned ranking operator; at equal values the side order
+    decides whether an equal bound counts.  Rows are cut into ``num_partitions``
+    blocks of consecutive row numbers, so a window per block holds a bounded
+    share of the rows (a hot value is split across blocks).  Inside a block
+    the nearest following bound comes from a running window over descending
+    row numbers (linear, not an unbounded-following frame); a match in a
+    later block comes from a per-block summary of at most ``num_partitions``
+    rows."""
+    from pyspark.sql import Window
+    from strata.operators.ranking import rank_rows
+    spark = values.sparkSession
+    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    vt, tt = dict(values.dtypes), dict(table.dtypes)
+    vcols, pcols = values.columns, list(payload)
+    k_val, k_tab = (1, 0) if strict else (0, 1)
+    left = values.select(*vcols, F.col(value_col).cast("double").alias("__sa_v"), F.lit(k_val).alias("__sa_k"),
+                         *[F.lit(None).cast(tt[p]).alias(f"__sa_p_{p}") for p in pcols])
+    right = table.select(*[F.lit(None).cast(vt[c]).alias(c) for c in vcols],
+                         F.col(bound_col).cast("double").alias("__sa_v"), F.lit(k_tab).alias("__sa_k"),
+                         *[F.col(p).alias(f"__sa_p_{p}") for p in pcols])
+    r = rank_rows(left.unionByName(right).where(F.col("__sa_v").isNotNull()), ["__sa_v", "__sa_k"],
+                  outputs=("row_number", "group_count"), num_partitions=n_parts, prefix="__sa_")
+    rn, n = F.col("__sa_row_number"), F.col("__sa_group_count")
+    r = r.withColumn("__sa_blk", F.floor((rn - 1) * n_parts / n).cast("int"))
+    is_tab = F.col("__sa_k") == k_tab
+    hit = F.when(is_tab, F.struct(*[F.col(f"__sa_p_{p}").alias(p) for p in pcols]))
+    w = Window.partitionBy("__sa_blk").orderBy(rn.desc()).rowsBetween(Window.unboundedPreceding, -1)
+    r = r.withColumn("__sa_next", F.last(hit, ignorenulls=True).over(w))
+    # First table row of each block, then for each block the first one in a later block.
+    blocks = r.groupBy("__sa_blk").agg(F.min(F.when(is_tab, F.struct(rn.alias("rn"), hit.alias("hit")))).alias("__f"))
+    wb = Window.orderBy(F.col("__sa_blk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("__sa_blk", F.last("__f.hit", ignorenulls=True).over(wb).alias("__sa_later"))
+    out = r.where(~is_tab).join(F.broadcast(blocks), "__sa_blk")  # at most num_partitions rows
+    m = F.coalesce(F.col("__sa_next"), F.col("__sa_later"))
+    return out.select(*vcols, *[m[p].alias(prefix + p) for p in pcols])

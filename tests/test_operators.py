@@ -370,3 +370,17 @@ def test_approx_distinct_orders_close_to_exact(spark):
     ap = gold.fct_order_lines_by_supplier_month(cat, ctx, lines=lines, approx_distinct=True) \
         .agg(F.sum("total_orders")).first()[0]
     assert abs(ap - ex) <= 0.05 * ex
+
+
+def test_smallest_above_matches_brute_force(spark):
+    from strata.operators.interval_join import smallest_above
+    vals = spark.createDataFrame([(i, float((i * 37) % 101)) for i in range(300)] + [(900 + i, 50.0) for i in range(200)],
+                                 "id int, v double")
+    caps = spark.createDataFrame([(f"c{j}", float(j * 10)) for j in range(11)] + [("c_dup", 50.0)],
+                                 "name string, cap double")
+    for strict in (True, False):
+        got = smallest_above(vals, "v", caps, "cap", ["name", "cap"], strict=strict, num_partitions=7)
+        cond = (F.col("cap") > F.col("v")) if strict else (F.col("cap") >= F.col("v"))
+        exp = (vals.join(caps, cond, "left").groupBy("id", "v")
+               .agg(F.min_by("name", F.struct("cap", "name")).alias("name"), F.min("cap").alias("cap")))
+        assert rows(got.select("id", "cap"), "id") == rows(exp.select("id", "cap"), "id")
