@@ -384,3 +384,16 @@ def test_smallest_above_matches_brute_force(spark):
         exp = (vals.join(caps, cond, "left").groupBy("id", "v")
                .agg(F.min_by("name", F.struct("cap", "name")).alias("name"), F.min("cap").alias("cap")))
         assert rows(got.select("id", "cap"), "id") == rows(exp.select("id", "cap"), "id")
+
+
+def test_layered_build_sample_mode(spark, tmp_dir):
+    import os
+    from strata.plans.layered_build import STEPS, build
+    from strata.session import RunContext
+    from strata.sources.tables import Catalog
+    from tests.conftest import SF_SMALL
+    steps = [s for s in STEPS if s[1] in ("stg_customers", "stg_orders", "stg_orders_incremental")]
+    ctx = RunContext(data_clock=True, extras={"sample_limit": 40})
+    rows = {r["step"]: r["rows_written"] for r in build(Catalog(spark, SF_SMALL), ctx, os.path.join(tmp_dir, "wh"),
+                                                       os.path.join(tmp_dir, "audit"), "s1", steps).collect()}
+    assert rows == {"stg_customers": 40, "stg_orders": 40, "stg_orders_incremental": 40}
