@@ -4,11 +4,12 @@
   present in the frame are replaced, so rewriting a touched month costs that
   month, and a replay writes the same content again.
 * ``VersionedTable``: a table without a transactional format (H3).  Each
-  version is a complete folder ``v=<n>``; a version becomes visible only when
-  its commit file ``_commits/<n>`` is created, and creation is exclusive, so
-  two writers cannot both commit ``n``.  Readers take the highest committed
-  version and never see a half-written folder.  The commit file records the
-  stream batch id that produced it, which makes replays detectable.
+  publish writes a complete folder of its own; a version becomes visible
+  only when its commit file ``_commits/<n>`` is created, and creation is
+  exclusive, so two writers cannot both commit ``n``.  The commit file names
+  the folder and the stream batch id that produced it (replays are
+  detectable); readers take the highest committed version and never see a
+  half-written or losing folder.
 """
 
 from __future__ import annotations
@@ -48,38 +49,49 @@ class VersionedTable:
         finally:
             stream.close()
 
+    def _commit_info(self, commit_path: str) -> tuple[int | None, str]:
+        """(batch id, data folder) recorded in a commit file."""
+        batch, folder = (self._read_text(commit_path).split("\n") + [""])[:2]
+        batch = batch.strip()
+        return (int(batch) if batch.lstrip("-").isdigit() and batch != "-1" else None), folder.strip()
+
     def version(self) -> int | None:
         c = self._committed()
         return c[-1][0] if c else None
 
     def last_batch_id(self) -> int | None:
         c = self._committed()
-        if not c:
-            return None
-        text = self._read_text(c[-1][1]).strip()
-        return int(text) if text.lstrip("-").isdigit() else None
+        return self._commit_info(c[-1][1])[0] if c else None
 
     def path_of(self, version: int) -> str:
-        return f"{self.root}/v={version:08d}"
+        for v, commit in self._committed():
+            if v == version:
+                return f"{self.root}/{self._commit_info(commit)[1]}"
+        raise KeyError(f"version {version} is not committed")
 
     def read(self) -> DataFrame | None:
         v = self.version()
         return None if v is None else self.spark.read.parquet(self.path_of(v))
 
     def publish(self, df: DataFrame, batch_id: int | None = None) -> int:
-        """Write ``df`` as the next version, then commit it.  The old version
-        stays readable until the commit exists; it may still be the input of
-        ``df`` because the new folder is a different path."""
+        """Write ``df`` as the next version, then commit it.  Every attempt
+        writes to its own folder, and only the commit file (created
+        exclusively) names the folder readers use: a writer that loses the
+        race for a version number fails at the commit and leaves committed
+        data untouched.  The old version stays readable throughout and may
+        be the input of ``df``."""
+        import uuid
         v = (self.version() or 0) + 1
-        df.write.mode("overwrite").parquet(self.path_of(v))
+        folder = f"v={v:08d}-{uuid.uuid4().hex[:12]}"
+        df.write.mode("errorifexists").parquet(f"{self.root}/{folder}")
         out = self._fs.create(self._Path(f"{self.root}/_commits/{v:08d}"), False)  # exclusive create
         try:
-            out.write(bytearray(str(-1 if batch_id is None else batch_id).encode()))
+            out.write(bytearray(f"{-1 if batch_id is None else batch_id}\n{folder}".encode()))
         finally:
             out.close()
         return v
 
     def vacuum(self, keep: int = 2) -> None:
         """Delete data folders of all but the newest ``keep`` versions."""
-        for v, _ in self._committed()[:-keep]:
-            self._fs.delete(self._Path(self.path_of(v)), True)
+        for v, commit in self._committed()[:-keep]:
+            self._fs.delete(self._Path(f"{self.root}/{self._commit_info(commit)[1]}"), True)

@@ -103,3 +103,17 @@ def test_refresh_with_processing_time_trigger(spark, tmp_dir):
     finally:
         q.stop()
     assert _facts_equal(spark.read.parquet(target), order_facts_for(orders, ctx))
+
+
+def test_versioned_table_commit_is_exclusive(spark, tmp_dir):
+    import pytest
+    from strata.streaming.sinks import VersionedTable
+    root = os.path.join(tmp_dir, "vt2")
+    a, b = VersionedTable(spark, root), VersionedTable(spark, root)
+    a.publish(spark.range(2), batch_id=0)
+    stale = b.version()                      # b read version 1 ...
+    a.publish(spark.range(3), batch_id=1)    # ... a commits version 2 meanwhile
+    b.version = lambda: stale                # b still believes the latest is 1
+    with pytest.raises(Exception):
+        b.publish(spark.range(5), batch_id=2)   # version 2's commit file exists: refused
+    assert VersionedTable(spark, root).read().count() == 3
