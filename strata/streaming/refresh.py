@@ -57,11 +57,20 @@ def refresh_batch(batch: DataFrame, batch_id: int, *, landing_dir: str, target_p
                 (od < F.lit(_dt.datetime(nxt.year, nxt.month, 1)).cast("timestamp_ntz"))
             pred = p if pred is None else pred | p
         overwrite_partitions(order_facts_for(source.where(pred), ctx), target_path, ["order_month_start"])
-    if history_path:
+    if history_path and not _history_has(spark, history_path, batch_id):  # a replay adds no second row
         row = [(int(batch_id), batch.count(), int(n_months), start, _dt.datetime.now())]
         spark.createDataFrame(row, HISTORY_SCHEMA).write.mode("append").parquet(history_path)
 
 
+def _history_has(spark: SparkSession, history_path: str, batch_id: int) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(history_path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return False
+    hist = spark.read.schema(HISTORY_SCHEMA).parquet(history_path)
+    return hist.where(F.col("batch_id") == int(batch_id)).limit(1).count() > 0
+
+
 def start_order_facts_refresh(spark: SparkSession, landing_dir: str, target_path: str, checkpoint_dir: str, *,
                               history_path: str | None = None, ctx: RunContext = RunContext(),
                               every: str | None = "1 hour", available_now: bool = False,
