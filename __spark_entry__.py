@@ -18,6 +18,14 @@ from strata.sources.logs import text_lines
 from strata.session import RunContext, ensure_checkpoint_dir, without_audit
 from strata.sources.tables import Catalog
 
+try:
+    import corpus_pipeline
+    from strata.llm import registry as llm
+except ModuleNotFoundError as e:  # the llm folders and the pipeline may be absent
+    if e.name != "corpus_pipeline" and not str(e.name).startswith("strata.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 CTX = RunContext(data_clock=True)
 
@@ -76,6 +84,10 @@ def _orphans(cat, ctx):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**_library_queries(), **({**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {})}
+
+
+def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "stg_regions": _q(staging.stg_regions),
         "stg_nations": _q(staging.stg_nations),
@@ -730,6 +742,11 @@ def _model_tests_sql(sqls: dict[str, str]) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    llm_sql = {**llm.ORACLE, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})} if llm else {}
+    return {**_library_sql(), **llm_sql}
+
+
+def _library_sql() -> dict[str, str]:
     sqls = {
         "stg_regions": "SELECT r_regionkey AS region_key, r_name AS region_name FROM region",
         "stg_nations": "SELECT n_nationkey AS nation_key, n_name AS nation_name, n_regionkey AS region_key FROM nation",
