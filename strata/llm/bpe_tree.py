@@ -32,6 +32,7 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 import regex
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 
 LEAF_CHARS = 4096  # a text up to this length is a leaf
 LEAF_BYTES = 48  # a piece up to this length is merged directly
-CACHE_RUNS = 400_000  # known runs held by a worker; emptied when full
+CACHE_RUNS = 1_000_000  # known runs held by a worker (about 0.25 GB); emptied when full
 _SPACED = re.compile(r"[^\S ] ")
 
 
@@ -87,7 +88,9 @@ class ByteBPE:
     # -- inside a piece
 
     def _merged(self, data: bytes) -> list[bytes]:
-        """Tokens of a short string: the pair of least rank is merged first."""
+        """Tokens of a window: the pair of least rank is merged first."""
+        if len(data) > 4 * LEAF_BYTES:
+            return self._merged_long(data)
         parts = [data[i:i + 1] for i in range(len(data))]
         rank = self.ranks.get
         top = 1 << 60
@@ -105,6 +108,32 @@ class ByteBPE:
                 scores[i] = rank(parts[i] + parts[i + 1], top)
         return parts
 
+    def _merged_long(self, data: bytes) -> list[bytes]:
+        """The same over a heap of pairs, for windows that grew long."""
+        n, rank, top = len(data), self.ranks.get, 1 << 60
+        end = list(range(1, n + 1))  # of the part that begins here; 0 once merged away
+        back = list(range(-1, n))  # begin of the part before the one that begins here
+        heap = [(r, i) for i in range(n - 1) if (r := rank(data[i:i + 2], top)) < top]
+        heapify(heap)
+        while heap:
+            r, i = heappop(heap)
+            j = end[i]
+            if not j or j >= n or rank(data[i:end[j]], top) != r:
+                continue  # one of the two has changed meanwhile
+            k = end[i] = end[j]
+            end[j] = 0
+            if k < n:
+                back[k] = i
+                if (r := rank(data[i:end[k]], top)) < top:
+                    heappush(heap, (r, i))
+            if i and (r := rank(data[back[i]:k], top)) < top:
+                heappush(heap, (r, back[i]))
+        out, i = [], 0
+        while i < n:
+            out.append(data[i:end[i]])
+            i = end[i]
+        return out
+
     def _pair_holds(self, a: bytes, b: bytes) -> bool:
         return self._merged(a + b) == [a, b]
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("url_reputation", "hash_tree_shards")
+MODULES = ("url_reputation", "bpe_tree", "hash_tree_shards")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
