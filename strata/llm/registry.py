@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("url_reputation", "bpe_tree", "hash_tree_shards")
+MODULES = ("url_reputation", "bpe_tree", "importance_filter", "hash_tree_shards", "license_compression", "token_attribution", "template_leaks")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
