@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("url_reputation", "bpe_tree", "importance_filter", "hash_tree_shards", "license_compression", "token_attribution", "template_leaks")
+MODULES = ("url_reputation", "bpe_tree", "importance_filter", "hash_tree_shards", "license_compression", "token_attribution", "template_leaks", "minhash_postings")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
