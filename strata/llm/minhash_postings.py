@@ -6,12 +6,13 @@ words make one shingle).  Equal sets are one class.  Each class has
 Pairs of classes that agree in at least ``LEAST_MATCHES`` coordinates are
 candidates.  Two such classes share one of the ``COORDINATES - LEAST_MATCHES
 + 1`` rarest postings of either (prefix), and postings that only one class has
-are skipped at once, so most documents post nothing.  Lists are merged in two
-steps that skip what is known: first every class of a list meets its least
-class only; then, with the components found, classes meet in the lists that
-still hold several components, across components only.  A large group of near
-copies is thus linked by stars and not by all its pairs.  Candidates whose
-collisions reach the threshold are confirmed on their full shingle sets.
+are skipped at once, so most documents post nothing.  Lists are merged in steps that skip
+what is known: at first every class of a list meets one hub of the list only;
+then, with the components found, other hubs; at last the classes of lists that
+still hold several components meet, across components only, so that no link
+between components is lost.  A large group of near copies is thus linked by
+stars and not by all its pairs.  Candidates whose collisions reach the
+threshold are confirmed on their full shingle sets.
 
 A pair at the least similarity of 0.8 misses ``LEAST_MATCHES`` of 32 matches
 with a probability of 3 in 100,000, a closer one far less often; whatever is
@@ -38,6 +39,7 @@ from strata.llm.graph import components, cut
 
 COORDINATES = 32
 LEAST_MATCHES = 16
+STAR_STEPS = 3  # steps with one hub a list, before the one across components
 PREFIX = COORDINATES - LEAST_MATCHES + 1
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, (COORDINATES, 2)).astype(np.uint64)
 
@@ -97,8 +99,10 @@ def full_sets(docs: DataFrame, ids: DataFrame, words: int = 2) -> DataFrame:
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """token, node: every class under the rarest of its coordinate-value pairs,
-    as many as the prefix takes; pairs of one class only are skipped."""
+    """token, node, fame: every class under the rarest of its coordinate-value
+    pairs, as many as the prefix takes; pairs of one class only are skipped.
+    Fame is how many postings the class's coordinates have in all: the text
+    that others were copied from has the most."""
     value = F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
     tokens = (classes.select("node", F.posexplode("signature").alias("k", "value"))
               .select("node", F.shiftleft(F.col("k").cast("long"), 32).bitwiseOR(value).alias("token")))
@@ -106,7 +110,26 @@ def postings(classes: DataFrame) -> DataFrame:
     mine = tokens.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t"))
     # The skipped ones are the rarest and take their place in the prefix.
     rest = F.lit(PREFIX - COORDINATES) + F.size("t")
-    return mine.filter(rest > 0).select("node", F.explode(F.slice("t", F.lit(1), rest)).alias("t")).select(F.col("t.token").alias("token"), "node")
+    fame = F.aggregate("t", F.lit(0).cast("long"), lambda s, t: s + t["n"])
+    return (mine.filter(rest > 0).select("node", fame.alias("fame"), F.explode(F.slice("t", F.lit(1), rest)).alias("t"))
+            .select(F.col("t.token").alias("token"), "node", "fame"))
+
+
+def stars(lists: DataFrame, step: int) -> DataFrame:
+    """Pairs (a, b) of each list's hub with the classes of other components:
+    first the most famous class is the hub, then one by chance."""
+    order = F.col("fame") if step == 0 else F.xxhash64("node", "token", F.lit(step))
+    hubs = (lists.groupBy("token").agg(F.max(F.struct(order.alias("order"), "node", "component")).alias("hub"))
+            .select("token", F.col("hub.node").alias("hub"), F.col("hub.component").alias("home")))
+    return (lists.join(hubs, "token").filter("home != component")
+            .select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct())
+
+
+def across(lists: DataFrame) -> DataFrame:
+    """All pairs (a, b) of a list that are not of one component."""
+    other = lists.select("token", F.col("node").alias("node2"), F.col("component").alias("component2"))
+    return (lists.join(other, "token").filter("node < node2 and component != component2")
+            .select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct())
 
 
 def matching(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -135,21 +158,20 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
     classes = cut(known.filter("n_shingles > 0 and doc_id is not null").groupBy("low", "high", "n_shingles")
                   .agg(F.min("doc_id").alias("node"), F.min("signature").alias("signature")))
     lists = cut(postings(classes))
-    least = lists.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("top")).filter("a != top").drop("top")
-    stars = lists.join(least, "token").filter("a != node").select("a", F.col("node").alias("b")).distinct()
-    stars = cut(matching(stars, classes, percent))
-    links = cut(confirmed(stars, docs, percent, words))
-    # Lists that still hold several components; classes meet across them only.
-    found = components(links)
-    placed = (lists.join(found, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component")))
-    mixed = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("token")
-    open_lists = cut(placed.join(mixed, "token"))
-    other = (open_lists.alias("l").join(open_lists.alias("r"), "token")
-             .filter("l.node < r.node and l.component != r.component")
-             .select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"))
-    more = cut(matching(other, classes, percent))
-    links = cut(links.union(confirmed(more, docs, percent, words)))
-    found = components(links)
+    tried = links = None
+    placed = lists.withColumn("component", F.col("node"))
+    for step in range(STAR_STEPS + 1):
+        pairs = across(placed) if step == STAR_STEPS else stars(placed, step)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = cut(matching(pairs, classes, percent))
+        new = confirmed(pairs, docs, percent, words)
+        tried = pairs if tried is None else tried.union(pairs)
+        links = cut(new if links is None else links.union(new))
+        found = components(links)
+        placed = lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        mixed = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("token")
+        placed = cut(placed.join(mixed, "token"))  # lists that still hold several components
     members = (known.join(classes.select("low", "high", "n_shingles", "node"), ["low", "high", "n_shingles"], "left")
                .join(found, "node", "left"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
