@@ -39,7 +39,9 @@ from strata.llm.graph import components, cut
 
 COORDINATES = 32
 LEAST_MATCHES = 16
-STAR_STEPS = 3  # steps with one hub a list, before the one across components
+STAR_STEPS = 2  # steps with one hub a list, before the one across components
+LARGE_LIST = 64  # classes of a longer list meet with their full sets at hand
+BROADCAST_IDS = 200_000  # ids (16 bytes each) that are broadcast at most
 PREFIX = COORDINATES - LEAST_MATCHES + 1
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, (COORDINATES, 2)).astype(np.uint64)
 
@@ -94,7 +96,9 @@ def full_sets(docs: DataFrame, ids: DataFrame, words: int = 2) -> DataFrame:
             grams, first = shingle_sets(texts, words)
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(grams.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["node", "shingles"])
-    wanted = docs.select("doc_id", "text").join(ids.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    few = cut(ids.select(F.col("node").alias("doc_id")).distinct())
+    few = F.broadcast(few) if few.count() <= BROADCAST_IDS else few  # beyond it the texts are shuffled
+    wanted = docs.select("doc_id", "text").join(few, "doc_id", "left_semi")
     return wanted.mapInArrow(run, "node long, shingles array<long>")
 
 
@@ -132,6 +136,22 @@ def across(lists: DataFrame) -> DataFrame:
             .select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct())
 
 
+def across_large(lists: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """Links (a, b) between components within long lists.  Only pairs that the
+    full sets confirm leave the join, and each pair meets in the first of the
+    lists that it shares."""
+    known = cut(full_sets(docs, lists.select("node"), words))
+    shared = lists.groupBy("node").agg(F.collect_list("token").alias("tokens"))  # at most PREFIX
+    rows = lists.select("token", "node", "component").join(shared, "node").join(known, "node")
+    other = rows.select(*[F.col(c).alias(c + "2") for c in rows.columns])
+    n, n2, same = F.size("shingles"), F.size("shingles2"), F.size(F.array_intersect("shingles", "shingles2"))
+    meet = ((F.col("token") == F.col("token2")) & (F.col("node") < F.col("node2")) & (F.col("component") != F.col("component2"))
+            & (F.least(n, n2) * 100 >= F.greatest(n, n2) * percent)
+            & (F.array_min(F.array_intersect("tokens", "tokens2")) == F.col("token"))
+            & (same * 100 >= (n + n2 - same) * percent))
+    return rows.join(other, meet).select(F.col("node").alias("a"), F.col("node2").alias("b"))
+
+
 def matching(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose signatures collide often enough and whose set
     sizes allow the similarity."""
@@ -144,7 +164,7 @@ def matching(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    ids = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    ids = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
     sets = cut(full_sets(docs, ids, words))
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     same = F.size(F.array_intersect("sa", "sb"))
@@ -158,20 +178,23 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
     classes = cut(known.filter("n_shingles > 0 and doc_id is not null").groupBy("low", "high", "n_shingles")
                   .agg(F.min("doc_id").alias("node"), F.min("signature").alias("signature")))
     lists = cut(postings(classes))
-    tried = links = None
     placed = lists.withColumn("component", F.col("node"))
-    for step in range(STAR_STEPS + 1):
-        pairs = across(placed) if step == STAR_STEPS else stars(placed, step)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut(matching(pairs, classes, percent))
+    tried = links = None
+    for step in range(STAR_STEPS):
+        pairs = stars(placed, step)
+        pairs = cut(matching(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), classes, percent))
         new = confirmed(pairs, docs, percent, words)
         tried = pairs if tried is None else tried.union(pairs)
         links = cut(new if links is None else links.union(new))
         found = components(links)
         placed = lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("token")
+        mixed = (placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
+                 .filter("x != y").select("token", "n"))
         placed = cut(placed.join(mixed, "token"))  # lists that still hold several components
+        placed, size = placed.drop("n"), placed
+    pairs = cut(matching(across(size.filter(F.col("n") <= LARGE_LIST)).join(tried, ["a", "b"], "left_anti"), classes, percent))
+    last = confirmed(pairs, docs, percent, words).union(across_large(size.filter(F.col("n") > LARGE_LIST), docs, percent, words))
+    found = components(links.union(last))
     members = (known.join(classes.select("low", "high", "n_shingles", "node"), ["low", "high", "n_shingles"], "left")
                .join(found, "node", "left"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
