@@ -87,8 +87,8 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def index_blocks(docs: DataFrame) -> DataFrame:
-    """doc, version, key, n: the distinct anchors of each document, and how
-    often the document has them."""
+    """row, key, n: the distinct anchors of each document, and how often it has
+    them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
             a = Anchors(Words(texts))
@@ -99,22 +99,22 @@ def index_blocks(docs: DataFrame) -> DataFrame:
             new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])))) if len(key) else np.empty(0, np.int64)
             n = np.diff(np.concatenate((new, [len(key)])))
             rows = pa.array(doc[new])
-            yield pa.RecordBatch.from_arrays([batch.column("doc").take(rows), batch.column("version").take(rows), _signed(key[new]),
-                                              pa.array(n.astype(np.int32))], names=["doc", "version", "key", "n"])
-    return docs.mapInArrow(run, "doc long, version long, key long, n int")
+            yield pa.RecordBatch.from_arrays([batch.column("__row").take(rows), _signed(key[new]), pa.array(n.astype(np.int32))],
+                                             names=["row", "key", "n"])
+    return docs.mapInArrow(run, "row long, key long, n int")
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """key, same (hash of all words under the anchor's windows), doc, version,
+    """key, same (hash of all words under the anchor's windows), row, doc, version,
     place, lead (words from the first window's start to the anchor), windows
     (their hashes, first window first) for the anchors in ``keys``."""
-    names = ["key", "same", "doc", "version", "place", "lead", "windows"]
+    names = ["key", "same", "row", "doc", "version", "place", "lead", "windows"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
             a = Anchors(Words(texts))
             first, last = a.runs()
-            wanted = batch.column("keys")
+            wanted = batch.column("__keys")
             keep = np.zeros(len(first), bool)
             doc, key = a.words.doc[a.at[first]], a.key[first].view(np.int64)
             border = np.searchsorted(doc, np.arange(len(texts) + 1))
@@ -134,37 +134,36 @@ def occurrences(docs: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), _signed(hashes[flat]))
             rows = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
-                [_signed(a.key[first]), _signed(same), batch.column("doc").take(rows), batch.column("version").take(rows),
+                [_signed(a.key[first]), _signed(same), *[batch.column(c).take(rows) for c in ("__row", "__doc", "__version")],
                  pa.array((place - a.words.first[doc]).astype(np.int32)), pa.array((place - start).astype(np.int32)), lists], names=names)
-    return docs.mapInArrow(run, "key long, same long, doc long, version long, place int, lead int, windows array<long>")
+    return docs.mapInArrow(run, "key long, same long, row long, doc long, version long, place int, lead int, windows array<long>")
 
 
 def copied(docs: DataFrame) -> DataFrame:
-    """doc, version, copies: for each document with windows that occur earlier
-    an array of (start, n windows, reference document, its start)."""
-    index = index_blocks(docs.select("doc", "version", "text"))
-    # Repeated rows of one document are one block, so versions are counted once.
-    index = index.groupBy("key", "doc", "version").agg(F.max("n").alias("n"))
+    """row, copies: for each row key the windows that occur earlier, an array
+    of (document, version, start, n windows, reference document, its start).
+    ``docs``: __row, __doc, __version, text; a row key need not be unique."""
+    index = index_blocks(docs.select("__row", "text"))
     shared = index.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
-    mine = index.join(shared, "key").groupBy("doc", "version").agg(F.collect_list("key").alias("keys"))
-    found = occurrences(docs.join(mine, ["doc", "version"], "left"))
-    at = F.struct("doc", "place", "version", "lead", "windows")
+    mine = index.join(shared, "key").groupBy("row").agg(F.collect_list("key").alias("__keys")).withColumnRenamed("row", "__row")
+    found = occurrences(docs.join(mine.hint("shuffle_hash"), "__row", "left"))
+    at = F.struct("doc", "place", "version", "row", "lead", "windows")
     classes = found.groupBy("key", "same").agg(F.min(at).alias("first"))
     several = classes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     # The first of each class, window by window, against the other classes.
     each = (classes.join(several, "key").select("key", "same", "first.*").select(
-        "key", "same", F.col("doc"), F.col("version"), (F.col("place") - F.col("lead")).alias("start"), F.posexplode("windows").alias("i", "window"))
+        "key", "row", "doc", "version", (F.col("place") - F.col("lead")).alias("start"), F.posexplode("windows").alias("i", "window"))
         .withColumn("start", F.col("start") + F.col("i")))
     earliest = each.groupBy("key", "window").agg(F.min(F.struct("doc", "start", "version")).alias("ref"))
     later = (each.join(earliest, ["key", "window"]).filter(F.struct("doc", "start", "version") != F.col("ref"))
-             .select("doc", "version", "start", F.lit(1).alias("n"), F.col("ref.doc").alias("ref"), F.col("ref.start").alias("ref_start")))
+             .select("row", "doc", "version", "start", F.lit(1).alias("n"), F.col("ref.doc").alias("ref"), F.col("ref.start").alias("ref_start")))
     first = classes.select("key", "same", F.col("first.doc").alias("ref"), F.col("first.place").alias("ref_place"),
                            F.col("first.version").alias("ref_version"))
-    whole = (found.select("key", "same", "doc", "version", "place", "lead", F.size("windows").alias("n")).join(first, ["key", "same"])
+    whole = (found.select("key", "same", "row", "doc", "version", "place", "lead", F.size("windows").alias("n")).join(first, ["key", "same"])
              .filter("doc != ref or place != ref_place or version != ref_version")
-             .select("doc", "version", (F.col("place") - F.col("lead")).alias("start"), "n", "ref", (F.col("ref_place") - F.col("lead")).alias("ref_start")))
-    return (whole.union(later).groupBy("doc", "version")
-            .agg(F.sort_array(F.collect_list(F.struct("start", "n", "ref", "ref_start"))).alias("copies")))
+             .select("row", "doc", "version", (F.col("place") - F.col("lead")).alias("start"), "n", "ref", (F.col("ref_place") - F.col("lead")).alias("ref_start")))
+    return (whole.union(later).groupBy("row")
+            .agg(F.sort_array(F.collect_list(F.struct("doc", "version", "start", "n", "ref", "ref_start"))).alias("copies")))
 
 
 def factors(copies: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -181,20 +180,24 @@ def factors(copies: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int
 
 def parsed(docs: DataFrame, keep_text: bool) -> DataFrame:
     """Every row of ``docs`` with n_words, n_removed, factors and ``kept``: the
-    words that stay, joined by one space, or their sha256 if not keep_text."""
-    columns = [f for f in docs.schema.fields if f.name != "text"]
-    d = docs.withColumn("__doc", F.coalesce("doc_id", F.lit((1 << 63) - 1))).withColumn("__version", F.xxhash64("text"))
-    keyed = d.select(F.col("__doc").alias("doc"), F.col("__version").alias("version"), "text")
-    found = copied(keyed).toDF("__doc", "__version", "__copies")
+    words that stay, joined by one space, or their sha256 if not keep_text.
+    Extra columns with these names are replaced."""
+    made = StructType.fromDDL("n_words long, n_removed long, kept string, "
+                              "factors array<struct<start:int,n_words:int,ref_doc:long,ref_start:int>>").fields
+    columns = [f for f in docs.schema.fields if f.name not in ("text", *[m.name for m in made])]
+    # Both joins of the texts see the same columns, so that they share one shuffle.
+    d = docs.select(*[f.name for f in columns], "text", F.coalesce("doc_id", F.xxhash64("text")).alias("__row"),
+                    F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("__doc"), F.xxhash64("text").alias("__version"))
+    found = copied(d).toDF("__row", "__copies")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
             w = Words(texts)
             n_words, n_removed, kept, parts = [], [], [], []
+            me = list(zip(batch.column("__doc").to_pylist(), batch.column("__version").to_pylist()))
             for i, copies in enumerate(batch.column("__copies")):
                 a, b = w.first[i], w.first[i + 1]
-                own = [tuple(c.values()) for c in copies.as_py()] if copies.is_valid else []
-                fs = factors(own)
+                fs = factors([tuple(c.values())[2:] for c in copies.as_py() if (c["doc"], c["version"]) == me[i]] if copies.is_valid else [])
                 gone = np.zeros(b - a + 1, np.int64)
                 for s, n, _, _ in fs:
                     gone[s] += 1
@@ -211,9 +214,7 @@ def parsed(docs: DataFrame, keep_text: bool) -> DataFrame:
                  pa.array(kept, pa.binary()).cast(pa.string()), pa.array(parts, kind)],
                 names=[*[f.name for f in columns], "n_words", "n_removed", "kept", "factors"])
     kind = pa.list_(pa.struct([("start", pa.int32()), ("n_words", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())]))
-    schema = StructType([*columns, *StructType.fromDDL(
-        "n_words long, n_removed long, kept string, factors array<struct<start:int,n_words:int,ref_doc:long,ref_start:int>>").fields])
-    return d.join(found, ["__doc", "__version"], "left").select(*[f.name for f in columns], "text", "__copies").mapInArrow(run, schema)
+    return d.join(found.hint("shuffle_hash"), "__row", "left").mapInArrow(run, StructType([*columns, *made]))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
