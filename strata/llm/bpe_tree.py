@@ -251,16 +251,19 @@ def map_texts(docs: DataFrame, schema: str, row: Callable, keep: tuple[str, ...]
     return docs.select(*keep, text).mapInArrow(run, schema)
 
 
-def encode_decode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids (binary, little-endian u32), decoded (binary)."""
+def encode_decode(docs: DataFrame, path: str | None = None, pattern: str | None = None, keep_decoded: bool = True) -> DataFrame:
+    """doc_id, n_tokens, ids (binary, little-endian u32) and decoded (binary),
+    or only whether decoding gives the text back."""
     if path is None or pattern is None:
         path, pattern = default_vocabulary()
 
     def row(text: str):
         bpe = worker_bpe(path, pattern)
         ids = bpe.encode(text)
-        return len(ids) // 4, ids, bpe.decode(ids)
-    return map_texts(docs, "doc_id long, n_tokens long, ids binary, decoded binary", row, ("doc_id",))
+        decoded = bpe.decode(ids)
+        return len(ids) // 4, ids, decoded if keep_decoded else decoded == text.encode("utf-8", "surrogatepass")
+    last = "decoded binary" if keep_decoded else "round_trip boolean"
+    return map_texts(docs, f"doc_id long, n_tokens long, ids binary, {last}", row, ("doc_id",))
 
 
 def digests(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:

@@ -19,6 +19,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BROADCAST_ROWS = 200_000
+
+
+def few(keys: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Narrow keys, cut, to be broadcast if they are at most ``most``; beyond
+    that the same join is left to a shuffle."""
+    keys = cut(keys)
+    return F.broadcast(keys) if keys.count() <= most else keys
+
+
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
     """Link the larger (or the smaller) neighbours of each node, itself
     included when linking the smaller ones, to its least neighbour."""

@@ -176,20 +176,22 @@ def kth_largest(keys: DataFrame, k: int, key: str = "key", bins: int = 4096) ->
 
 
 def resample(docs: DataFrame, labels: DataFrame, seed: int = 7) -> DataFrame:
-    """doc_id, weight, key, kept for every document."""
+    """doc_id, version (hash of the text), weight, key, kept for every document."""
+    docs = docs.select("doc_id", F.xxhash64("text").alias("version"), "text")
     model = fit(docs, labels)
     if model is None:
-        return docs.select("doc_id", F.lit(0.0).alias("weight"), F.lit(0.0).alias("key"), F.lit(True).alias("kept"))
+        return docs.select("doc_id", "version", F.lit(0.0).alias("weight"), F.lit(0.0).alias("key"), F.lit(True).alias("kept"))
     u = (F.conv(F.substring(F.md5(F.concat_ws("/", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), 1, 13), 16, 10)
          .cast("long") + 1) / F.lit(float(2 ** 52 + 2))
     gumbel = F.when(F.col("doc_id").isNull(), F.lit(0.0)).otherwise(-F.ln(-F.ln(u)))
-    scored = cut(score(docs.select("doc_id", "text"), weight=model.log_ratio).withColumn("key", F.col("weight") + gumbel))
+    scored = cut(score(docs, weight=model.log_ratio).withColumn("key", F.col("weight") + gumbel))
     k = scored.filter(F.col("weight") >= model.threshold).count()
     return scored.withColumn("kept", F.col("key") >= F.lit(kth_largest(scored, k)))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return resample(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return resample(docs, labels).select("doc_id", "weight", "key", "kept")
 
 
 QUERIES = {"op3_importance_filter": query}

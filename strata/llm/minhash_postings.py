@@ -35,13 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.arrays import Words, chunks, gram_hashes, grams_inside, mix
-from strata.llm.graph import components, cut
+from strata.llm.graph import components, cut, few
 
 COORDINATES = 32
 LEAST_MATCHES = 16
 STAR_STEPS = 2  # steps with one hub a list, before the one across components
 LARGE_LIST = 64  # classes of a longer list meet with their full sets at hand
-BROADCAST_IDS = 200_000  # ids (16 bytes each) that are broadcast at most
 PREFIX = COORDINATES - LEAST_MATCHES + 1
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, (COORDINATES, 2)).astype(np.uint64)
 
@@ -96,9 +95,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, words: int = 2) -> DataFrame:
             grams, first = shingle_sets(texts, words)
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(grams.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["node", "shingles"])
-    few = cut(ids.select(F.col("node").alias("doc_id")).distinct())
-    few = F.broadcast(few) if few.count() <= BROADCAST_IDS else few  # beyond it the texts are shuffled
-    wanted = docs.select("doc_id", "text").join(few, "doc_id", "left_semi")
+    wanted = docs.select("doc_id", "text").join(few(ids.select(F.col("node").alias("doc_id")).distinct()), "doc_id", "left_semi")
     return wanted.mapInArrow(run, "node long, shingles array<long>")
 
 

@@ -180,7 +180,8 @@ def factors(copies: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int
 
 def parsed(docs: DataFrame, keep_text: bool) -> DataFrame:
     """Every row of ``docs`` with n_words, n_removed, factors and ``kept``: the
-    words that stay, joined by one space, or their sha256 if not keep_text.
+    runs of text that stay, joined by line feeds (all of it if all stays), or,
+    if not keep_text, the sha256 of the words that stay, joined by one space.
     Extra columns with these names are replaced."""
     made = StructType.fromDDL("n_words long, n_removed long, kept string, "
                               "factors array<struct<start:int,n_words:int,ref_doc:long,ref_start:int>>").fields
@@ -203,8 +204,15 @@ def parsed(docs: DataFrame, keep_text: bool) -> DataFrame:
                     gone[s] += 1
                     gone[s + n] -= 1
                 stays = np.cumsum(gone[:-1]) == 0
-                words = texts[i].split()
-                left = b" ".join(words if not fs else [words[j] for j in np.flatnonzero(stays)])
+                if not keep_text:
+                    words = texts[i].split()
+                    left = b" ".join([words[j] for j in np.flatnonzero(stays)] if fs else words)
+                elif fs:  # the runs that stay, as they are
+                    edge = np.diff(np.concatenate(([0], stays.astype(np.int8), [0])))
+                    runs = zip(np.flatnonzero(edge == 1) + a, np.flatnonzero(edge == -1) + a - 1)
+                    left = b"\n".join(w.buf[w.start[x]:w.end[y]].tobytes() for x, y in runs)
+                else:
+                    left = texts[i]
                 n_words.append(b - a)
                 n_removed.append(int((~stays).sum()))
                 kept.append(left if keep_text else hashlib.sha256(left).hexdigest().encode())
