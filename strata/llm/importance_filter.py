@@ -55,7 +55,9 @@ def buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     half = np.uint64(1 << (BITS - 1))
     low = half - np.uint64(1)
     letters = gram_hashes(w.buf.astype(np.uint64) + np.uint64(1), LETTERS)
-    by_letter = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])[:len(letters)]
+    by_letter = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
+    own = grams_inside(by_letter, LETTERS)
+    letters, by_letter = letters[own], by_letter[:len(own)][own]
     return (np.concatenate((mix(h) & low, mix(gram_hashes(h, 2)[inside]) & low, (letters & low) + half)).astype(np.int64),
             np.concatenate((w.doc, w.doc[:len(inside)][inside], by_letter)))
 
