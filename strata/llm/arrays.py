@@ -9,12 +9,12 @@ chunk of documents is hashed without a Python loop over words.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+SLICE_ROWS = 128
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD6E8FEB86659FD93
 _M64 = (1 << 64) - 1
@@ -34,18 +34,19 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-@lru_cache(maxsize=4)
-def _powers_at(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    out = []
-    for b in (base, pow(base, -1, 1 << 64)):
-        p = np.full(n, np.uint64(b))
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers_at(base, 1 << max(10, int(n).bit_length()))
+    """Powers of the base and of its inverse, n or more of them."""
+    if base not in _POWERS or len(_POWERS[base][0]) < n:
+        out = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            p = np.full(1 << int(n).bit_length(), np.uint64(b))
+            p[0] = 1
+            out.append(np.multiply.accumulate(p))
+        _POWERS[base] = out[0], out[1]
+    return _POWERS[base]
 
 
 def _range_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
@@ -108,10 +109,12 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text",
            limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches of about ``limit`` bytes of whole texts."""
     for batch in batches:
-        texts = column_bytes(batch, text)
-        begin, held = 0, 0
-        for i, t in enumerate(texts):
-            held += len(t)
-            if held >= limit or i + 1 == len(texts):
-                yield batch.slice(begin, i + 1 - begin), texts[begin:i + 1]
-                begin, held = i + 1, 0
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            part = batch.slice(at, SLICE_ROWS)
+            texts = column_bytes(part, text)
+            begin, held = 0, 0
+            for i, t in enumerate(texts):
+                held += len(t)
+                if held >= limit or i + 1 == len(texts):
+                    yield part.slice(begin, i + 1 - begin), texts[begin:i + 1]
+                    begin, held = i + 1, 0
