@@ -17,14 +17,16 @@ stays.
 
 To move little, an anchor and all windows that it stands for travel as one
 row, a hash of the words under them.  Occurrences with equal hashes are a class
-and all but the first of it are copies, so only the first of each class is
-compared window by window, and only if its anchor has other classes.  A
+and all but the first of it are copies.  A window of the first may still have
+an earlier copy in another class of the same anchor, whose words differ further
+on; only such classes send out their windows one by one.  A
 passage that thousands share costs one row per occurrence and no pairs.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+``; a null or empty text has no
 words and keeps the empty text; rows with equal doc_id and text are one
 document and each gets its result; of documents that share a doc_id but not the
-text, an earlier start is earlier, then the one with the smaller text hash; a
+text, an earlier start is earlier, then the one with the smaller text hash (32
+bits tell their texts apart); a
 null doc_id counts as the largest; an empty table gives an empty result; only
 ``doc_id`` and ``text`` are read.
 """
@@ -36,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -45,6 +47,7 @@ from strata.llm.arrays import Words, chunks, gram_hashes, mix, span_hashes
 WINDOW = 20
 GRAM = 6
 SPAN = WINDOW - GRAM + 1  # runs in a window
+NO_ID = (1 << 63) - 1  # stands for a null doc_id
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -104,66 +107,92 @@ def index_blocks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "row long, key long, n int")
 
 
+def _chosen(a: Anchors, batch: pa.RecordBatch, column: str, of: str) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window of the anchors whose key (or place in the
+    document) is in the list that each document has in ``column``."""
+    first, last = a.runs()
+    doc = a.words.doc[a.at[first]]
+    values = a.key[first].view(np.int64) if of == "key" else a.place[first] - a.words.first[doc]
+    border, keep = np.searchsorted(doc, np.arange(batch.num_rows + 1)), np.zeros(len(first), bool)
+    for i, wanted in enumerate(batch.column(column)):
+        if wanted.is_valid:
+            part = slice(border[i], border[i + 1])
+            keep[part] = np.isin(values[part], wanted.values.to_numpy(zero_copy_only=False))
+    return first[keep], last[keep]
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
-    """key, same (hash of all words under the anchor's windows), row, doc, version,
-    place, lead (words from the first window's start to the anchor), windows
-    (their hashes, first window first) for the anchors in ``keys``."""
-    names = ["key", "same", "row", "doc", "version", "place", "lead", "windows"]
+    """key, same (hash of all words under the anchor's windows, and of its
+    place among them), doc, version and ``at`` (see ``_unpacked``) of every
+    anchor whose key is in the document's ``__keys``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in chunks(batches):
+            a = Anchors(Words(texts))
+            first, last = _chosen(a, batch, "__keys", "key")
+            if not len(first):
+                continue
+            start, place, doc = a.at[first], a.place[first], a.words.doc[a.at[first]]
+            same = mix(span_hashes(a.hash, start, a.at[last] + WINDOW) ^ (place - start).astype(np.uint64))
+            at = ((place - a.words.first[doc]) << 8) | ((place - start) << 4) | (last - first + 1)
+            rows = pa.array(doc)
+            yield pa.RecordBatch.from_arrays([_signed(a.key[first]), _signed(same), *[batch.column(c).take(rows) for c in ("__doc", "__version")],
+                                              pa.array(at)], names=["key", "same", "doc", "version", "at"])
+    return docs.mapInArrow(run, "key long, same long, doc long, version int, at long")
+
 
+def windows_at(docs: DataFrame) -> DataFrame:
+    """window (hash), doc, version, start: every window of the anchors at the
+    places in the document's ``__places``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
             a = Anchors(Words(texts))
-            first, last = a.runs()
-            wanted = batch.column("__keys")
-            keep = np.zeros(len(first), bool)
-            doc, key = a.words.doc[a.at[first]], a.key[first].view(np.int64)
-            border = np.searchsorted(doc, np.arange(len(texts) + 1))
-            for i in range(len(texts)):
-                if wanted[i].is_valid:
-                    part = slice(border[i], border[i + 1])
-                    keep[part] = np.isin(key[part], wanted[i].values.to_numpy(zero_copy_only=False))
-            first, last, doc = first[keep], last[keep], doc[keep]
+            first, last = _chosen(a, batch, "__places", "place")
             if not len(first):
                 continue
-            start, end = a.at[first], a.at[last] + WINDOW
-            place = a.place[first]
-            hashes = span_hashes(a.hash, a.at, a.at + WINDOW)
-            same = mix(span_hashes(a.hash, start, end) ^ (place - start).astype(np.uint64))
             counts = last - first + 1
-            flat = np.repeat(first - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), _signed(hashes[flat]))
+            each = a.at[np.repeat(first - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())]
+            doc = a.words.doc[each]
             rows = pa.array(doc)
-            yield pa.RecordBatch.from_arrays(
-                [_signed(a.key[first]), _signed(same), *[batch.column(c).take(rows) for c in ("__row", "__doc", "__version")],
-                 pa.array((place - a.words.first[doc]).astype(np.int32)), pa.array((place - start).astype(np.int32)), lists], names=names)
-    return docs.mapInArrow(run, "key long, same long, row long, doc long, version long, place int, lead int, windows array<long>")
+            yield pa.RecordBatch.from_arrays([_signed(span_hashes(a.hash, each, each + WINDOW)), *[batch.column(c).take(rows) for c in ("__doc", "__version")],
+                                              pa.array((each - a.words.first[doc]).astype(np.int32))], names=["window", "doc", "version", "start"])
+    return docs.mapInArrow(run, "window long, doc long, version int, start int")
+
+
+def _unpacked(at: Column) -> tuple[Column, Column, Column]:
+    """Place of the anchor in its document, words from its first window's
+    start to it, and number of its windows, of an ``at`` value."""
+    return F.shiftright(at, 8).cast("int"), F.shiftright(at, 4).bitwiseAND(15).cast("int"), at.bitwiseAND(15).cast("int")
+
+
+def _row_key(doc: Column, version: Column) -> Column:
+    """Joins a document's results to its rows; those without id by their text."""
+    return F.when(doc == NO_ID, version.cast("long")).otherwise(doc)
 
 
 def copied(docs: DataFrame) -> DataFrame:
-    """row, copies: for each row key the windows that occur earlier, an array
+    """__row, __copies: for each row key the windows that occur earlier, an array
     of (document, version, start, n windows, reference document, its start).
     ``docs``: __row, __doc, __version, text; a row key need not be unique."""
     index = index_blocks(docs.select("__row", "text"))
     shared = index.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
     mine = index.join(shared, "key").groupBy("row").agg(F.collect_list("key").alias("__keys")).withColumnRenamed("row", "__row")
     found = occurrences(docs.join(mine.hint("shuffle_hash"), "__row", "left"))
-    at = F.struct("doc", "place", "version", "row", "lead", "windows")
-    classes = found.groupBy("key", "same").agg(F.min(at).alias("first"))
+    classes = found.groupBy("same").agg(F.min(F.struct("doc", "at", "version", "key")).alias("first")).select("same", "first.*")
     several = classes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     # The first of each class, window by window, against the other classes.
-    each = (classes.join(several, "key").select("key", "same", "first.*").select(
-        "key", "row", "doc", "version", (F.col("place") - F.col("lead")).alias("start"), F.posexplode("windows").alias("i", "window"))
-        .withColumn("start", F.col("start") + F.col("i")))
-    earliest = each.groupBy("key", "window").agg(F.min(F.struct("doc", "start", "version")).alias("ref"))
-    later = (each.join(earliest, ["key", "window"]).filter(F.struct("doc", "start", "version") != F.col("ref"))
-             .select("row", "doc", "version", "start", F.lit(1).alias("n"), F.col("ref.doc").alias("ref"), F.col("ref.start").alias("ref_start")))
-    first = classes.select("key", "same", F.col("first.doc").alias("ref"), F.col("first.place").alias("ref_place"),
-                           F.col("first.version").alias("ref_version"))
-    whole = (found.select("key", "same", "row", "doc", "version", "place", "lead", F.size("windows").alias("n")).join(first, ["key", "same"])
-             .filter("doc != ref or place != ref_place or version != ref_version")
-             .select("row", "doc", "version", (F.col("place") - F.col("lead")).alias("start"), "n", "ref", (F.col("ref_place") - F.col("lead")).alias("ref_start")))
-    return (whole.union(later).groupBy("row")
-            .agg(F.sort_array(F.collect_list(F.struct("doc", "version", "start", "n", "ref", "ref_start"))).alias("copies")))
+    place, lead, n = _unpacked(F.col("at"))
+    open_places = (classes.join(several, "key").groupBy(_row_key(F.col("doc"), F.col("version")).alias("__row"))
+                   .agg(F.collect_set(place.cast("long")).alias("__places")))
+    each = windows_at(docs.join(open_places.hint("shuffle_hash"), "__row", "left"))
+    earliest = each.groupBy("window").agg(F.min(F.struct("doc", "start", "version")).alias("ref"))
+    later = (each.join(earliest, "window").filter(F.struct("doc", "start", "version") != F.col("ref"))
+             .select("doc", "version", "start", F.lit(1).alias("n"), F.col("ref.doc").alias("ref"), F.col("ref.start").alias("ref_start")))
+    first = classes.select("same", F.col("doc").alias("ref"), F.col("at").alias("ref_at"), F.col("version").alias("ref_version"))
+    ref_place, _, _ = _unpacked(F.col("ref_at"))
+    whole = (found.drop("key").join(first, "same").filter("doc != ref or at != ref_at or version != ref_version")
+             .select("doc", "version", (place - lead).alias("start"), n.alias("n"), "ref", (ref_place - lead).alias("ref_start")))
+    return (whole.union(later).groupBy(_row_key(F.col("doc"), F.col("version")).alias("__row"))
+            .agg(F.sort_array(F.collect_list(F.struct("doc", "version", "start", "n", "ref", "ref_start"))).alias("__copies")))
 
 
 def factors(copies: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -187,9 +216,9 @@ def parsed(docs: DataFrame, keep_text: bool) -> DataFrame:
                               "factors array<struct<start:int,n_words:int,ref_doc:long,ref_start:int>>").fields
     columns = [f for f in docs.schema.fields if f.name not in ("text", *[m.name for m in made])]
     # Both joins of the texts see the same columns, so that they share one shuffle.
-    d = docs.select(*[f.name for f in columns], "text", F.coalesce("doc_id", F.xxhash64("text")).alias("__row"),
-                    F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("__doc"), F.xxhash64("text").alias("__version"))
-    found = copied(d).toDF("__row", "__copies")
+    d = docs.select(*[f.name for f in columns], "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("__doc"), F.hash("text").alias("__version"))
+    d = d.withColumn("__row", _row_key(F.col("__doc"), F.col("__version")))
+    found = copied(d)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
