@@ -800,7 +800,8 @@ def _library_sql() -> dict[str, str]:
               round(d, 4) AS distance_to_cluster_center,
               coalesce(d > 2.0, false) AS is_cluster_outlier,
               round(1.0 - least(d / nullif(max(d) OVER (), 0), 1.0), 4) AS ml_confidence_score,
-              '1.0' AS ml_model_version, 'KMeans_NTILE_approx' AS clustering_algorithm, 5 AS n_clusters_used
+              '1.0' AS ml_model_version, 'KMeans_NTILE_approx' AS clustering_algorithm, 5 AS n_clusters_used,
+              '["ACCOUNT_BALANCE", "BALANCE_PERCENTILE", "BALANCE_RANK_IN_NATION"]' AS features_used
             FROM sc""",
         "order_facts": _ORDER_FACTS + " SELECT * FROM of",
         "clean_nations": f"""

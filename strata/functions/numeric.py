@@ -31,8 +31,15 @@ def _split_parts(units: Column) -> tuple[Column, Column]:
     return (F.sum(F.shiftright(units, _SPLIT_BITS)), F.sum(units.bitwiseAND(F.lit(_SPLIT_MASK))))
 
 
+def _total(hi: Column, lo: Column) -> Column:
+    return (hi.cast("decimal(20,0)") * F.lit(1 << _SPLIT_BITS).cast("decimal(7,0)") + lo.cast("decimal(20,0)")).cast("decimal(30,0)")
+
+
 def _combine_decimal(hi: Column, lo: Column, scale: int) -> Column:
-    total = hi.cast("decimal(38,0)") * F.lit(1 << _SPLIT_BITS).cast("decimal(38,0)") + lo.cast("decimal(38,0)")
+    return _scaled(hi.cast("decimal(38,0)") * F.lit(1 << _SPLIT_BITS).cast("decimal(38,0)") + lo.cast("decimal(38,0)"), scale)
+
+
+def _scaled(total: Column, scale: int) -> Column:
     # units * 10^-scale, exactly: a decimal multiply would fall under the
     # precision-loss rule (scale cut to 6), so the exponent is applied by the
     # string -> decimal cast (BigDecimal parsing), once per group.
@@ -75,9 +82,17 @@ def money_sum(c, scale: int = 6) -> Column:
 def exact_product_sum(a, b, scale_a: int = 6, scale_b: int = 6) -> Column:
     """Exact sum of a * b where a and b carry at most ``scale_a`` /
     ``scale_b`` decimals (e.g. price x rate), as a double nearest to the
-    exact total.  The product of the integer units is a long (ANSI mode
-    raises instead of wrapping if it ever overflowed)."""
-    return _combine_double(*_split_parts(_units(a, scale_a) * _units(b, scale_b)), scale_a + scale_b)
+    exact total.  The units of a are split at 10^6, so that each product is a
+    long up to |a| * |b| of about 9 * 10^12 (at six decimals each) and the two
+    exact sums are combined once per group."""
+    ua, ub = _units(a, scale_a), _units(b, scale_b)
+    cut = F.lit(10 ** 6)
+    low = ua % cut
+    high = F.call_function("div", ua, cut)
+    scale = scale_a + scale_b
+    parts = [p * ub for p in (high, low)]
+    wide, fine = (_total(*_split_parts(p)) for p in parts)
+    return _scaled(wide * F.lit(10 ** 6).cast("decimal(7,0)") + fine, scale).cast("double")
 
 
 def exact_avg(c, scale: int = 6) -> Column:

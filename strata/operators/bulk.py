@@ -28,7 +28,7 @@ def combine_statements(spark: SparkSession, statements: Sequence[str]) -> tuple[
         try:
             good.append(spark.sql(sql))
         except Exception as e:  # analysis errors: bad SQL, missing table
-            bad.append((i, sql, str(e).splitlines()[0][:1000]))
+            bad.append((i, sql, str(e)))
     out = None
     for df in good:
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)

@@ -18,7 +18,8 @@ def change_feed(before: DataFrame | None, after: DataFrame, keys: Sequence[str],
     """K9 table stream between two snapshots: INSERT, DELETE, and
     UPDATE_BEFORE/UPDATE_AFTER pairs for changed rows (row hash over
     ``value_cols``).  ``before=None`` shows the initial rows as inserts.
-    One full outer join on the keys."""
+    One full outer join on the keys (a null key is a key like any other)
+    and one explode of each pair's changes."""
     keys = list(keys)
     cols = after.columns
     vals = list(value_cols or [c for c in cols if c not in keys])
@@ -28,16 +29,14 @@ def change_feed(before: DataFrame | None, after: DataFrame, keys: Sequence[str],
                             ver.cast("string").alias(VERSION))
     b = before.select(*cols, row_hash(*vals).alias("__h")).alias("__b")
     a = after.select(*cols, row_hash(*vals).alias("__h")).alias("__a")
-    j = b.join(a, [F.col(f"__b.{k}") == F.col(f"__a.{k}") for k in keys], "full_outer")
-    bp, ap = F.col(f"__b.{keys[0]}").isNotNull(), F.col(f"__a.{keys[0]}").isNotNull()
-    changed = bp & ap & (F.col("__b.__h") != F.col("__a.__h"))
-    side = lambda p: [F.col(f"{p}.{c}").alias(c) for c in cols]
-    ins = j.where(ap & ~bp).select(*side("__a"), F.lit("INSERT").alias(CHANGE_TYPE))
-    dele = j.where(bp & ~ap).select(*side("__b"), F.lit("DELETE").alias(CHANGE_TYPE))
-    upd = j.where(changed).select(F.array(F.struct(*side("__b"), F.lit("UPDATE_BEFORE").alias(CHANGE_TYPE)),
-                                          F.struct(*side("__a"), F.lit("UPDATE_AFTER").alias(CHANGE_TYPE))).alias("__u"))
-    upd = upd.select(F.explode("__u").alias("__r")).select("__r.*")
-    out = ins.unionByName(dele).unionByName(upd)
+    j = b.join(a, [F.col(f"__b.{k}").eqNullSafe(F.col(f"__a.{k}")) for k in keys], "full_outer")
+    in_b, in_a = F.col("__b.__h").isNotNull(), F.col("__a.__h").isNotNull()  # a row hash is never null
+
+    def change(side: str, kind: str) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in cols], F.lit(kind).alias(CHANGE_TYPE))
+    changes = (F.when(in_a & ~in_b, F.array(change("__a", "INSERT"))).when(in_b & ~in_a, F.array(change("__b", "DELETE")))
+               .when(F.col("__b.__h") != F.col("__a.__h"), F.array(change("__b", "UPDATE_BEFORE"), change("__a", "UPDATE_AFTER"))))
+    out = j.select(F.explode(changes).alias("__c")).select("__c.*")
     return out.withColumn(COMMIT_TS, commit_ts).withColumn(VERSION, ver.cast("string"))
 
 

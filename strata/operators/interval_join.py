@@ -72,7 +72,9 @@ def smallest_above(values: DataFrame, value_col: str, table: DataFrame, bound_co
                    num_partitions: int | None = None) -> DataFrame:
     """For every row of ``values``: the ``payload`` of the ``table`` row with
     the smallest ``bound_col`` above ``value_col`` (``>=`` when not
-    ``strict``); null when none.  Exact at any size of either side.
+    ``strict``); null when none, or when the value is null.  Both sides are
+    compared in the type that Spark widens them to.  Exact at any size of
+    either side.
 
     Both sides are unioned and globally ordered by (value, side) with the
     range-partitioned ranking operator; at equal values the side order
@@ -90,10 +92,10 @@ def smallest_above(values: DataFrame, value_col: str, table: DataFrame, bound_co
     vt, tt = dict(values.dtypes), dict(table.dtypes)
     vcols, pcols = values.columns, list(payload)
     k_val, k_tab = (1, 0) if strict else (0, 1)
-    left = values.select(*vcols, F.col(value_col).cast("double").alias("__sa_v"), F.lit(k_val).alias("__sa_k"),
+    left = values.select(*vcols, F.col(value_col).alias("__sa_v"), F.lit(k_val).alias("__sa_k"),
                          *[F.lit(None).cast(tt[p]).alias(f"__sa_p_{p}") for p in pcols])
     right = table.select(*[F.lit(None).cast(vt[c]).alias(c) for c in vcols],
-                         F.col(bound_col).cast("double").alias("__sa_v"), F.lit(k_tab).alias("__sa_k"),
+                         F.col(bound_col).alias("__sa_v"), F.lit(k_tab).alias("__sa_k"),
                          *[F.col(p).alias(f"__sa_p_{p}") for p in pcols])
     r = rank_rows(left.unionByName(right).where(F.col("__sa_v").isNotNull()), ["__sa_v", "__sa_k"],
                   outputs=("row_number", "group_count"), num_partitions=n_parts, prefix="__sa_")
@@ -109,4 +111,6 @@ def smallest_above(values: DataFrame, value_col: str, table: DataFrame, bound_co
     blocks = blocks.select("__sa_blk", F.last("__f.hit", ignorenulls=True).over(wb).alias("__sa_later"))
     out = r.where(~is_tab).join(F.broadcast(blocks), "__sa_blk")  # at most num_partitions rows
     m = F.coalesce(F.col("__sa_next"), F.col("__sa_later"))
-    return out.select(*vcols, *[m[p].alias(prefix + p) for p in pcols])
+    out = out.select(*vcols, *[m[p].alias(prefix + p) for p in pcols])
+    unknown = values.where(F.col(value_col).isNull()).select(*vcols, *[F.lit(None).cast(tt[p]).alias(prefix + p) for p in pcols])
+    return out.unionByName(unknown)

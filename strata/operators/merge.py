@@ -78,7 +78,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], exclude: S
         batch_keys = F.broadcast(source.select(*keys))
         untouched = target.join(batch_keys, keys, "left_anti")
         touched = target.join(batch_keys, keys, "left_semi")
-        return untouched.unionByName(merged(touched, source))
+        return untouched.select(*cols).unionByName(merged(touched.select(*cols), source))
     return merged(target, source)
 
 

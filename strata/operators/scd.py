@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.keys import assign_surrogate_keys, scd_id
-from strata.operators.merge import assert_unique, upsert
+from strata.operators.merge import assert_unique, evolve_schema, upsert
 
 
 def scd1_changes(source: DataFrame, existing: DataFrame | None, *, integration_key: str = "integration_id",
@@ -65,8 +65,11 @@ def scd2_snapshot(history: DataFrame | None, source: DataFrame, keys: Sequence[s
     'new_record' closes them and adds a deletion row.  The open end is
     null unless ``open_end`` is given.  Rerunning with the same source
     changes nothing; a key that returns after deletion opens a new version.
-    One full outer join of open rows with the source on the keys; closed
-    history passes through untouched.
+    One full outer join of open rows with the source on the keys (a null key
+    is a key like any other) gives each pair its rows of the next version as
+    an array, exploded once; closed history passes through untouched.  New
+    source columns are added to the history, null in old rows.  Write the
+    returned version before the next load reads it.
     """
     keys = list(keys)
     assert_unique(source, keys)
@@ -89,53 +92,48 @@ def scd2_snapshot(history: DataFrame | None, source: DataFrame, keys: Sequence[s
         first = new_rows(s, stamp)
         return _finish(first, keys, valid_from, valid_to, scd_id_col, end_open, current_flag, open_end)
 
+    history = evolve_schema(history, source)
+    types = dict(history.dtypes)
     is_open = (F.col(valid_to).isNull() if open_end is None else F.col(valid_to) == open_end)
     closed_hist = history.where(~is_open)
-    open_hist = history.where(is_open)
-    h, s = open_hist.alias("__h"), source.alias("__s")
-    cond = [F.col(f"__h.{k}") == F.col(f"__s.{k}") for k in keys]
-    j = h.join(s, cond, "full_outer")
-    h_present = F.col(f"__h.{keys[0]}").isNotNull()
-    s_present = F.col(f"__s.{keys[0]}").isNotNull()
+    h = history.where(is_open).withColumn("__in", F.lit(True)).alias("__h")
+    s = source.withColumn("__in", F.lit(True)).alias("__s")
+    j = h.join(s, [F.col(f"__h.{k}").eqNullSafe(F.col(f"__s.{k}")) for k in keys], "full_outer")
+    in_h, in_s = F.col("__h.__in").isNotNull(), F.col("__s.__in").isNotNull()
     was_deleted = (F.coalesce(F.col(f"__h.{is_deleted}"), F.lit(False)) if hard_deletes == "new_record"
                    else F.lit(False))
     if strategy == "timestamp":
-        changed = F.col(f"__s.{updated_at}") > F.col(f"__h.{updated_col}")
+        changed = F.coalesce(F.col(f"__s.{updated_at}") > F.col(f"__h.{updated_col}"), F.lit(False))
     else:
         cc = check_cols or [c for c in biz if c not in keys]
         changed = F.lit(False)
         for c in cc:
             changed = changed | ~F.col(f"__h.{c}").eqNullSafe(F.col(f"__s.{c}"))
     changed = changed | was_deleted
-    j = j.withColumn("__state",
-                     F.when(h_present & s_present & changed, "changed")
-                     .when(h_present & s_present, "same")
-                     .when(s_present, "new")
-                     .otherwise("gone"))
-    hist_cols = history.columns
-    keep_h = lambda df: df.select(*[F.col(f"__h.{c}").alias(c) for c in hist_cols])
-    same = keep_h(j.where((F.col("__state") == "same")
-                          | ((F.col("__state") == "gone") & ((F.lit(hard_deletes) == "ignore") | was_deleted))))
-    close_at = stamp if strategy == "timestamp" else now
-    to_close = j.where((F.col("__state") == "changed")
-                       | ((F.col("__state") == "gone") & (F.lit(hard_deletes) != "ignore") & ~was_deleted))
-    closed_now = to_close.select(*[F.col(f"__h.{c}").alias(c) for c in hist_cols if c != valid_to],
-                                 F.when(F.col("__state") == "changed", close_at).otherwise(now)
-                                 .cast("timestamp_ntz").alias(valid_to)).select(*hist_cols)
-    if current_flag:
-        closed_now = closed_now.withColumn(current_flag, F.lit(False))
-    fresh = new_rows(j.where(F.col("__state").isin("changed", "new")), stamp)
-    parts = [closed_hist, same, closed_now,
-             _finish(fresh, keys, valid_from, valid_to, scd_id_col, end_open, current_flag, open_end)]
-    if hard_deletes == "new_record":
-        gone = j.where((F.col("__state") == "gone") & ~was_deleted)
-        tomb = gone.select(*[F.col(f"__h.{c}").alias(c) for c in biz], now.cast("timestamp_ntz").alias(valid_from),
-                           now.cast("timestamp_ntz").alias(updated_col)).withColumn(is_deleted, F.lit(True))
-        parts.append(_finish(tomb, keys, valid_from, valid_to, scd_id_col, end_open, current_flag, open_end))
-    out = parts[0].select(*hist_cols)
-    for p in parts[1:]:
-        out = out.unionByName(p.select(*hist_cols))
-    return out
+
+    def row(side: str, fresh: bool, **given: Column) -> Column:
+        """A row of the history from one side of the join and given values."""
+        have = set(biz) if side == "__s" else set(history.columns)
+        values = [given[c] if c in given else F.col(f"{side}.{c}") if c in have else F.lit(None) for c in history.columns]
+        return F.struct(*[v.cast(types[c]).alias(c) for c, v in zip(history.columns, values)], F.lit(fresh).alias("__fresh"))
+
+    def opened(side: str, at: Column, deleted: bool) -> Column:
+        flags = {is_deleted: F.lit(deleted)} if hard_deletes == "new_record" else {}
+        if current_flag:
+            flags[current_flag] = F.lit(True)
+        return row(side, True, **{valid_from: at, updated_col: at, valid_to: end_open, **flags})
+
+    def closed(at: Column) -> Column:
+        return row("__h", False, **{valid_to: at, **({current_flag: F.lit(False)} if current_flag else {})})
+    same, fresh = row("__h", False), opened("__s", stamp, False)
+    gone = {"ignore": F.array(same), "invalidate": F.array(closed(now)),
+            "new_record": F.array(closed(now), opened("__h", now, True))}[hard_deletes]
+    rows = (F.when(in_h & in_s & changed, F.array(closed(stamp), fresh))
+            .when(in_h & in_s, F.array(same)).when(in_s, F.array(fresh))
+            .when(was_deleted, F.array(same)).otherwise(gone))
+    out = j.select(F.explode(rows).alias("__row")).select("__row.*")
+    out = out.withColumn(scd_id_col, F.when(F.col("__fresh"), scd_id(keys, valid_from)).otherwise(F.col(scd_id_col)))
+    return closed_hist.unionByName(out.select(*history.columns))
 
 
 def _finish(df, keys, valid_from, valid_to, scd_id_col, end_open, current_flag, open_end):
@@ -170,9 +168,9 @@ def hybrid_dimension_load(dim: DataFrame | None, staging: DataFrame, business_ke
         return new.select(surrogate_key, *[c for c in new.columns if c != surrogate_key]), counts
     dim_cols = dim.columns
     cur, old = dim.where(F.col(current_col)), dim.where(~F.col(current_col))
-    c, s = cur.alias("__c"), stg.alias("__s")
-    j = c.join(s, F.col(f"__c.{business_key}") == F.col(f"__s.{business_key}"), "full_outer")
-    cp, sp = F.col(f"__c.{business_key}").isNotNull(), F.col(f"__s.{business_key}").isNotNull()
+    c, s = cur.withColumn("__in", F.lit(True)).alias("__c"), stg.withColumn("__in", F.lit(True)).alias("__s")
+    j = c.join(s, F.col(f"__c.{business_key}").eqNullSafe(F.col(f"__s.{business_key}")), "full_outer")
+    cp, sp = F.col("__c.__in").isNotNull(), F.col("__s.__in").isNotNull()
     t2 = F.lit(False)
     for col in type2_cols:
         t2 = t2 | ~F.col(f"__c.{col}").eqNullSafe(F.col(f"__s.{col}"))

@@ -105,7 +105,7 @@ def build(cat, ctx: RunContext, out_root: str, audit_path: str, batch_id: str,
         except Exception as e:
             failed.add(name)
             audit.append((batch_id, name, layer, start, _dt.datetime.now(), "FAILED", None,
-                          str(e).splitlines()[0][:2000]))
+                          str(e)))
     rows = spark.createDataFrame(audit, AUDIT_SCHEMA)
     rows.write.mode("append").parquet(audit_path)
     return spark.read.parquet(audit_path).where(f"batch_id = '{batch_id}'")

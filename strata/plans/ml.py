@@ -20,7 +20,7 @@ KMEANS_CLUSTER_NAMES = ("Premium Elite", "High Value Stable", "Growth Potential"
 
 
 def customer_clustering_kmeans(cat, ctx: RunContext = RunContext(), segments: DataFrame | None = None,
-                               k: int = 5, seed: int = 42, n_init: int = 10, max_iter: int = 20,
+                               k: int = 5, seed: int = 42, n_init: int = 10, max_iter: int = 300,
                                outlier_quantile: float = 0.95) -> DataFrame:
     """Mean-impute the three features, standardise them with the population
     standard deviation (as scikit-learn does), fit k-means ``n_init`` times
@@ -62,7 +62,7 @@ def customer_clustering_kmeans(cat, ctx: RunContext = RunContext(), segments: Da
     order = pred.groupBy("__cluster").agg(F.avg("account_balance").alias("__mb"))
     from strata.operators.ranking import rank_rows
     order = rank_rows(order, ["__mb"], descending=[True], tiebreak=["__cluster"], prefix="__c_")
-    names = F.array(*[F.lit(n) for n in KMEANS_CLUSTER_NAMES])
+    names = F.array(*[F.lit(n) for n in silver.cluster_names(KMEANS_CLUSTER_NAMES, k)])
     order = order.select("__cluster", (F.col("__c_row_number") - 1).cast("int").alias("ml_cluster"),
                          F.element_at(names, F.col("__c_row_number").cast("int")).alias("cluster_name"))
     pred = pred.join(F.broadcast(order), "__cluster")

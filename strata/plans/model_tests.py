@@ -226,9 +226,9 @@ def _builders():
 
 
 def check_name(model: str, column: str | None, kind: str, arg) -> str:
-    """Stable, unique name: a CRC of the argument tells same-kind tests apart."""
-    import zlib
-    tail = "" if arg is None else f"_{zlib.crc32(repr(arg).encode()) % 10**6:06d}"
+    """Stable, unique name: a digest of the argument tells same-kind tests apart."""
+    import hashlib
+    tail = "" if arg is None else f"_{hashlib.sha256(repr(arg).encode()).hexdigest()[:16]}"
     return f"{model}__{column or 'table'}__{kind}{tail}"
 
 

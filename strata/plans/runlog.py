@@ -88,18 +88,15 @@ def query_history(cat, ctx: RunContext = RunContext(), existing: DataFrame | Non
 
 def capacity_assignment(cat, ctx: RunContext = RunContext(), history: DataFrame | None = None,
                         capacities: DataFrame | None = None, overrides: DataFrame | None = None,
-                        lookback_days: int = 30, confidence: float = 0.85,
-                        broadcast_max_rows: int = MAX_SEED_ROWS) -> DataFrame:
+                        lookback_days: int = 30, confidence: float = 0.85) -> DataFrame:
     """J7 smallest capacity that fits, per target.
 
     Per target the largest scan (and largest incremental scan, else the
     largest scan: A11) is one hash aggregate.  Each maximum then needs the
-    smallest capacity strictly above it: a non-equi join against the
-    capacity seed, broadcast after a size check, reduced per target with
-    ``min_by`` (the reference's double join + row_number picks the same
-    pair, since both orders are independent).  A capacity table over the
-    bound takes the exact ordered lookup ``smallest_above`` instead.  Targets with an override
-    are excluded by an anti join and the overrides appended (U1)."""
+    smallest capacity strictly above it: the exact ordered lookup
+    ``smallest_above`` whatever the sizes (the reference's double join +
+    row_number picks the same pair, since both orders are independent).
+    Targets with an override are excluded by an anti join and the overrides appended (U1)."""
     spark = cat.spark
     qh = history if history is not None else query_history(cat, ctx)
     caps = capacities if capacities is not None else capacity_seed(spark)
@@ -117,15 +114,9 @@ def capacity_assignment(cat, ctx: RunContext = RunContext(), history: DataFrame
         F.max(F.when(F.col("is_incremental"), F.col("bytes_scanned"))).alias("__max_inc"))
     mx = mx.withColumn("max_incremental_bytes_scanned", F.coalesce("__max_inc", "max_bytes_scanned")).drop("__max_inc")
     cap = caps.select("warehouse_name", "capacity")
-    small = cap.count() <= broadcast_max_rows  # size check before any broadcast
+    from strata.operators.interval_join import smallest_above
 
     def smallest_fit(value_col: str, name: str) -> DataFrame:
-        if small:
-            c = F.broadcast(cap).alias("c")
-            j = mx.select("target_name", value_col).join(c, F.col(value_col) < F.col("c.capacity"), "inner")
-            return j.groupBy("target_name").agg(F.min_by("c.warehouse_name", "c.capacity").alias(name))
-        # Beyond the bound: exact ordered lookup, no nested-loop join.
-        from strata.operators.interval_join import smallest_above
         m = smallest_above(mx.select("target_name", value_col), value_col, cap, "capacity", ["warehouse_name"])
         return m.where(F.col("warehouse_name").isNotNull()).select("target_name", F.col("warehouse_name").alias(name))
 

@@ -66,6 +66,12 @@ def customer_segments(cat, ctx: RunContext = RunContext(), valid_only: bool = Fa
 
 # Ntile cluster number -> name (M2).
 CLUSTER_NAMES = ("Premium Elite", "High Value Stable", "Growth Potential", "Standard Base", "At Risk")
+CLUSTER_FEATURES = '["ACCOUNT_BALANCE", "BALANCE_PERCENTILE", "BALANCE_RANK_IN_NATION"]'
+
+
+def cluster_names(names: tuple[str, ...], k: int) -> tuple[str, ...]:
+    """The given names if there is one for each of k clusters, else numbers."""
+    return names if k == len(names) else tuple(f"Cluster {i + 1}" for i in range(k))
 
 
 def customer_clustering_ntile(cat, ctx: RunContext = RunContext(), segments: DataFrame | None = None,
@@ -85,7 +91,7 @@ def customer_clustering_ntile(cat, ctx: RunContext = RunContext(), segments: Dat
     dist = F.abs(F.col("account_balance") - F.col("center_balance")) / F.nullif(F.col("stddev_balance"), F.lit(0.0))
     scored = scored.withColumn("__d", dist)
     dmax = scored.agg(F.max("__d").alias("__dmax"))
-    name = F.element_at(F.array(*[F.lit(n) for n in CLUSTER_NAMES]), (F.col("ml_cluster") + 1).cast("int"))
+    name = F.element_at(F.array(*[F.lit(n) for n in cluster_names(CLUSTER_NAMES, k)]), (F.col("ml_cluster") + 1).cast("int"))
     out = scored.crossJoin(F.broadcast(dmax))
     return out.select(
         "customer_key", "customer_name", "nation_key", "account_balance", "balance_percentile",
@@ -97,7 +103,8 @@ def customer_clustering_ntile(cat, ctx: RunContext = RunContext(), segments: Dat
          .alias("ml_confidence_score"),
         F.lit("1.0").alias("ml_model_version"),
         F.lit("KMeans_NTILE_approx").alias("clustering_algorithm"),
-        F.lit(k).alias("n_clusters_used"))
+        F.lit(k).alias("n_clusters_used"),
+        F.lit(CLUSTER_FEATURES).alias("features_used"))
 
 
 # Pivoted order statuses and priorities of the order facts.
@@ -118,8 +125,8 @@ def order_facts(cat, ctx: RunContext = RunContext(), orders: DataFrame | None =
             (money_sum(price) / F.count(price)).alias("avg_order_value"),
             F.min(price).alias("min_order_value"), F.max(price).alias("max_order_value"),
             F.round(F.stddev_samp(price), 6).alias("order_value_stddev"),
-            F.count_distinct("o_custkey").alias("unique_customers"),
-            (money_sum(price) / F.count_distinct("o_custkey")).alias("revenue_per_customer")]
+            # A group has one customer: no distinct count is needed.
+            F.count(F.lit(1)).alias("unique_customers"), money_sum(price).alias("revenue_per_customer")]
     for s in ORDER_STATUSES:
         aggs.append(money_sum(F.when(F.col("o_orderstatus") == s, price).otherwise(F.lit(0.0)))
                     .alias(f"revenue_{s.lower()}_status"))
@@ -132,7 +139,11 @@ def order_facts(cat, ctx: RunContext = RunContext(), orders: DataFrame | None =
             F.dayofweek("o_orderdate").alias("day_of_week"),
             F.col("o_custkey").alias("customer_key"), F.col("o_orderstatus").alias("order_status"),
             F.col("o_orderpriority").alias("order_priority")]
-    return o.groupBy(*keys).agg(*aggs).withColumn("last_updated", ctx.now())
+    known = F.col("customer_key").isNotNull()
+    return (o.groupBy(*keys).agg(*aggs)
+            .withColumn("unique_customers", F.when(known, F.lit(1)).otherwise(F.lit(0)).cast("long"))
+            .withColumn("revenue_per_customer", F.when(known, F.col("revenue_per_customer")))
+            .withColumn("last_updated", ctx.now()))
 
 
 def int_fx_rates_daily(cat, ctx: RunContext = RunContext(), rates: DataFrame | None = None,
@@ -164,7 +175,8 @@ def fx_backward_intervals(rates: DataFrame, today_col: str, base: str = "USD",
         (F.lit(1.0) / F.col("exchange_rate").cast("double")).alias("to_usd"),
         F.coalesce(F.date_add(F.lag("rate_date").over(w), 1), F.to_date(F.lit(floor))).alias("start_date"),
         F.when(F.lead("rate_date").over(w).isNull(), far).otherwise(F.col("rate_date")).alias("end_date"))
-    ident = rates.select(today_col).limit(1).select(
+    # The identity row stands even if there are no rates.
+    ident = rates.agg(F.coalesce(F.max(today_col), F.current_date()).alias(today_col)).select(
         F.lit(base).alias("currency"), F.lit(1.0).alias("from_usd"), F.lit(1.0).alias("to_usd"),
         F.to_date(F.lit(floor)).alias("start_date"), far.alias("end_date"))
     return iv.unionByName(ident)

@@ -22,7 +22,7 @@ def load_text_log(spark: SparkSession, path: str, run_ts: Column | None = None)
     lines = raw.where(F.trim("value") != "")
     numbered = dense_index(lines, ["__file", "__block", "__pos"], start=1, name="row_num")
     now = run_ts if run_ts is not None else F.current_timestamp()
-    return numbered.select(F.col("row_num").cast("int").alias("row_num"), F.col("value").alias("log_text"),
+    return numbered.select("row_num", F.col("value").alias("log_text"),
                            now.alias("last_updated"))
 
 

@@ -39,9 +39,8 @@ def test_query_history_increment_and_capacity(spark):
     assert [r["query_id"] for r in more.collect()] == [3]
     # a: full scans 50M -> smallest capacity above is small_wh (100M); b: 150M -> medium_wh (200M)
     expected = {"DB.S.A": "small_wh", "DB.S.B": "medium_wh", "DB.SCHEMA.TABLE": "my_warehouse"}
-    for bound in (10_000, 0):  # broadcast path, then the ordered-lookup path
-        got = capacity_assignment(cat, ctx, history=qh, broadcast_max_rows=bound).collect()
-        assert {r["model_name"]: r["recommended_warehouse"] for r in got} == expected
+    got = capacity_assignment(cat, ctx, history=qh).collect()
+    assert {r["model_name"]: r["recommended_warehouse"] for r in got} == expected
 
 
 def test_scan_forecast_line(spark):
