@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.plans import gold, history, ml, reports, runlog, silver, staging, tpch
+from strata.plans import gold, history, ml, reports, runlog, second_runs, silver, staging, tpch
 from strata.plans.calendar import data_calendar
 from strata.plans.model_tests import model_test_summary
 from strata.sources.logs import text_lines
@@ -57,15 +57,27 @@ def _drop(*cols):
     return wrap
 
 
-def _sales_fact(cat, ctx):
+def _sales_loader(cat, ctx):
     import datetime as dt
     from pyspark.sql import functions as F
     from strata.plans.calendar import dim_calendar_day
     dim, _ = _dim_from_load2(cat)
     products = cat.part.select(F.col("p_partkey").alias("product_business_key"), F.col("p_partkey").alias("product_key"))
     cal = dim_calendar_day(cat.spark, ctx, ghost=False)
-    return history.load_fact_sales(None, history.staging_sales_order(cat), cal, dim, dt.date(1900, 1, 1),
-                                   product_dim=products, load_ts=F.lit(history.LOAD_TS[0]).cast("timestamp_ntz"))
+
+    def load(fact, rows):
+        return history.load_fact_sales(fact, rows, cal, dim, dt.date(1900, 1, 1),
+                                       product_dim=products, load_ts=F.lit(history.LOAD_TS[0]).cast("timestamp_ntz"))
+    return load
+
+
+def _sales_fact(cat, ctx):
+    return _sales_loader(cat, ctx)(None, history.staging_sales_order(cat))
+
+
+def _sales_fact_second(cat, ctx):
+    load = _sales_loader(cat, ctx)
+    return second_runs.sales_second_load(cat, ctx, load(None, history.staging_sales_order(cat)), load)
 
 
 def _dim_from_load2(cat):
@@ -102,6 +114,12 @@ def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "customer_insights": _q(gold.customer_insights),
         "customer_clustering_ntile": _q(silver.customer_clustering_ntile),
         "order_facts": _q(silver.order_facts),
+        # Second loads into an older version of the table.
+        "stg_orders_incremental_second_run": _q(second_runs.orders_second_run),
+        "dim_customers_hashed_second_run": _q(_drop("cdc_hash_key")(second_runs.customers_second_run)),
+        "fact_order_line_second_reload": _q(second_runs.order_lines_second_reload),
+        "sales_fact_second_load": _q(_sales_fact_second),
+        "order_lines_merged": _q(second_runs.order_lines_merged),
         "clean_nations": _q(silver.clean_nations),
         "nation_summary": _q(gold.nation_summary),
         "int_fx_rates_daily": _q(silver.int_fx_rates_daily),
@@ -945,6 +963,43 @@ def _library_sql() -> dict[str, str]:
                    CAST(sum(CASE WHEN st = 't2' THEN 1 ELSE 0 END) AS BIGINT) AS rows_inserted_new_version,
                    CAST(sum(CASE WHEN st = 'new' THEN 1 ELSE 0 END) AS BIGINT) AS rows_inserted_new_key,
                    CAST(sum(CASE WHEN st = 't1' THEN 1 ELSE 0 END) AS BIGINT) AS rows_type1_updated FROM j""",
+        "sales_fact_second_load": _SALES + f""",
+            last AS (SELECT max(CAST(o_orderdate AS DATE)) - 60 AS d FROM orders),
+            batch AS (SELECT * FROM so WHERE order_line_number = 1 AND order_date >= (SELECT d FROM last)),
+            bounds AS (SELECT min(order_date) AS lo, max(order_date) AS hi FROM batch),
+            now AS (SELECT * FROM so WHERE NOT coalesce(order_date BETWEEN (SELECT lo FROM bounds) AND (SELECT hi FROM bounds), false)
+                    UNION ALL SELECT * REPLACE (2 AS batch_id) FROM batch)
+            SELECT coalesce(co.dk, -1) AS order_date_key, coalesce(cs.dk, -1) AS ship_date_key,
+              coalesce(dim.customer_key, -1) AS customer_key, coalesce(part.p_partkey, -1) AS product_key,
+              order_number, order_line_number, quantity, unit_price, unit_cost, discount_amount,
+              quantity * unit_price - coalesce(discount_amount, 0.0) AS sales_amount, quantity * unit_cost AS cost_amount,
+              (quantity * unit_price - coalesce(discount_amount, 0.0)) - quantity * unit_cost AS gross_profit,
+              source_order_id AS source_system_key, order_date, {_T1} AS load_date, batch_id
+            FROM now LEFT JOIN cal co ON now.order_date = co.d LEFT JOIN cal cs ON now.ship_date = cs.d
+            LEFT JOIN dim ON now.customer_id = dim.customer_business_key LEFT JOIN part ON now.product_id = part.p_partkey""",
+        "stg_orders_incremental_second_run": "WITH " + _ORDERS_INC + """,
+            b AS (SELECT max(o_orderkey) * 9 // 10 AS upto, max(CAST(o_orderdate AS DATE)) AS today FROM orders),
+            f AS (SELECT max(o_orderkey) AS seen FROM orders WHERE o_orderkey <= (SELECT upto FROM b))
+            SELECT * EXCLUDE (recent, fresh) REPLACE (
+              CASE WHEN recent OR fresh THEN o_totalprice ELSE o_totalprice + 1 END AS o_totalprice,
+              CASE WHEN recent THEN 'RECENT' WHEN fresh THEN 'HISTORICAL' ELSE 'FULL_LOAD' END AS processing_type)
+            FROM (SELECT oi.*, CAST(o_orderdate AS DATE) >= (SELECT today - 2 FROM b) AS recent,
+                         o_orderkey > (SELECT seen FROM f) AS fresh FROM oi)""",
+        "dim_customers_hashed_second_run": "WITH " + _SCD_SRC + """
+            SELECT * REPLACE (CASE WHEN customer_key % 10 <> 4 THEN row_number() OVER (PARTITION BY customer_key % 10 = 4 ORDER BY customer_key)
+              ELSE (SELECT count(*) FROM src WHERE customer_key % 10 <> 4) + row_number() OVER (PARTITION BY customer_key % 10 = 4 ORDER BY customer_key)
+              END AS customer_surrogate_key) FROM src""",
+        "fact_order_line_second_reload": _CAL_FX + "," + _DIM_ORDERS + """,
+            lines AS (SELECT 'UNKNOWN' AS source_system_code, coalesce(d.order_key, -1) AS l_order_wid,
+              coalesce(d.customer_key, -1) AS l_cust_wid, l.*, x.exchange_rate AS eur_conversion_rate,
+              coalesce(CAST(l.l_orderkey AS VARCHAR), '') || '~' || coalesce(CAST(l.l_linenumber AS VARCHAR), '') AS integration_id
+            FROM lineitem l LEFT JOIN dord d ON l.l_orderkey = d.order_key
+            LEFT JOIN lkp x ON x.from_currency = 'USD' AND x.to_currency = 'EUR' AND x.day_dt = CAST(d.order_date AS DATE))
+            SELECT * FROM lines UNION ALL SELECT * REPLACE ('LEGACY' AS source_system_code) FROM lines WHERE l_linenumber = 1""",
+        "order_lines_merged": """
+            SELECT * EXCLUDE (rn) REPLACE (CASE WHEN l_linenumber = 1 THEN 0.0 ELSE l_tax END AS l_tax) FROM (
+              SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity,
+                l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS rn FROM lineitem) WHERE rn = 1""",
         "sales_fact_load": _SALES + f"""
             SELECT coalesce(co.dk, -1) AS order_date_key, coalesce(cs.dk, -1) AS ship_date_key,
               coalesce(dim.customer_key, -1) AS customer_key, coalesce(part.p_partkey, -1) AS product_key,

@@ -185,11 +185,14 @@ def fact_order_line_pivot(cat, ctx: RunContext = RunContext(), lines: DataFrame
 
 
 def fact_order_line_full_reload(cat, ctx: RunContext = RunContext(), orders: DataFrame | None = None,
-                                rates: DataFrame | None = None) -> DataFrame:
+                                rates: DataFrame | None = None, existing: DataFrame | None = None) -> DataFrame:
     """Raw lines with order/customer keys (unknown ->
     ``ctx.unknown_key``), the USD->EUR rate of the order day (exact-day
-    join on the calendar-expanded lookup), and the line integration id."""
+    join on the calendar-expanded lookup), and the line integration id.
+    Later runs replace the rows of their own source system in ``existing``
+    and leave those of others."""
     from strata.operators.keys import integration_key
+    from strata.operators.merge import replace_slice
     li = cat.lineitem
     od = orders if orders is not None else dim_orders(cat, ctx)
     od = od.select(F.col("order_key"), F.col("customer_key"), F.to_date("order_date").alias("__od"))
@@ -199,12 +202,13 @@ def fact_order_line_full_reload(cat, ctx: RunContext = RunContext(), orders: Dat
     # fx holds one row per calendar day (bounded by the calendar, not the data).
     j = li.join(od, li.l_orderkey == od.order_key, "left").join(F.broadcast(fx), "__od", "left")
     unk = F.lit(ctx.unknown_key).cast("long")
-    return j.select(F.lit(ctx.source_system_code).alias("source_system_code"),
+    rows = j.select(F.lit(ctx.source_system_code).alias("source_system_code"),
                     F.coalesce(F.col("order_key"), unk).alias("l_order_wid"),
                     F.coalesce(F.col("customer_key"), unk).alias("l_cust_wid"),
                     *[F.col(c) for c in li.columns], "eur_conversion_rate",
                     integration_key("l_orderkey", "l_linenumber").alias("integration_id"),
                     ctx.now().alias("insert_ts"), ctx.now().alias("last_update_ts"))
+    return rows if existing is None else replace_slice(existing, rows, F.col("source_system_code") == ctx.source_system_code)
 
 
 # Dashboard trend labels (rising, falling, flat).

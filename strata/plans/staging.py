@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.session import RunContext
+from strata.session import RunContext, today_frame
 from strata.sources.standins import lineitem_with_dates, fx_rates
 from strata.operators.dedup import keep_one_per_key
 
@@ -123,9 +123,9 @@ def stg_orders_incremental(cat, ctx: RunContext = RunContext(), existing: DataFr
                ctx.now().alias("processed_at")]
     if existing is None:
         return _limit(o.select(*base_cols, *derived, F.lit("FULL_LOAD").alias("processing_type")), sample_limit)
-    cutoff = F.date_sub(ctx.today(), ctx.prune_days)
+    cutoff = F.date_sub("__today", ctx.prune_days)
     max_key = existing.agg(F.coalesce(F.max("o_orderkey"), F.lit(0)).alias("__max_key"))
-    batch = (o.crossJoin(F.broadcast(max_key))  # one-row scalar
+    batch = (o.crossJoin(F.broadcast(max_key)).crossJoin(F.broadcast(today_frame(ctx, o)))  # one-row scalars
              .where((F.to_date("o_orderdate") >= cutoff) | (F.col("o_orderkey") > F.col("__max_key"))))
     ptype = F.when(F.to_date("o_orderdate") >= cutoff, F.lit("RECENT")).otherwise(F.lit("HISTORICAL"))
     return _limit(batch.select(*base_cols, *derived, ptype.alias("processing_type")), sample_limit)
