@@ -120,6 +120,9 @@ def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_order_line_second_reload": _q(second_runs.order_lines_second_reload),
         "sales_fact_second_load": _q(_sales_fact_second),
         "order_lines_merged": _q(second_runs.order_lines_merged),
+        "dim_customers_increment": _q(second_runs.new_customers),
+        "dim_orders_increment": _q(second_runs.new_orders),
+        "fct_order_lines_increment": _q(second_runs.new_order_lines),
         "clean_nations": _q(silver.clean_nations),
         "nation_summary": _q(gold.nation_summary),
         "int_fx_rates_daily": _q(silver.int_fx_rates_daily),
@@ -842,6 +845,14 @@ def _library_sql() -> dict[str, str]:
             SELECT * FROM dord WHERE order_date >= (SELECT CAST(max(order_date) AS DATE) - INTERVAL 1 YEAR FROM dord)
               AND order_status = 'O'""",
         "fct_order_lines": _FOL + " SELECT * FROM fol",
+        "dim_customers_increment": "WITH " + _DIM_CUSTOMERS + """
+            SELECT * FROM dc WHERE customer_key > (SELECT max(c_custkey) * 9 // 10 FROM customer)""",
+        "dim_orders_increment": "WITH " + _DIM_ORDERS + """
+            SELECT * FROM dord WHERE order_date > (SELECT max(o_orderdate) FROM orders
+              WHERE CAST(o_orderdate AS DATE) <= (SELECT max(CAST(o_orderdate AS DATE)) - 30 FROM orders))""",
+        "fct_order_lines_increment": _FOL + """
+            SELECT * FROM fol WHERE order_date > (SELECT max(o_orderdate) FROM orders
+              WHERE CAST(o_orderdate AS DATE) <= (SELECT max(CAST(o_orderdate AS DATE)) - 30 FROM orders))""",
         "fct_order_lines_by_supplier_month": _FOL + """
             SELECT supplier_key, CAST(year(order_date) AS INTEGER) AS order_year, CAST(month(order_date) AS INTEGER) AS order_month,
               make_date(CAST(year(order_date) AS INTEGER), CAST(month(order_date) AS INTEGER), 1) AS month_start_date,

@@ -82,6 +82,18 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], exclude: S
     return merged(target, source)
 
 
+def newer_than(df: DataFrame, existing: DataFrame | None, column: str) -> DataFrame:
+    """K6 watermark: the rows of ``df`` whose source column is above its
+    maximum in ``existing``; all rows if there is no such maximum.  The
+    column must come from the source (an order day, a growing key): a load
+    time taken in this run is above every stored one and filters nothing."""
+    if existing is None:
+        return df
+    mark = existing.agg(F.max(column).alias("__mark"))
+    return (df.crossJoin(F.broadcast(mark))  # one row
+            .where(F.col("__mark").isNull() | (F.col(column) > F.col("__mark"))).drop("__mark"))
+
+
 def replace_slice(target: DataFrame, new_rows: DataFrame, predicate) -> DataFrame:
     """S14 delete-by-predicate then insert: rows matching ``predicate`` are
     replaced by ``new_rows``.  With a target partitioned on the predicate's

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.merge import newer_than
 from strata.plans import silver, staging
 from strata.session import RunContext
 
@@ -63,18 +64,18 @@ def dim_customers(cat, ctx: RunContext = RunContext(), existing: DataFrame | Non
                    F.when(op > 0, "Y").otherwise("N").alias("has_open_orders_flag"),
                    value_segment(F.col("account_balance")).alias("value_segment"),
                    "_loaded_at", ctx.now().alias("_updated_at"))
-    if existing is not None:  # K6 watermark: rows loaded after the stored max
-        hw = existing.agg(F.max("_loaded_at").alias("__hw"))
-        out = out.crossJoin(F.broadcast(hw)).where(F.col("__hw").isNull() | (F.col("_loaded_at") > F.col("__hw"))).drop("__hw")
-    return out
+    # K6: customers carry no change time; new ones have higher keys.
+    return newer_than(out, existing, "customer_key")
 
 
-def dim_orders(cat, ctx: RunContext = RunContext(), customers: DataFrame | None = None) -> DataFrame:
+def dim_orders(cat, ctx: RunContext = RunContext(), customers: DataFrame | None = None,
+               existing: DataFrame | None = None) -> DataFrame:
     """Orders enriched with customer attributes (J1).  Customers are
     deduplicated first (one row per key) so the join cannot fan out; the
-    join shuffles orders and customers on customer_key (sort-merge)."""
+    join shuffles orders and customers on customer_key (sort-merge).  With
+    ``existing``, only orders dated after its last one (K6)."""
     from strata.operators.dedup import keep_one_per_key
-    o = staging.stg_orders(cat, ctx)
+    o = newer_than(staging.stg_orders(cat, ctx), existing, "order_date")
     cust = customers if customers is not None else dim_customers(cat, ctx)
     cust = keep_one_per_key(cust.select("customer_key", "customer_name", "nation_key", "value_segment"),
                             ["customer_key"])
@@ -108,13 +109,15 @@ def dim_customers_share(cat, ctx: RunContext = RunContext(), role: str = "PUBLIC
                     "nation_key", "nation_name", "region_key", "value_segment", "has_orders_flag")
 
 
-def fct_order_lines(cat, ctx: RunContext = RunContext(), orders: DataFrame | None = None) -> DataFrame:
-    """Order-line fact (J3, J4, P12): lines join orders on order_key
+def fct_order_lines(cat, ctx: RunContext = RunContext(), orders: DataFrame | None = None,
+                    existing: DataFrame | None = None) -> DataFrame:
+    """Order-line fact (J3, J4, P12; with ``existing``, K6: lines of orders
+    dated after its last one): lines join orders on order_key
     (sort-merge, both sides hash-partitioned on the key), then the USD->EUR
     rate valid on the order day via the day-expanded interval join."""
     from strata.operators.interval_join import interval_join
     li = staging.stg_lineitem(cat, ctx)
-    od = orders if orders is not None else dim_orders(cat, ctx)
+    od = newer_than(orders if orders is not None else dim_orders(cat, ctx), existing, "order_date")
     od = od.select("order_key", "customer_key", "order_date", "order_status_desc")
     fx = silver.int_fx_rates_daily(cat, ctx).where((F.col("from_currency") == "USD") & (F.col("to_currency") == "EUR"))
     fx = fx.select("day_dt", "end_date", "conversion_rate")

@@ -48,10 +48,32 @@ def order_lines_second_reload(cat, ctx: RunContext) -> DataFrame:
     return gold.fact_order_line_full_reload(cat, ctx, existing=stale.unionByName(other))
 
 
+def new_customers(cat, ctx: RunContext) -> DataFrame:
+    """K6 on customers: the table has the lower nine tenths of the keys."""
+    return gold.dim_customers(cat, ctx, existing=cat.customer.agg((F.max("c_custkey") * 9 / 10).cast("long").alias("customer_key")))
+
+
+def _seen_orders(cat) -> DataFrame:
+    """Order days but for the last 30."""
+    last = cat.orders.agg(F.date_sub(F.max(F.to_date("o_orderdate")), 30).alias("__to"))
+    return (cat.orders.crossJoin(F.broadcast(last)).where(F.to_date("o_orderdate") <= F.col("__to"))
+            .select(F.col("o_orderdate").alias("order_date")))
+
+
+def new_orders(cat, ctx: RunContext) -> DataFrame:
+    """K6 on orders: the table ends 30 days before the last order."""
+    return gold.dim_orders(cat, ctx, existing=_seen_orders(cat))
+
+
+def new_order_lines(cat, ctx: RunContext) -> DataFrame:
+    """K6 on order lines."""
+    return gold.fct_order_lines(cat, ctx, existing=_seen_orders(cat))
+
+
 def sales_second_load(cat, ctx: RunContext, fact, load) -> DataFrame:
     """First lines of the last 60 days come again; the fact rows in the
-    batch's date range are replaced by them.  ``load(fact, staging, date
-    bound frame)`` and ``fact`` come from the caller's dimensions."""
+    batch's date range are replaced by them.  ``fact`` and ``load(fact,
+    staging)`` come with the caller's dimensions."""
     rows = history.staging_sales_order(cat).where("order_line_number = 1")
     batch = (rows.crossJoin(F.broadcast(today_frame(ctx, cat.orders)))
              .where(F.col("order_date") >= F.date_sub("__today", 60)).drop("__today").withColumn("batch_id", F.lit(2)))
