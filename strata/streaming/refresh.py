@@ -1,11 +1,12 @@
 """A periodically refreshed aggregate (the order facts "dynamic
 table") as a Structured Streaming job.
 
-New order files land in a folder.  Each micro-batch finds the months it
-touches, recomputes exactly those months of ``order_facts`` from the landed
-orders (the month filter is pushed into the Parquet scan; with a
-month-partitioned landing area it prunes partitions) and replaces only those
-month partitions of the target (dynamic partition overwrite).  A replayed
+New order files land in a folder; an order that changes lands again, and its
+newest image (latest file) counts.  Each micro-batch finds the months of all
+images of its orders, recomputes exactly those months of ``order_facts`` from
+the newest image of every order that was ever dated in them, and replaces only
+those month partitions of the target (dynamic partition overwrite; a month
+that lost its last order is dropped).  A replayed
 batch rewrites identical partitions, so the sink is idempotent; the read
 position lives in the checkpoint.  Each batch appends one row to the refresh
 history (T4).
@@ -19,10 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.dedup import keep_one_per_key
 from strata.plans import silver, staging
 from strata.session import RunContext
 from strata.sources.tables import SCHEMAS, FrameCatalog
-from strata.streaming.sinks import overwrite_partitions
+from strata.streaming.sinks import drop_partitions, overwrite_partitions
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType()), T.StructField("input_rows", T.LongType()),
@@ -41,14 +43,16 @@ def refresh_batch(batch: DataFrame, batch_id: int, *, landing_dir: str, target_p
                   history_path: str | None, ctx: RunContext = RunContext()) -> None:
     spark = batch.sparkSession
     start = _dt.datetime.now()
+    landed = (spark.read.schema(SCHEMAS["orders"]).parquet(landing_dir)
+              .select("*", F.col("_metadata.file_modification_time").alias("__time"), F.col("_metadata.file_path").alias("__file")))
     # The touched months are bounded by the calendar, not by the rows, so the
     # list comes to the driver and becomes date-range predicates that Parquet
     # row-group statistics (and month-partitioned landing folders) prune on.
-    months = sorted(r[0] for r in batch.select(F.trunc(F.to_date("o_orderdate"), "month").alias("m"))
+    images = landed.join(batch.select("o_orderkey").distinct(), "o_orderkey", "left_semi")
+    months = sorted(r[0] for r in images.select(F.trunc(F.to_date("o_orderdate"), "month").alias("m"))
                     .distinct().collect() if r[0] is not None)
     n_months = len(months)
     if n_months:
-        source = spark.read.schema(SCHEMAS["orders"]).parquet(landing_dir)
         od = F.col("o_orderdate")
         pred = None
         for m in months:
@@ -56,7 +60,11 @@ def refresh_batch(batch: DataFrame, batch_id: int, *, landing_dir: str, target_p
             p = (od >= F.lit(_dt.datetime(m.year, m.month, 1)).cast("timestamp_ntz")) & \
                 (od < F.lit(_dt.datetime(nxt.year, nxt.month, 1)).cast("timestamp_ntz"))
             pred = p if pred is None else pred | p
-        overwrite_partitions(order_facts_for(source.where(pred), ctx), target_path, ["order_month_start"])
+        dated = landed.join(landed.where(pred).select("o_orderkey").distinct(), "o_orderkey", "left_semi")
+        newest = keep_one_per_key(dated, ["o_orderkey"], ["__time", "__file"], descending=True).drop("__time", "__file").where(pred)
+        overwrite_partitions(order_facts_for(newest, ctx), target_path, ["order_month_start"])
+        left = {r[0] for r in newest.select(F.trunc(F.to_date("o_orderdate"), "month")).distinct().collect()}
+        drop_partitions(spark, target_path, "order_month_start", [m for m in months if m not in left])
     if history_path and not _history_has(spark, history_path, batch_id):  # a replay adds no second row
         row = [(int(batch_id), batch.count(), int(n_months), start, _dt.datetime.now())]
         spark.createDataFrame(row, HISTORY_SCHEMA).write.mode("append").parquet(history_path)

@@ -22,6 +22,14 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str], fm
      .partitionBy(*partition_cols).format(fmt).save(path))
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, values) -> None:
+    """Remove the given partitions (a dynamic overwrite cannot empty one)."""
+    jvm = spark.sparkContext._jvm
+    for v in values:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={v}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark

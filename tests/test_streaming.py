@@ -36,6 +36,26 @@ def test_order_facts_refresh(spark, tmp_dir):
     assert [r["batch_id"] for r in h] == [1, 0]
 
 
+def test_order_facts_refresh_counts_the_newest_image_once(spark, tmp_dir):
+    from strata.session import RunContext
+    from strata.streaming.refresh import order_facts_for, refresh_now
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").where("o_orderkey < 40")
+    landing, target, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "facts", "ckpt"))
+    ctx = RunContext(data_clock=True)
+    alone = orders.where("o_orderkey = 1").withColumn("o_orderkey", F.lit(9001).cast("long")).withColumn(
+        "o_orderdate", F.to_timestamp_ntz(F.lit("2031-05-01 00:00:00")))
+    orders.unionByName(alone).write.parquet(os.path.join(landing, "part=1"))
+    refresh_now(spark, landing, target, ckpt, ctx=ctx)
+    # An order closes, one moves to another month, and the last one of a month leaves it.
+    changed = (orders.where("o_orderkey = 2").withColumn("o_orderstatus", F.lit("X"))
+               .unionByName(orders.where("o_orderkey = 3").withColumn("o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL 70 DAYS")))
+               .unionByName(alone.withColumn("o_orderdate", F.to_timestamp_ntz(F.lit("2031-07-01 00:00:00")))))
+    changed.write.parquet(os.path.join(landing, "part=2"))
+    refresh_now(spark, landing, target, ckpt, ctx=ctx)
+    merged = orders.where("o_orderkey not in (2, 3)").unionByName(changed)
+    assert _facts_equal(spark.read.parquet(target), order_facts_for(merged, ctx))
+
+
 def test_change_consumer_reads_each_change_once(spark, tmp_dir):
     from strata.operators.cdc import change_feed
     from strata.streaming.changes import publish_changes, start_change_consumer
