@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.graph import cut
+from strata.llm.graph import cut, few
 
 WINDOW = 5
 LEAST_SHARE = 0.8
@@ -52,7 +52,8 @@ def _words(text: Column) -> Column:
 
 def _template(text: Column) -> Column:
     """The text with placeholders; it has the same words in number."""
-    t = F.regexp_replace(text, r"(?=\p{Lu})(?<=[\p{L}\p{N},;] )\p{Lu}[\p{L}\p{M}'’-]*", NAME)
+    # A name has a small letter: words in capitals, like I and A, are words.
+    t = F.regexp_replace(text, r"(?=\p{Lu})(?<=[\p{L}\p{N},;] )\p{Lu}(?=[\p{L}\p{M}'’-]*\p{Ll})[\p{L}\p{M}'’-]*", NAME)
     t = F.regexp_replace(F.lower(t), rf"(?=[\d+-])(?<![\p{{L}}\p{{N}}])[+-]?\d+(?:[.,]\d+)*", NUMBER)
     return F.regexp_replace(t, rf"(?<={NUMBER} ?)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
 
@@ -129,7 +130,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with ``__items``: the items that each document leaks, or null."""
-    found = contaminated(docs, benchmark).withColumnsRenamed({"doc_id": "__id", "version": "__version", "items": "__items"})
+    found = few(contaminated(docs, benchmark).withColumnsRenamed({"doc_id": "__id", "version": "__version", "items": "__items"}))
     return (docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__version")), "left")
             .drop("__id", "__version"))
 

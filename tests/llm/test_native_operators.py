@@ -77,10 +77,11 @@ def test_templates_catch_new_parameters_and_check_slots(spark):
             (None, PLANNED), (7, "word " * 500)]
     bench = spark.createDataFrame([(1, PLANNED, "x"), (2, "a b c", "x"), (3, None, "x"), (None, "q", "x"),
                                    (8, "plain words that carry no slot at all but are long enough", "x")], "item_id long, text string, doc_id string")
-    docs = docs_frame(spark, [*rows, (8, "so: Plain words that carry no slot at all, but are long enough!")])
+    docs = docs_frame(spark, [*rows, (8, "so: Plain words that carry no slot at all, but are long enough!"),
+                              (9, "SO, PLAIN WORDS THAT CARRY NO SLOT AT ALL BUT ARE LONG ENOUGH")])
     got = {(r.doc_id, r.item_id) for r in template_leaks.leaks(docs, bench).collect()}
-    assert got == {(1, 1), (None, 1), (8, 8)}
-    assert template_leaks.judged(docs, bench).filter("__items is not null").count() == 4  # both rows of document 1
+    assert got == {(1, 1), (None, 1), (8, 8), (9, 8)}
+    assert template_leaks.judged(docs, bench).filter("__items is not null").count() == 5  # both rows of document 1
     assert template_leaks.leaks(docs, bench.limit(0)).count() == 0
     assert template_leaks.leaks(docs.limit(0), bench).count() == 0
 
