@@ -82,18 +82,22 @@ STEPS: list[tuple[str, str, Callable, tuple[str, ...]]] = [
 
 def build(cat, ctx: RunContext, out_root: str, audit_path: str, batch_id: str,
           steps=STEPS, write: Callable[[DataFrame, str], None] | None = None) -> DataFrame:
-    """Run the steps in order; return the audit rows of this batch."""
+    """Run the steps in order; return the audit rows of this batch.  Each
+    step's row is written as the step ends, with the whole error text."""
     spark = cat.spark
     write = write or (lambda df, path: df.write.mode("overwrite").parquet(path))
     failed: set[str] = set()
     written: dict[str, str] = {}
-    audit = []
+
+    def log(name: str, layer: str, start: _dt.datetime, status: str, n: int | None, error: str | None) -> None:
+        row = (batch_id, name, layer, start, _dt.datetime.now(), status, n, error)
+        spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(audit_path)
+
     for layer, name, fn, needs in steps:
         start = _dt.datetime.now()
         path = f"{out_root.rstrip('/')}/{layer}/{name}"
         if failed.intersection(needs):
-            audit.append((batch_id, name, layer, start, _dt.datetime.now(), "SKIPPED", None,
-                          f"upstream failed: {sorted(failed.intersection(needs))}"))
+            log(name, layer, start, "SKIPPED", None, f"upstream failed: {sorted(failed.intersection(needs))}")
             failed.add(name)
             continue
         try:
@@ -101,13 +105,10 @@ def build(cat, ctx: RunContext, out_root: str, audit_path: str, batch_id: str,
             write(fn(cat, ctx, inputs), path)
             written[name] = path
             n = spark.read.parquet(path).count()  # row count from the written files
-            audit.append((batch_id, name, layer, start, _dt.datetime.now(), "SUCCESS", n, None))
+            log(name, layer, start, "SUCCESS", n, None)
         except Exception as e:
             failed.add(name)
-            audit.append((batch_id, name, layer, start, _dt.datetime.now(), "FAILED", None,
-                          str(e)))
-    rows = spark.createDataFrame(audit, AUDIT_SCHEMA)
-    rows.write.mode("append").parquet(audit_path)
+            log(name, layer, start, "FAILED", None, str(e))
     return spark.read.parquet(audit_path).where(f"batch_id = '{batch_id}'")
 
 
@@ -115,7 +116,7 @@ def main(argv: list[str] | None = None) -> None:
     """Command line: ``python -m strata.plans.layered_build --data DIR --out
     DIR [--limit N] [--as-of YYYY-MM-DD]``.  Uses the session of the
     submitting cluster when one is configured (``spark-submit``), else a
-    local one."""
+    local one.  Exits with 1 if a step failed or was skipped."""
     import argparse
     import uuid
     from pyspark.sql import SparkSession
@@ -134,6 +135,8 @@ def main(argv: list[str] | None = None) -> None:
                      extras={"sample_limit": a.limit})
     rows = build(Catalog(spark, a.data), ctx, a.out, a.out.rstrip("/") + "/_audit", a.batch_id or uuid.uuid4().hex)
     rows.orderBy("started_at").show(len(STEPS), truncate=False)
+    if rows.where("status <> 'SUCCESS'").count():
+        raise SystemExit(1)
 
 
 if __name__ == "__main__":

@@ -80,3 +80,21 @@ def test_identity_rate_without_rates(spark):
     from strata.plans.silver import fx_backward_intervals
     rates = spark.createDataFrame([], "rate_date date, base_currency string, quote_currency string, exchange_rate double, today date")
     assert [r.currency for r in fx_backward_intervals(rates, "today").collect()] == ["USD"]
+
+
+def test_build_with_a_failing_step_keeps_its_audit_and_exits(spark, tmp_dir, monkeypatch):
+    from strata.plans import layered_build
+    text = "first line\n" + "x" * 3000
+
+    def fail(cat, ctx, inputs):
+        raise ValueError(text)
+    steps = [("silver", "good", lambda cat, ctx, inputs: cat.spark.range(3), ()), ("silver", "bad", fail, ()),
+             ("gold", "after", lambda cat, ctx, inputs: inputs["bad"], ("bad",))]
+    monkeypatch.setattr(layered_build, "STEPS", steps)
+    monkeypatch.setattr(layered_build.build, "__defaults__", (steps, None))
+    with pytest.raises(SystemExit) as end:
+        layered_build.main(["--data", "/root/testdata/sf0.001", "--out", tmp_dir, "--batch-id", "b"])
+    assert end.value.code == 1
+    rows = {r.step: r for r in spark.read.parquet(f"{tmp_dir}/_audit").collect()}
+    assert {s: r.status for s, r in rows.items()} == {"good": "SUCCESS", "bad": "FAILED", "after": "SKIPPED"}
+    assert rows["bad"].error_message == text and rows["good"].rows_written == 3
