@@ -45,8 +45,8 @@ from pyspark.sql.types import StructType
 from strata.llm.arrays import Words, chunks, gram_hashes, mix, span_hashes
 
 WINDOW = 20
-GRAM = 6
-SPAN = WINDOW - GRAM + 1  # runs in a window
+GRAM = 5
+SPAN = WINDOW - GRAM + 1  # runs in a window; at most 16, see ``_unpacked``
 NO_ID = (1 << 63) - 1  # stands for a null doc_id
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -133,7 +133,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
                 continue
             start, place, doc = a.at[first], a.place[first], a.words.doc[a.at[first]]
             same = mix(span_hashes(a.hash, start, a.at[last] + WINDOW) ^ (place - start).astype(np.uint64))
-            at = ((place - a.words.first[doc]) << 8) | ((place - start) << 4) | (last - first + 1)
+            at = ((place - a.words.first[doc]) << 8) | ((place - start) << 4) | (last - first)
             rows = pa.array(doc)
             yield pa.RecordBatch.from_arrays([_signed(a.key[first]), _signed(same), *[batch.column(c).take(rows) for c in ("__doc", "__version")],
                                               pa.array(at)], names=["key", "same", "doc", "version", "at"])
@@ -161,7 +161,7 @@ def windows_at(docs: DataFrame) -> DataFrame:
 def _unpacked(at: Column) -> tuple[Column, Column, Column]:
     """Place of the anchor in its document, words from its first window's
     start to it, and number of its windows, of an ``at`` value."""
-    return F.shiftright(at, 8).cast("int"), F.shiftright(at, 4).bitwiseAND(15).cast("int"), at.bitwiseAND(15).cast("int")
+    return F.shiftright(at, 8).cast("int"), F.shiftright(at, 4).bitwiseAND(15).cast("int"), (at.bitwiseAND(15) + 1).cast("int")
 
 
 def _row_key(doc: Column, version: Column) -> Column:
@@ -171,7 +171,7 @@ def _row_key(doc: Column, version: Column) -> Column:
 
 def copied(docs: DataFrame) -> DataFrame:
     """__row, __copies: for each row key the windows that occur earlier, an array
-    of (document, version, start, n windows, reference document, its start).
+    of (version, start, n windows, reference document, its start).
     ``docs``: __row, __doc, __version, text; a row key need not be unique."""
     index = index_blocks(docs.select("__row", "text"))
     shared = index.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
@@ -192,7 +192,7 @@ def copied(docs: DataFrame) -> DataFrame:
     whole = (found.drop("key").join(first, "same").filter("doc != ref or at != ref_at or version != ref_version")
              .select("doc", "version", (place - lead).alias("start"), n.alias("n"), "ref", (ref_place - lead).alias("ref_start")))
     return (whole.union(later).groupBy(_row_key(F.col("doc"), F.col("version")).alias("__row"))
-            .agg(F.sort_array(F.collect_list(F.struct("doc", "version", "start", "n", "ref", "ref_start"))).alias("__copies")))
+            .agg(F.sort_array(F.collect_list(F.struct("version", "start", "n", "ref", "ref_start"))).alias("__copies")))
 
 
 def factors(copies: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -224,10 +224,10 @@ def parsed(docs: DataFrame, keep_text: bool) -> DataFrame:
         for batch, texts in chunks(batches):
             w = Words(texts)
             n_words, n_removed, kept, parts = [], [], [], []
-            me = list(zip(batch.column("__doc").to_pylist(), batch.column("__version").to_pylist()))
+            me = batch.column("__version").to_pylist()
             for i, copies in enumerate(batch.column("__copies")):
                 a, b = w.first[i], w.first[i + 1]
-                fs = factors([tuple(c.values())[2:] for c in copies.as_py() if (c["doc"], c["version"]) == me[i]] if copies.is_valid else [])
+                fs = factors([tuple(c.values())[1:] for c in copies.as_py() if c["version"] == me[i]] if copies.is_valid else [])
                 gone = np.zeros(b - a + 1, np.int64)
                 for s, n, _, _ in fs:
                     gone[s] += 1
