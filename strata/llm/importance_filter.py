@@ -6,8 +6,10 @@ toxic) and one of all raw text.  A document's log importance weight is the sum
 over its n-grams of ``log((target + s) / (expected + s))``, where ``expected``
 is what the target would count if it were raw text, so rare n-grams say little
 and n-grams the target avoids say much.  Ratios are truncated: those above
-``PLAIN`` count as 1, so plain prose has weight 0 at any length and a long
-document cannot make up for what the target never says.  Documents are sampled without replacement
+``PLAIN`` count as 1, so plain prose has weight 0 or near it and a long
+document cannot make up for what the target never says.  What chance adds to a
+sum grows with the root of the text's length, so sums are tempered by
+``sqrt(TYPICAL / length)``.  Documents are sampled without replacement
 in proportion to their weights by Gumbel top-k: key = weight + Gumbel noise
 (from a hash of doc_id), and the k largest keys are kept.  k is the number of
 documents whose weight passes a threshold calibrated on held-out labels.
@@ -44,6 +46,7 @@ LETTERS = 5
 SAMPLE = 20_000  # labelled documents used at most
 SMOOTHING = 2.0
 PLAIN = 0.3  # ratios above it say nothing
+TYPICAL, SHORTEST = 2_000, 200  # bytes: a text of the first keeps its sum; shorter ones than the second count as that
 SLICE = 1 << 14
 
 
@@ -118,15 +121,16 @@ def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 
 def score(docs: DataFrame, **ratios: np.ndarray) -> DataFrame:
-    """``docs`` without its text, with the sum over each document's n-grams of
-    every table given, by name."""
+    """``docs`` without its text, with the tempered sum over each document's
+    n-grams of every table given, by name."""
     held = docs.sparkSession.sparkContext.broadcast(ratios)  # 2**BITS numbers each
     keep = [f for f in docs.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
             b, doc = buckets(texts)
-            sums = [pa.array(np.bincount(doc, r[b], minlength=len(texts))) for r in held.value.values()]
+            temper = np.sqrt(TYPICAL / np.maximum([len(t) for t in texts], SHORTEST))
+            sums = [pa.array(np.bincount(doc, r[b], minlength=len(texts)) * temper) for r in held.value.values()]
             yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in keep], *sums], names=[*[f.name for f in keep], *ratios])
     return docs.mapInArrow(run, StructType([*keep, *[StructField(n, DoubleType()) for n in ratios]]))
 
