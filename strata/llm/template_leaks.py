@@ -2,12 +2,15 @@
 
 Texts are turned into templates: names (capitalised words inside a sentence),
 numbers and units of measure become typed placeholders, letters are lower-cased
-and punctuation at word ends goes.  Every run of ``WINDOW`` template words of a
+and punctuation at word ends goes.  A capitalised word elsewhere (opening a
+sentence, after a quote, bracket, line feed or two spaces) may be a name or
+not: a window that holds one is looked up both with the word and with a
+placeholder.  Every run of ``WINDOW`` template words of a
 document is hash-joined with the windows of the benchmark items.  A document
 leaks an item if it holds at least ``LEAST_SHARE`` of the item's windows on
 alignments whose slots are consistent: each value that the item has in a slot
 must stand for one and the same value of the document throughout the
-alignment.  So a question with other numbers or names in it is caught, and
+alignment.  An opening word that is the same in both is no slot.  So a question with other numbers or names in it is caught, and
 text that only has numbers in the same places is not.
 
 Native: DataFrame functions only.  Documents are not shuffled: their windows
@@ -41,7 +44,11 @@ UNITS = ("mm cm m km inch inches foot feet yard yards mile miles mg g kg gram gr
          "month months year years meter meters metre metres kilometer kilometers kilometre kilometres cent cents "
          "dollar dollars euro euros percent degrees mph kmh").split()
 NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"  # private-use characters
-_WORD_CHARS = rf"\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT}"
+OPENING = "\ue003"  # precedes a word that may be a name
+_WORD_CHARS = rf"\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT}{OPENING}"
+_SLOT = f"[{NAME}{NUMBER}{UNIT}{OPENING}]"
+# A name has a small letter: words in capitals, like I and A, are words.
+_CAPITALISED = r"\p{Lu}(?=[\p{L}\p{M}'’-]*\p{Ll})[\p{L}\p{M}'’-]*"
 
 
 def _words(text: Column) -> Column:
@@ -51,20 +58,32 @@ def _words(text: Column) -> Column:
 
 
 def _template(text: Column) -> Column:
-    """The text with placeholders; it has the same words in number."""
-    # A name has a small letter: words in capitals, like I and A, are words.
-    t = F.regexp_replace(text, r"(?=\p{Lu})(?<=[\p{L}\p{N},;] )\p{Lu}(?=[\p{L}\p{M}'’-]*\p{Ll})[\p{L}\p{M}'’-]*", NAME)
+    """The text with placeholders, and OPENING before each word that may be a
+    name; it has the same words in number."""
+    t = F.regexp_replace(text, rf"(?=\p{{Lu}})(?<=[\p{{L}}\p{{N}},;] ){_CAPITALISED}", NAME)
+    t = F.regexp_replace(t, rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}\p{{M}}])(?<![\p{{L}}\p{{N}}]['’-]){_CAPITALISED}", f"{OPENING}$0")
     t = F.regexp_replace(F.lower(t), rf"(?=[\d+-])(?<![\p{{L}}\p{{N}}])[+-]?\d+(?:[.,]\d+)*", NUMBER)
     return F.regexp_replace(t, rf"(?<={NUMBER} ?)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
 
 
+def _as_name(word: Column) -> Column:
+    return F.regexp_replace(word, rf"{OPENING}[\p{{L}}\p{{M}}'’-]*", NAME)
+
+
 def windows(df: DataFrame, *keys: str) -> DataFrame:
-    """keys, at, window (hash): every run of WINDOW template words."""
-    hashes = F.transform(_words(_template(F.col("text"))), lambda w: F.xxhash64(w))
-    runs = F.when(F.size("__w") >= WINDOW, F.transform(
-        F.sequence(F.lit(0), F.size("__w") - WINDOW),
-        lambda i: F.xxhash64(*[F.get("__w", i + k) for k in range(WINDOW)])))
-    return df.select(*keys, hashes.alias("__w")).select(*keys, F.posexplode(runs).alias("at", "window"))
+    """keys, at, window (hash): every run of WINDOW template words, and once
+    more with its opening words as names if it has any."""
+    def hashes(change) -> Column:
+        return F.transform("__w", lambda w: F.xxhash64(F.when(w.contains(OPENING), change(w)).otherwise(w)))
+
+    def run(words: str, i: Column) -> Column:
+        return F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)])
+    runs = F.when(F.size("__a") >= WINDOW, F.transform(
+        F.sequence(F.lit(0), F.size("__a") - WINDOW), lambda i: F.struct(run("__a", i).alias("a"), run("__b", i).alias("b"))))
+    return (df.select(*keys, _words(_template(F.col("text"))).alias("__w"))
+            .select(*keys, hashes(lambda w: F.replace(w, F.lit(OPENING), F.lit(""))).alias("__a"), hashes(_as_name).alias("__b"))
+            .select(*keys, F.posexplode(runs).alias("at", "__r"))
+            .select(*keys, "at", F.explode(F.when(F.expr("__r.a = __r.b"), F.array("__r.a")).otherwise(F.array("__r.a", "__r.b"))).alias("window")))
 
 
 def _slot_pairs(matched: DataFrame, docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -74,14 +93,14 @@ def _slot_pairs(matched: DataFrame, docs: DataFrame, items: DataFrame) -> DataFr
         template, own = _words(_template(F.col("text"))), _words(F.col("text"))
         return (df.select(*keys, template.alias("t"), own.alias("o"))
                 .select(*keys, F.posexplode(F.arrays_zip("t", "o")).alias("at", "w"))
-                .filter(F.col("w.t").rlike(f"[{NAME}{NUMBER}{UNIT}]"))
-                .select(*keys, "at", F.col("w.t").alias("kind"), F.lower("w.o").alias("value")))
-    mine = slots(items, "item_id").select("item_id", F.col("at").alias("item_at"), "kind", F.col("value").alias("item_value"))
+                .filter(F.col("w.t").rlike(_SLOT))
+                .select(*keys, "at", _as_name(F.col("w.t")).alias("kind"), F.lower("w.o").alias("value"), F.col("w.t").contains(OPENING).alias("opening")))
+    mine = slots(items, "item_id").select("item_id", F.col("at").alias("item_at"), "kind", F.col("value").alias("item_value"), "opening")
     runs = (matched.join(mine, "item_id").filter(F.col("item_at").between(F.col("first"), F.col("last") + WINDOW - 1))
             .withColumn("at", F.col("item_at") + F.col("diagonal")))
-    theirs = slots(docs, "doc_id", "version").withColumnRenamed("value", "doc_value").drop("kind")
+    theirs = slots(docs, "doc_id", "version").withColumnsRenamed({"value": "doc_value", "opening": "doc_opening"}).drop("kind")
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"d.{c}")) for c in ("doc_id", "version", "at")]
-    pairs = runs.alias("r").join(theirs.alias("d"), same).select("r.doc_id", "r.version", "r.item_id", "r.diagonal", "r.kind", "r.item_value", "d.doc_value")
+    pairs = runs.alias("r").join(theirs.alias("d"), same).filter("not ((opening or doc_opening) and item_value = doc_value)").select("r.doc_id", "r.version", "r.item_id", "r.diagonal", "r.kind", "r.item_value", "d.doc_value")
     return (pairs.groupBy("doc_id", "version", "item_id", "diagonal", "kind", "item_value")
             .agg(F.min("doc_value").alias("a"), F.max("doc_value").alias("b")).filter("a != b")
             .select("doc_id", "version", "item_id", "diagonal").distinct())
@@ -107,7 +126,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST_SHAR
         return (r.join(total, "item_id").groupBy("doc_id", "version", "item_id").agg(share.alias("share"))
                 .filter(F.col("share") >= least_share))
     whole = enough(runs)
-    slotted = items.filter(_template(F.col("text")).rlike(f"[{NAME}{NUMBER}{UNIT}]"))
+    slotted = items.filter(_template(F.col("text")).rlike(_SLOT))
     doubtful = cut(whole.join(slotted.select("item_id").distinct(), "item_id"))
     n = doubtful.count()
     if not n:

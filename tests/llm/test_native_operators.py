@@ -86,6 +86,19 @@ def test_templates_catch_new_parameters_and_check_slots(spark):
     assert template_leaks.leaks(docs.limit(0), bench).count() == 0
 
 
+def test_names_that_open_a_sentence_are_slots(spark):
+    item = "{} has {} apples. {} gives her {} more. How many apples does {} have now?"
+    bench = spark.createDataFrame([(1, item.format("Alice", 12, "Bob", 5, "Alice")),
+                                   (2, "“Alice sells {0} pens\nBob buys (Bob pays) {0} of them:  Carol asks: 'Alice, how many pens are left for Dave?'".format(7))],
+                                  "item_id long, text string")
+    docs = docs_frame(spark, [(1, item.format("Carol", 9, "Dave", 4, "Carol")), (2, item.format("Carol", 9, "Dave", 4, "Erin")),
+                              (3, "so " + item.format("Carol", 9, "Dave", 4, "Carol").lower()), (4, "In short, " + item.format("Carol", 9, "Dave", 4, "Carol")),
+                              (5, "“Xenia sells 8 pens\nYves buys (Yves pays) 8 of them:  Zoe asks: 'Xenia, how many pens are left for Will?'"),
+                              (6, item.format("Alice", 9, "Bob", 4, "Alice").replace(". ", "; "))])
+    got = {(r.doc_id, r.item_id): r.share for r in template_leaks.leaks(docs, bench).collect()}
+    assert got == {(1, 1): 1.0, (4, 1): 1.0, (5, 2): 1.0, (6, 1): 1.0}
+
+
 def test_benchmark_passages_are_found(spark):
     bench = [r.text for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
