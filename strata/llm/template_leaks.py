@@ -6,11 +6,20 @@ and punctuation at word ends goes.  A capitalised word elsewhere (opening a
 sentence, after a quote, bracket, line feed or two spaces) may be a name or
 not: a window that holds one is looked up both with the word and with a
 placeholder.  Every run of ``WINDOW`` template words of a
-document is hash-joined with the windows of the benchmark items.  A document
-leaks an item if it holds at least ``LEAST_SHARE`` of the item's windows on
-alignments whose slots are consistent: each value that the item has in a slot
-must stand for one and the same value of the document throughout the
-alignment.  An opening word that is the same in both is no slot.  So a question with other numbers or names in it is caught, and
+document is hash-joined with the windows of the benchmark items.  Slots of an
+alignment must be consistent: each value that the item has in a slot (units in
+the singular) must stand for one and the same value of the document, the most
+frequent one, or the first of these.  Windows that hold another one are dropped.
+An opening word that is the same in both is no slot.  A document leaks an item
+if one of these holds for the windows that are left:
+
+* they are at least ``LEAST_SHARE`` of the item's windows, on all alignments;
+* an unbroken run of matched words on one alignment holds at least
+  ``LEAST_RUN`` words that are no slots, whatever its share (excerpts);
+* one alignment without any dropped window has at least ``LEAST_COVER`` of the
+  item's words (a changed word costs a short item up to ``WINDOW`` windows).
+
+So a question with other numbers or names in it is caught, and
 text that only has numbers in the same places is not.
 
 Native: DataFrame functions only.  Documents are not shuffled: their windows
@@ -36,6 +45,8 @@ from strata.llm.graph import cut, few
 
 WINDOW = 5
 LEAST_SHARE = 0.8
+LEAST_RUN = 13
+LEAST_COVER = 0.9
 #: Windows of benchmarks that are broadcast at most (about 40 bytes each).
 BROADCAST_WINDOWS = 500_000
 #: Units of measure and money.
@@ -86,29 +97,54 @@ def windows(df: DataFrame, *keys: str) -> DataFrame:
             .select(*keys, "at", F.explode(F.when(F.expr("__r.a = __r.b"), F.array("__r.a")).otherwise(F.array("__r.a", "__r.b"))).alias("window")))
 
 
-def _slot_pairs(matched: DataFrame, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Of the matched alignments (doc_id, version, item_id, diagonal), those
-    whose slots are not consistent."""
+def _singular(kind: Column, value: Column) -> Column:
+    one = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "feet$", "foot"), "inches$", "inch"), "(?<=[a-z]{2})s$", "")
+    return F.when(kind.endswith(UNIT), one).otherwise(value)
+
+
+def _words_of(hit: Column) -> Column:
+    """Places of the item's words in the windows ``hit``, in order."""
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(hit, lambda h: F.sequence(h, h + (WINDOW - 1))))))
+
+
+def _longest(places: Column, slots: Column) -> Column:
+    """Most words that are no slots in an unbroken run of places."""
+    start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+
+    def step(x: Column, at: Column) -> Column:
+        run = F.when(at == x["last"] + 1, x["run"]).otherwise(0) + F.when(F.array_contains(slots, at), 0).otherwise(1)
+        return F.struct(at.alias("last"), run.alias("run"), F.greatest(x["best"], run).alias("best"))
+    return F.aggregate(places, start, step, lambda x: x["best"])
+
+
+def _slot_places(matched: DataFrame, docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Of the matched alignments (doc_id, version, item_id, diagonal), the
+    places of their slots, and of those that are not consistent (bad)."""
     def slots(df: DataFrame, *keys: str) -> DataFrame:
         template, own = _words(_template(F.col("text"))), _words(F.col("text"))
         return (df.select(*keys, template.alias("t"), own.alias("o"))
                 .select(*keys, F.posexplode(F.arrays_zip("t", "o")).alias("at", "w"))
                 .filter(F.col("w.t").rlike(_SLOT))
-                .select(*keys, "at", _as_name(F.col("w.t")).alias("kind"), F.lower("w.o").alias("value"), F.col("w.t").contains(OPENING).alias("opening")))
+                .select(*keys, "at", _as_name(F.col("w.t")).alias("kind"), _singular(F.col("w.t"), F.lower("w.o")).alias("value"), F.col("w.t").contains(OPENING).alias("opening")))
     mine = slots(items, "item_id").select("item_id", F.col("at").alias("item_at"), "kind", F.col("value").alias("item_value"), "opening")
-    runs = (matched.join(mine, "item_id").filter(F.col("item_at").between(F.col("first"), F.col("last") + WINDOW - 1))
+    runs = (matched.join(mine, "item_id").filter(F.array_contains(_words_of(F.col("hit")), F.col("item_at")))
             .withColumn("at", F.col("item_at") + F.col("diagonal")))
     theirs = slots(docs, "doc_id", "version").withColumnsRenamed({"value": "doc_value", "opening": "doc_opening"}).drop("kind")
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"d.{c}")) for c in ("doc_id", "version", "at")]
-    pairs = runs.alias("r").join(theirs.alias("d"), same).filter("not ((opening or doc_opening) and item_value = doc_value)").select("r.doc_id", "r.version", "r.item_id", "r.diagonal", "r.kind", "r.item_value", "d.doc_value")
-    return (pairs.groupBy("doc_id", "version", "item_id", "diagonal", "kind", "item_value")
-            .agg(F.min("doc_value").alias("a"), F.max("doc_value").alias("b")).filter("a != b")
-            .select("doc_id", "version", "item_id", "diagonal").distinct())
-
-
-def leaks(docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
+    pairs = runs.alias("r").join(theirs.alias("d"), same).filter("not ((opening or doc_opening) and item_value = doc_value)").select(
+        "r.doc_id", "r.version", "r.item_id", "r.diagonal", "r.kind", "r.item_value", "r.item_at", "d.doc_value")
+    alignment = ["doc_id", "version", "item_id", "diagonal"]
+    values = pairs.groupBy(*alignment, "kind", "item_value", "doc_value").agg(F.collect_set("item_at").alias("places"))
+    rank = F.struct(F.size("places").alias("n"), (-F.array_min("places")).alias("first"), "places")
+    return (values.groupBy(*alignment, "kind", "item_value").agg(F.max(rank)["places"].alias("good"), F.flatten(F.collect_list("places")).alias("places"))
+            .groupBy(*alignment).agg(F.flatten(F.collect_list("places")).alias("slots"),
+                                     F.flatten(F.collect_list(F.array_except("places", "good"))).alias("bad")))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST_SHARE, least_run: int = LEAST_RUN,
+          least_cover: float = LEAST_COVER) -> DataFrame:
     """doc_id, version (hash of the text), item_id, share: each item that a
-    document leaks."""
+    document leaks, with its share of the item's windows."""
     items = benchmark.select("item_id", "text").filter("item_id is not null and text is not null")
     d = docs.select("doc_id", F.xxhash64("text").alias("version"), "text")
     known = windows(items, "item_id").select("item_id", F.col("at").alias("item_at"), "window").distinct()
@@ -117,17 +153,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST_SHAR
     side = F.broadcast(known) if known.count() <= BROADCAST_WINDOWS else known
     found = (windows(d, "doc_id", "version").join(side, "window")
              .withColumn("diagonal", F.col("at") - F.col("item_at")))
-    runs = found.groupBy("doc_id", "version", "item_id", "diagonal").agg(
-        F.collect_set("item_at").alias("hit"), F.min("item_at").alias("first"), F.max("item_at").alias("last"))
-    runs = cut(runs)
+    runs = cut(found.groupBy("doc_id", "version", "item_id", "diagonal").agg(F.collect_set("item_at").alias("hit")))
 
     def enough(r: DataFrame) -> DataFrame:
-        share = F.size(F.array_distinct(F.flatten(F.collect_list("hit")))) / F.first("n")
-        return (r.join(total, "item_id").groupBy("doc_id", "version", "item_id").agg(share.alias("share"))
-                .filter(F.col("share") >= least_share))
-    whole = enough(runs)
+        """Of alignments with the places of their slots and bad ones."""
+        left = F.filter("hit", lambda h: ~F.exists("bad", lambda b: b.between(h, h + (WINDOW - 1))))
+        r = r.withColumn("left", left).withColumn("words", _words_of(F.col("left"))).join(total, "item_id")
+        share = F.size(F.array_distinct(F.flatten(F.collect_list("left")))) / F.first("n")
+        covered = (F.size("bad") == 0) & (F.size("words") >= least_cover * (F.col("n") + (WINDOW - 1)))
+        return (r.groupBy("doc_id", "version", "item_id")
+                .agg(share.alias("share"), F.max(_longest(F.col("words"), F.col("slots"))).alias("run"), F.max(covered).alias("covered"))
+                .filter((F.col("share") >= least_share) | (F.col("run") >= least_run) | F.col("covered")).drop("run", "covered"))
+    none = F.array().cast("array<int>")
+    whole = enough(runs.withColumn("slots", none).withColumn("bad", none))
     slotted = items.filter(_template(F.col("text")).rlike(_SLOT))
-    doubtful = cut(whole.join(slotted.select("item_id").distinct(), "item_id"))
+    doubtful = cut(whole.join(slotted.select("item_id").distinct(), "item_id", "left_semi"))
     n = doubtful.count()
     if not n:
         return whole
@@ -137,9 +177,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST_SHAR
                               "left_semi").dropDuplicates(["doc_id", "version"])
     own = runs.join(doubtful.select("doc_id", "version", "item_id").withColumnRenamed("doc_id", "i"), ["version", "item_id"]).filter(
         F.col("doc_id").eqNullSafe(F.col("i"))).drop("i")
-    bad = _slot_pairs(own, texts, slotted)
-    good = runs.alias("r").join(bad.alias("b"), [F.col(f"r.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("doc_id", "version", "item_id", "diagonal")], "left_anti")
-    return enough(good)
+    places = _slot_places(own, texts, slotted)
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"p.{c}")) for c in ("doc_id", "version", "item_id", "diagonal")]
+    return enough(runs.alias("r").join(places.alias("p"), same, "left").select(
+        "r.*", F.coalesce("p.slots", none).alias("slots"), F.coalesce("p.bad", none).alias("bad")))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -99,6 +99,24 @@ def test_names_that_open_a_sentence_are_slots(spark):
     assert got == {(1, 1): 1.0, (4, 1): 1.0, (5, 2): 1.0, (6, 1): 1.0}
 
 
+def test_excerpts_changed_words_and_inconsistent_parts(spark):
+    plain = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(59)]
+    short = plain[:20]
+    hours = "the pump runs for 3 hours and then it rests for 5 hours until all of the water is gone from the pool"
+    roles = " ".join(plain[:25]) + " 5 apples and 5 pears " + " ".join(plain[25:50])
+    bench = spark.createDataFrame([(1, " ".join(plain)), (2, hours), (3, "x " + " ".join(reversed(short))), (4, "y " + roles.replace("w", "v"))],
+                                  "item_id long, text string")
+    changed = ["x", *reversed(short)]
+    changed[10] = "other"
+    docs = docs_frame(spark, [
+        (1, "so " + " ".join(plain[14:44]) + " end"), (2, "so " + " ".join(plain[14:26]) + " end"),
+        (3, hours.replace("3 hours", "1 hour").replace("5 hours", "1 hour")), (4, hours.replace("3", "4")),
+        (5, " ".join(changed)), (6, roles.replace("w", "v").replace("5 apples", "7 apples").replace("5 pears", "9 pears")),
+        (7, " ".join(f"{w} and" for w in plain))])
+    got = {(r.doc_id, r.item_id): round(r.share, 2) for r in template_leaks.leaks(docs, bench).collect()}
+    assert got == {(1, 1): 0.47, (3, 2): 1.0, (4, 2): 1.0, (5, 3): 0.71, (6, 4): 0.88}
+
+
 def test_benchmark_passages_are_found(spark):
     bench = [r.text for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
