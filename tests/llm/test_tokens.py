@@ -9,7 +9,7 @@ import pytest
 import tiktoken
 
 from strata.llm import bpe_tree, registry
-from strata.llm.license_compression import TEMPLATES, Scanner, scan_licenses
+from strata.llm.license_compression import EVERY, TEMPLATES, Scanner, scan_licenses
 from strata.llm.token_attribution import attribute, section_tokens
 from tests.conftest import SF_SMALL
 from tests.llm.brute import docs_frame
@@ -107,6 +107,19 @@ def test_compression_ranks_the_own_template_first():
     assert all(s.ranked(t)[0][1] == n for n, t in TEMPLATES.items())
 
 
+def _found(text, templates=EVERY):
+    return [(x[0], x[1]) for x in Scanner(templates).licenses(text)[1]]
+
+
+def test_notices_inside_long_lines():
+    prose = "the quick brown fox jumps over some lazy dog and then asks for water in the long dry valley beyond "
+    for n, t in TEMPLATES.items():
+        for k in (1, 3, 30):
+            assert _found(f"{prose * k}{t} {prose * k}") == [(0, n)]
+            assert _found(f"{prose * k}{t} {prose * k}", TEMPLATES) == [(0, n)]
+    assert _found(prose + "the license of a driver under the terms " + prose) == []
+
+
 def test_license_query_against_plain_search(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     got = {r.doc_id: r.licenses for r in registry.QUERIES["op8_license_compression"](spark, SF_SMALL).collect()}
