@@ -9,7 +9,7 @@ import pytest
 import tiktoken
 
 from strata.llm import bpe_tree, registry
-from strata.llm.license_compression import EVERY, TEMPLATES, Scanner, scan_licenses
+from strata.llm.license_compression import EVERY, TEMPLATES, TEXTS, Scanner, scan_licenses
 from strata.llm.token_attribution import attribute, section_tokens
 from tests.conftest import SF_SMALL
 from tests.llm.brute import docs_frame
@@ -120,6 +120,21 @@ def test_notices_inside_long_lines():
     assert _found(prose + "the license of a driver under the terms " + prose) == []
 
 
+def test_wrapped_doubled_and_full_licenses():
+    assert _found("x\nReleased under\nthe MIT License. All rights\n# reserved.") == [(1, "MIT"), (2, "All-rights-reserved")]
+    assert _found("Released under the MIT License. Released under the MIT License.") == [(0, "MIT")] * 2
+    assert _found("Released under the MIT License. Licensed under the Apache License, Version 2.0.") == [(0, "MIT"), (0, "Apache-2.0")]
+    for n, texts in TEXTS.items():
+        for t in texts:
+            words = t.split(" ")
+            wrapped = "\n".join(" * " + " ".join(words[i:i + 9]) for i in range(0, len(words), 9))
+            assert _found(t) == _found("a b c d e f g h " + t + " i j k l m n") == [(0, n)]
+            assert _found("/*\n" + wrapped + "\n */\nint x;") == [(1, n)]
+    bsd = "Copyright (c) 2020, X. All rights reserved.\n\n" + TEXTS["BSD-3-Clause"][0]
+    assert _found(bsd) == [(0, "All-rights-reserved"), (2, "BSD-3-Clause")]
+    assert _found("one line of a license\nand a second line of it", {"own": "one line of a license and a second line of it"}) == [(0, "own")]
+
+
 def test_license_query_against_plain_search(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     got = {r.doc_id: r.licenses for r in registry.QUERIES["op8_license_compression"](spark, SF_SMALL).collect()}
