@@ -51,6 +51,25 @@ NO_ID = (1 << 63) - 1  # stands for a null doc_id
 _PLACE = np.uint64((1 << 24) - 1)
 
 
+def _least_places(grams: np.ndarray) -> np.ndarray:
+    """For each run of SPAN grams the place of the least, the first of equals.
+    Their low bits give way to the place, which is counted in stretches of
+    ``_PLACE`` + 1 grams that overlap, so that the length has no bound."""
+    out, step = [], int(_PLACE) + 2 - SPAN
+    for begin in range(0, len(grams) - SPAN + 1, step):
+        part = grams[begin:begin + step + SPAN - 1]
+        low = (part & ~_PLACE) | np.arange(len(part), dtype=np.uint64)
+        n = 1
+        least = low
+        while 2 * n <= SPAN:
+            least = np.minimum(least[:-n], least[n:])
+            n *= 2
+        if n < SPAN:
+            least = np.minimum(least[:len(low) - SPAN + 1], least[SPAN - n:])
+        out.append((least & _PLACE).astype(np.int64) + begin)
+    return np.concatenate(out)
+
+
 class Anchors:
     """The windows of some documents: ``at`` (word index of the window's first
     word), ``place`` (word index of its anchor) and ``key`` (anchor's hash)."""
@@ -63,18 +82,9 @@ class Anchors:
             self.key = np.empty(0, np.uint64)
             return
         grams = mix(gram_hashes(self.hash, GRAM) ^ np.uint64(0x5bd1e995))
-        # Least hash, the first of equals: the low bits hold the place.
-        low = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
-        n = 1
-        least = low
-        while 2 * n <= SPAN:
-            least = np.minimum(least[:-n], least[n:])
-            n *= 2
-        if n < SPAN:
-            least = np.minimum(least[:len(low) - SPAN + 1], least[SPAN - n:])
         inside = doc[WINDOW - 1:] == doc[:len(doc) - WINDOW + 1]
         self.at = np.flatnonzero(inside)
-        self.place = (least[self.at] & _PLACE).astype(np.int64)
+        self.place = _least_places(grams)[self.at]
         self.key = grams[self.place]
 
     def runs(self) -> tuple[np.ndarray, np.ndarray]:

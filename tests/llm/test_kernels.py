@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 
+from strata.llm import relative_factors
 from strata.llm.arrays import Words, gram_hashes, grams_inside, span_hashes
 from strata.llm.graph import components
 from tests.llm import brute
@@ -39,3 +40,13 @@ def test_components(spark):
     nodes = {n for a, b in edges if a != b for n in (a, b)}
     assert {r.node: r.component for r in components(df).collect()} == brute.components(nodes, [e for e in edges if e[0] != e[1]])
     assert components(df.limit(0)).count() == 0
+
+
+def test_anchors_of_texts_longer_than_their_places(monkeypatch):
+    rng = random.Random(5)
+    text = " ".join(str(rng.randrange(10**6)) for _ in range(1000)).encode()
+    want = relative_factors.Anchors(Words([text, text]))
+    for bits in (5, 6, 9):
+        monkeypatch.setattr(relative_factors, "_PLACE", np.uint64((1 << bits) - 1))
+        got = relative_factors.Anchors(Words([text, text]))
+        assert (got.at == want.at).all() and (got.place == want.place).all() and (got.key == want.key).all()
