@@ -1,4 +1,5 @@
-"""Substring dedup (7): relative Lempel-Ziv parsing.
+"""Substring dedup (7): an exact window join in place of a relative Lempel-Ziv
+parse.
 
 Every document is a reference block for the documents after it, and for its own
 later part.  The index of a block holds an *anchor* for each of its windows of
@@ -7,10 +8,11 @@ least hash.  Equal windows have equal anchors at the same place, so windows
 whose anchor occurs once have no earlier copy, and looking anchors up finds
 every block that holds a window.
 
-A document is parsed greedily into factors: from a window that occurs earlier,
-the factor runs on as long as the following windows point to the same place of
-the reference.  Windows that straddle the border of two factors are looked up
-like all others (their anchor may point elsewhere), so a border hides nothing.
+The join decides which windows occur earlier; factors are only made from them:
+from a window that occurs earlier, the factor runs on as long as the following
+windows point to the same place of the reference.  Windows that straddle the
+border of two factors are looked up like all others (their anchor may point
+elsewhere), so a border hides nothing.
 Every word of a factor of ``WINDOW`` or more words is removed; windows are
 judged on the input.  The earliest copy (smallest doc_id, then smallest start)
 stays.
