@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("url_reputation", "bpe_tree", "importance_filter", "hash_tree_shards", "license_compression", "token_attribution", "template_leaks", "minhash_postings", "relative_factors", "projection_forest")
+MODULES = ("url_reputation", "bpe_tree", "importance_filter", "hash_tree_shards", "license_compression", "token_attribution", "template_leaks", "minhash_postings", "relative_factors", "projection_forest",
+           "permuterm_variants", "record_files", "centroid_products")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
