@@ -21,7 +21,7 @@ open (a mounted path, HDFS or an object store).
 
 Encoding: the vocabulary drops white space and joins nothing across it, so the
 text is cut at spaces and line feeds, which gives the same ids, and the ids of
-frequent words are kept in a bounded dictionary per worker.  The library's
+frequent words are kept in bounded dictionaries per worker.  The library's
 special strings count as it takes them.
 
 Defined cases: a null or empty text has the end id alone; a null id comes
@@ -32,8 +32,10 @@ empty result; only the id and text columns are read.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -113,7 +115,7 @@ class WordVocabulary:
 
     path: str
     end_id: int | None = 2
-    kept_words: int = 1 << 17
+    kept_words: int = 1 << 18
     longest_kept: int = 64
 
     def worker(self) -> "_Encoder":
@@ -123,24 +125,61 @@ class WordVocabulary:
 
 
 class _Encoder:
+    """Ids of whole texts, word by word.  Runs of Latin letters, single digits
+    and runs of marks (but those of contractions and special strings) come out
+    of the library's normaliser and splitter unchanged but for lower case, so
+    their bytes go straight to the library's merges; a word with anything else
+    goes through the whole library.  Two generations of ``kept_words`` words
+    are kept: the older one goes when the newer is full, and words met again
+    move on."""
+
+    _PIECE = "[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:;=?@\\[-`{}~]+"
+    _LETTERS, _PIECES, _SIMPLE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+"), re.compile(_PIECE), re.compile(f"(?:{_PIECE})+")
+
     def __init__(self, of: WordVocabulary):
-        from tokenizers import Tokenizer
-        self.of, self.library, self.kept = of, Tokenizer.from_file(of.path), {}
+        from tokenizers import Tokenizer, pre_tokenizers
+        self.of, self.library, self.kept, self.older = of, Tokenizer.from_file(of.path), {}, {}
+        self.merges = self.library.model
         self.narrow = max(self.library.get_vocab_size(), of.end_id or 0) <= 1 << 16
         self.end = b"" if of.end_id is None else struct.pack("<I", of.end_id)
-
-    def _ids(self, word: str) -> bytes:
-        ids = np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        #: The library's letter for each byte of a Latin letter or mark.
+        self.letters = {b: split.pre_tokenize_str(bytes((c, b)).decode())[0][0][1] if c else split.pre_tokenize_str(chr(b))[0][0][0]
+                        for c, bs in ((0, range(33, 127)), (0xC3, range(0x80, 0xC0))) for b in bs}
+        self.marks = {m: self._merged(m) for m in ".,;:!?"}
+        self.letters[0xC3] = split.pre_tokenize_str("\u00C0")[0][0][0]
+
+    def _merged(self, piece: str) -> bytes:
+        spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.merges.tokenize(spelled)]).tobytes()
+
+    def _keep(self, word: str, ids: bytes) -> bytes:
         if len(word) <= self.of.longest_kept:
             if len(self.kept) >= self.of.kept_words:
-                self.kept.clear()
+                self.kept, self.older = {}, self.kept
             self.kept[word] = ids
         return ids
 
+    def _ids(self, word: str) -> bytes:
+        if word[-1] in self.marks and word[-2:-1].isalpha():  # a run of letters always ends before a mark
+            head = word[:-1]
+            return (self.kept.get(head) or self._ids(head)) + self.marks[word[-1]]
+        ids = self.older.get(word) or self.kept.get(word)
+        if ids:
+            return self._keep(word, ids)
+        if self._LETTERS.fullmatch(word):
+            low = word.lower()
+            return self._keep(word, self._merged(word) if low == word else self._ids(low))
+        if self._SIMPLE.fullmatch(word):
+            pieces = self._PIECES.findall(word)
+            return b"".join(map(self._ids, pieces)) if len(pieces) > 1 else self._keep(word, self._merged(word))
+        return self._keep(word, array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes())
+
     def encode(self, text: str) -> np.ndarray:
-        kept, new = self.kept, self._ids
-        out = [kept[w] if w in kept else new(w) for w in text.replace("\n", " ").split(" ") if w]
-        return np.frombuffer(b"".join((*out, self.end)), "<u4")
+        get, new = self.kept.get, self._ids
+        out = [get(w) or new(w) for w in text.replace("\n", " ").split(" ") if w]
+        out.append(self.end)
+        return np.frombuffer(b"".join(out), "<u4")
 
 
 _ENCODERS: dict = {}

@@ -105,7 +105,7 @@ def plain_records(rows, library):
 
 
 PIECES = ["a", "B", "'s", "don't", " ", "  ", "\n", "\t", "\r\n", "\x1c", "\x85", "\xa0", " ", "é", "́", "É", "ﬁ", "İ", "ß", "ΑΣ", "1", "٣", "½",
-          "中", "한", "ᄒ", "ᅡ", "!", "--", "\U0001F600", "‍", "the", "running", "<|endoftext|>", "<|startoftext|>", "</w>", "<|end", "\u0000"]
+          "中", "한", "ᄒ", "ᅡ", "!", "--", "\U0001F600", "‍", "the", "running", "<|endoftext|>", "<|startoftext|>", "</w>", "<|end", "\u0000", "Über", "Ÿÿ", "×", "÷x", "ÀÖØöø", "word.", "End!?", "a,b", "?!", ",", "x'll"]
 
 
 def test_encoder_equals_the_library(library):
@@ -114,7 +114,11 @@ def test_encoder_equals_the_library(library):
     for _ in range(4000):
         t = "".join(rng.choices(PIECES, k=rng.randint(0, 25)))
         assert encoder.encode(t).tolist() == library.encode(t, add_special_tokens=False).ids + [2], repr(t)
-    assert len(encoder.kept) <= 50
+    assert len(encoder.kept) <= 50 and len(encoder.older) <= 50
+    letters = [chr(c) for c in range(0x41, 0x180)]
+    for _ in range(3000):
+        t = "".join(rng.choices(letters, k=rng.randint(1, 12))) + "".join(rng.choices(".,;:!?'-", k=rng.randint(0, 3)))
+        assert encoder.encode(t).tolist() == library.encode(t, add_special_tokens=False).ids + [2], repr(t)
 
 
 def test_records_round_trip(spark, tmp_dir, library):
