@@ -135,6 +135,7 @@ class _Encoder:
 
     _PIECE = "[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:;=?@\\[-`{}~]+"
     _LETTERS, _PIECES, _SIMPLE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+"), re.compile(_PIECE), re.compile(f"(?:{_PIECE})+")
+    _LATIN = frozenset(c for c in map(chr, range(256)) if _LETTERS.fullmatch(c))
 
     def __init__(self, of: WordVocabulary):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -161,7 +162,7 @@ class _Encoder:
         return ids
 
     def _ids(self, word: str) -> bytes:
-        if word[-1] in self.marks and word[-2:-1].isalpha():  # a run of letters always ends before a mark
+        if word[-1] in self.marks and word[-2:-1] in self._LATIN:  # a run of letters always ends before a mark
             head = word[:-1]
             return (self.kept.get(head) or self._ids(head)) + self.marks[word[-1]]
         ids = self.older.get(word) or self.kept.get(word)
