@@ -135,7 +135,7 @@ class _Encoder:
 
     _PIECE = "[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:;=?@\\[-`{}~]+"
     _LETTERS, _PIECES, _SIMPLE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+"), re.compile(_PIECE), re.compile(f"(?:{_PIECE})+")
-    _LATIN = frozenset(c for c in map(chr, range(256)) if _LETTERS.fullmatch(c))
+    _LATIN = frozenset(filter(_LETTERS.fullmatch, map(chr, range(256))))
 
     def __init__(self, of: WordVocabulary):
         from tokenizers import Tokenizer, pre_tokenizers
