@@ -173,7 +173,6 @@ def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "model_test_summary": _q(model_test_summary),
         "document_log_lines": _q(lambda cat, ctx: text_lines(cat.documents, "doc_id", "text")),
         "segment_statements": _q(reports.segment_statements),
-        # Iterative fit (no SQL form): checked for invariants in tests/test_ml.py.
         "customer_clustering_kmeans": _q(ml.customer_clustering_kmeans),
     }
 
@@ -732,6 +731,43 @@ _REPORT_SQL = {
 }
 
 
+#: Every round of all ten starts by recursion: a start stops when it is still.
+_KMEANS_SQL = "WITH RECURSIVE" + _SEGMENTS_SQL.strip()[4:] + """,
+raw AS (SELECT *, CAST(round(account_balance * 100) AS HUGEINT) AS r0, CAST(round_even(balance_percentile * 1000000, 0) AS HUGEINT) AS r1,
+  CAST(balance_rank_in_nation AS HUGEINT) AS r2 FROM s),
+st AS (SELECT count(*) AS rows, count(r0) AS n0, sum(r0) AS s0, sum(r0 * r0) AS q0, count(r1) AS n1, sum(r1) AS s1, sum(r1 * r1) AS q1,
+  count(r2) AS n2, sum(r2) AS s2, sum(r2 * r2) AS q2 FROM raw),
+x AS MATERIALIZED (SELECT raw.* EXCLUDE (r0, r1, r2),
+  CAST(round_even((coalesce(CAST(r0 AS DOUBLE), CAST(s0 AS DOUBLE) / n0) - CAST(s0 AS DOUBLE) / n0) / sqrt(CAST(q0 * n0 - s0 * s0 AS DOUBLE) / CAST(n0 * rows AS DOUBLE)) * 65536, 0) AS BIGINT) AS x0,
+  CAST(round_even((coalesce(CAST(r1 AS DOUBLE), CAST(s1 AS DOUBLE) / n1) - CAST(s1 AS DOUBLE) / n1) / sqrt(CAST(q1 * n1 - s1 * s1 AS DOUBLE) / CAST(n1 * rows AS DOUBLE)) * 65536, 0) AS BIGINT) AS x1,
+  CAST(round_even((coalesce(CAST(r2 AS DOUBLE), CAST(s2 AS DOUBLE) / n2) - CAST(s2 AS DOUBLE) / n2) / sqrt(CAST(q2 * n2 - s2 * s2 AS DOUBLE) / CAST(n2 * rows AS DOUBLE)) * 65536, 0) AS BIGINT) AS x2
+  FROM raw, st),
+draws AS (SELECT i AS start, row_number() OVER (PARTITION BY i ORDER BY md5((42 + i) || ':' || customer_key), x0, x1, x2) - 1 AS k, x0, x1, x2 FROM x, range(10) g(i)),
+rec(it, start, k, c0, c1, c2, moves) AS (
+  SELECT 0, start, k, x0, x1, x2, true FROM draws WHERE k < 5
+  UNION ALL
+  SELECT it + 1, start, k, d0, d1, d2, sum((d0 - c0) * (d0 - c0) + (d1 - c1) * (d1 - c1) + (d2 - c2) * (d2 - c2)) OVER (PARTITION BY start) > 429496 FROM (
+    SELECT it, start, k, c0, c1, c2,
+      coalesce((t0 - ((t0 % n + n) % n)) // n, c0) AS d0, coalesce((t1 - ((t1 % n + n) % n)) // n, c1) AS d1, coalesce((t2 - ((t2 % n + n) % n)) // n, c2) AS d2 FROM (
+      SELECT it, start, k, c0, c1, c2, nullif(count(*) FILTER (mine), 0) AS n, CAST(sum(x0) FILTER (mine) AS BIGINT) AS t0,
+        CAST(sum(x1) FILTER (mine) AS BIGINT) AS t1, CAST(sum(x2) FILTER (mine) AS BIGINT) AS t2 FROM (
+        SELECT rec.*, x0, x1, x2, row_number() OVER (PARTITION BY start, customer_key
+          ORDER BY (x0 - c0) * (x0 - c0) + (x1 - c1) * (x1 - c1) + (x2 - c2) * (x2 - c2), k) = 1 AS mine
+        FROM rec, x WHERE moves AND it < 300) GROUP BY ALL))),
+last AS MATERIALIZED (SELECT start, k, c0, c1, c2 FROM rec QUALIFY it = max(it) OVER (PARTITION BY start)),
+near AS MATERIALIZED (SELECT start, customer_key, min({'d': (x0 - c0) * (x0 - c0) + (x1 - c1) * (x1 - c1) + (x2 - c2) * (x2 - c2), 'k': k}) AS m
+  FROM x, last GROUP BY start, customer_key),
+best AS (SELECT start FROM near GROUP BY start ORDER BY sum(m.d), start LIMIT 1),
+own AS (SELECT x.*, m.k AS k, sqrt(CAST(m.d AS DOUBLE)) / 65536.0 AS d FROM near JOIN best USING (start) JOIN x USING (customer_key)),
+named AS (SELECT k, CAST(row_number() OVER (ORDER BY sum(CAST(round(account_balance * 100) AS BIGINT)) / count(account_balance) DESC, k) - 1 AS INTEGER) AS ml_cluster FROM own GROUP BY k)
+SELECT customer_key, customer_name, nation_key, account_balance, balance_percentile, balance_rank_in_nation, customer_segment, market_segment,
+  ml_cluster, ['Premium Elite', 'High Value Stable', 'Growth Potential', 'Standard Base', 'At Risk'][ml_cluster + 1] AS cluster_name,
+  d AS distance_to_cluster_center, d > (SELECT quantile_cont(d, 0.95) FROM own) AS is_cluster_outlier,
+  1.0 - d / (SELECT max(d) FROM own) AS ml_confidence_score, '1.0' AS ml_model_version, 'KMeans' AS clustering_algorithm,
+  5 AS n_clusters_used, '[''account_balance'', ''balance_percentile'', ''balance_rank_in_nation'']' AS features_used
+FROM own JOIN named USING (k)"""
+
+
 def _model_tests_sql(sqls: dict[str, str]) -> str:
     """The declared model tests evaluated by DuckDB over its own versions of
     the datasets (the oracle SQL above), one materialized CTE per dataset."""
@@ -808,6 +844,7 @@ def _library_sql() -> dict[str, str]:
             SELECT o_custkey AS customer_key, count(*) AS order_count,
                    CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS open_order_count
             FROM orders GROUP BY o_custkey""",
+        "customer_clustering_kmeans": _KMEANS_SQL,
         "customer_clustering_ntile": _SEGMENTS_SQL + """,
             cl AS (SELECT *, CAST(ntile(5) OVER (ORDER BY balance_percentile DESC, customer_key) - 1 AS INTEGER) AS ml_cluster FROM s),
             st AS (SELECT ml_cluster, avg(account_balance) AS center_balance, stddev_samp(account_balance) AS stddev_balance

@@ -5,12 +5,15 @@ client memory and writes them in batches, silently dropping failures.  Here
 each statement is analysed into a DataFrame on the driver (parsing and
 analysis only: no data moves), the good ones are combined with
 ``unionByName`` and written in one job, and statements that fail analysis
-are returned as an error frame instead of being dropped."""
+are returned as an error frame instead of being dropped.  ``run_statements``
+keeps the statements apart instead, for those that may fail while they run."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -46,6 +49,25 @@ def write_statements(spark: SparkSession, statements: Sequence[str], path: str,
     return errors.count()
 
 
+def run_statements(spark: SparkSession, statements: Sequence[str], path: str, workers: int = 4) -> DataFrame:
+    """Each statement as a job of its own: written to its own partition
+    ``statement_index=<i>`` of ``path`` (indexes in sorted order, as above),
+    at most ``workers`` at a time, under a job group named by the index.  A
+    statement that fails, in analysis or while it runs, costs only itself: its
+    partition is not published and the error comes back as a row."""
+    def one(item: tuple[int, str]) -> tuple[int, str, str] | None:
+        i, sql = item
+        try:
+            spark.sparkContext.setJobGroup(f"statement-{i}", sql[:100], interruptOnCancel=True)
+            spark.sql(sql).write.mode("overwrite").parquet(f"{path}/statement_index={i}")
+        except Exception as e:  # the statement's own failure, reported
+            return i, sql, str(e).split("\n")[0]
+        return None
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        failed = list(pool.map(inheritable_thread_target(spark)(one), enumerate(sorted(statements))))
+    return spark.createDataFrame([f for f in failed if f], ERROR_SCHEMA)
+
+
 def statements_from(statement_query: DataFrame) -> list[str]:
     """The statement list produced by a query (first column), like the
     reference's statement source.  Statements are code - one per generated

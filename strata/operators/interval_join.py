@@ -114,3 +114,59 @@ def smallest_above(values: DataFrame, value_col: str, table: DataFrame, bound_co
     out = out.select(*vcols, *[m[p].alias(prefix + p) for p in pcols])
     unknown = values.where(F.col(value_col).isNull()).select(*vcols, *[F.lit(None).cast(tt[p]).alias(prefix + p) for p in pcols])
     return out.unionByName(unknown)
+
+
+def as_of_merge(facts: DataFrame, fact_key: str, fact_time: Column | str, versions: DataFrame, version_key: str,
+                start: str, end: str | None = None, *, payload: Sequence[str], prefix: str = "",
+                num_partitions: int | None = None) -> DataFrame:
+    """J14 point-in-time lookup by merge: every row of ``facts`` with the
+    ``payload`` of the version of its key that starts last at or before the
+    fact's time (equal starts: the one that ends last), null if there is none
+    or it has ended (``end`` is inclusive, null is open).  Days or timestamps.
+
+    ``as_of_join`` compares a fact with all versions of its key; here each row
+    of either side is read once.  Both sides are united and dealt by ranges of
+    (key, time), so that one key spreads over many tasks; a running last value
+    gives each fact its version, and the last version of a partition's last
+    key is carried to the partitions after it through a table of at most two
+    rows per partition.  Facts without a key or time meet no version and stay
+    out of the merge."""
+    from pyspark.sql import Window
+    from strata.session import ensure_checkpoint_dir
+    spark = facts.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    time = F.col(fact_time) if isinstance(fact_time, str) else fact_time
+    types = dict(versions.dtypes)
+    stop = F.col(end).cast("timestamp_ntz") if end else F.lit(None).cast("timestamp_ntz")
+    hit = F.struct(F.col(start).cast("timestamp_ntz").alias("s"), stop.alias("e"), *[F.col(p).alias(f"p_{p}") for p in payload])
+    own = versions.where(F.col(version_key).isNotNull() & F.col(start).isNotNull())
+    right = own.select(F.col(version_key).alias("__k"), F.col(start).cast("timestamp_ntz").alias("__t"), F.lit(0).alias("__tag"),
+                       F.coalesce(stop, F.lit("9999-12-31 23:59:59").cast("timestamp_ntz")).alias("__e"), F.lit(0).cast("long").alias("__spread"),
+                       hit.alias("__hit"))
+    placed = F.col("__k").isNotNull() & F.col("__t").isNotNull()
+    cols = facts.columns
+    left = facts.select(F.col(fact_key).alias("__k"), time.cast("timestamp_ntz").alias("__t"), F.lit(1).alias("__tag"),
+                        F.lit(None).cast("timestamp_ntz").alias("__e"), F.xxhash64(*cols).alias("__spread"), F.struct(*cols).alias("__fact"))
+    order = ["__k", "__t", "__tag", "__e", "__spread"]
+    both = left.where(placed).unionByName(right, allowMissingColumns=True)
+    dealt = both.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)  # fixes the partitions
+    dealt = dealt.withColumn("__pid", F.spark_partition_id())
+    # What each partition hands on: the last version of its last key.
+    ends = dealt.groupBy("__pid").agg(F.min("__k").alias("__first"), F.max("__k").alias("__k"))
+    last = (dealt.where("__tag = 0").join(F.broadcast(ends.select("__pid", "__k")), ["__pid", "__k"])
+            .groupBy("__pid").agg(F.max_by("__hit", F.struct("__t", "__e")).alias("__hit")))
+    ends = ends.join(last, "__pid", "left")
+    gives = ends.select("__k", "__pid", F.lit(1).alias("__kind"), "__hit")
+    takes = ends.select(F.col("__first").alias("__k"), "__pid", F.lit(0).alias("__kind"), F.lit(None).cast(dealt.schema["__hit"].dataType).alias("__hit"))
+    before = Window.partitionBy("__k").orderBy("__pid", "__kind").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (gives.unionByName(takes).withColumn("__carried", F.last("__hit", ignorenulls=True).over(before))
+               .where("__kind = 0").select("__pid", "__k", "__carried"))
+    running = Window.partitionBy("__pid", "__k").orderBy("__t", "__tag", "__e", "__spread").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = dealt.withColumn("__own", F.last("__hit", ignorenulls=True).over(running)).where("__tag = 1")
+    found = found.join(F.broadcast(carried), ["__pid", "__k"], "left")  # at most a row per partition
+    best = F.coalesce("__own", "__carried")
+    holds = best["e"].isNull() | (F.col("__t") <= best["e"])
+    out = found.select("__fact.*", *[F.when(holds, best[f"p_{p}"]).alias(prefix + p) for p in payload])
+    rest = left.where(~placed).select("__fact.*", *[F.lit(None).cast(types[p]).alias(prefix + p) for p in payload])
+    return out.unionByName(rest)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.ranking import dense_index
+from strata.session import ensure_checkpoint_dir
 
 NULL_TAG = "\u0000"
 
@@ -54,6 +55,23 @@ def assign_surrogate_keys(new_rows: DataFrame, order_by: Sequence[str], key_name
             .drop("__seq", "__hw"))
 
 
+def lease_keys(new_rows: DataFrame, key_name: str, existing: DataFrame | None = None, block: int = 1000) -> DataFrame:
+    """K3 as a sequence: unique keys above the mark of ``existing``, in no
+    order and with gaps.  Each partition leases as many whole blocks as its
+    rows need, so nothing is sorted or shuffled; the checkpoint fixes which
+    rows a partition has, so a repeated task gives the same keys."""
+    spark = new_rows.sparkSession
+    ensure_checkpoint_dir(spark)
+    fixed = new_rows.checkpoint(eager=True).withColumn("__pid", F.spark_partition_id())
+    fixed = fixed.withColumn("__at", F.monotonically_increasing_id() - F.shiftleft(F.col("__pid").cast("long"), 33))
+    mark = 0 if existing is None else existing.agg(F.coalesce(F.max(key_name), F.lit(0))).first()[0]
+    leased = fixed.groupBy("__pid").agg(F.ceil(F.count("*") / block).alias("__n"))  # a row per partition
+    first = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    leased = leased.select("__pid", (F.coalesce(F.sum("__n").over(first), F.lit(0)) * block).alias("__from"))
+    key = F.lit(int(mark) + 1).cast("long") + F.col("__from") + F.col("__at")
+    return fixed.join(F.broadcast(leased), "__pid").withColumn(key_name, key.cast("long")).drop("__pid", "__at", "__from")
+
+
 def with_ghost_row(df: DataFrame, key: str, values: Mapping[str, object]) -> DataFrame:
     """K5: add one default row unless ``key`` already holds its value
     (idempotent).  Existence is a filtered global aggregate (one row), not

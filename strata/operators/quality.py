@@ -13,7 +13,7 @@ import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -242,6 +242,22 @@ def run_checks(checks: Sequence[Check]) -> DataFrame:
     return out.select("check_name", "model", "column_name", "severity", "failures", status.alias("status"))
 
 
+def write_checked(df: DataFrame, checks: Sequence[tuple[str, Column]], path: str, name: str = "checks") -> dict[str, int]:
+    """D1-D16 in the write itself: ``checks`` are (name, predicate that is
+    true on a failing row).  One scan computes the rows, writes those that
+    pass to ``path/quarantined=false`` and the others, with the names of the
+    checks they failed, to ``path/quarantined=true``, and counts rows and
+    failures on the way (``DataFrame.observe``).  Returns the counts."""
+    bad = [F.coalesce(p, F.lit(False)) for _, p in checks]
+    failed = F.array_compact(F.array(*[F.when(b, F.lit(n)) for (n, _), b in zip(checks, bad)]))
+    seen = Observation(name)
+    flagged = df.withColumn("failed_checks", failed).observe(
+        seen, F.count(F.lit(1)).alias("rows"), *[F.count(F.when(b, 1)).alias(n) for (n, _), b in zip(checks, bad)])
+    (flagged.withColumn("quarantined", F.size("failed_checks") > 0)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("quarantined").parquet(path))
+    return dict(seen.get)
+
+
 def store_failures(check: Check, path: str, run_ts: Column, mode: str = "append") -> None:
     """Write the failing rows with the check name and run time
     (one append per run; history accumulates in the folder)."""

@@ -5,9 +5,8 @@ producer (``publish_changes``).  A consumer reads that folder with
 ``readStream``; its checkpoint is its own read position, so each consumer
 sees every change exactly once.  Each micro-batch is reduced with K10
 (newest change per key, delete flag, log ids above the log's maximum) and
-appended to the consumer's change log.  Rows carry the stream batch id; a
-replayed batch finds its id already in the log (a pushed-down filter) and is
-skipped.
+written to the consumer's change log as a partition named by the stream batch
+id; a replayed batch replaces its own partition.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.cdc import consume_changes
+from strata.streaming.sinks import overwrite_partitions, path_exists
 
 
 def publish_changes(changes: DataFrame, change_dir: str) -> None:
@@ -26,21 +26,16 @@ def publish_changes(changes: DataFrame, change_dir: str) -> None:
     changes.write.mode("append").parquet(change_dir)
 
 
-def _log_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 def consume_batch(batch: DataFrame, batch_id: int, *, keys: Sequence[str], log_path: str) -> None:
+    """Appends the batch to the log as a partition of its own.  A replay reads
+    the same earlier batches and replaces that partition, so an append that
+    died half-way leaves nothing behind."""
     spark = batch.sparkSession
-    existing = spark.read.parquet(log_path) if _log_exists(spark, log_path) else None
-    if existing is not None and existing.where(F.col("stream_batch_id") == int(batch_id)).limit(1).count():
-        return  # replay of a batch already appended
-    prior = existing.drop("stream_batch_id") if existing is not None else None
+    prior = None
+    if path_exists(spark, log_path):
+        prior = spark.read.parquet(log_path).where(F.col("stream_batch_id") < int(batch_id)).drop("stream_batch_id")
     out = consume_changes(batch, keys, prior).withColumn("stream_batch_id", F.lit(int(batch_id)).cast("long"))
-    out.write.mode("append").parquet(log_path)
+    overwrite_partitions(out, log_path, ["stream_batch_id"])
 
 
 def start_change_consumer(spark: SparkSession, change_dir: str, schema: T.StructType, keys: Sequence[str],

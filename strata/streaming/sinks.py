@@ -1,15 +1,9 @@
 """Idempotent batch sinks used by the streaming jobs.
 
-* ``overwrite_partitions``: dynamic partition overwrite - only the partitions
-  present in the frame are replaced, so rewriting a touched month costs that
-  month, and a replay writes the same content again.
-* ``VersionedTable``: a table without a transactional format (H3).  Each
-  publish writes a complete folder of its own; a version becomes visible
-  only when its commit file ``_commits/<n>`` is created, and creation is
-  exclusive, so two writers cannot both commit ``n``.  The commit file names
-  the folder and the stream batch id that produced it (replays are
-  detectable); readers take the highest committed version and never see a
-  half-written or losing folder.
+``overwrite_partitions`` is a dynamic partition overwrite: only the partitions
+present in the frame are replaced, so rewriting a touched month costs that
+month, and a replay writes the same content again.  Commits across writers are
+left to a table format.
 """
 
 from __future__ import annotations
@@ -22,84 +16,14 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str], fm
      .partitionBy(*partition_cols).format(fmt).save(path))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def drop_partitions(spark: SparkSession, path: str, column: str, values) -> None:
     """Remove the given partitions (a dynamic overwrite cannot empty one)."""
     jvm = spark.sparkContext._jvm
     for v in values:
         p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={v}")
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._commits = self._Path(self.root + "/_commits")
-
-    def _committed(self) -> list[tuple[int, str]]:
-        if not self._fs.exists(self._commits):
-            return []
-        out = []
-        for st in self._fs.listStatus(self._commits):
-            name = st.getPath().getName()
-            if name.isdigit():
-                out.append((int(name), st.getPath().toString()))
-        return sorted(out)
-
-    def _read_text(self, path: str) -> str:
-        jvm = self.spark.sparkContext._jvm
-        stream = self._fs.open(self._Path(path))
-        try:
-            return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def _commit_info(self, commit_path: str) -> tuple[int | None, str]:
-        """(batch id, data folder) recorded in a commit file."""
-        batch, folder = (self._read_text(commit_path).split("\n") + [""])[:2]
-        batch = batch.strip()
-        return (int(batch) if batch.lstrip("-").isdigit() and batch != "-1" else None), folder.strip()
-
-    def version(self) -> int | None:
-        c = self._committed()
-        return c[-1][0] if c else None
-
-    def last_batch_id(self) -> int | None:
-        c = self._committed()
-        return self._commit_info(c[-1][1])[0] if c else None
-
-    def path_of(self, version: int) -> str:
-        for v, commit in self._committed():
-            if v == version:
-                return f"{self.root}/{self._commit_info(commit)[1]}"
-        raise KeyError(f"version {version} is not committed")
-
-    def read(self) -> DataFrame | None:
-        v = self.version()
-        return None if v is None else self.spark.read.parquet(self.path_of(v))
-
-    def publish(self, df: DataFrame, batch_id: int | None = None) -> int:
-        """Write ``df`` as the next version, then commit it.  Every attempt
-        writes to its own folder, and only the commit file (created
-        exclusively) names the folder readers use: a writer that loses the
-        race for a version number fails at the commit and leaves committed
-        data untouched.  The old version stays readable throughout and may
-        be the input of ``df``."""
-        import uuid
-        v = (self.version() or 0) + 1
-        folder = f"v={v:08d}-{uuid.uuid4().hex[:12]}"
-        df.write.mode("errorifexists").parquet(f"{self.root}/{folder}")
-        out = self._fs.create(self._Path(f"{self.root}/_commits/{v:08d}"), False)  # exclusive create
-        try:
-            out.write(bytearray(f"{-1 if batch_id is None else batch_id}\n{folder}".encode()))
-        finally:
-            out.close()
-        return v
-
-    def vacuum(self, keep: int = 2) -> None:
-        """Delete data folders of all but the newest ``keep`` versions."""
-        for v, commit in self._committed()[:-keep]:
-            self._fs.delete(self._Path(f"{self.root}/{self._commit_info(commit)[1]}"), True)
