@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.plans import gold, history, ml, reports, runlog, second_runs, silver, staging, tpch
+from strata.plans import gold, history, later_runs, ml, reports, runlog, second_runs, silver, staging, tpch
 from strata.plans.calendar import data_calendar
 from strata.plans.model_tests import model_test_summary
 from strata.sources.logs import text_lines
@@ -173,6 +173,19 @@ def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "model_test_summary": _q(model_test_summary),
         "document_log_lines": _q(lambda cat, ctx: text_lines(cat.documents, "doc_id", "text")),
         "segment_statements": _q(reports.segment_statements),
+        # Point in time, sketches, digests, leases, checks in the write, later runs.
+        "order_customer_versions": _q(later_runs.order_customer_versions),
+        "event_last_purchase": _q(later_runs.event_last_purchase),
+        "supplier_orders_by_sketch": _q(later_runs.supplier_orders_by_sketch),
+        "customer_change_feed_by_digest": _q(later_runs.customer_change_feed_by_digest),
+        "leased_order_keys": _q(later_runs.leased_order_keys),
+        "isolated_statements": _q(later_runs.isolated_statements),
+        "order_lines_checked": _q(later_runs.order_lines_checked),
+        "orders_freshness": _q(later_runs.orders_freshness),
+        "negative_balance_share": _q(later_runs.negative_balance_share),
+        "customers_share_developer": _q(later_runs.customers_share_developer),
+        "line_surrogate_keys": _q(later_runs.line_surrogate_keys),
+        "orders_open_or_recent": _q(later_runs.orders_open_or_recent),
         "customer_clustering_kmeans": _q(ml.customer_clustering_kmeans),
     }
 
@@ -845,6 +858,52 @@ def _library_sql() -> dict[str, str]:
                    CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS open_order_count
             FROM orders GROUP BY o_custkey""",
         "customer_clustering_kmeans": _KMEANS_SQL,
+        "order_customer_versions": """
+            WITH v AS (SELECT c_custkey, i AS version, DATE '1995-01-01' + CAST(i * 400 + (c_custkey * 37) % 300 AS INTEGER) AS valid_from,
+              CASE WHEN c_custkey % 5 = 0 THEN 389 ELSE 399 END AS days FROM customer, range(6) g(i))
+            SELECT o_orderkey AS order_key, o_custkey AS customer_key, CAST(o_orderdate AS DATE) AS order_date,
+              CAST(version AS INTEGER) AS customer_version, valid_from AS customer_valid_from
+            FROM orders LEFT JOIN v ON c_custkey = o_custkey AND CAST(o_orderdate AS DATE) >= valid_from
+              AND (version = 5 OR CAST(o_orderdate AS DATE) <= valid_from + CAST(days AS INTEGER))""",
+        "event_last_purchase": """
+            SELECT e.event_id, e.user_id, e.ts, e.event_type, p.event_id AS last_purchase, p.value AS last_amount, p.ts AS last_at
+            FROM events e ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p ON e.user_id = p.user_id AND e.ts >= p.ts""",
+        "supplier_orders_by_sketch": _FOL + """
+            SELECT supplier_key, CAST(y AS INTEGER) AS order_year, count(*) AS total_order_lines, count(DISTINCT order_key) AS total_orders, true AS sketch_within_error
+            FROM (SELECT *, unnest([year(order_date), 0]) AS y FROM fol) GROUP BY ALL""",
+        "customer_change_feed_by_digest": "WITH " + _LOADS + " SELECT *, '2' AS cdc_version FROM feed",
+        "leased_order_keys": """
+            SELECT count(*) AS new_rows, count(*) AS different_keys, true AS all_above_the_mark
+            FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) * 9 // 10 FROM orders)""",
+        "isolated_statements": """
+            SELECT c_mktsegment AS market_segment, CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN count(*) END AS customers,
+              CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN max(c_custkey) END AS last_key, c_mktsegment = 'AUTOMOBILE' AS failed
+            FROM customer GROUP BY c_mktsegment""",
+        "order_lines_checked": """
+            WITH f AS (SELECT l_quantity, list_filter([CASE WHEN l_quantity > 45 THEN 'quantity_over_45' END, CASE WHEN l_discount >= 0.08 THEN 'discounted' END,
+              CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'flag_known' END], lambda x: x IS NOT NULL) AS c FROM lineitem),
+            per AS (SELECT len(c) > 0 AS quarantined, unnest(CASE WHEN len(c) > 0 THEN c ELSE [NULL] END) AS check_name, l_quantity FROM f)
+            SELECT quarantined, check_name, count(*) AS rows_written, CAST(sum(CAST(l_quantity AS DECIMAL(38,6))) AS DOUBLE) AS quantity,
+              CASE WHEN check_name IS NULL THEN (SELECT count(*) FROM lineitem) ELSE count(*) END AS rows_counted FROM per GROUP BY 1, 2""",
+        "orders_freshness": """
+            SELECT o_orderstatus AS order_status, max(o_orderdate) AS max_loaded_at,
+              CAST(datediff('second', max(o_orderdate), (SELECT max(o_orderdate) FROM orders)) AS BIGINT) AS age_seconds,
+              CASE WHEN datediff('second', max(o_orderdate), (SELECT max(o_orderdate) FROM orders)) > 86400 THEN 'error'
+                   WHEN datediff('second', max(o_orderdate), (SELECT max(o_orderdate) FROM orders)) > 0 THEN 'warn' ELSE 'pass' END AS status
+            FROM orders WHERE o_orderstatus IN ('F', 'O', 'P') GROUP BY 1""",
+        "negative_balance_share": """
+            SELECT 'negative_balance_check' AS test_name, count(*) AS negative_balance_customers, (SELECT count(*) FROM customer) AS total_customers,
+              round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM customer) * 100, 2) AS negative_balance_percentage
+            FROM customer WHERE c_acctbal < 0 HAVING round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM customer) * 100, 2) > 1""",
+        "customers_share_developer": "WITH " + _DIM_CUSTOMERS + """
+            SELECT customer_key, sha256(customer_name) AS customer_name, market_segment, nation_key, nation_name, region_key,
+              value_segment, has_orders_flag FROM dc""",
+        "line_surrogate_keys": """
+            SELECT l_orderkey, l_linenumber, md5(l_orderkey || '-' || l_linenumber || '-' || coalesce(nullif(l_returnflag, 'N'), '_null_')) AS line_key,
+              CASE WHEN l_returnflag = 'R' THEN CAST(l_shipdate AS DATE) + 9 ELSE greatest(CAST(l_shipdate AS DATE), DATE '1900-01-01') END AS last_date FROM lineitem""",
+        "orders_open_or_recent": """
+            SELECT o_orderkey, o_orderstatus, o_custkey AS o_cust_wid, CASE WHEN o_orderstatus = 'O' OR CAST(o_orderdate AS DATE) >=
+              (SELECT max(CAST(o_orderdate AS DATE)) - 90 FROM orders) THEN o_totalprice ELSE o_totalprice + 1 END AS o_totalprice FROM orders""",
         "customer_clustering_ntile": _SEGMENTS_SQL + """,
             cl AS (SELECT *, CAST(ntile(5) OVER (ORDER BY balance_percentile DESC, customer_key) - 1 AS INTEGER) AS ml_cluster FROM s),
             st AS (SELECT ml_cluster, avg(account_balance) AS center_balance, stddev_samp(account_balance) AS stddev_balance

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import ensure_checkpoint_dir
+
 
 class DuplicateKeyError(ValueError):
     pass
@@ -38,17 +40,23 @@ def evolve_schema(target: DataFrame, source: DataFrame, policy: str = "append_ne
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], exclude: Sequence[str] = (),
            on_schema_change: str = "append_new_columns", check_unique: bool = True,
-           small_source_rows: int | None = 1_000_000) -> DataFrame:
+           small_source_rows: int | None = 1_000_000, small_source_bytes: int = 32 << 20) -> DataFrame:
     """K1 merge: source rows replace matching target rows (columns in
     ``exclude`` keep the target's value on matched rows); new keys are
     inserted; unmatched target rows stay.  Returns the new table version.
-
-    When the source batch is small (checked by count against
-    ``small_source_rows``), only target rows whose key occurs in the batch
-    are touched: the untouched rest is a broadcast anti join, so the large
-    target is never shuffled.  Otherwise one full outer join on the keys.
+    Keys compare null-safely: a null key is a key like any other, as in
+    ``change_feed`` and ``scd2_snapshot``.
+
+    The source is cut first (its plan runs once).  If its keys are few and
+    small, by a count of rows and of their bytes as text, only target rows
+    whose key occurs in it are touched: the untouched rest is a broadcast
+    anti join, so the large target is never shuffled.  Otherwise one full
+    outer join on the keys.  ``operators/bucketed.py`` merges into a stored
+    table and rewrites only the touched parts.
     """
     keys = list(keys)
+    ensure_checkpoint_dir(source.sparkSession)
+    source = source.checkpoint(eager=True)
     if check_unique:
         assert_unique(source, keys)
     target = evolve_schema(target, source, on_schema_change)
@@ -57,10 +65,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], exclude: S
     source = source.select(*[c for c in cols if c in src_cols])
 
     def merged(t: DataFrame, s: DataFrame) -> DataFrame:
-        t_, s_ = t.alias("__t"), s.withColumn("__hit", F.lit(True)).alias("__s")
-        cond = [F.col(f"__t.{k}") == F.col(f"__s.{k}") for k in keys]
+        t_, s_ = t.withColumn("__old", F.lit(True)).alias("__t"), s.withColumn("__hit", F.lit(True)).alias("__s")
+        cond = [F.col(f"__t.{k}").eqNullSafe(F.col(f"__s.{k}")) for k in keys]
         j = t_.join(s_, cond, "full_outer")
-        hit = F.col("__s.__hit").isNotNull()
+        hit, old = F.col("__s.__hit").isNotNull(), F.col("__t.__old").isNotNull()
         out = []
         for c in cols:
             if c in keys:
@@ -68,17 +76,19 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], exclude: S
             elif c not in src_cols:
                 out.append(F.col(f"__t.{c}").alias(c))
             elif c in exclude:
-                out.append(F.when(F.col(f"__t.{keys[0]}").isNotNull(), F.col(f"__t.{c}"))
-                           .otherwise(F.col(f"__s.{c}")).alias(c))
+                out.append(F.when(old, F.col(f"__t.{c}")).otherwise(F.col(f"__s.{c}")).alias(c))
             else:
                 out.append(F.when(hit, F.col(f"__s.{c}")).otherwise(F.col(f"__t.{c}")).alias(c))
         return j.select(*out)
 
-    if small_source_rows is not None and source.count() <= small_source_rows:
-        batch_keys = F.broadcast(source.select(*keys))
-        untouched = target.join(batch_keys, keys, "left_anti")
-        touched = target.join(batch_keys, keys, "left_semi")
-        return untouched.select(*cols).unionByName(merged(touched.select(*cols), source))
+    if small_source_rows is not None:
+        size = source.agg(F.count("*").alias("n"), F.sum(F.octet_length(F.concat_ws("|", *[F.col(k).cast("string") for k in keys])) + 16).alias("b")).first()
+        if size["n"] <= small_source_rows and (size["b"] or 0) <= small_source_bytes:
+            batch_keys = F.broadcast(source.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)]))
+            same = [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)]
+            untouched = target.join(batch_keys, same, "left_anti")
+            touched = target.join(batch_keys, same, "left_semi")
+            return untouched.select(*cols).unionByName(merged(touched.select(*cols), source))
     return merged(target, source)
 
 

@@ -59,7 +59,7 @@ def rank_rows(df: DataFrame, order_by: Sequence[str], *, descending: Sequence[bo
     """Attach ranking columns to ``df`` (see module doc).
 
     The per-(partition, group) summary has at most partitions + groups rows
-    (groups are contiguous in the range order).  It is cached and counted; under ``broadcast_max_rows`` (the usual case:
+    (groups are contiguous in the range order).  It is cut and counted; under ``broadcast_max_rows`` (the usual case:
     a global ranking, or groups such as nations or segments) it is broadcast,
     otherwise it is joined by shuffle on (partition id, group).
     """
@@ -97,7 +97,7 @@ def rank_rows(df: DataFrame, order_by: Sequence[str], *, descending: Sequence[bo
         if n_parts <= broadcast_max_rows:
             summary = F.broadcast(summary)
     else:
-        summary = summary.cache()  # small; recomputed from the checkpoint if lost
+        summary = summary.checkpoint(eager=True)  # narrow; counted and joined
         if summary.count() <= broadcast_max_rows:
             summary = F.broadcast(summary)
     s = summary.alias("__s")

@@ -183,7 +183,8 @@ def hybrid_dimension_load(dim: DataFrame | None, staging: DataFrame, business_ke
     kept = cur_row(j.where(F.col("__st").isin("same", "absent")))
     expired = j.where(F.col("__st") == "t2").select(
         *[F.col(f"__c.{x}").alias(x) for x in dim_cols if x not in (end_col, current_col, "updated_date", "updated_by")],
-        F.date_sub(load_ts.cast("date"), 1).alias(end_col), F.lit(False).alias(current_col),
+        # A second load on the day a version began ends it on that day, not before it.
+        F.greatest(F.date_sub(load_ts.cast("date"), 1), F.col(f"__c.{start_col}")).alias(end_col), F.lit(False).alias(current_col),
         load_ts.alias("updated_date"), F.lit(who).alias("updated_by")).select(*dim_cols)
     type1 = j.where(F.col("__st") == "t1").select(
         *[(F.col(f"__s.{x}") if x in type1_cols else F.col(f"__c.{x}")).alias(x)

@@ -196,14 +196,16 @@ def fact_order_line_full_reload(cat, ctx: RunContext = RunContext(), orders: Dat
     and leave those of others."""
     from strata.operators.keys import integration_key
     from strata.operators.merge import replace_slice
+    from strata.plans.runlog import bounded_broadcast
     li = cat.lineitem
     od = orders if orders is not None else dim_orders(cat, ctx)
     od = od.select(F.col("order_key"), F.col("customer_key"), F.to_date("order_date").alias("__od"))
     fx = rates if rates is not None else silver.lookup_exchange_rates(cat, ctx)
     fx = fx.where((F.col("from_currency") == "USD") & (F.col("to_currency") == "EUR")).select(
         F.col("day_dt").alias("__od"), F.col("exchange_rate").alias("eur_conversion_rate"))
-    # fx holds one row per calendar day (bounded by the calendar, not the data).
-    j = li.join(od, li.l_orderkey == od.order_key, "left").join(F.broadcast(fx), "__od", "left")
+    # The looked-up rates hold one row per calendar day; a caller's rates are counted first.
+    fx = F.broadcast(fx) if rates is None else bounded_broadcast(fx)
+    j = li.join(od, li.l_orderkey == od.order_key, "left").join(fx, "__od", "left")
     unk = F.lit(ctx.unknown_key).cast("long")
     rows = j.select(F.lit(ctx.source_system_code).alias("source_system_code"),
                     F.coalesce(F.col("order_key"), unk).alias("l_order_wid"),

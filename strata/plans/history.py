@@ -189,13 +189,15 @@ def sales_fact_rows(staging_rows: DataFrame, date_dim: DataFrame, customer_dim:
     cost and gross profit with a null discount counted as 0.  The dimensions
     are keyed lookups: the date dimension (bounded by its calendar) and
     current customer rows join by key; AQE picks broadcast or shuffle."""
+    from strata.plans.runlog import bounded_broadcast
     unk = F.lit(unknown_key).cast("long")
     dd = date_dim.select(F.col("day_dt").alias("__d"), F.col("day_key").cast("long").alias("__dk"))
+    dd = bounded_broadcast(dd)  # a caller's calendar: counted before it is sent
     od, sd = dd.alias("__od"), dd.alias("__sd")
     cur = customer_dim.where(F.col("is_current")).select(
         F.col("customer_business_key").alias("__cbk"), F.col("customer_key").alias("__ck"))
-    s = staging_rows.join(F.broadcast(od), F.col("order_date") == F.col("__od.__d"), "left") \
-        .join(F.broadcast(sd), F.col("ship_date") == F.col("__sd.__d"), "left") \
+    s = staging_rows.join(od, F.col("order_date") == F.col("__od.__d"), "left") \
+        .join(sd, F.col("ship_date") == F.col("__sd.__d"), "left") \
         .join(cur, F.col("customer_id") == F.col("__cbk"), "left")
     prod = F.lit(None).cast("long")
     if product_dim is not None:
