@@ -89,23 +89,36 @@ def corpus_counts(docs: DataFrame, sample: DataFrame) -> tuple[np.ndarray, np.nd
         "doc_id", F.lit(1).alias("target"))), "doc_id", "left")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, 1 << BITS), np.int64)
+        total, seen = np.zeros((2, 1 << BITS), np.int64), 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            """Touched buckets of each slice: places (2 bytes) and both counts
+            (4 bytes each)."""
+            for at in range(0, 1 << BITS, SLICE):
+                part = total[:, at:at + SLICE]
+                some = np.flatnonzero(part[0])
+                if len(some):
+                    blob = some.astype("<u2").tobytes() + part[:, some].astype("<u4").tobytes()
+                    yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([blob], pa.binary())], names=["at", "counts"])
         for batch, texts in chunks(batches):
             b, doc = buckets(texts)
+            if seen + len(b) >= 1 << 32:
+                yield from out()
+                total[:], seen = 0, 0
+            seen += len(b)
             total[0] += np.bincount(b, minlength=1 << BITS)
             mine = np.array([x is not None for x in batch.column("target").to_pylist()], bool)
             if mine.any():
                 total[1] += np.bincount(b[mine[doc]], minlength=1 << BITS)
-        for at in range(0, 1 << BITS, SLICE):
-            part = total[:, at:at + SLICE]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["at", "counts"])
+        yield from out()
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * SLICE, np.int64)
+        total = np.zeros((2, SLICE), np.int64)
         for batch in batches:
             for x in batch.column("counts"):
-                total += np.frombuffer(x.as_py(), np.int64)
+                blob = x.as_py()
+                n = len(blob) // 10
+                total[:, np.frombuffer(blob, "<u2", n)] += np.frombuffer(blob, "<u4", offset=2 * n).reshape(2, n)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["at", "counts"])
     schema = "at int, counts binary"
     out = np.zeros((2, 1 << BITS), np.int64)

@@ -169,11 +169,22 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, words: int) -> Da
             .filter(F.col("same") * 100 >= (F.col("both") - F.col("same")) * percent).select("a", "b").distinct())
 
 
+def same_document(members: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of ids that stand on several texts:
+    rows of one id are one document."""
+    of = members.filter("node is not null").select("doc_id", "node")
+    several = of.groupBy("doc_id").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x != y").select("doc_id")
+    return of.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document."""
     known = cut(signatures(docs, words))
     classes = cut(known.filter("n_shingles > 0 and doc_id is not null").groupBy("low", "high", "n_shingles")
                   .agg(F.min("doc_id").alias("node"), F.min("signature").alias("signature")))
+    members = (known.select("doc_id", "n_shingles", "low", "high")
+               .join(classes.select("low", "high", "n_shingles", "node"), ["low", "high", "n_shingles"], "left").select("doc_id", "n_shingles", "node"))
+    members = cut(members)
     lists = cut(postings(classes))
     placed = lists.withColumn("component", F.col("node"))
     tried = links = None
@@ -191,9 +202,8 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
         placed, size = placed.drop("n"), placed
     pairs = cut(matching(across(size.filter(F.col("n") <= LARGE_LIST)).join(tried, ["a", "b"], "left_anti"), classes, percent))
     last = confirmed(pairs, docs, percent, words).union(across_large(size.filter(F.col("n") > LARGE_LIST), docs, percent, words))
-    found = components(links.union(last))
-    members = (known.join(classes.select("low", "high", "n_shingles", "node"), ["low", "high", "n_shingles"], "left")
-               .join(found, "node", "left"))
+    found = components(links.union(last).union(same_document(members)))
+    members = members.join(found, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return (members.select("doc_id", "n_shingles", component.alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))

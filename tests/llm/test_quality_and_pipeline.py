@@ -124,3 +124,20 @@ def test_pipeline_registered_and_empty_stages(spark):
     empty = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF_SMALL).count() == 0
+
+
+def test_rows_that_share_an_id(spark):
+    """Ids on several texts: one document for the operator, and every text
+    keeps a representative in the pipeline."""
+    import corpus_pipeline
+    from strata.llm.minhash_postings import near_duplicates
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (7, b), (9, c), (9, c), (11, a + " more"), (None, c), (20, None), (20, "")]
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {(r.doc_id, r.n_shingles > 0): (r.component_id, r.kept) for r in near_duplicates(frame, words=5).collect() if r.doc_id is not None}
+    assert got == {(3, True): (3, True), (5, True): (3, False), (7, True): (3, False), (9, True): (9, True), (11, True): (3, False), (20, False): (20, True)}
+    left = corpus_pipeline.near_dedup(spark, frame, None).select("doc_id", "text").collect()
+    assert sorted(map(tuple, left), key=repr) == sorted([(3, a), (5, b), (9, c), (9, c), (None, c), (20, None), (20, "")], key=repr)
+    alone = frame.filter("doc_id is null or doc_id not in (5, 20)")
+    left = corpus_pipeline.near_dedup(spark, alone, None).select("doc_id", "text").collect()
+    assert sorted(map(tuple, left), key=repr) == sorted([(3, a), (7, b), (9, c), (9, c), (None, c)], key=repr)
