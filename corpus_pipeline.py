@@ -5,7 +5,8 @@ take effect: the quality classifier drops what it rejects, MinHash near-dedup
 keeps one document of each group, substring dedup removes the words of repeated
 passages, benchmark decontamination drops documents that leak an item, and the
 last stage encodes what is left.  All but the last return the columns of
-``documents``.
+``documents``.  Null ids, null, empty and very long texts and repeated rows pass
+every stage as its operator states; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from strata.llm.importance_filter import resample
 from strata.llm.minhash_postings import near_duplicates
 from strata.llm.relative_factors import parsed
 from strata.llm.template_leaks import judged
+from strata.operators.ranking import dense_index
 from strata.session import ensure_checkpoint_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -36,11 +38,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles,
-    similarity 0.8 or more): the one with the smallest doc_id.  Rows that share
-    a doc_id are one document and stay or go together."""
+    similarity 0.8 or more): the one with the smallest doc_id.  Where an id
+    stands on several texts, rows are told apart by id and text, so that every
+    text keeps a representative; equal rows stay or go together."""
     docs = docs.select(*COLUMNS)
-    gone = few(near_duplicates(docs, words=5, percent=80).filter("not kept").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti")
+    version = F.xxhash64("text").alias("__version")
+    rows = docs.select("doc_id", version).distinct()
+    if rows.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        gone = few(near_duplicates(docs, words=5, percent=80).filter("not kept").select("doc_id").distinct())
+        return docs.join(gone, "doc_id", "left_anti")
+    numbered = dense_index(rows.filter("doc_id is not null"), ["doc_id", "__version"], name="__row").toDF("__id", "__v", "__row").checkpoint()
+    tagged = docs.join(numbered, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__v")), "left").drop("__id", "__v")
+    found = near_duplicates(tagged.select(F.col("__row").alias("doc_id"), "text"), words=5, percent=80)
+    gone = few(found.filter("not kept").select(F.col("doc_id").alias("__row")).distinct())
+    return tagged.join(gone, "__row", "left_anti").select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
