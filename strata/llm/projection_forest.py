@@ -19,9 +19,10 @@ no leaf is dropped or cut however large it is.
 Defined cases: a vector that is null, empty, zero or holds null or non-finite
 components, and a null label, link with nothing (0 links, its own component);
 vectors of different length never link; rows with a null vec_id are returned
-with 0 links and a null component; rows that share a vec_id are one node: links
-are counted per row of the class, without the row itself; an empty table gives
-an empty result; only ``vec_id``, ``embedding`` and ``label`` are read.
+with 0 links and a null component; rows that share a vec_id are one node, whatever
+their vectors (a row that links with nothing stays alone): their components are
+one, and links are counted per row of the class, without the row itself; an
+empty table gives an empty result; only ``vec_id``, ``embedding`` and ``label`` are read.
 """
 
 from __future__ import annotations
@@ -237,6 +238,13 @@ def links_in_leaves(posted: DataFrame, least: float) -> DataFrame:
     return rows.groupBy("label", "dims", "leaf", "low", "high").applyInArrow(compare, "node long, links long, other long")
 
 
+def same_vector(members: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes that rows of one vec_id stand in."""
+    several = (members.groupBy("vec_id").agg(F.min("node").alias("x"), F.max("node").alias("y"))
+               .filter("x != y").select("vec_id", "x"))
+    return members.join(several, "vec_id").select(F.col("node").alias("a"), F.col("x").alias("b"))
+
+
 def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE, trees: int = TREES, sample: int = SAMPLE) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
     able = (F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("embedding") > 0)
@@ -246,16 +254,20 @@ def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE, trees: int = T
     fine, rest = v.filter("able"), v.filter("not able")
     # -0.0 and 0.0 are one value; equal vectors of a label are one class.
     own = fine.withColumn("embedding", F.transform("embedding", lambda x: F.when(x == 0, F.lit(0).cast("float")).otherwise(x)))
-    classes = cut(own.groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("size")))
-    forest = fit_forest(classes.withColumnRenamed("node", "vec_id"), trees, sample)
+    # Classes are numbered, as the least vec_id of two of them may be the same.
+    classes = cut(own.groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("size"))
+                  .withColumn("node", F.monotonically_increasing_id()))
+    members = cut(own.join(classes.select("label", "embedding", "node"), ["label", "embedding"]).select("vec_id", "node"))
+    forest = fit_forest(classes.withColumnRenamed("least", "vec_id"), trees, sample)
     found = cut(links_in_leaves(postings(classes, forest, trees), least))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    reached = components(found.select(F.col("node").alias("a"), F.col("other").alias("b")))
-    known = (classes.join(links, "node", "left").join(reached, "node", "left")
-             .select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
+    reached = components(found.select(F.col("node").alias("a"), F.col("other").alias("b")).union(same_vector(members)))
+    homes = (classes.select("node", "least", "size").join(links, "node", "left").join(reached, "node", "left")
+             .select("node", "least", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
                      F.coalesce("component", "node").alias("component")))
-    keyed = own.select("vec_id", F.col("label"), "embedding").join(known, ["label", "embedding"])
-    return (keyed.select("vec_id", "n_links", F.col("component").alias("component_id"))
+    names = homes.groupBy("component").agg(F.min("least").alias("component_id"))
+    known = homes.join(names, "component").select("node", "n_links", "component_id")
+    return (members.join(known, "node").select("vec_id", "n_links", "component_id")
             .union(rest.select("vec_id", F.lit(0).cast("long"), "vec_id"))
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))))
 

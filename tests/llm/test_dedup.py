@@ -109,6 +109,34 @@ def test_vector_links_against_all_pairs(spark, monkeypatch):
     assert len(got) == len(rows) and projection_forest.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_one_id_are_one_node(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [(3, a, 1), (5, a, 1), (5, b, 1), (7, b, 1), (9, c, 1), (9, c, 2), (9, None, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted(map(tuple, projection_forest.near_vectors(df).collect()))
+    assert got == [(3, 1, 3, True), (5, 1, 3, False), (5, 1, 3, False), (7, 1, 3, False), (9, 0, 9, True), (9, 0, 9, True), (9, 0, 9, True)]
+
+
+def test_recall_of_planted_pairs_in_deep_trees(spark, monkeypatch):
+    """Pairs just over the threshold, leaves as small as the sample allows."""
+    monkeypatch.setattr(projection_forest, "LEAF_ROWS", 40)
+    rng, d, n = np.random.default_rng(12), 64, 1200
+    x = rng.normal(size=(n, d))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    off = rng.normal(size=(n, d))
+    off -= (off * x).sum(1)[:, None] * x
+    off /= np.linalg.norm(off, axis=1)[:, None]
+    cosine = rng.uniform(0.932, 0.96, n)[:, None]
+    both = np.concatenate((x, cosine * x + np.sqrt(1 - cosine**2) * off)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(both)], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in projection_forest.near_vectors(df).collect()}
+    unit = both.astype(float) / np.linalg.norm(both.astype(float), axis=1)[:, None]
+    p, q = np.nonzero(np.triu(unit @ unit.T >= 0.93, 1))
+    assert len(p) >= n
+    found = sum(got[i][1] == got[j][1] for i, j in zip(p.tolist(), q.tolist()))
+    assert found >= 0.97 * len(p) and sum(g[0] for g in got.values()) <= 2 * len(p)
+
+
 def test_forest_splits_and_spills():
     x = np.random.default_rng(5).normal(size=(4000, 16))
     x /= np.linalg.norm(x, axis=1)[:, None]
