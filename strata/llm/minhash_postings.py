@@ -162,7 +162,7 @@ def matching(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     ids = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-    sets = cut(full_sets(docs, ids, words))
+    sets = full_sets(docs, ids, words)  # both joins read one exchange
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     same = F.size(F.array_intersect("sa", "sb"))
     return (both.select("a", "b", same.alias("same"), (F.size("sa") + F.size("sb")).alias("both"))
