@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 
 LEAF_CHARS = 4096  # a text up to this length is a leaf
 LEAF_BYTES = 48  # a piece up to this length is merged directly
-CACHE_RUNS = 600_000  # known runs held by a worker (about 0.15 GB); emptied when full
+CACHE_RUNS = 250_000  # known runs held by a worker (about 0.1 GB); emptied when full
 _SPACED = re.compile(r"[^\S ] ")
 
 
