@@ -272,4 +272,20 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op7_relative_factors": query}
-ORACLE: dict[str, str] = {}  # SQL over all windows is too slow; brute force in tests/llm
+#: All windows side by side; for tables of some thousand documents.
+SQL = r"""
+WITH split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+words AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM split),
+starts AS (
+  SELECT doc_id, n, pos, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS g
+  FROM words),
+ranked AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY g ORDER BY doc_id, pos) AS k FROM starts WHERE pos <= n - 19),
+gone AS (SELECT DISTINCT doc_id, pos + i AS pos FROM ranked, range(20) AS r(i) WHERE k > 1),
+kept AS (
+  SELECT doc_id, count(gone.pos) AS n_removed, string_agg(word, ' ' ORDER BY words.pos) FILTER (WHERE gone.pos IS NULL) AS text
+  FROM words LEFT JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT split.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+"""
+ORACLE: dict[str, str] = {"op7_relative_factors": SQL}
