@@ -1,33 +1,39 @@
 """License scan (8): conditional compression.
 
-Candidate blocks are the stretches of words around license talk in which a
-template can lie: for each word of license talk and each place of one in the
-template, as many words as the template has and ``MOST_DIFFERENT`` of them more
-on either side.  So neither line ends nor the length of the lines matter: a
-notice is found inside a long line, wrapped over lines (comment marks are no
-words) and beside another one.  A stretch is confirmed by its exact wording,
-word for word, with no more than ``MOST_DIFFERENT`` of the template's words
-missing or changed and its version numbers unchanged, and is narrowed to the
-words that match.  Compression ranks: the confirmed words are compressed by
-themselves and with the template as a raw zstandard dictionary.  Of confirmed
-stretches that overlap, the one that saves the most bytes stays; all others are
-reported.
+A text is scanned in blocks of words around license talk; the length of a block
+follows the template (``REACH`` classes, powers of two), not the lines, so
+neither line ends nor the length of the lines matter: a notice is found inside
+a long line, wrapped over lines (comment marks are no words) and beside another
+one.  Every block is compressed by itself and with each template as a raw
+zstandard dictionary.  A template becomes a candidate where the dictionary
+saves at least ``LEAST_SAVED`` of the bytes that it saves on its own wording;
+prose around a notice costs the same with and without the dictionary, so it
+does not hide one.  Candidates are ranked by the bytes saved, and the winners
+are confirmed by their exact wording, word for word: no more than
+``MOST_DIFFERENT`` of the template's words missing or changed and its version
+numbers and names unchanged, narrowed to the words that match; differences are
+counted between the longest runs of equal words (difflib), which in long texts
+with many changes may be a few more than the least number.  A confirmed
+winner takes its words, and what ranks below it gets only words that are left.
 
 Spark partitions the documents as they are read; nothing is shuffled, and a
-task holds one batch of texts.
-
-Defined cases: a null or empty text has no block and no license; a notice that
-repeats counts each time; ties go to the fewer differences, then to the
-template named first in the alphabet; ``n_candidates`` counts the lines in
-which a word of license talk begins; repeated rows and null ids each give their
-own row; an empty table gives an empty result; only ``doc_id`` and ``text`` are
-read.  A template without license talk is found only around license talk.
+task holds one batch of texts.  Blocks overlap at most threefold, so the bytes
+compressed grow with the text, whatever its license talk.
+
+Defined cases: a null or empty text has no block and no license; a very long
+text is scanned whole, block by block; a word longer than all words of the
+templates is compressed as a mark; a notice that repeats counts each time; ties
+go to the template named first in the alphabet, then to the fewer differences;
+``n_candidates`` counts the lines in which a word of license talk begins;
+repeated rows and null ids each give their own row; an empty table gives an
+empty result; only ``doc_id`` and ``text`` are read, whatever other columns are
+called.  A template without license talk is found only around license talk.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from difflib import SequenceMatcher
@@ -108,14 +114,35 @@ TEXTS = {
         "with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
         "Mozilla Public License Version 2.0"),
 }
+_CC = "This work is licensed under a Creative Commons {} 4.0 International License."
+#: Other common one-sentence notices.
+SENTENCES = {
+    "Apache-2.0": ("Released under the Apache License 2.0.", "Licensed under the Apache License 2.0."),
+    "CC-BY-4.0": (_CC.format("Attribution"),),
+    "CC-BY-NC-4.0": (_CC.format("Attribution-NonCommercial"),),
+    "CC-BY-SA-4.0": (_CC.format("Attribution-ShareAlike"),),
+    "MIT": (TEXTS["MIT"][0][:TEXTS["MIT"][0].index(", subject to")] + ".",),
+}
+TEXTS = {n: (*TEXTS.get(n, ()), *SENTENCES.get(n, ()),
+             *(f"SPDX-License-Identifier: {n}{x}" for x in (("", "-only", "-or-later") if "GPL" in n else ("",))))
+         for n in sorted({*TEXTS, *SENTENCES})}
 EVERY = {n: (*([TEMPLATES[n]] if n in TEMPLATES else []), *TEXTS.get(n, ())) for n in sorted({*TEMPLATES, *TEXTS})}
-_TALK = re.compile(r"licen[sc]|copyright|all\W+rights\W+reserved|public\W+domain|\bspdx\b", re.I)
+_TALK = re.compile(r"licen[sc]|copyright|all\W+rights\W+reserved|public\W+domain|\bspdx\b|hereby\W+granted|redistribution\W+and\W+use", re.I)
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
 #: Words that tell one license from another; none may be missing.
-NAMES = {"apache", "bsd", "mit", "cc", "by", "by-nc", "by-sa", "gnu", "lesser", "general", "mozilla", "reserved", "endorse"}
+NAMES = {"apache", "bsd", "mit", "cc", "by", "by-nc", "by-sa", "gnu", "lesser", "general", "mozilla", "reserved", "endorse",
+         "attribution", "attribution-noncommercial", "attribution-sharealike"}
 #: Words that make another license of a text that has them besides.
-VARIANTS = {"lesser", "affero", "library", "by-nc", "by-sa", "by-nd", "by-nc-sa", "by-nc-nd"}
+VARIANTS = {"lesser", "affero", "library", "by-nc", "by-sa", "by-nd", "by-nc-sa", "by-nc-nd", "attribution-noncommercial",
+            "attribution-sharealike", "attribution-noderivatives", "attribution-noncommercial-sharealike",
+            "attribution-noncommercial-noderivatives"}
 MOST_DIFFERENT = 0.2
+#: Share of the bytes that a template saves on itself.  Notices with a fifth of
+#: their words changed save 0.37 or more in a block of prose.
+LEAST_SAVED = 0.25
+#: Words on either side of the first license talk of the smallest blocks.
+REACH = 8
+LEVEL = 12
 
 
 def _words(text: str) -> list[str]:
@@ -127,6 +154,23 @@ def _talk(text: str, starts: Sequence[int]) -> list[int]:
     return [max(bisect_right(starts, m.start()) - 1, 0) for m in _TALK.finditer(text)]
 
 
+def _compressor(dictionary: bytes | None = None) -> zstandard.ZstdCompressor:
+    if dictionary is None or len(dictionary) < 8:  # shorter ones are none to zstandard
+        return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
+    given = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    given.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, dict_data=given)
+
+
+def _blocks(talk: Sequence[int], reach: int) -> Iterator[list[int]]:
+    """The words of license talk, those within ``reach`` of a first one together."""
+    at = 0
+    while at < len(talk):
+        end = bisect_left(talk, talk[at] + reach, at)
+        yield list(talk[at:end])
+        at = end
+
+
 class Template:
     """A wording of a license, and its compressor."""
 
@@ -136,8 +180,10 @@ class Template:
         self.counts = Counter(self.words)
         self.needed = {w for w in self.words if w in NAMES or re.search(r"\d", w)}
         self.talk = _talk(text, [m.start() for m in _WORD.finditer(text)]) or range(0, len(self.words), int(self.most) + 1)
-        self.given = zstandard.ZstdCompressor(level=19, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(
-            " ".join(text.split()).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+        self.reach = max(REACH, 1 << (len(self.words) + int(self.most)).bit_length())
+        data = " ".join(self.words).encode("utf-8", "surrogatepass")
+        self.given = _compressor(data)
+        self.saves = len(_compressor().compress(data)) - len(self.given.compress(data))
 
     def match(self, have: Sequence[str]) -> tuple[int, int, int] | None:
         """(differences, begin, end) of the words that come closest: those of
@@ -169,19 +215,46 @@ class Template:
 class Scanner:
     """The templates; a name has one wording or several."""
 
-    def __init__(self, templates: Mapping[str, str | Sequence[str]]):
-        self.templates = [Template(n, x) for n, t in sorted(templates.items()) for x in ([t] if isinstance(t, str) else t)]
-        self.alone = zstandard.ZstdCompressor(level=19, write_content_size=False)
+    def __init__(self, templates: Mapping[str, str | Sequence[str]], least_saved: float = LEAST_SAVED):
+        every = [Template(n, x) for n, t in sorted(templates.items()) for x in ([t] if isinstance(t, str) else t)]
+        self.templates = [t for t in every if t.words]
+        self.least_saved, self.alone = least_saved, _compressor()
+        self.longest = max((len(w) for t in self.templates for w in t.words), default=0)
 
-    def _sizes(self, block: str, template: Template) -> tuple[int, int]:
-        """Compressed bytes without and with the template."""
-        data = " ".join(block.split()).encode("utf-8", "surrogatepass")
-        return len(self.alone.compress(data)), len(template.given.compress(data))
+    def _bytes(self, words: Sequence[str]) -> bytes:
+        return " ".join([w if len(w) <= self.longest else "?" for w in words]).encode("utf-8", "surrogatepass")
 
     def ranked(self, block: str) -> list[tuple[float, str]]:
         """(relative size reduction, template), the largest first."""
-        sizes = [(t.name, *self._sizes(block, t)) for t in self.templates]
-        return sorted(((1 - given / plain, n) for n, plain, given in sizes), key=lambda x: (-x[0], x[1]))
+        data = self._bytes(_words(block))
+        plain = len(self.alone.compress(data))
+        return sorted(((1 - len(t.given.compress(data)) / plain, t.name) for t in self.templates), key=lambda x: (-x[0], x[1]))
+
+    def candidates(self, words: Sequence[str], talk: Sequence[int]) -> list[tuple[int, str, int, list[int]]]:
+        """(bytes saved, name, number of the template, words of license talk of
+        the block), the most bytes first."""
+        out = []
+        for reach in sorted({t.reach for t in self.templates}):
+            for inside in _blocks(talk, reach):
+                block = self._bytes(words[max(inside[0] - reach, 0):inside[0] + 2 * reach])
+                plain = len(self.alone.compress(block))
+                for k, t in enumerate(self.templates):
+                    if t.reach == reach:
+                        saved = plain - len(t.given.compress(block))
+                        if saved >= self.least_saved * t.saves:
+                            out.append((saved, t.name, k, inside))
+        return sorted(out, key=lambda x: (-x[0], *x[1:]))
+
+    def _confirmed(self, words: Sequence[str], k: int, inside: Sequence[int]) -> list[tuple[int, int, int]]:
+        """(differences, begin, end) of every place of a template at some words
+        of license talk, the fewest differences first."""
+        t, found = self.templates[k], set()
+        n, more = len(t.words), int(t.most)
+        for start in sorted({i - j for i in inside for j in t.talk}):
+            first = max(start - more, 0)
+            if x := t.match(words[first:max(start + n + more, 0)]):
+                found.add((x[0], first + x[1], first + x[2]))
+        return sorted(found)
 
     def licenses(self, text: str) -> tuple[int, list[tuple[int, str, float, int]]]:
         """Lines with license talk, and (line, template, reduction, word
@@ -192,24 +265,15 @@ class Scanner:
         words = [text[a:b].lower() for a, b in spans]
         feeds = [m.start() for m in re.finditer("\n", text)]
         lines = {bisect_right(feeds, m.start()) for m in _TALK.finditer(text)}
-        talk, known, found = sorted(set(_talk(text, [a for a, _ in spans]))), set(words), {}
-        for k, t in enumerate(self.templates):
-            if not t.words or not t.needed <= known:
-                continue
-            n, more = len(t.words), int(t.most)
-            for start in sorted({i - j for i in talk for j in t.talk}):
-                first = max(start - more, 0)
-                if x := t.match(words[first:max(start + n + more, 0)]):
-                    found[k, first + x[1], first + x[2]] = x[0]
-        ranks = []
-        for (k, begin, end), differences in found.items():
-            plain, given = self._sizes(text[spans[begin][0]:spans[end - 1][1]], self.templates[k])
-            ranks.append((given - plain, differences, self.templates[k].name, begin, end, 1 - given / plain))
+        talk = sorted(set(_talk(text, [a for a, _ in spans])))
         kept, taken = [], set()
-        for _, differences, name, begin, end, reduction in sorted(ranks):
-            if taken.isdisjoint(range(begin, end)):
-                taken.update(range(begin, end))
-                kept.append((begin, bisect_right(feeds, spans[begin][0]), name, reduction, differences))
+        for _, name, k, inside in self.candidates(words, talk):
+            for differences, begin, end in self._confirmed(words, k, inside):
+                if taken.isdisjoint(range(begin, end)):
+                    taken.update(range(begin, end))
+                    data = self._bytes(words[begin:end])
+                    reduction = 1 - len(self.templates[k].given.compress(data)) / len(self.alone.compress(data))
+                    kept.append((begin, bisect_right(feeds, spans[begin][0]), name, reduction, differences))
         return len(lines), [x[1:] for x in sorted(kept)]
 
 

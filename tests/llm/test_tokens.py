@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -9,7 +10,7 @@ import pytest
 import tiktoken
 
 from strata.llm import bpe_tree, registry
-from strata.llm.license_compression import EVERY, TEMPLATES, TEXTS, Scanner, scan_licenses
+from strata.llm.license_compression import EVERY, MOST_DIFFERENT, NAMES, TEMPLATES, TEXTS, Scanner, _words as _plain, scan_licenses
 from strata.llm.token_attribution import attribute, section_tokens
 from tests.conftest import SF_SMALL
 from tests.llm.brute import docs_frame
@@ -139,3 +140,56 @@ def test_license_query_against_plain_search(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     got = {r.doc_id: r.licenses for r in registry.QUERIES["op8_license_compression"](spark, SF_SMALL).collect()}
     assert got == {i: ",".join(sorted(n for n, x in TEMPLATES.items() if x in t.split("\n"))) for i, t in docs.items()}
+
+
+def _altered(template, rng, share=1.0):
+    """The template's wording with up to ``share`` of the words that may differ
+    replaced; names, numbers and license talk stay."""
+    words, talk = template.split(" "), re.compile("licen|copyright|hereby|granted|redistribution|use|rights|[0-9]", re.I)
+    free = [i for i, w in enumerate(words) if _plain(w) and not (set(_plain(w)) & NAMES or talk.search(w))]
+    total = sum(len(_plain(w)) for w in words)
+    for i in rng.sample(free, min(int(share * MOST_DIFFERENT * total), len(free))):
+        if len(_plain(words[i])) == 1:
+            words[i] = f"zq{rng.choice('bcdfgh')}x"
+    return " ".join(words)
+
+
+def test_altered_notices_pass_the_compression_gate():
+    """Every wording with as many words changed as may differ, in prose: nothing
+    more is found without the gate; with half as many, each is found (runs of
+    equal words may count a few differences more than the least)."""
+    rng, gated, free = random.Random(8), Scanner(EVERY), Scanner(EVERY, least_saved=float("-inf"))
+    prose = "the quick brown fox jumps over some lazy dog and then asks for water in the long dry valley beyond".split()
+    for name, wordings in EVERY.items():
+        for wording in wordings:
+            for share in (1.0, 1.0, 0.5, 0.5):
+                around = [" ".join(rng.choice(prose) for _ in range(rng.randrange(60))) for _ in range(2)]
+                text = f"{around[0]} x {_altered(wording, rng, share)} x {around[1]}"
+                got = gated.licenses(text)
+                assert got == free.licenses(text), text
+                assert share == 1.0 or name in [x[1] for x in got[1]], text
+
+
+def test_compression_decides_before_the_wording_does():
+    s = Scanner(EVERY)
+    prose = "a driver needs the license of a state and the copyright of a song needs none of it".split()
+    assert s.candidates(prose, [3, 9]) == [] and s.licenses(" ".join(prose))[1] == []
+    words = _plain(TEXTS["BSD-3-Clause"][0])
+    first = s.candidates(["x"] * 40 + words + ["y"] * 40, [i + 40 for i, w in enumerate(words) if w == "copyright"])[0]
+    assert first[1] == "BSD-3-Clause" and first[0] > 0.9 * s.templates[first[2]].saves
+
+
+def test_other_sentences_and_long_words():
+    assert _found("Released under the Apache License 2.0.") == [(0, "Apache-2.0")]
+    assert _found("// SPDX-License-Identifier: MIT\nint x;") == [(0, "MIT")]
+    assert _found("# SPDX-License-Identifier: GPL-3.0-or-later") == [(0, "GPL-3.0")]
+    assert _found("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.") == [(0, "CC-BY-SA-4.0")]
+    assert _found("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.") == []
+    assert _found("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+                  "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
+                  "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+                  "Software is furnished to do so.") == [(0, "MIT")]
+    long = "A" * 3_000_000
+    assert _found(f"{long} Released under the MIT License. {long}\n{long}") == [(0, "MIT")]
+    many = " ".join(f"w{i}" for i in range(200_000))
+    assert _found(f"{many}\nReleased under the MIT License.\n{many}") == [(1, "MIT")]
