@@ -8,7 +8,8 @@ chunk of documents is hashed without a Python loop over words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -118,3 +119,24 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text",
                 if held >= limit or i + 1 == len(texts):
                     yield part.slice(begin, i + 1 - begin), texts[begin:i + 1]
                     begin, held = i + 1, 0
+
+
+def release() -> None:
+    """Gives memory that the process no longer uses back to the system."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, and memory given back at the end of each task: Spark keeps idle
+    Python workers, and an executor holds those of several stages at once."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return whole

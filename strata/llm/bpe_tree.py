@@ -38,9 +38,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from strata.llm.arrays import tidied
+
 LEAF_CHARS = 4096  # a text up to this length is a leaf
 LEAF_BYTES = 48  # a piece up to this length is merged directly
-CACHE_RUNS = 250_000  # known runs held by a worker (about 0.1 GB); emptied when full
+CACHE_RUNS = 250_000  # known runs held during a task (about 0.1 GB); emptied when full
 _SPACED = re.compile(r"[^\S ] ")
 
 
@@ -80,6 +82,10 @@ class ByteBPE:
         self._packed = {t: i.to_bytes(4, "little") for t, i in ranks.items()}
         self.holds = lru_cache(maxsize=1 << 16)(self._pair_holds)
 
+    def forget(self) -> None:
+        self._spaced.clear()
+        self.holds.cache_clear()
+
     @classmethod
     def load(cls, path: str, pattern: str) -> ByteBPE:
         with open(path, "rb") as f:
@@ -230,6 +236,12 @@ def worker_bpe(path: str, pattern: str) -> ByteBPE:
     return _LOADED[path, pattern]
 
 
+def forget_runs() -> None:
+    """Empties what the coders of the worker know; the vocabulary stays."""
+    for bpe in _LOADED.values():
+        bpe.forget()
+
+
 def default_vocabulary() -> tuple[str, str]:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -248,7 +260,8 @@ def map_texts(docs: DataFrame, schema: str, row: Callable, keep: tuple[str, ...]
                 columns = list(zip(*out)) if out else [[] for _ in fields[len(keep):]]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(k) for k in keep] + [pa.array(c) for c in columns], names=fields)
-    return docs.select(*keep, text).mapInArrow(run, schema)
+        forget_runs()
+    return docs.select(*keep, text).mapInArrow(tidied(run), schema)
 
 
 def encode_decode(docs: DataFrame, path: str | None = None, pattern: str | None = None, keep_decoded: bool = True) -> DataFrame:

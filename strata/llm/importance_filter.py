@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from strata.llm.arrays import Words, chunks, gram_hashes, grams_inside, mix
+from strata.llm.arrays import Words, chunks, gram_hashes, grams_inside, mix, tidied
 from strata.llm.graph import cut
 
 BITS = 20  # half of the buckets are for words and pairs, half for runs of letters
@@ -122,7 +122,7 @@ def corpus_counts(docs: DataFrame, sample: DataFrame) -> tuple[np.ndarray, np.nd
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["at", "counts"])
     schema = "at int, counts binary"
     out = np.zeros((2, 1 << BITS), np.int64)
-    for row in tagged.mapInArrow(count, schema).groupBy("at").applyInArrow(add, schema).collect():  # 2**BITS numbers
+    for row in tagged.mapInArrow(tidied(count), schema).groupBy("at").applyInArrow(add, schema).collect():  # 2**BITS numbers
         out[:, row["at"]:row["at"] + SLICE] = np.frombuffer(row["counts"], np.int64).reshape(2, -1)
     return out[0], out[1]
 
@@ -145,7 +145,7 @@ def score(docs: DataFrame, **ratios: np.ndarray) -> DataFrame:
             temper = np.sqrt(TYPICAL / np.maximum([len(t) for t in texts], SHORTEST))
             sums = [pa.array(np.bincount(doc, r[b], minlength=len(texts)) * temper) for r in held.value.values()]
             yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in keep], *sums], names=[*[f.name for f in keep], *ratios])
-    return docs.mapInArrow(run, StructType([*keep, *[StructField(n, DoubleType()) for n in ratios]]))
+    return docs.mapInArrow(tidied(run), StructType([*keep, *[StructField(n, DoubleType()) for n in ratios]]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:

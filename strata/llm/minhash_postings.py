@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.arrays import Words, chunks, gram_hashes, grams_inside, mix
+from strata.llm.arrays import Words, chunks, gram_hashes, grams_inside, mix, tidied
 from strata.llm.graph import components, cut, few
 
 COORDINATES = 32
@@ -85,7 +85,7 @@ def signatures(docs: DataFrame, words: int = 2) -> DataFrame:
                 [batch.column("doc_id"), pa.array(n), *[pa.array(k.view(np.int64)) for k in keys], lists],
                 names=["doc_id", "n_shingles", "low", "high", "signature"])
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, low long, high long, signature array<int>")
+        tidied(run), "doc_id long, n_shingles long, low long, high long, signature array<int>")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, words: int = 2) -> DataFrame:
@@ -96,7 +96,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, words: int = 2) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(grams.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["node", "shingles"])
     wanted = docs.select("doc_id", "text").join(few(ids.select(F.col("node").alias("doc_id")).distinct()), "doc_id", "left_semi")
-    return wanted.mapInArrow(run, "node long, shingles array<long>")
+    return wanted.mapInArrow(tidied(run), "node long, shingles array<long>")
 
 
 def postings(classes: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.llm.arrays import Words, chunks, gram_hashes, mix, span_hashes
+from strata.llm.arrays import Words, chunks, gram_hashes, mix, span_hashes, tidied
 
 WINDOW = 20
 GRAM = 5
@@ -116,7 +116,7 @@ def index_blocks(docs: DataFrame) -> DataFrame:
             rows = pa.array(doc[new])
             yield pa.RecordBatch.from_arrays([batch.column("__row").take(rows), _signed(key[new]), pa.array(n.astype(np.int32))],
                                              names=["row", "key", "n"])
-    return docs.mapInArrow(run, "row long, key long, n int")
+    return docs.mapInArrow(tidied(run), "row long, key long, n int")
 
 
 def _chosen(a: Anchors, batch: pa.RecordBatch, column: str, of: str) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +149,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
             rows = pa.array(doc)
             yield pa.RecordBatch.from_arrays([_signed(a.key[first]), _signed(same), *[batch.column(c).take(rows) for c in ("__doc", "__version")],
                                               pa.array(at)], names=["key", "same", "doc", "version", "at"])
-    return docs.mapInArrow(run, "key long, same long, doc long, version int, at long")
+    return docs.mapInArrow(tidied(run), "key long, same long, doc long, version int, at long")
 
 
 def windows_at(docs: DataFrame) -> DataFrame:
@@ -167,7 +167,7 @@ def windows_at(docs: DataFrame) -> DataFrame:
             rows = pa.array(doc)
             yield pa.RecordBatch.from_arrays([_signed(span_hashes(a.hash, each, each + WINDOW)), *[batch.column(c).take(rows) for c in ("__doc", "__version")],
                                               pa.array((each - a.words.first[doc]).astype(np.int32))], names=["window", "doc", "version", "start"])
-    return docs.mapInArrow(run, "window long, doc long, version int, start int")
+    return docs.mapInArrow(tidied(run), "window long, doc long, version int, start int")
 
 
 def _unpacked(at: Column) -> tuple[Column, Column, Column]:
@@ -263,7 +263,7 @@ def parsed(docs: DataFrame, keep_text: bool) -> DataFrame:
                  pa.array(kept, pa.binary()).cast(pa.string()), pa.array(parts, kind)],
                 names=[*[f.name for f in columns], "n_words", "n_removed", "kept", "factors"])
     kind = pa.list_(pa.struct([("start", pa.int32()), ("n_words", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())]))
-    return d.join(found.hint("shuffle_hash"), "__row", "left").mapInArrow(run, StructType([*columns, *made]))
+    return d.join(found.hint("shuffle_hash"), "__row", "left").mapInArrow(tidied(run), StructType([*columns, *made]))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
