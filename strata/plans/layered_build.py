@@ -12,10 +12,12 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.plans import calendar, gold, silver, staging
 from strata.session import RunContext
+from strata.sources.tables import FrameCatalog
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("batch_id", T.StringType()), T.StructField("step", T.StringType()),
@@ -27,8 +29,25 @@ def _limit(ctx: RunContext):
     return ctx.extras.get("sample_limit")
 
 
+def sampled(cat, limit: int, folder: str) -> FrameCatalog:
+    """Sample mode (S3): the first ``limit`` customers and orders by key, and
+    the lines of those orders.  They are written once and read by every step,
+    so that all datasets of a build see the same rows; other tables stay whole."""
+    spark = cat.spark
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        path = f"{folder.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    customer = kept(cat.customer.orderBy("c_custkey").limit(limit), "customer")
+    orders = kept(cat.orders.orderBy("o_orderkey").limit(limit), "orders")
+    lines = kept(cat.lineitem.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+                 .select(*cat.lineitem.columns), "lineitem")
+    given = getattr(cat, "_frames", {})
+    return FrameCatalog(spark, {**given, "customer": customer, "orders": orders, "lineitem": lines}, cat.sf_dir)
+
+
 def _no_ghost(cal: DataFrame) -> DataFrame:
-    from pyspark.sql import functions as F
     return cal.where(F.col("day_key") != 0)
 
 
@@ -83,8 +102,12 @@ STEPS: list[tuple[str, str, Callable, tuple[str, ...]]] = [
 def build(cat, ctx: RunContext, out_root: str, audit_path: str, batch_id: str,
           steps=STEPS, write: Callable[[DataFrame, str], None] | None = None) -> DataFrame:
     """Run the steps in order; return the audit rows of this batch.  Each
-    step's row is written as the step ends, with the whole error text."""
+    step's row is written as the step ends, with the whole error text.  With
+    ``sample_limit`` in ``ctx.extras`` all steps read one sample (``sampled``),
+    kept under ``out_root/_sample``."""
     spark = cat.spark
+    if limit := _limit(ctx):
+        cat = sampled(cat, limit, f"{out_root.rstrip('/')}/_sample")
     write = write or (lambda df, path: df.write.mode("overwrite").parquet(path))
     failed: set[str] = set()
     written: dict[str, str] = {}
@@ -125,7 +148,7 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description="layered build with audit rows")
     ap.add_argument("--data", required=True)
     ap.add_argument("--out", required=True)
-    ap.add_argument("--limit", type=int, default=None, help="sample mode: rows read from customers and orders")
+    ap.add_argument("--limit", type=int, default=None, help="sample mode: customers and orders that all steps read")
     ap.add_argument("--as-of", default=None, help="run date; default: latest order date in the data")
     ap.add_argument("--batch-id", default=None)
     a = ap.parse_args(argv)

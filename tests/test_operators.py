@@ -400,3 +400,24 @@ def test_layered_build_sample_mode(spark, tmp_dir):
     rows = {r["step"]: r["rows_written"] for r in build(Catalog(spark, SF_SMALL), ctx, os.path.join(tmp_dir, "wh"),
                                                        os.path.join(tmp_dir, "audit"), "s1", steps).collect()}
     assert rows == {"stg_customers": 40, "stg_orders": 40, "stg_orders_incremental": 40}
+
+
+def test_sample_limit_reaches_downstream_steps(spark, tmp_dir):
+    import os
+    from strata.plans.layered_build import STEPS, build
+    from strata.session import RunContext
+    from strata.sources.tables import Catalog
+    from tests.conftest import SF_SMALL
+    names = ("stg_customers", "stg_orders", "stg_lineitem", "customer_segments", "dim_customers", "dim_orders", "fct_order_lines")
+    root = os.path.join(tmp_dir, "wh_sample")
+    rows = {r["step"]: r for r in build(Catalog(spark, SF_SMALL), RunContext(data_clock=True, extras={"sample_limit": 20}), root,
+                                        os.path.join(tmp_dir, "audit_sample"), "s2", [s for s in STEPS if s[1] in names]).collect()}
+    assert {r["status"] for r in rows.values()} == {"SUCCESS"}, [r["error_message"] for r in rows.values()]
+    written = {n: r["rows_written"] for n, r in rows.items()}
+    customers = {r[0] for r in spark.read.parquet(f"{SF_SMALL}/customer.parquet").orderBy("c_custkey").limit(20).select("c_custkey").collect()}
+    orders = {r[0] for r in spark.read.parquet(f"{SF_SMALL}/orders.parquet").orderBy("o_orderkey").limit(20).select("o_orderkey").collect()}
+    lines = [r[0] for r in spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey").collect() if r[0] in orders]
+    assert {r[0] for r in spark.read.parquet(f"{root}/bronze/stg_customers").select("customer_key").collect()} == customers
+    assert {r[0] for r in spark.read.parquet(f"{root}/bronze/stg_orders").select("order_key").collect()} == orders
+    assert written["stg_lineitem"] == len(lines) == written["fct_order_lines"]
+    assert written["customer_segments"] == 20 and written["dim_customers"] <= 21 and written["dim_orders"] <= 21
