@@ -113,15 +113,18 @@ def fct_order_lines(cat, ctx: RunContext = RunContext(), orders: DataFrame | Non
                     existing: DataFrame | None = None) -> DataFrame:
     """Order-line fact (J3, J4, P12; with ``existing``, K6: lines of orders
     dated after its last one): lines join orders on order_key
-    (sort-merge, both sides hash-partitioned on the key), then the USD->EUR
-    rate valid on the order day via the day-expanded interval join."""
+    (sort-merge, both sides hash-partitioned on the key, into tasks of a
+    bounded number of lines), then the USD->EUR rate valid on the order day
+    via the day-expanded interval join."""
     from strata.operators.interval_join import interval_join
+    from strata.operators.tasks import dealt
     li = staging.stg_lineitem(cat, ctx)
     od = newer_than(orders if orders is not None else dim_orders(cat, ctx), existing, "order_date")
     od = od.select("order_key", "customer_key", "order_date", "order_status_desc")
     fx = silver.int_fx_rates_daily(cat, ctx).where((F.col("from_currency") == "USD") & (F.col("to_currency") == "EUR"))
     fx = fx.select("day_dt", "end_date", "conversion_rate")
-    j = li.join(od, "order_key", "inner")
+    n = cat.lineitem.count()  # from the files' footers
+    j = dealt(li, n, "order_key").join(dealt(od, n, "order_key"), "order_key", "inner")
     # Day span from the orders' date column alone (a two-value aggregate,
     # answered from one column), not from the joined facts.
     bounds = cat.orders.agg(F.min(F.to_date("o_orderdate")).alias("__lo"), F.max(F.to_date("o_orderdate")).alias("__hi"))
