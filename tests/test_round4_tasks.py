@@ -22,3 +22,16 @@ def test_line_facts_are_dealt_by_rows(spark, monkeypatch):
     assert n > 200 * 8 and _most_in_a_task(lines) <= 400  # Spark's own partitions hold a twelfth or more of them
     got = gold.fct_order_lines_by_supplier_month(cat).drop("_updated_at").collect()
     assert sorted(map(str, got)) == sorted(map(str, whole))
+
+
+def test_sketch_roll_up_reads_dealt_lines(spark, monkeypatch):
+    from strata.operators import tasks
+    from strata.plans import later_runs
+    from strata.sources.tables import Catalog
+    cat = Catalog(spark, SF_SMALL)
+    whole = later_runs.supplier_orders_by_sketch(cat).collect()
+    monkeypatch.setattr(tasks, "ROWS_PER_TASK", 200)
+    got = later_runs.supplier_orders_by_sketch(cat)
+    n = -(-cat.lineitem.count() // 200)
+    assert "order_key#" in got._jdf.queryExecution().toString() and f", {n})" in got._jdf.queryExecution().toString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole))
