@@ -177,14 +177,22 @@ def fact_order_line_pivot(cat, ctx: RunContext = RunContext(), lines: DataFrame
                           years: list[int] | None = None) -> DataFrame:
     """Quantity by ship year as columns.  The distinct years (a
     handful of values) are fetched first unless given, so ``pivot`` does not
-    run its own discovery job; the aggregation is one hash aggregate on
-    (supplier, part, year) before pivoting."""
+    run its own discovery job.  Few lines share supplier, part and year, so
+    they are dealt into tasks of a bounded number of lines before the hash
+    aggregates; a frequent pair is spread by day and quantity and summed in
+    parts before its parts meet."""
+    from strata.operators.tasks import dealt
     fol = lines if lines is not None else staging.stg_lineitem(cat, ctx).select(
         "supplier_key", "part_key", "ship_date", "quantity")
-    fol = fol.select("supplier_key", "part_key", F.year("ship_date").alias("ship_year"), "quantity")
+    spread = F.pmod(F.xxhash64("ship_date", "quantity"), F.lit(16)).alias("__spread")
+    fol = fol.select("supplier_key", "part_key", F.year("ship_date").alias("ship_year"), "quantity", spread)
     if years is None:
         years = sorted(r[0] for r in fol.select("ship_year").distinct().collect() if r[0] is not None)
-    p = fol.groupBy("supplier_key", "part_key").pivot("ship_year", years).agg(F.sum("quantity"))
+    n = fol.count()
+    part = ["supplier_key", "part_key", "ship_year", "__spread"]
+    sums = dealt(fol, n, *part).groupBy(*part).agg(F.sum("quantity").alias("quantity"))
+    p = (dealt(sums, n, "supplier_key", "part_key").groupBy("supplier_key", "part_key")
+         .pivot("ship_year", years).agg(F.sum("quantity")))
     for y in years:
         p = p.withColumnRenamed(str(y), f"shipped_{y}")
     return p.withColumn("last_update_ts", ctx.now())

@@ -1,6 +1,8 @@
 """Tasks of the line facts hold a bounded number of lines, and the results
 stay those of plain aggregates."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -35,3 +37,22 @@ def test_sketch_roll_up_reads_dealt_lines(spark, monkeypatch):
     n = -(-cat.lineitem.count() // 200)
     assert "order_key#" in got._jdf.queryExecution().toString() and f", {n})" in got._jdf.queryExecution().toString()
     assert sorted(map(str, got.collect())) == sorted(map(str, whole))
+
+
+def test_pivot_tasks_and_frequent_pairs(spark, monkeypatch):
+    """One pair (and one without keys) with many lines, null dates and null
+    quantities beside single lines."""
+    from strata.operators import tasks
+    from strata.plans import gold
+    day = dt.datetime(1996, 1, 1)
+    rows = [(1, 1, day + dt.timedelta(days=i % 900), float(i % 50)) for i in range(1000)]
+    rows += [(None, None, day, 2.0)] * 300 + [(i, i % 7, day if i % 3 else None, None if i % 5 == 0 else 1.5) for i in range(2000)]
+    lines = spark.createDataFrame(rows, "supplier_key long, part_key long, ship_date timestamp_ntz, quantity double")
+    monkeypatch.setattr(tasks, "ROWS_PER_TASK", 100)
+    got = gold.fact_order_line_pivot(None, lines=lines)
+    want = lines.groupBy("supplier_key", "part_key").agg(*[
+        F.sum(F.when(F.year("ship_date") == y, F.col("quantity"))).alias(f"shipped_{y}") for y in (1996, 1997, 1998)])
+    got = got.drop("last_update_ts")
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert "supplier_key#" in (plan := got._jdf.queryExecution().toString()) and plan.count(f", {-(-len(rows) // 100)})") >= 2
