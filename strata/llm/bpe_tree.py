@@ -61,9 +61,10 @@ class _Known(dict):
     def __init__(self, ids: Callable[[str], bytes]):
         super().__init__()
         self.ids = ids
+        self.most = CACHE_RUNS
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE_RUNS:
+        if len(self) >= self.most:
             self.clear()
         ids = self.ids(" " + word)
         if len(word) < 64:
@@ -229,11 +230,14 @@ class ByteBPE:
 _LOADED: dict[tuple[str, str], ByteBPE] = {}
 
 
-def worker_bpe(path: str, pattern: str) -> ByteBPE:
-    """One coder for each worker process."""
+def worker_bpe(path: str, pattern: str, runs: int | None = None) -> ByteBPE:
+    """One coder for each worker process, holding up to ``runs`` known runs
+    (``CACHE_RUNS`` unless given)."""
     if (path, pattern) not in _LOADED:
         _LOADED[path, pattern] = ByteBPE.load(path, pattern)
-    return _LOADED[path, pattern]
+    bpe = _LOADED[path, pattern]
+    bpe._spaced.most = runs or CACHE_RUNS
+    return bpe
 
 
 def forget_runs() -> None:

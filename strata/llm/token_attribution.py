@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from strata.llm.bpe_tree import default_vocabulary, worker_bpe
 
 RULES = ("first", "last", "most")
+KNOWN_RUNS = 1_000_000  # runs a worker holds across tasks (about 0.4 GB): the only stage has the executor to itself
 _LENGTHS: dict = {}
 
 
@@ -80,7 +81,8 @@ def section_tokens(docs: DataFrame, rule: str = "most", text: str = "text",
         path, pattern = default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, lengths = worker_bpe(path, pattern), _token_lengths(path, pattern)
+        lengths = _token_lengths(path, pattern)
+        bpe = worker_bpe(path, pattern, KNOWN_RUNS)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

@@ -56,3 +56,27 @@ def test_pivot_tasks_and_frequent_pairs(spark, monkeypatch):
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert "supplier_key#" in (plan := got._jdf.queryExecution().toString()) and plan.count(f", {-(-len(rows) // 100)})") >= 2
+
+
+def test_attribution_keeps_more_runs_than_the_other_coders(spark, monkeypatch):
+    """A run is encoded once, though more runs than ``CACHE_RUNS`` come by."""
+    from strata.llm import bpe_tree, token_attribution
+    monkeypatch.setattr(bpe_tree, "CACHE_RUNS", 10)
+    path, pattern = bpe_tree.default_vocabulary()
+    taken = {}
+    monkeypatch.setattr(bpe_tree, "_LOADED", taken)
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+    import pyarrow as pa
+    run = token_attribution.section_tokens(Docs(), path=path, pattern=pattern)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a " + " ".join(f"w{i}" for i in range(100))] * 2})
+    out = pa.Table.from_batches(list(run(iter([batch]))))
+    assert out.num_rows == 2 and len(set(out["n_tokens"].to_pylist())) == 1
+    known = taken[path, pattern]._spaced
+    assert len(known) == 101  # emptied at 10 before
+    assert bpe_tree.worker_bpe(path, pattern)._spaced.most == 10
