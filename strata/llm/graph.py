@@ -13,10 +13,21 @@ from pyspark.sql import functions as F
 from strata.session import ensure_checkpoint_dir
 
 
+FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder of ``spark.checkpoint.dir``."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
+    The shuffle files it was made from go at once, not when the driver next
+    collects garbage: steps of many small exchanges would pile them up."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    before = spark.conf.get(FREE)
+    spark.conf.set(FREE, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a plan of its own, so that no other use of df needs its files
+    finally:
+        spark.conf.set(FREE, before)
 
 
 BROADCAST_ROWS = 200_000

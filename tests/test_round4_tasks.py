@@ -58,6 +58,27 @@ def test_pivot_tasks_and_frequent_pairs(spark, monkeypatch):
     assert "supplier_key#" in (plan := got._jdf.queryExecution().toString()) and plan.count(f", {-(-len(rows) // 100)})") >= 2
 
 
+def test_a_cut_frees_the_shuffle_files_it_was_made_from(spark):
+    """Files of a finished step do not wait for the driver's garbage collection."""
+    import glob
+    import time
+    from strata.llm.graph import cut
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [str(d) for d in manager.localDirs()]
+
+    def files():
+        return {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*")}
+    old = files()
+    made = spark.range(5000).select((F.col("id") % 7).alias("k")).groupBy("k").count()
+    kept = cut(made)
+    end = time.time() + 20
+    while (left := files() - old) and time.time() < end:
+        time.sleep(0.2)
+    assert not left
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, made.collect()))  # the frame itself can be used again
+    assert sorted(map(tuple, cut(made).collect())) == sorted(map(tuple, kept.collect()))
+
+
 def test_attribution_keeps_more_runs_than_the_other_coders(spark, monkeypatch):
     """A run is encoded once, though more runs than ``CACHE_RUNS`` come by."""
     from strata.llm import bpe_tree, token_attribution
