@@ -2,7 +2,8 @@
 
 Every round is two aggregations and two joins; lineage is cut with a reliable
 checkpoint, so a lost executor never costs a round.  Nothing but a count and a
-checksum reaches the driver.
+checksum reaches the driver.  Once a list is down to ``FEW_EDGES``, a
+round ends in one partition and most of its exchanges go.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 BROADCAST_ROWS = 200_000
+#: Edges (16 bytes each) that one task contracts; longer lists stay distributed.
+FEW_EDGES = 20_000
 
 
 def few(keys: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -40,17 +43,23 @@ def few(keys: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= most else keys
 
 
-def _star(edges: DataFrame, larger: bool) -> DataFrame:
+def _star(edges: DataFrame, larger: bool, one: bool) -> DataFrame:
     """Link the larger (or the smaller) neighbours of each node, itself
-    included when linking the smaller ones, to its least neighbour."""
-    ends = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    if larger:
-        ends = ends.union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    included when linking the smaller ones, to its least neighbour; in ``one``
+    partition, if wanted."""
+    edges = edges.coalesce(1) if one else edges
+
+    def each(rows: DataFrame, *pairs: tuple[str, str, str, str]) -> DataFrame:
+        """A row for each pair; an explode, as a union would part one partition in two."""
+        return rows.select(F.explode(F.array(*[F.struct(F.col(x).alias(p), F.col(y).alias(q)) for x, p, y, q in pairs])).alias("e")).select("e.*")
+    ends = each(edges, *[("a", "u", "b", "v"), ("b", "u", "a", "v")][:1 + larger])
     least = ends.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    moved = ends.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")) if larger else (
-        ends.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        .union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))))
-    return moved.filter("a != b").distinct()
+    if larger:
+        moved = ends.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    else:
+        moved = each(ends.join(least, "u"), ("v", "a", "m", "b"), ("u", "a", "m", "b"))
+    moved = moved.filter("a != b")
+    return (moved.coalesce(1) if one else moved).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -63,7 +72,7 @@ def components(edges: DataFrame) -> DataFrame:
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if now[0] == 0 or now == seen:
             break
-        seen = now
-        e = cut(_star(_star(e, True), False))
+        seen, one = now, now[0] <= FEW_EDGES
+        e = cut(_star(_star(e, True, one), False, one))
     roots = e.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

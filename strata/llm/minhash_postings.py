@@ -41,6 +41,8 @@ COORDINATES = 32
 LEAST_MATCHES = 16
 STAR_STEPS = 2  # steps with one hub a list, before the one across components
 LARGE_LIST = 64  # classes of a longer list meet with their full sets at hand
+LARGE_MATCHES = 12  # fewer equal coordinates are not looked at there (a pair of similarity 0.8: once in 40 million)
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
 PREFIX = COORDINATES - LEAST_MATCHES + 1
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, (COORDINATES, 2)).astype(np.uint64)
 
@@ -133,20 +135,54 @@ def across(lists: DataFrame) -> DataFrame:
             .select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct())
 
 
-def across_large(lists: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """Links (a, b) between components within long lists.  Only pairs that the
-    full sets confirm leave the join, and each pair meets in the first of the
-    lists that it shares."""
+def across_large(lists: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """Links (a, b) between components within long lists, compared in blocks of
+    at most ``BLOCK`` classes and about ``BLOCK_SHINGLES`` shingles, pair of
+    blocks by pair of blocks.  Only pairs that the full sets confirm leave a
+    task, and each pair meets in the first of the lists that it shares."""
     known = cut(full_sets(docs, lists.select("node"), words))
-    shared = lists.groupBy("node").agg(F.collect_list("token").alias("tokens"))  # at most PREFIX
-    rows = lists.select("token", "node", "component").join(shared, "node").join(known, "node")
-    other = rows.select(*[F.col(c).alias(c + "2") for c in rows.columns])
-    n, n2, same = F.size("shingles"), F.size("shingles2"), F.size(F.array_intersect("shingles", "shingles2"))
-    meet = ((F.col("token") == F.col("token2")) & (F.col("node") < F.col("node2")) & (F.col("component") != F.col("component2"))
-            & (F.least(n, n2) * 100 >= F.greatest(n, n2) * percent)
-            & (F.array_min(F.array_intersect("tokens", "tokens2")) == F.col("token"))
-            & (same * 100 >= (n + n2 - same) * percent))
-    return rows.join(other, meet).select(F.col("node").alias("a"), F.col("node2").alias("b"))
+    place = F.shiftright("token", 32).cast("int")
+    mine = lists.groupBy("node").agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftright(token, 32) AS int))")).alias("posted"))
+    about = (mine.join(classes.select("node", "n_shingles", "signature"), "node")
+             .join(known.groupBy("node").agg(F.max_by("shingles", F.size("shingles")).alias("shingles")), "node"))
+    sizes = (lists.join(classes.select("node", "n_shingles"), "node").groupBy("token")
+             .agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("many")))
+    rows = (lists.select("token", "node", "component").join(sizes, "token")
+            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("many")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("many") - 1)))
+            .select("token", place.alias("place"), "node", "component", "block",
+                    F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).join(about, "node"))
+
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        low, high = key[1].as_py(), key[2].as_py()
+        table = table.combine_chunks()
+        node, component, posted, block = (table.column(c).to_numpy() for c in ("node", "component", "posted", "block"))
+        at = table.column("place")[0].as_py()
+        sig = np.array(table.column("signature").to_pylist(), np.int32).reshape(-1, COORDINATES)
+        shingles = table.column("shingles").chunk(0)
+        first = np.concatenate(([0], np.cumsum(shingles.value_lengths().to_numpy())))
+        flat, n = shingles.flatten().to_numpy().view(np.uint64), np.diff(first)
+        x, y = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for i in x:
+            own = y[(component[y] != component[i]) & ((node[y] > node[i]) if low == high else True)
+                    & (np.minimum(n[y], n[i]) * 100 >= np.maximum(n[y], n[i]) * percent)]
+            same = sig[own] == sig[i]
+            early = np.flatnonzero(posted[i] >> np.arange(at) & 1)  # coordinates that come before this list's
+            met = (same[:, early] & (posted[own][:, None] >> early & 1).astype(bool)).any(1)
+            own = own[(same.sum(1) >= LARGE_MATCHES) & ~met]
+            if len(own):
+                mine, counts = flat[first[i]:first[i + 1]], n[own]
+                each = np.repeat(first[own] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
+                found = np.searchsorted(mine, flat[each])
+                hit = mine[np.minimum(found, len(mine) - 1)] == flat[each]
+                both = np.add.reduceat(hit.astype(np.int64), np.concatenate(([0], np.cumsum(counts)[:-1])))
+                own = own[both * 100 >= (counts + n[i] - both) * percent]
+                a.append(np.full(len(own), i))
+                b.append(own)
+        a, b = node[np.concatenate(a)], node[np.concatenate(b)]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    return rows.groupBy("token", "low", "high").applyInArrow(compare, "a long, b long")
 
 
 def matching(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -201,7 +237,7 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
         placed = cut(placed.join(mixed, "token"))  # lists that still hold several components
         placed, size = placed.drop("n"), placed
     pairs = cut(matching(across(size.filter(F.col("n") <= LARGE_LIST)).join(tried, ["a", "b"], "left_anti"), classes, percent))
-    last = confirmed(pairs, docs, percent, words).union(across_large(size.filter(F.col("n") > LARGE_LIST), docs, percent, words))
+    last = confirmed(pairs, docs, percent, words).union(across_large(size.filter(F.col("n") > LARGE_LIST), classes, docs, percent, words))
     found = components(links.union(last).union(same_document(members)))
     members = members.join(found, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
