@@ -40,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -186,23 +186,25 @@ def copied(docs: DataFrame) -> DataFrame:
     of (version, start, n windows, reference document, its start).
     ``docs``: __row, __doc, __version, text; a row key need not be unique."""
     index = index_blocks(docs.select("__row", "text"))
-    shared = index.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
-    mine = index.join(shared, "key").groupBy("row").agg(F.collect_list("key").alias("__keys")).withColumnRenamed("row", "__row")
+    # Each frame is told its group's sum or first by a window: a join would make the frame twice and shuffle it twice.
+    shared = index.withColumn("all", F.sum("n").over(Window.partitionBy("key"))).filter("all > 1")
+    mine = shared.groupBy("row").agg(F.collect_list("key").alias("__keys")).withColumnRenamed("row", "__row")
     found = occurrences(docs.join(mine.hint("shuffle_hash"), "__row", "left"))
-    classes = found.groupBy("same").agg(F.min(F.struct("doc", "at", "version", "key")).alias("first")).select("same", "first.*")
+    found = found.withColumn("first", F.min(F.struct("doc", "at", "version", "key")).over(Window.partitionBy("same")))
+    is_first = "doc = first.doc and at = first.at and version = first.version"
+    classes = found.filter(is_first).groupBy("same").agg(F.first("first").alias("first")).select("same", "first.*")
     several = classes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     # The first of each class, window by window, against the other classes.
     place, lead, n = _unpacked(F.col("at"))
     open_places = (classes.join(several, "key").groupBy(_row_key(F.col("doc"), F.col("version")).alias("__row"))
                    .agg(F.collect_set(place.cast("long")).alias("__places")))
     each = windows_at(docs.join(open_places.hint("shuffle_hash"), "__row", "left"))
-    earliest = each.groupBy("window").agg(F.min(F.struct("doc", "start", "version")).alias("ref"))
-    later = (each.join(earliest, "window").filter(F.struct("doc", "start", "version") != F.col("ref"))
+    earliest = F.min(F.struct("doc", "start", "version")).over(Window.partitionBy("window"))
+    later = (each.withColumn("ref", earliest).filter(F.struct("doc", "start", "version") != F.col("ref"))
              .select("doc", "version", "start", F.lit(1).alias("n"), F.col("ref.doc").alias("ref"), F.col("ref.start").alias("ref_start")))
-    first = classes.select("same", F.col("doc").alias("ref"), F.col("at").alias("ref_at"), F.col("version").alias("ref_version"))
-    ref_place, _, _ = _unpacked(F.col("ref_at"))
-    whole = (found.drop("key").join(first, "same").filter("doc != ref or at != ref_at or version != ref_version")
-             .select("doc", "version", (place - lead).alias("start"), n.alias("n"), "ref", (ref_place - lead).alias("ref_start")))
+    ref_place, ref_lead, _ = _unpacked(F.col("first.at"))
+    whole = (found.filter(f"not ({is_first})")
+             .select("doc", "version", (place - lead).alias("start"), n.alias("n"), F.col("first.doc").alias("ref"), (ref_place - ref_lead).alias("ref_start")))
     return (whole.union(later).groupBy(_row_key(F.col("doc"), F.col("version")).alias("__row"))
             .agg(F.sort_array(F.collect_list(F.struct("version", "start", "n", "ref", "ref_start"))).alias("__copies")))
 

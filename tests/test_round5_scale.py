@@ -42,3 +42,16 @@ def test_long_lists_are_compared_in_blocks(spark, monkeypatch):
     want = {(a, b) for a in nodes for b in nodes if a < b and tokens.get(a, set()) & tokens.get(b, set())
             and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
     assert len(got) > 50 and sorted(got) == sorted(want)  # each pair once, though it shares many lists
+
+
+def test_copied_passages_are_found_without_joins_of_occurrences(spark):
+    from strata.llm import relative_factors as R
+    rng = random.Random(4)
+    passage = " ".join(rng.choices("abcdefghij", k=40))
+    rows = [(i, f"{' '.join(rng.choices('klmnopqrst', k=25))} {passage} {i}") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = R.parsed(docs, keep_text=False)
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in out.collect()} == brute.substring_digest(rows)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") <= 12  # 21 before: each frame was made for its groups and for its join
+    assert "(same#" not in "".join(line for line in plan.splitlines() if "Join" in line)
