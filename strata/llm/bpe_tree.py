@@ -43,6 +43,7 @@ from strata.llm.arrays import tidied
 LEAF_CHARS = 4096  # a text up to this length is a leaf
 LEAF_BYTES = 48  # a piece up to this length is merged directly
 CACHE_RUNS = 250_000  # known runs held during a task (about 0.1 GB); emptied when full
+KEPT_RUNS = 1_000_000  # held across tasks by a query that only encodes (about 0.3 GB)
 _SPACED = re.compile(r"[^\S ] ")
 
 
@@ -251,8 +252,10 @@ def default_vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
-def map_texts(docs: DataFrame, schema: str, row: Callable, keep: tuple[str, ...], text: str = "text") -> DataFrame:
-    """``row(bytes) -> tuple`` of new columns for each text, beside ``keep``."""
+def map_texts(docs: DataFrame, schema: str, row: Callable, keep: tuple[str, ...], text: str = "text",
+              forget: bool = True) -> DataFrame:
+    """``row(bytes) -> tuple`` of new columns for each text, beside ``keep``.
+    At the end of a task the known runs go if ``forget``."""
     from pyspark.sql.types import StructType
     fields = StructType.fromDDL(schema).fieldNames()
 
@@ -264,7 +267,8 @@ def map_texts(docs: DataFrame, schema: str, row: Callable, keep: tuple[str, ...]
                 columns = list(zip(*out)) if out else [[] for _ in fields[len(keep):]]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(k) for k in keep] + [pa.array(c) for c in columns], names=fields)
-        forget_runs()
+        if forget:
+            forget_runs()
     return docs.select(*keep, text).mapInArrow(tidied(run), schema)
 
 
@@ -285,15 +289,16 @@ def encode_decode(docs: DataFrame, path: str | None = None, pattern: str | None
 
 def digests(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: hashed where encoded, so
-    that ids and decoded bytes of a corpus never leave the tasks."""
+    that ids and decoded bytes of a corpus never leave the tasks.  The worker's
+    tasks have this work alone, so it keeps the runs that it knows."""
     if path is None or pattern is None:
         path, pattern = default_vocabulary()
 
     def row(text: str):
-        bpe = worker_bpe(path, pattern)
+        bpe = worker_bpe(path, pattern, KEPT_RUNS)
         ids = bpe.encode(text)
         return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest()
-    return map_texts(docs, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", row, ("doc_id",))
+    return map_texts(docs, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", row, ("doc_id",), forget=False)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

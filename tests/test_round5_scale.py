@@ -55,3 +55,26 @@ def test_copied_passages_are_found_without_joins_of_occurrences(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") <= 12  # 21 before: each frame was made for its groups and for its join
     assert "(same#" not in "".join(line for line in plan.splitlines() if "Join" in line)
+
+
+def test_runs_are_known_across_tasks_of_the_digest_query():
+    import pyarrow as pa
+    from strata.llm import bpe_tree
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+    path, pattern = bpe_tree.default_vocabulary()
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["one two three"]})
+    before = bpe_tree._LOADED.pop((path, pattern), None)
+    try:
+        list(bpe_tree.digests(Docs())(iter([batch])))
+        assert set(bpe_tree._LOADED[path, pattern]._spaced) >= {"two", "three"}
+        list(bpe_tree.encode_decode(Docs())(iter([batch])))
+        assert not bpe_tree._LOADED[path, pattern]._spaced
+    finally:
+        if before is not None:
+            bpe_tree._LOADED[path, pattern] = before
