@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.tasks import dealt
+
 # ---------------------------------------------------------------- predicates
 # Row-level checks are predicates that are TRUE on a failing row.  A null
 # predicate counts as passing, as in the generic SQL tests (``where not(expr)``).
@@ -64,9 +66,14 @@ def not_null(df: DataFrame, col: str) -> DataFrame:
     return df.where(null_pred(col))
 
 
-def unique(df: DataFrame, *cols: str) -> DataFrame:
+def unique(df: DataFrame, *cols: str, rows: int | None = None) -> DataFrame:
     """Keys that occur more than once, with their count.  A hash
-    aggregate with map-side combine: a hot key collapses before the shuffle."""
+    aggregate with map-side combine: a hot key collapses before the shuffle.
+    Of keys that are nearly all different nothing collapses and the maps of
+    a task grow with its share of the file: with ``rows`` (the row count of
+    ``df``) they are dealt first, and a task holds a bounded number."""
+    if rows is not None:
+        df = dealt(df.select(*cols), rows, *cols)
     return (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records"))
             .where(F.col("n_records") > 1))
 
@@ -80,12 +87,12 @@ def duplicate_rows(df: DataFrame, *cols: str) -> DataFrame:
     return df.join(unique(df, *cols).drop("n_records"), list(cols), "left_semi")
 
 
-def primary_key(df: DataFrame, *cols: str) -> DataFrame:
+def primary_key(df: DataFrame, *cols: str, rows: int | None = None) -> DataFrame:
     """Rows with a null key part, plus keys that repeat (as key rows)."""
     nulls = df.where(F.greatest(*[F.col(c).isNull() for c in cols]) if len(cols) > 1 else F.col(cols[0]).isNull())
     nulls = nulls.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records"))
     return nulls.unionByName(unique(df.where(F.least(*[F.col(c).isNotNull() for c in cols])
-                                             if len(cols) > 1 else F.col(cols[0]).isNotNull()), *cols))
+                                             if len(cols) > 1 else F.col(cols[0]).isNotNull()), *cols, rows=rows))
 
 
 def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
@@ -94,13 +101,18 @@ def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
 
 
 def relationships(df: DataFrame, cols: str | Sequence[str], parent: DataFrame,
-                  parent_cols: str | Sequence[str] | None = None) -> DataFrame:
+                  parent_cols: str | Sequence[str] | None = None, rows: int | None = None) -> DataFrame:
     """D6 (also composite foreign keys): child rows with a non-null key that
     the parent lacks.  ``left_anti``: Catalyst picks broadcast or
-    sort-merge from the parent's size, so a large parent is not broadcast."""
+    sort-merge from the parent's size, so a large parent is not broadcast.
+    With ``rows`` (the row count of the longer side) both sides meet in
+    tasks of a bounded number of rows."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     pcols = cols if parent_cols is None else ([parent_cols] if isinstance(parent_cols, str) else list(parent_cols))
-    p = parent.select(*[F.col(pc).alias(f"__p{i}") for i, pc in enumerate(pcols)]).distinct()
+    p = parent.select(*[F.col(pc).alias(f"__p{i}") for i, pc in enumerate(pcols)])
+    if rows is not None:
+        df, p = dealt(df, rows, *cols), dealt(p, rows, *p.columns)
+    p = p.distinct()
     child = df.where(F.least(*[F.col(c).isNotNull() for c in cols]) if len(cols) > 1 else F.col(cols[0]).isNotNull())
     cond = [F.col(c) == F.col(f"__p{i}") for i, c in enumerate(cols)]
     return child.join(p, cond, "left_anti")

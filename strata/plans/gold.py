@@ -204,9 +204,11 @@ def fact_order_line_full_reload(cat, ctx: RunContext = RunContext(), orders: Dat
     ``ctx.unknown_key``), the USD->EUR rate of the order day (exact-day
     join on the calendar-expanded lookup), and the line integration id.
     Later runs replace the rows of their own source system in ``existing``
-    and leave those of others."""
+    and leave those of others.  Lines and orders meet in tasks of a bounded
+    number of lines."""
     from strata.operators.keys import integration_key
     from strata.operators.merge import replace_slice
+    from strata.operators.tasks import dealt
     from strata.plans.runlog import bounded_broadcast
     li = cat.lineitem
     od = orders if orders is not None else dim_orders(cat, ctx)
@@ -216,7 +218,9 @@ def fact_order_line_full_reload(cat, ctx: RunContext = RunContext(), orders: Dat
         F.col("day_dt").alias("__od"), F.col("exchange_rate").alias("eur_conversion_rate"))
     # The looked-up rates hold one row per calendar day; a caller's rates are counted first.
     fx = F.broadcast(fx) if rates is None else bounded_broadcast(fx)
-    j = li.join(od, li.l_orderkey == od.order_key, "left").join(fx, "__od", "left")
+    n = li.count()  # from the files' footers
+    j = (dealt(li, n, "l_orderkey").join(dealt(od, n, "order_key"), F.col("l_orderkey") == F.col("order_key"), "left")
+         .join(fx, "__od", "left"))
     unk = F.lit(ctx.unknown_key).cast("long")
     rows = j.select(F.lit(ctx.source_system_code).alias("source_system_code"),
                     F.coalesce(F.col("order_key"), unk).alias("l_order_wid"),

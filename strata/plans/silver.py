@@ -116,9 +116,16 @@ def order_facts(cat, ctx: RunContext = RunContext(), orders: DataFrame | None =
     """A2-A4: daily order facts by customer/status/priority with generated
     conditional aggregates (one pass, one hash aggregate).  Sums run in
     exact decimal and are returned as double, so results do not depend on
-    the order partial sums are combined in."""
+    the order partial sums are combined in.  Few orders share customer and
+    day, so they are dealt into tasks of a bounded number of orders before
+    the hash aggregates."""
+    from strata.operators.tasks import dealt
     o = orders if orders is not None else staging.stg_orders_incremental(cat, ctx)
-    o = o.where(F.col("processing_type").isin("RECENT", "FULL_LOAD"))
+    n = (orders if orders is not None else cat.orders).count()  # from the files' footers
+    o = o.where(F.col("processing_type").isin("RECENT", "FULL_LOAD")).select(
+        F.to_date("o_orderdate").alias("order_date"), F.col("o_custkey").alias("customer_key"),
+        F.col("o_orderstatus").alias("order_status"), F.col("o_orderpriority").alias("order_priority"), "o_totalprice")
+    o = dealt(o, n, "customer_key", "order_date", "order_status", "order_priority")
     price = F.col("o_totalprice")
     aggs = [F.count(F.lit(1)).alias("order_count"),
             money_sum(price).alias("total_order_value"),
@@ -128,17 +135,15 @@ def order_facts(cat, ctx: RunContext = RunContext(), orders: DataFrame | None =
             # A group has one customer: no distinct count is needed.
             F.count(F.lit(1)).alias("unique_customers"), money_sum(price).alias("revenue_per_customer")]
     for s in ORDER_STATUSES:
-        aggs.append(money_sum(F.when(F.col("o_orderstatus") == s, price).otherwise(F.lit(0.0)))
+        aggs.append(money_sum(F.when(F.col("order_status") == s, price).otherwise(F.lit(0.0)))
                     .alias(f"revenue_{s.lower()}_status"))
-        aggs.append(F.count(F.when(F.col("o_orderstatus") == s, 1)).alias(f"count_{s.lower()}_status"))
+        aggs.append(F.count(F.when(F.col("order_status") == s, 1)).alias(f"count_{s.lower()}_status"))
     for i, p in enumerate(PRIORITY_LEVELS, start=1):
-        aggs.append(money_sum(F.when(F.col("o_orderpriority") == p, price).otherwise(F.lit(0.0)))
+        aggs.append(money_sum(F.when(F.col("order_priority") == p, price).otherwise(F.lit(0.0)))
                     .alias(f"revenue_priority_{i}"))
-    keys = [F.to_date("o_orderdate").alias("order_date"), F.year("o_orderdate").alias("order_year"),
-            F.month("o_orderdate").alias("order_month"), F.quarter("o_orderdate").alias("order_quarter"),
-            F.dayofweek("o_orderdate").alias("day_of_week"),
-            F.col("o_custkey").alias("customer_key"), F.col("o_orderstatus").alias("order_status"),
-            F.col("o_orderpriority").alias("order_priority")]
+    keys = ["order_date", F.year("order_date").alias("order_year"), F.month("order_date").alias("order_month"),
+            F.quarter("order_date").alias("order_quarter"), F.dayofweek("order_date").alias("day_of_week"),
+            "customer_key", "order_status", "order_priority"]
     known = F.col("customer_key").isNotNull()
     return (o.groupBy(*keys).agg(*aggs)
             .withColumn("unique_customers", F.when(known, F.lit(1)).otherwise(F.lit(0)).cast("long"))

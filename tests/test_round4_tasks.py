@@ -101,3 +101,61 @@ def test_attribution_keeps_more_runs_than_the_other_coders(spark, monkeypatch):
     known = taken[path, pattern]._spaced
     assert len(known) == 101  # emptied at 10 before
     assert bpe_tree.worker_bpe(path, pattern)._spaced.most == 10
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def _some_orders(spark, n=2000):
+    """Orders with a null customer, a customer of every third order, twice
+    the same key and no key, and lines of them, some without an order."""
+    day = dt.datetime(1996, 1, 1)
+    orders = [(i or None, None if i % 50 == 0 else 7 if i % 3 == 0 else i, "FOP"[i % 3], i + 0.25, day + dt.timedelta(days=i % 40, hours=i % 24),
+               f"{i % 5}-X" if i % 5 else "1-URGENT") for i in range(n)] + [(5, 7, "F", 1.0, day, "5-LOW")] * 2
+    lines = [(i % (n + 9) or None, i % 7, i % 11, i % 4, 1.0, 10.0, 0.1, 0.1, "A", "F", day) for i in range(3 * n)] + [(5, 1, 1, 1, 2.0, 9.0, 0.0, 0.0, "R", "O", day)] * 300
+    return (spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+            spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                                         "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"))
+
+
+def test_model_tests_deal_the_keys(spark, monkeypatch):
+    from strata.operators import tasks
+    from strata.plans.model_tests import model_checks
+    from strata.sources.tables import FrameCatalog
+    orders, lines = _some_orders(spark)
+    customer = spark.createDataFrame([(i, f"c{i}", 1, 1.0, "AUTOMOBILE") for i in range(1, 1500)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    cat = FrameCatalog(spark, {"orders": orders, "lineitem": lines, "customer": customer})
+
+    def failing():
+        return {c.name: c.failing_rows() for c in model_checks(cat, models=["stg_orders", "stg_orders_incremental", "stg_lineitem"]) if c.predicate is None}
+    want = {k: sorted(map(str, d.drop("_loaded_at", "processed_at").collect())) for k, d in failing().items()}
+    monkeypatch.setattr(tasks, "ROWS_PER_TASK", 100)
+    got = failing()
+    assert len(got) == 6 and all(want.values())
+    for k, d in got.items():
+        n = -(-(lines if k.startswith("stg_lineitem") else orders).count() // 100)
+        assert f", {n})" in _plan(d), k
+        assert sorted(map(str, d.drop("_loaded_at", "processed_at").collect())) == want[k], k
+
+
+def test_order_facts_and_reload_are_dealt(spark, monkeypatch):
+    from strata.operators import tasks
+    from strata.plans import gold, silver
+    from strata.sources.tables import FrameCatalog
+    orders, lines = _some_orders(spark)
+    cat = FrameCatalog(spark, {"orders": orders, "lineitem": lines})
+    dim = orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer_key"), F.col("o_orderdate").alias("order_date"))
+    rates = spark.createDataFrame([(dt.date(1996, 1, d), "USD", "EUR", d / 10) for d in range(1, 20)], "day_dt date, from_currency string, to_currency string, exchange_rate double")
+
+    def both():
+        return (silver.order_facts(cat).drop("last_updated"),
+                gold.fact_order_line_full_reload(cat, orders=dim, rates=rates).drop("insert_ts", "last_update_ts"))
+    want = [sorted(map(str, d.collect())) for d in both()]
+    monkeypatch.setattr(tasks, "ROWS_PER_TASK", 100)
+    facts, reload = both()
+    assert f", {-(-orders.count() // 100)})" in _plan(facts) and _plan(facts.where("order_count > 0")).count("Exchange hashpartitioning") == 1
+    assert f", {-(-lines.count() // 100)})" in _plan(reload)
+    assert [sorted(map(str, d.collect())) for d in (facts, reload)] == want
+    day = facts.where("customer_key = 7 and order_status = 'F'").agg(F.sum("order_count")).first()[0]
+    assert day == orders.where("o_custkey = 7 and o_orderstatus = 'F'").count()
