@@ -137,6 +137,34 @@ def test_recall_of_planted_pairs_in_deep_trees(spark, monkeypatch):
     assert found >= 0.97 * len(p) and sum(g[0] for g in got.values()) <= 2 * len(p)
 
 
+def test_vectors_travel_by_units_not_by_leaves(spark, monkeypatch):
+    """Units of a few vectors, in blocks where they do not part, give the rows
+    of one unit for each label; vectors are copied per unit and not per leaf."""
+    for name, value in (("LEAF_ROWS", 60), ("BLOCK", 16)):
+        monkeypatch.setattr(projection_forest, name, value)
+    rng = np.random.default_rng(6)
+    x, label = _vectors(rng)
+    x = np.concatenate((x, x[0] + rng.normal(size=(150, 24)).astype(np.float32) * 0.01))
+    label = np.concatenate((label, np.full(150, label[0])))
+    df = spark.createDataFrame([(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, label))], "vec_id long, embedding array<float>, label int")
+    rows, posted = [], []
+    dealt = projection_forest.links_in_units
+
+    def links_in_units(frame, *args):
+        posted.append(frame.count())
+        return dealt(frame, *args)
+    monkeypatch.setattr(projection_forest, "links_in_units", links_in_units)
+    for values in (1 << 21, 24 * 100, 24 * 40):
+        monkeypatch.setattr(projection_forest, "UNIT_VALUES", values)
+        posted.append(None)
+        rows.append(sorted(map(tuple, projection_forest.near_vectors(df).collect())))
+    assert rows[0] == rows[1] == rows[2] and sum(r[1] for r in rows[0]) >= 150 * 149
+    assert posted[:2] == [None, len(x)] and posted[2:4] == [None, 0] and len(posted) == 2 + 2 * (2 + 5)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    trees = [projection_forest.fit_tree(unit, len(x), t) for t in range(projection_forest.TREES)]
+    assert 10 * posted[1] < sum(len(t.leaves(unit)[0]) for t in trees)
+
+
 def test_forest_splits_and_spills():
     x = np.random.default_rng(5).normal(size=(4000, 16))
     x /= np.linalg.norm(x, axis=1)[:, None]
