@@ -219,12 +219,8 @@ def frame_check(name, model, frame, failing, column=None, **kw) -> Check:
 _SUMMARY = T.StructType([T.StructField("check_name", T.StringType()), T.StructField("failures", T.LongType())])
 
 
-def run_checks(checks: Sequence[Check]) -> DataFrame:
-    """Summary: check_name, model, column_name, severity, failures, status.
-
-    Row-level checks sharing one input frame become one ``agg`` of
-    conditional sums (one scan); other checks are counted with one aggregate
-    each.  All counts are unioned into a small frame; nothing is collected."""
+def _failures(checks: Sequence[Check]) -> DataFrame:
+    """check_name, failures."""
     groups: dict[int, list[Check]] = {}
     counts: list[DataFrame] = []
     for ch in checks:
@@ -241,19 +237,45 @@ def run_checks(checks: Sequence[Check]) -> DataFrame:
                                    F.coalesce(F.col(f"__f{i}"), F.lit(0)).alias("failures"))
                           for i, ch in enumerate(group)])
         counts.append(sums.select(F.explode(pairs).alias("p")).select("p.check_name", "p.failures"))
-    meta = [(ch.name, ch.model, ch.column, ch.severity, ch.warn_if, ch.error_if) for ch in checks]
-    spark = checks[0].frame.sparkSession
-    meta_df = spark.createDataFrame(meta, "check_name string, model string, column_name string, severity string, "
-                                          "warn_if long, error_if long")
     allc = counts[0]
     for c in counts[1:]:
         allc = allc.unionByName(c)
-    out = allc.join(F.broadcast(meta_df), "check_name")
+    return allc
+
+
+def _summary(failures: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    meta = [(ch.name, ch.model, ch.column, ch.severity, ch.warn_if, ch.error_if) for ch in checks]
+    meta_df = failures.sparkSession.createDataFrame(
+        meta, "check_name string, model string, column_name string, severity string, warn_if long, error_if long")
+    out = failures.join(F.broadcast(meta_df), "check_name")
     status = (F.when((F.col("severity") == "error") & (F.col("failures") > F.col("error_if")), "fail")
               .when(F.col("failures") > F.col("warn_if"), "warn").otherwise("pass"))
     return out.select("check_name", "model", "column_name", "severity", "failures", status.alias("status"))
 
 
+def run_checks(checks: Sequence[Check]) -> DataFrame:
+    """Summary: check_name, model, column_name, severity, failures, status.
+
+    Row-level checks sharing one input frame become one ``agg`` of
+    conditional sums (one scan); other checks are counted with one aggregate
+    each.  All counts are unioned into a small frame; nothing is collected."""
+    return _summary(_failures(checks), checks)
+
+
+def run_checks_in_turn(batches: Sequence[Sequence[Check]]) -> DataFrame:
+    """The summary of ``run_checks`` for checks on large inputs: each batch is
+    counted by a job of its own and its shuffle files go before the next one
+    begins, so disk holds those of one batch.  A check may stand in several
+    batches, on frames that share no row that it fails; its failures add up."""
+    from strata.llm.graph import cut
+    counts = None
+    for batch in batches:
+        own = cut(_failures(batch))
+        counts = own if counts is None else counts.unionByName(own)
+    checks = {ch.name: ch for batch in batches for ch in batch}
+    return _summary(counts.groupBy("check_name").agg(F.sum("failures").alias("failures")), list(checks.values()))
+
+
 def write_checked(df: DataFrame, checks: Sequence[tuple[str, Column]], path: str, name: str = "checks") -> dict[str, int]:
     """D1-D16 in the write itself: ``checks`` are (name, predicate that is
     true on a failing row).  One scan computes the rows, writes those that

@@ -71,3 +71,27 @@ def test_reference_model_tests_pass_on_our_datasets(spark):
     failing = {r["check_name"] for r in rows if r["failures"]}
     assert len(failing) == 2 and all(n.startswith(("fct_order_lines__table__unique_combination",
                                                    "stg_lineitem__table__unique_combination")) for n in failing)
+
+
+def test_model_tests_of_large_tables_in_turn(spark, monkeypatch):
+    """Beyond what one pass holds, batches and slices give the same rows, and no batch's plan holds the shuffles of two large datasets."""
+    from strata.llm import graph
+    from strata.operators import tasks
+    from strata.plans import model_tests
+    from strata.session import RunContext
+    from strata.sources.tables import Catalog
+    from tests.conftest import SF_SMALL
+    cat, ctx = Catalog(spark, SF_SMALL), RunContext(data_clock=True)
+    models = ["stg_regions", "stg_lineitem", "order_facts", "fct_order_lines", "fct_order_lines_by_supplier_month"]
+    whole = sorted(map(tuple, model_tests.model_test_summary(cat, ctx, models).collect()))
+    plans, cut = [], graph.cut
+    monkeypatch.setattr(graph, "cut", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), cut(df))[1])
+    monkeypatch.setattr(tasks, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(model_tests, "SLICE_ROWS", 2500)
+    lines = cat.lineitem.count()
+    got = sorted(map(tuple, model_tests.model_test_summary(cat, ctx, models).collect()))
+    assert got == whole and any(r[4] > 0 for r in got)
+    n = -(-lines // 2500)
+    assert n > 1 and len([p for p in plans if "check_name" in p]) == 3 + 3 + 2 * n
+    for p in plans:
+        assert sum(f"{m}__" in p for m in models if m != "stg_regions") <= 1
